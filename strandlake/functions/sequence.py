@@ -27,7 +27,7 @@ def codon_table() -> dict[str, str]:
 
 def count_of(seq: Column, letters: str) -> Column:
     """Occurrences of any of ``letters``."""
-    return F.length(seq) - F.length(F.translate(seq, F.lit(letters), F.lit("")))
+    return F.length(seq) - F.length(F.translate(seq, letters, ""))
 
 
 def gc_fraction(seq: Column) -> Column:
@@ -94,17 +94,17 @@ def before_adapter(seq: Column, adapter: str, first_bases: int | None = None) ->
 def reverse_complement(seq: Column) -> Column:
     """SEQ-06: letters other than A, C, G, T become N."""
     known = F.regexp_replace(seq, f"[^{COMPLEMENT_FROM}]", "N")
-    return F.reverse(F.translate(known, F.lit(COMPLEMENT_FROM), F.lit(COMPLEMENT_TO)))
+    return F.reverse(F.translate(known, COMPLEMENT_FROM, COMPLEMENT_TO))
 
 
 def transcribe(seq: Column) -> Column:
     """SEQ-07: T to U."""
-    return F.translate(seq, F.lit("Tt"), F.lit("Uu"))
+    return F.translate(seq, "Tt", "Uu")
 
 
 def back_transcribe(seq: Column) -> Column:
     """SEQ-07: U to T."""
-    return F.translate(seq, F.lit("Uu"), F.lit("Tt"))
+    return F.translate(seq, "Uu", "Tt")
 
 
 def codons(seq: Column) -> Column:

@@ -1 +1,108 @@
-"""Registered queries."""
+"""Event-window queries: the batch form of the streaming functions, and streams run to their end."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from strandlake.functions.numeric import half_up
+from strandlake.plans.registry import half_up as HU
+from strandlake.plans.registry import query
+from strandlake.session import scratch_path
+from strandlake.streaming import jobs
+from strandlake.streaming import windows as w
+
+ONE = F.lit(1)
+
+
+def stamp(name):
+    return F.date_format(name, "yyyy-MM-dd HH:mm:ss").alias(name)
+
+
+TUMBLING = f"""w AS (SELECT date_trunc('minute', ts) AS ws, event_type, count(*) AS n, {HU('avg(value)', 6)} AS mean_value FROM events GROUP BY 1, 2)"""
+
+
+@query("tumbling_counts", "STM-01", f"""
+WITH {TUMBLING} SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS window_end,
+  event_type, n, mean_value FROM w""")
+def _(t):
+    out = w.tumbling(w.event_time(t.events), ["event_type"], F.col("value"))
+    return out.select(stamp("window_start"), stamp("window_end"), "event_type", "n", half_up(F.col("mean_value"), 6).alias("mean_value"))
+
+
+@query("sliding_warn", "STM-02", f"""
+WITH s AS (SELECT date_trunc('minute', ts) - to_minutes(k) AS ws, user_id, value FROM events, (VALUES (0), (1)) v(k)),
+  a AS (SELECT ws, user_id, avg(value) AS m FROM s GROUP BY 1, 2)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(ws + INTERVAL 2 MINUTE, '%Y-%m-%d %H:%M:%S') AS window_end, user_id,
+  {HU('m', 6)} AS mean_value, CASE WHEN m < 15 THEN 'WARN' ELSE 'OK' END AS status FROM a""")
+def _(t):
+    out = w.sliding_monitor(w.event_time(t.events), "user_id", "value", limit=15)
+    return out.select(stamp("window_start"), stamp("window_end"), "user_id", half_up(F.col("mean_value"), 6).alias("mean_value"), "status")
+
+
+@query("alerts", "STM-03 STR-05", f"""
+WITH {TUMBLING} SELECT n, 'error' AS event_type, 'event_type: ' || n || ' events in window ending ' || strftime(ws + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS message
+FROM w WHERE event_type = 'error' AND n > 0""")
+def _(t):
+    out = w.alerts(w.tumbling(w.event_time(t.events), ["event_type"], F.col("value")), "event_type", "error")
+    return out.select("n", "event_type", F.regexp_replace("message", "^error", "event_type").alias("message"))
+
+
+@query("hot_key_counts", "STM-04", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+def _(t):
+    return w.two_step_counts(t.events, ["event_type"])
+
+
+@query("routed_events", "STM-07 FLT-06", "SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'signup')")
+def _(t):
+    return w.urgent(t.events.select("event_id", "event_type"), "event_type", ("error", "signup"))
+
+
+@query("over_burden", "STM-07", "SELECT user_id, count(*) AS n FROM events GROUP BY 1 HAVING count(*) > 60")
+def _(t):
+    return w.over_burden(t.events, "user_id", 60)
+
+
+def event_stream(t):
+    """The events table as a file stream, from its first file (a new checkpoint replays it all)."""
+    return t.spark.readStream.schema(t.events.schema).option("pathGlobFilter", "events.parquet").parquet(t.root)
+
+
+@query("streamed_windows", "STM-01 STM-05 STM-09 SRC-17", """
+WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events), w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, n FROM w, m WHERE ws + INTERVAL 1 HOUR <= mark""")
+def _(t):
+    # Append mode emits a window once the watermark has passed its end.
+    counts = w.tumbling(w.event_time(event_stream(t)), ["event_type"], F.col("value"), size="1 hour")
+    target = scratch_path(t.spark, "windows")
+    jobs.append_stream(counts, target, scratch_path(t.spark, "windows-state")).awaitTermination()
+    return t.spark.read.schema(counts.schema).parquet(target).select(stamp("window_start"), "event_type", "n")
+
+
+@query("streamed_alerts", "STM-03 STM-07", """
+SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(*) > 8""")
+def _(t):
+    errors = event_stream(t).filter(F.col("event_type") == "error")
+    target = scratch_path(t.spark, "alerts")
+    jobs.write_alerts(w.over_burden(errors, "user_id", 8), target, scratch_path(t.spark, "alerts-state")).awaitTermination()
+    return (t.spark.read.schema("user_id bigint, n bigint").parquet(f"{target}/batch=*")
+            .groupBy("user_id").agg(F.max("n").alias("n")))
+
+
+@query("landed_events", "SNK-05 STM-06 STM-10 JSN-01", """
+SELECT strftime(ts, '%Y-%m-%d %H') AS hour_key, count(*) AS n, count(*) FILTER (event_id % 50 = 0) AS refused FROM events GROUP BY 1""")
+def _(t):
+    # Every fiftieth record is cut off in the middle, as a broken producer would send it.
+    ts = F.date_format("ts", "yyyy-MM-dd HH:mm:ss")
+    text = F.to_json(F.struct("event_id", ts.alias("ts"), "event_type"))
+    cut = F.expr("substring(j, 1, length(j) - 1)")
+    lines = event_stream(t).select("event_id", text.alias("j")).select(
+        F.when(F.col("event_id") % 50 == 0, cut).otherwise(F.col("j")).alias("value"))
+    records = jobs.parsed(lines, "event_id bigint, ts string, event_type string")
+    good, bad = scratch_path(t.spark, "landing"), scratch_path(t.spark, "refused")
+    for running in jobs.land(records, "ts", good, bad, scratch_path(t.spark, "landing-state"), interval=None):
+        running.awaitTermination()
+    landed = t.spark.read.schema("event_id bigint, ts string, year string, month string, day string, hour string").json(good)
+    refused = t.spark.read.text(bad).select(F.regexp_extract("value", '"ts":"([0-9-]+ [0-9]+)', 1).alias("hour_key"), F.lit(1).alias("bad"))
+    key = F.concat_ws("", F.concat_ws("-", "year", "month", "day"), F.lit(" "), "hour")
+    both = landed.select(key.alias("hour_key"), F.lit(0).alias("bad")).unionByName(refused)
+    return both.groupBy("hour_key").agg(F.count(ONE).alias("n"), F.sum("bad").alias("refused"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -47,13 +48,12 @@ class Tables:
         return self.spark.sql(text, args=args, **frames)
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Reliable checkpoint in the folder named by ``spark.checkpoint.dir``.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``, which all executors share.
 
-    Without that setting a temporary folder is used in local mode only; on a
-    cluster a machine-local folder would not survive a lost executor, so it is an error.
+    Without that setting a temporary folder is used in local mode only; on a cluster a
+    machine-local folder would not survive a lost executor, so it is an error.
     """
-    spark = df.sparkSession
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         folder = spark.conf.get("spark.checkpoint.dir", None)
@@ -62,4 +62,24 @@ def checkpointed(df: DataFrame) -> DataFrame:
                 raise RuntimeError("set spark.checkpoint.dir to a shared folder")
             folder = tempfile.mkdtemp(prefix="strandlake-ckpt-")
         context.setCheckpointDir(folder)
+    return context.getCheckpointDir()
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path below the shared folder."""
+    return f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def checkpointed(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint in the shared folder: cuts the lineage and survives lost executors."""
+    shared_folder(df.sparkSession)
     return df.checkpoint()
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Give heavy per-row work one task per core when the input has fewer file splits than that.
+
+    A large table has far more splits than cores and is left alone, so nothing is shuffled there.
+    """
+    wanted = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(wanted) if df.rdd.getNumPartitions() < wanted else df

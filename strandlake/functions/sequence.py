@@ -69,7 +69,7 @@ def phred_max(qual: Column) -> Column:
 
 def letters(text: Column) -> Column:
     """Characters of a text as an array."""
-    return F.regexp_extract_all(text, F.lit("(?s)."), F.lit(0))
+    return F.split(text, "")
 
 
 def low_quality_letters(threshold: int) -> str:

@@ -12,13 +12,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import exact_mean, log2_fold, percent, ratio
+from strandlake.session import checkpointed
 
 
 def pass_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
     """FLT-03: rows passing each predicate, and all of them, from one scan."""
     every = reduce(lambda a, b: a & b, rules.values())
     counts = [F.count_if(rule).alias(f"n_{name}") for name, rule in rules.items()]
-    wide = df.agg(F.count(F.lit(1)).alias("total"), *counts, F.count_if(every).alias("n_all"))
+    wide = df.agg(F.count("*").alias("total"), *counts, F.count_if(every).alias("n_all"))
     names = [*rules, "all"]
     rows = F.array(*[F.struct(F.lit(n).alias("rule"), F.col(f"n_{n}").alias("passed")) for n in names])
     long = wide.select("total", F.inline(rows))
@@ -29,8 +30,8 @@ def pass_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
 def group_pass_rate(df: DataFrame, keys: list[str], passed: Column) -> DataFrame:
     """AGG-09: count, passed and percent passed per group."""
     return df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(passed).alias("n_pass"),
-        percent(F.count_if(passed), F.count(F.lit(1))).alias("pass_rate"))
+        F.count("*").alias("n"), F.count_if(passed).alias("n_pass"),
+        percent(F.count_if(passed), F.count("*")).alias("pass_rate"))
 
 
 def pivot_counts(df: DataFrame, key: str, col: str, values: list) -> DataFrame:
@@ -51,7 +52,7 @@ def mode_per_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
     Counts shrink the data first; the winner is a max over (count, value), not a sorted group.
     """
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
     top = counts.groupBy(*keys).agg(F.max("n").alias("n"))
     return (counts.join(top, [*keys, "n"]).groupBy(*keys)
             .agg(F.min(value).alias("mode"), F.first("n").alias("n")))
@@ -59,7 +60,7 @@ def mode_per_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
 
 def share_within(df: DataFrame, keys: list[str], within: list[str]) -> DataFrame:
     """AGG-26: counts per key and their share of the total of ``within``."""
-    counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*keys).agg(F.count("*").alias("n"))
     return counts.withColumn("share", ratio(F.col("n"), F.sum("n").over(Window.partitionBy(*within))))
 
 
@@ -124,8 +125,8 @@ def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
         number = F.col(c).cast("double") if c in numeric else F.lit(None).cast("double")
         measures.append(F.struct(
             F.lit(c).alias("column_name"), F.lit(types[c]).alias("dtype"),
-            F.count(c).alias("n"), (F.count(F.lit(1)) - F.count(c)).alias("missing"),
-            percent(F.count(F.lit(1)) - F.count(c), F.count(F.lit(1))).alias("missing_pct"),
+            F.count(c).alias("n"), (F.count("*") - F.count(c)).alias("missing"),
+            percent(F.count("*") - F.count(c), F.count("*")).alias("missing_pct"),
             F.approx_count_distinct(c).alias("approx_unique"),
             F.avg(number).alias("mean"), F.stddev_samp(number).alias("std"),
             F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max")).alias(f"s_{c}"))
@@ -133,23 +134,25 @@ def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*[F.col(f"s_{c}") for c in columns])))
 
 
-def top_pairs(df: DataFrame, group: str, item: str, k: int = 10) -> DataFrame:
+def top_pairs(df: DataFrame, group: str, item: str, k: int = 10, small_group: int = 50) -> DataFrame:
     """AGG-27: the k item pairs found together in most groups; ties go to the smaller pair.
 
     A pair cannot be found in more groups than its rarer item. Pair counts over the
-    small groups alone give a sound lower limit for the k-th best count, and items
-    rarer than that limit are dropped before pairing, so that one huge group of
-    one-off items emits no pairs. The result is exact.
+    small groups alone give a sound lower limit for the k-th best count, and large
+    groups pair only items that reach it: a huge group of one-off items emits no
+    pairs, and the result is exact.
     """
-    sets = df.select(group, item).distinct()
-    small = (sets.groupBy(group).agg(F.count(F.lit(1)).alias("_n"))
-             .filter(F.col("_n").between(2, 50)).select(group))
-    support = sets.groupBy(item).agg(F.count(F.lit(1)).alias("_support"))
-    bound = (_pairs(sets.join(small, group, "left_semi"), group, item)
-             .orderBy(F.desc("n_groups")).limit(k)
-             .agg(F.when(F.count(F.lit(1)) == k, F.min("n_groups")).otherwise(0).alias("b")))
-    kept = support.filter(F.col("_support") >= bound.scalar()).select(item)
-    return (_pairs(sets.join(kept, item, "left_semi"), group, item)
+    sets = checkpointed(df.select(group, item).distinct())
+    sizes = sets.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
+    small = sizes.filter(F.col("_n") <= small_group).select(group)
+    large = sizes.filter(F.col("_n") > small_group).select(group)
+    from_small = checkpointed(_pairs(sets.join(small, group, "left_semi"), group, item))
+    bound = (from_small.orderBy(F.desc("n_groups")).limit(k)
+             .agg(F.when(F.count("*") == k, F.min("n_groups")).otherwise(0).alias("b")))
+    frequent = (sets.groupBy(item).agg(F.count("*").alias("_support"))
+                .filter(F.col("_support") >= bound.scalar()).select(item))
+    from_large = _pairs(sets.join(large, group, "left_semi").join(frequent, item, "left_semi"), group, item)
+    return (from_small.unionByName(from_large).groupBy("item_a", "item_b").agg(F.sum("n_groups").alias("n_groups"))
             .orderBy(F.desc("n_groups"), "item_a", "item_b").limit(k))
 
 
@@ -157,7 +160,7 @@ def _pairs(sets: DataFrame, group: str, item: str) -> DataFrame:
     a = sets.select(group, F.col(item).alias("item_a"))
     b = sets.select(group, F.col(item).alias("item_b"))
     return (a.join(b, group).filter(F.col("item_a") < F.col("item_b"))
-            .groupBy("item_a", "item_b").agg(F.count(F.lit(1)).alias("n_groups")))
+            .groupBy("item_a", "item_b").agg(F.count("*").alias("n_groups")))
 
 
 def ordered_list(df: DataFrame, keys: list[str], value: str, sep: str = ",") -> DataFrame:
@@ -185,7 +188,7 @@ def cohort_retention(entities: DataFrame, activity: DataFrame, entity: str, star
     flags = (activity.join(entities.select(entity, start), entity).groupBy(entity)
              .agg(*[F.max((gap == m).cast("int")).alias(f"_m{m}") for m in range(months)]))
     joined = entities.join(flags, entity, "left")
-    size = F.count(F.lit(1))
+    size = F.count("*")
     return (joined.groupBy(F.year(start).alias("cohort_year"), F.month(start).alias("cohort_month"))
             .agg(size.alias("cohort_size"),
                  *[percent(F.coalesce(F.sum(f"_m{m}"), F.lit(0)), size).alias(f"month_{m}_pct")

@@ -104,7 +104,7 @@ def stack_versions(frames: dict[int, DataFrame]) -> DataFrame:
 
 def version_counts(versions: DataFrame) -> DataFrame:
     """DML-09: rows per version."""
-    return versions.groupBy("version").agg(F.count(F.lit(1)).alias("n"))
+    return versions.groupBy("version").agg(F.count("*").alias("n"))
 
 
 def changed_values(old: DataFrame, new: DataFrame, keys: list[str], column: str) -> DataFrame:

@@ -25,7 +25,7 @@ def target_depth(targets: DataFrame, alignments: DataFrame, bin_size: int = 1024
     """
     clipped = overlaps(targets, alignments, bin_size)
     covered = (clipped.select("target", F.explode(F.sequence(F.col("overlap_start"), F.col("overlap_end") - 1)).alias("pos"))
-               .groupBy("target", "pos").agg(F.count(F.lit(1)).alias("depth")))
+               .groupBy("target", "pos").agg(F.count("*").alias("depth")))
     grid = targets.select("target", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("pos"))
     return grid.join(covered, ["target", "pos"], "left").select(
         "target", "pos", F.coalesce("depth", F.lit(0).cast("bigint")).alias("depth"))
@@ -33,7 +33,7 @@ def target_depth(targets: DataFrame, alignments: DataFrame, bin_size: int = 1024
 
 def coverage_statistics(depth: DataFrame, key: str = "target") -> DataFrame:
     """QC-11: mean, median, least, greatest, CV percent (population) and share of positions at 20, 100, 500x."""
-    n = F.count(F.lit(1))
+    n = F.count("*")
     stats = depth.groupBy(key).agg(
         n.alias("positions"), ratio(F.sum("depth"), n).alias("mean_coverage"), F.min("depth").alias("min_coverage"),
         F.max("depth").alias("max_coverage"),
@@ -44,7 +44,7 @@ def coverage_statistics(depth: DataFrame, key: str = "target") -> DataFrame:
 
 def duplicate_rate(alignments: DataFrame, keys: list[str]) -> DataFrame:
     """QC-12, WIN-15: share of alignments beyond the first at the same (chromosome, start, strand)."""
-    places = alignments.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    places = alignments.groupBy(*keys).agg(F.count("*").alias("_n"))
     return places.agg(F.sum("_n").alias("total"), F.sum(F.col("_n") - 1).alias("duplicates"),
                       percent(F.sum(F.col("_n") - 1), F.sum("_n")).alias("duplicate_rate"))
 
@@ -54,13 +54,13 @@ def contamination(bases: DataFrame, keys: list[str], base: str, min_depth: int =
 
     The second most frequent base of a site is its minor allele; sites with a share in (0.02, 0.40) count.
     """
-    counts = bases.groupBy(*keys, base).agg(F.count(F.lit(1)).alias("_n"))
+    counts = bases.groupBy(*keys, base).agg(F.count("*").alias("_n"))
     sites = counts.groupBy(*keys).agg(F.sum("_n").alias("_depth"), F.sort_array(F.collect_list("_n"), False).alias("_by"))
     share = ratio(F.try_element_at("_by", F.lit(2)), F.col("_depth"))
     minor = (sites.filter(F.col("_depth") >= min_depth).select(share.alias("share"))
              .filter((F.col("share") > MINOR_LOW) & (F.col("share") < MINOR_HIGH)))
     median = exact_medians(minor, [], "share")
-    count = minor.agg(F.count(F.lit(1)).alias("sites"))
+    count = minor.agg(F.count("*").alias("sites"))
     return count.join(F.broadcast(median), F.lit(True), "left").select(
         "sites", (F.coalesce("median", F.lit(0.0)) * 100).alias("contamination_pct"))
 
@@ -68,7 +68,7 @@ def contamination(bases: DataFrame, keys: list[str], base: str, min_depth: int =
 def alignment_statistics(alignments: DataFrame) -> DataFrame:
     """QC-14: mapped share, MAPQ, length, strand, edit distance, score and GC of alignments."""
     from strandlake.functions.sequence import count_of
-    n = F.count(F.lit(1))
+    n = F.count("*")
     mapped = F.col("flag").bitwiseAND(4) == 0
     bases = F.sum(F.length("seq").cast("bigint"))
 
@@ -87,7 +87,7 @@ def nx(lengths: DataFrame, keys: list[str], length: str = "length", share: float
 
     Contigs become counts per length, summed from the longest down in blocks of lengths.
     """
-    counts = (lengths.groupBy(*keys, length).agg(F.count(F.lit(1)).alias("_c"))
+    counts = (lengths.groupBy(*keys, length).agg(F.count("*").alias("_c"))
               .withColumns({"_neg": -F.col(length), "_bases": F.col(length).cast("bigint") * F.col("_c")}))
     upto = running(counts, keys, ["_neg"], F.floor(F.col("_neg") / block), {"_sum": F.col("_bases")})
     totals = counts.groupBy(*keys).agg(F.sum("_bases").alias("_total"))
@@ -101,7 +101,7 @@ def assembly_qc(contigs: DataFrame, keys: list[str]) -> DataFrame:
 
     ``contigs`` holds length and gc_content in percent; ``keys`` names the assembly column(s).
     """
-    n = F.count(F.lit(1))
+    n = F.count("*")
     stats = contigs.groupBy(*keys).agg(
         n.alias("sequences"), F.sum(F.col("length").cast("bigint")).alias("total_bases"),
         F.max("length").alias("longest"), F.min("length").alias("shortest"), ratio(F.sum(F.col("length").cast("bigint")), n).alias("mean_length"),
@@ -122,7 +122,7 @@ def size_class(length):
 
 def size_libraries(contigs: DataFrame, keys: list[str]) -> DataFrame:
     return contigs.groupBy(*keys, size_class(F.col("length")).alias("size_class")).agg(
-        F.count(F.lit(1)).alias("sequences"), F.sum(F.col("length").cast("bigint")).alias("total_bases"))
+        F.count("*").alias("sequences"), F.sum(F.col("length").cast("bigint")).alias("total_bases"))
 
 
 def variant_summary(rows: DataFrame) -> DataFrame:
@@ -133,4 +133,4 @@ def variant_summary(rows: DataFrame) -> DataFrame:
                     F.struct(F.lit("chromosome").alias("metric"), F.col("CHROM").alias("value")),
                     F.struct(F.lit("type").alias("metric"), F.col("kind").alias("value")),
                     F.struct(F.lit("filter").alias("metric"), F.col("FILTER").alias("value")))
-    return typed.select(F.inline(cells)).groupBy("metric", "value").agg(F.count(F.lit(1)).alias("n"))
+    return typed.select(F.inline(cells)).groupBy("metric", "value").agg(F.count("*").alias("n"))

@@ -11,12 +11,11 @@ from strandlake.functions.numeric import ratio
 from strandlake.operators.sampling import key_hash
 from strandlake.operators.windows import value_ranks
 
-ONE = F.lit(1)
 
 
 def abundance(df: DataFrame, sample: str, taxon: str) -> DataFrame:
     """Counts per (sample, taxon)."""
-    return df.groupBy(F.col(sample).alias("sample"), F.col(taxon).alias("taxon")).agg(F.count(ONE).alias("count"))
+    return df.groupBy(F.col(sample).alias("sample"), F.col(taxon).alias("taxon")).agg(F.count("*").alias("count"))
 
 
 def alpha_diversity(table: DataFrame, base: float = 2.0) -> DataFrame:
@@ -26,9 +25,9 @@ def alpha_diversity(table: DataFrame, base: float = 2.0) -> DataFrame:
     p = F.col("count") / F.col("_n")
     singles, doubles = F.count_if(F.col("count") == 1), F.count_if(F.col("count") == 2)
     return present.join(totals, "sample").groupBy("sample").agg(
-        F.count(ONE).alias("observed"), (-F.sum(p * F.log(p)) / F.lit(math.log(base))).alias("shannon"),
+        F.count("*").alias("observed"), (-F.sum(p * F.log(p)) / F.lit(math.log(base))).alias("shannon"),
         (F.lit(1.0) - F.sum(p * p)).alias("simpson"),
-        (F.count(ONE) + ratio(singles * (singles - 1), (doubles + 1) * 2)).alias("chao1"))
+        (F.count("*") + ratio(singles * (singles - 1), (doubles + 1) * 2)).alias("chao1"))
 
 
 def sample_pairs(table: DataFrame) -> DataFrame:
@@ -36,7 +35,7 @@ def sample_pairs(table: DataFrame) -> DataFrame:
     a = table.filter(F.col("count") > 0).select("taxon", F.col("sample").alias("a"), F.col("count").alias("x"))
     b = a.select("taxon", F.col("a").alias("b"), F.col("x").alias("y"))
     return (a.join(b, "taxon").filter(F.col("a") < F.col("b")).groupBy("a", "b")
-            .agg(F.sum(F.least("x", "y")).alias("low"), F.count(ONE).alias("shared")))
+            .agg(F.sum(F.least("x", "y")).alias("low"), F.count("*").alias("shared")))
 
 
 def beta_diversity(table: DataFrame) -> DataFrame:
@@ -45,7 +44,7 @@ def beta_diversity(table: DataFrame) -> DataFrame:
     All sample pairs are the result. Work per taxon is bounded by the number of samples, not of rows:
     counts are aggregated first, and pairs without a shared taxon are added from the sample totals.
     """
-    totals = table.filter(F.col("count") > 0).groupBy("sample").agg(F.sum("count").alias("n"), F.count(ONE).alias("s"))
+    totals = table.filter(F.col("count") > 0).groupBy("sample").agg(F.sum("count").alias("n"), F.count("*").alias("s"))
     a = totals.select(F.col("sample").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
     b = totals.select(F.col("sample").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
     every = a.join(b, F.col("a") < F.col("b")).join(sample_pairs(table), ["a", "b"], "left")
@@ -57,14 +56,14 @@ def beta_diversity(table: DataFrame) -> DataFrame:
 
 def _pseudo_f(pairs: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
     """Pseudo-F per labelling; ``labels(keys..., sample, grp)``, ``pairs(a, b, distance)``."""
-    sizes = labels.groupBy(*keys, "grp").agg(F.count(ONE).alias("_size"))
+    sizes = labels.groupBy(*keys, "grp").agg(F.count("*").alias("_size"))
     la = labels.select(*keys, F.col("sample").alias("a"), F.col("grp").alias("ga"))
     lb = labels.select(*keys, F.col("sample").alias("b"), F.col("grp").alias("gb"))
     joined = pairs.join(la, "a").join(lb, [*keys, "b"]).withColumn("d2", F.col("distance") * F.col("distance"))
     within = (joined.filter(F.col("ga") == F.col("gb")).groupBy(*keys, F.col("ga").alias("grp")).agg(F.sum("d2").alias("s"))
               .join(sizes, [*keys, "grp"]).groupBy(*keys).agg(F.sum(F.col("s") / F.col("_size")).alias("ssw")))
     total = joined.groupBy(*keys).agg(F.sum("d2").alias("sst"))
-    shape = sizes.groupBy(*keys).agg(F.sum("_size").alias("n"), F.count(ONE).alias("g"))
+    shape = sizes.groupBy(*keys).agg(F.sum("_size").alias("n"), F.count("*").alias("g"))
     def join(x, y):
         return x.join(y, keys) if keys else x.join(F.broadcast(y))
     every = join(join(total, within), shape)

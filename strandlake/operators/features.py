@@ -64,7 +64,7 @@ def fit_fills(df: DataFrame, strategies: dict[str, str]) -> dict[str, object]:
             row = exact_quantiles(df, [], name, [0.5]).first()
             fills[name] = row["value"] if row else None
         elif strategy == "most_frequent":
-            row = (df.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count(F.lit(1)).alias("n"))
+            row = (df.filter(F.col(name).isNotNull()).groupBy(name).agg(F.count("*").alias("n"))
                    .orderBy(F.desc("n"), name).first())
             fills[name] = row[name] if row else None
         elif strategy != "mean":

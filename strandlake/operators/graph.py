@@ -8,12 +8,11 @@ from pyspark.sql import functions as F
 from strandlake.functions.numeric import ratio
 from strandlake.session import checkpointed
 
-ONE = F.lit(1)
 
 
 def build_edges(pairs: DataFrame) -> DataFrame:
     """GRF-01: repeated (src, dst) pairs become one edge whose weight counts them."""
-    return pairs.groupBy("src", "dst").agg(F.count(ONE).alias("weight"))
+    return pairs.groupBy("src", "dst").agg(F.count("*").alias("weight"))
 
 
 def nodes_of(edges: DataFrame) -> DataFrame:
@@ -38,7 +37,7 @@ def graph_summary(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame
     def hub(c):
         return F.min_by("id", F.struct((-F.col(c)).alias("a"), F.col("id").alias("b")))
 
-    out = d.agg(F.count(ONE).alias("nodes"), F.sum("out_degree").alias("edges"), F.max("in_degree").alias("max_in"),
+    out = d.agg(F.count("*").alias("nodes"), F.sum("out_degree").alias("edges"), F.max("in_degree").alias("max_in"),
                 F.max("out_degree").alias("max_out"), hub("in_degree").alias("hub_in"), hub("out_degree").alias("hub_out"))
     n, m = F.col("nodes"), F.col("edges")
     return out.withColumns({"density": ratio(m, n * (n - 1)), "avg_degree": ratio(m, n)})
@@ -90,7 +89,7 @@ def reciprocity(edges: DataFrame) -> DataFrame:
     """GRF-06: mutual pairs, edges of mutual pairs and one-way edges, from one grouping over unordered pairs."""
     pairs = (edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
              .groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b"))
-             .agg(F.count(ONE).alias("_n")))
+             .agg(F.count("*").alias("_n")))
     mutual = F.count_if(F.col("_n") == 2)
     return pairs.agg(mutual.alias("mutual_pairs"), (mutual * 2).alias("reciprocal_edges"),
                      F.count_if(F.col("_n") == 1).alias("one_way_edges"))
@@ -112,7 +111,7 @@ def triangles(edges: DataFrame) -> DataFrame:
     sides = plain.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(
         F.max((F.col("src") < F.col("dst")).cast("int")).alias("ab"),
         F.max((F.col("src") > F.col("dst")).cast("int")).alias("ba"))
-    degree = sides.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count(ONE).alias("d"))
+    degree = sides.select(F.explode(F.array("a", "b")).alias("id")).groupBy("id").agg(F.count("*").alias("d"))
     ranked = (sides.join(degree.select(F.col("id").alias("a"), F.col("d").alias("da")), "a")
               .join(degree.select(F.col("id").alias("b"), F.col("d").alias("db")), "b"))
     up = F.struct("da", "a") < F.struct("db", "b")
@@ -139,11 +138,11 @@ def clustering(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     found = triangles(edges)
     product = (F.col("f1") + F.col("r1")) * (F.col("f2") + F.col("r2")) * (F.col("f3") + F.col("r3"))
     per_node = (found.select(product.alias("s"), F.explode(F.array("u", "v", "w")).alias("id"))
-                .groupBy("id").agg(F.count(ONE).alias("t"), F.sum("s").alias("dt")))
+                .groupBy("id").agg(F.count("*").alias("t"), F.sum("s").alias("dt")))
     plain = edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct()
-    pairs = plain.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.count(ONE).alias("s"))
+    pairs = plain.groupBy(F.least("src", "dst").alias("a"), F.greatest("src", "dst").alias("b")).agg(F.count("*").alias("s"))
     size = (pairs.select("s", F.explode(F.array("a", "b")).alias("id")).groupBy("id")
-            .agg(F.count(ONE).alias("k"), F.sum("s").alias("total"), F.count_if(F.col("s") == 2).alias("both")))
+            .agg(F.count("*").alias("k"), F.sum("s").alias("total"), F.count_if(F.col("s") == 2).alias("both")))
     ids = nodes if nodes is not None else nodes_of(edges)
     k, total = F.col("k"), F.col("total")
     zero = F.lit(0.0)
@@ -171,7 +170,7 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
         small = large.join(lower, "u").select(F.inline(F.array(
             F.struct(F.col("v").alias("u"), F.col("m").alias("v")), F.struct(F.col("u").alias("u"), F.col("m").alias("v")))))
         links = checkpointed(small.filter(F.col("u") != F.col("v")).distinct())
-        state = links.agg(F.count(ONE), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
+        state = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break
         before = state
@@ -184,7 +183,7 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
 
 def largest_component(labels: DataFrame) -> DataFrame:
     """GRF-07: label and size of the largest component."""
-    return (labels.groupBy("component").agg(F.count(ONE).alias("size"))
+    return (labels.groupBy("component").agg(F.count("*").alias("size"))
             .orderBy(F.desc("size"), "component").limit(1))
 
 

@@ -25,7 +25,7 @@ def report_grid(facts: DataFrame, a: str, b: str, dims_a: DataFrame, dims_b: Dat
     The grid is the result itself; both dimensions are reduced to distinct values first.
     """
     grid = dims_a.select(a).distinct().crossJoin(dims_b.select(b).distinct())
-    counts = facts.groupBy(a, b).agg(F.count(F.lit(1)).alias("n"))
+    counts = facts.groupBy(a, b).agg(F.count("*").alias("n"))
     return grid.join(counts, [a, b], "left").select(a, b, F.coalesce("n", F.lit(0)).alias("n"))
 
 
@@ -139,7 +139,7 @@ def _nearest_in_ring(points, cells, size, reach):
 def weighted_edges(assigned: DataFrame, order: str) -> DataFrame:
     """GRF-01: repeated pairs add weight; strength is exp(-d/80) of the last one in ``order``."""
     return (assigned.groupBy(F.col("source").alias("src"), F.col("target").alias("dst"))
-            .agg(F.count(F.lit(1)).alias("weight"), F.max_by("distance", order).alias("_d"))
+            .agg(F.count("*").alias("weight"), F.max_by("distance", order).alias("_d"))
             .select("src", "dst", "weight", decay(F.col("_d")).alias("strength")))
 
 

@@ -24,7 +24,7 @@ def entity_report(df: DataFrame, key: str, entity, value: str, low: float, high:
 
 def entity_summaries(entities: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
     """UDF-07, UDF-08: count, least, mean and greatest per entity, from one grouping."""
-    stats = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lowest"),
+    stats = rows.groupBy(key).agg(F.count("*").alias("n"), F.min(value).alias("lowest"),
                                   exact_mean(value).alias("mean"), F.max(value).alias("highest"))
     return entities.join(stats, key, "left")
 
@@ -41,7 +41,7 @@ def report_by_metric(view: DataFrame, metric_id: int) -> DataFrame:
 
 def single_or_null(df: DataFrame, keys: list[str], value: str, name: str) -> DataFrame:
     """UDF-10: the value when exactly one row has the key, else NULL."""
-    return df.groupBy(*keys).agg(F.when(F.count(F.lit(1)) == 1, F.min(value)).alias(name))
+    return df.groupBy(*keys).agg(F.when(F.count("*") == 1, F.min(value)).alias(name))
 
 
 def register_sql_functions(spark: SparkSession) -> None:

@@ -47,7 +47,7 @@ def area_under_curve(predictions: DataFrame, label: str) -> float:
 
 def confusion(predictions: DataFrame, label: str) -> DataFrame:
     """ML-02: counts per (label, prediction)."""
-    return predictions.groupBy(label, "prediction").agg(F.count(F.lit(1)).alias("n"))
+    return predictions.groupBy(label, "prediction").agg(F.count("*").alias("n"))
 
 
 def importances(model, categorical: list[str], numeric: list[str], spark) -> DataFrame:

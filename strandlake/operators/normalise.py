@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from strandlake.functions.numeric import ratio
 from strandlake.operators.quantiles import exact_medians
 from strandlake.operators.windows import running, value_ranks
+from strandlake.session import checkpointed
 
 
 def batch_centred(df: DataFrame, batch: str, feature: str, value: str) -> DataFrame:
@@ -44,7 +45,7 @@ def quantile_normalised(df: DataFrame, sample: str, value: str) -> DataFrame:
     the rank, so the sum over samples is a running sum of the steps: a value adds itself at its first
     rank and takes itself away after its last. A value repeated any number of times is two steps.
     """
-    ranks = value_ranks(df, [sample], value)
+    ranks = checkpointed(value_ranks(df, [sample], value))  # read three times below
     exact = F.col(value).cast("decimal(38,18)")
     first = F.col("n_before") + 1
     steps = ranks.select(F.inline(F.array(

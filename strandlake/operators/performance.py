@@ -35,20 +35,20 @@ def compare(plans: dict[str, DataFrame], repeats: int = 1) -> dict[str, float]:
 
 def partition_sizes(df: DataFrame) -> DataFrame:
     """PRF-01: rows per partition."""
-    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count(F.lit(1)).alias("n"))
+    return df.groupBy(F.spark_partition_id().alias("partition")).agg(F.count("*").alias("n"))
 
 
 def partition_skew(df: DataFrame) -> DataFrame:
     """PRF-01: partitions, rows, least, mean and greatest partition, and greatest over mean."""
     return partition_sizes(df).agg(
-        F.count(F.lit(1)).alias("partitions"), F.sum("n").alias("total"), F.min("n").alias("least"), F.max("n").alias("greatest"),
+        F.count("*").alias("partitions"), F.sum("n").alias("total"), F.min("n").alias("least"), F.max("n").alias("greatest"),
         F.avg("n").alias("mean"), ratio(F.max("n"), F.avg("n")).alias("skew"))
 
 
 def key_skew(df: DataFrame, key: str, n: int = 10) -> DataFrame:
     """PRF-01: the n most frequent keys with their share of all rows."""
-    counts = df.groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-    total = df.select(F.count(F.lit(1))).scalar()
+    counts = df.groupBy(key).agg(F.count("*").alias("n"))
+    total = df.select(F.count("*")).scalar()
     return counts.withColumn("share", ratio(F.col("n"), total)).orderBy(F.desc("n"), key).limit(n)
 
 

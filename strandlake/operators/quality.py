@@ -68,7 +68,7 @@ def rule_report(df: DataFrame, rules: Mapping[str, dict]) -> DataFrame:
     wrong = schema_findings(df, rules)
     present = {c: s for c, s in rules.items() if c in df.columns and (c, "type") not in wrong}
     checks = row_rules(present)
-    counts = df.agg(F.count(F.lit(1)).alias("total"),
+    counts = df.agg(F.count("*").alias("total"),
                     *[F.count_if(v).alias(f"v{i}") for i, (_, _, v) in enumerate(checks)])
     cells = [F.struct(F.lit(c).alias("column_name"), F.lit(r).alias("rule"), F.col(f"v{i}").alias("violations"))
              for i, (c, r, _) in enumerate(checks)]
@@ -99,7 +99,7 @@ def is_valid(report: DataFrame) -> bool:
 
 def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
     """DQ-04: keys found more than once."""
-    return df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
+    return df.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
@@ -125,7 +125,7 @@ def cohort_warnings(df: DataFrame, age: str = "age", wbc: str = "wbc_count", tp5
 
 def missing_report(df: DataFrame, columns: list[str]) -> DataFrame:
     """DQ-07, DQ-08, DQ-14: missing count and percent per column, level and warning."""
-    total = F.count(F.lit(1))
+    total = F.count("*")
     cells = F.array(*[F.struct(F.lit(c).alias("column_name"), (total - F.count(c)).alias("missing"),
                                total.alias("total")) for c in columns])
     pct = percent(F.col("missing"), F.col("total"))
@@ -161,7 +161,7 @@ def distribution_metrics(df: DataFrame, columns: list[str]) -> DataFrame:
 def categorical_metrics(df: DataFrame, columns: list[str]) -> DataFrame:
     """DQ-10: distinct values, most common value (smallest on a tie), its count and percent of non-null."""
     counts = category_counts(df, columns)
-    top = counts.groupBy("column_name").agg(F.count(F.lit(1)).alias("unique_values"), F.sum("n").alias("_t"),
+    top = counts.groupBy("column_name").agg(F.count("*").alias("unique_values"), F.sum("n").alias("_t"),
                                             F.max("n").alias("most_common_count"))
     tied = counts.join(top, "column_name").filter(F.col("n") == F.col("most_common_count"))
     return (tied.groupBy("column_name", "unique_values", "most_common_count", "_t")
@@ -174,7 +174,7 @@ def category_counts(df: DataFrame, columns: list[str]) -> DataFrame:
     """DQ-10: the distribution itself, in long form."""
     long = df.select(F.inline(F.array(*[
         F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("value")) for c in columns])))
-    return long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count(F.lit(1)).alias("n"))
+    return long.filter(F.col("value").isNotNull()).groupBy("column_name", "value").agg(F.count("*").alias("n"))
 
 
 def correlations(df: DataFrame, columns: list[str], threshold: float | None = None) -> DataFrame:
@@ -289,7 +289,7 @@ def manifest(tables: Mapping[str, tuple[str, str, DataFrame]]) -> DataFrame:
     """DQ-19: one row per table: name, zone, path, schema, row count, time of the listing."""
     out = None
     for name, (zone, path, df) in tables.items():
-        row = df.agg(F.count(F.lit(1)).alias("row_count")).select(
+        row = df.agg(F.count("*").alias("row_count")).select(
             F.lit(name).alias("table_name"), F.lit(zone).alias("zone"), F.lit(path).alias("path"),
             F.lit(df.schema.simpleString()).alias("table_schema"), "row_count",
             F.current_timestamp().alias("updated_at"))

@@ -22,7 +22,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     sketch = rows.groupBy(*keys).agg(
         F.percentile_approx("_v", lows, accuracy).alias("_lo"),
         F.percentile_approx("_v", highs, accuracy).alias("_hi"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.count(F.lit(1)).alias("_n"))
+        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.count("*").alias("_n"))
     bands = F.array(*[
         F.struct(F.lit(float(p)).alias("prob"),
                  (F.col("_min") if lo == 0.0 else F.col("_lo")[i]).alias("a"),
@@ -35,7 +35,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     inside = tagged.filter(F.col("_v") <= F.col("_band.b")).select(
         *keys, F.col("_band.prob").alias("prob"),
         F.when(F.col("_v") >= F.col("_band.a"), F.col("_v")).alias("_v"))
-    counts = inside.groupBy(*keys, "prob", "_v").agg(F.count(F.lit(1)).alias("_c"))
+    counts = inside.groupBy(*keys, "prob", "_v").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first())
     upto = counts.withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
     ranked = _attach(upto.filter(F.col("_v").isNotNull()), sizes, [*keys, "prob"])
@@ -66,7 +66,7 @@ def quantile_columns(df: DataFrame, keys: list[str], value: str, named: dict[str
 
 def counted_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float]) -> DataFrame:
     """Exact quantiles of a value with few distinct values (scores, flags), from its counts."""
-    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c"))
+    counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     return counts.groupBy(*keys).agg(F.percentile(value, probs, F.col("_c")).alias("quantiles"))
 
 

@@ -12,26 +12,25 @@ from strandlake.functions.numeric import percent, ratio
 from strandlake.operators.joins import paired_reads
 from strandlake.operators.quantiles import counted_quantiles
 
-SEQ, QUAL = F.col("seq"), F.col("qual")
 # Limits of the trimming job, in its order of steps.
 MIN_LENGTH, MIN_QUALITY, TAIL_QUALITY = 50, 20, 20
 
 
 def with_measures(reads: DataFrame) -> DataFrame:
     """Length, mean quality, GC and N share of every read."""
-    return reads.withColumns({"length": F.length(SEQ), "mean_quality": sq.phred_mean(QUAL),
-                              "gc": sq.gc_fraction(SEQ), "n_share": F.coalesce(sq.n_fraction(SEQ), F.lit(0.0))})
+    return reads.withColumns({"length": F.length(F.col("seq")), "mean_quality": sq.phred_mean(F.col("qual")),
+                              "gc": sq.gc_fraction(F.col("seq")), "n_share": F.coalesce(sq.n_fraction(F.col("seq")), F.lit(0.0))})
 
 
 def group_read_qc(reads: DataFrame, keys: list[str], adapter: str, min_quality: float = MIN_QUALITY) -> DataFrame:
     """QC-01: reads, bases, mean length and quality, N bases, low-quality and adapter reads per group."""
-    measured = reads.withColumns({"_q": sq.phred_mean(QUAL), "_len": F.length(SEQ).cast("bigint")})
-    n = F.count(F.lit(1))
-    low, dirty = F.count_if(F.col("_q") < min_quality), F.count_if(F.contains(SEQ, F.lit(adapter)))
+    measured = reads.withColumns({"_q": sq.phred_mean(F.col("qual")), "_len": F.length(F.col("seq")).cast("bigint")})
+    n = F.count("*")
+    low, dirty = F.count_if(F.col("_q") < min_quality), F.count_if(F.contains(F.col("seq"), F.lit(adapter)))
     return measured.groupBy(*keys).agg(
         n.alias("total_reads"), F.sum("_len").alias("total_bases"), ratio(F.sum("_len"), n).alias("avg_length"),
         ratio(F.sum(F.coalesce("_q", F.lit(0.0))), n).alias("avg_quality"),
-        F.sum(sq.n_count(SEQ).cast("bigint")).alias("n_bases"), low.alias("low_quality_reads"),
+        F.sum(sq.n_count(F.col("seq")).cast("bigint")).alias("n_bases"), low.alias("low_quality_reads"),
         dirty.alias("adapter_reads"), percent(low, n).alias("low_quality_pct"), percent(dirty, n).alias("adapter_pct"))
 
 
@@ -41,8 +40,8 @@ def trimmed_reads(reads: DataFrame, adapter: str, min_length: int = MIN_LENGTH,
 
     Order: cut at the adapter, refuse N, refuse short, refuse low mean quality, cut the tail, refuse short.
     """
-    cut = reads.withColumn("_s", sq.before_adapter(SEQ, adapter)).withColumn(
-        "_q", sq.cut_to(QUAL, F.length("_s")))
+    cut = reads.withColumn("_s", sq.before_adapter(F.col("seq"), adapter)).withColumn(
+        "_q", sq.cut_to(F.col("qual"), F.length("_s")))
     tail = cut.withColumn("_t", sq.trimmed_quality(F.col("_q"), tail_quality))
     reason = (F.when(F.contains(F.col("_s"), F.lit("N")), "n_filtered")
               .when(F.length("_s") < min_length, "length_filtered")
@@ -50,7 +49,7 @@ def trimmed_reads(reads: DataFrame, adapter: str, min_length: int = MIN_LENGTH,
               .when(F.length("_t") < min_length, "length_filtered").otherwise("passed"))
     return tail.select(
         *[c for c in reads.columns if c not in ("seq", "qual")], reason.alias("reason"),
-        (F.length("_s") < F.length(SEQ)).alias("adapter_trimmed"),
+        (F.length("_s") < F.length(F.col("seq"))).alias("adapter_trimmed"),
         sq.cut_to(F.col("_s"), F.length("_t")).alias("seq"), F.col("_t").alias("qual"))
 
 
@@ -59,15 +58,15 @@ def trim_counters(trimmed: DataFrame, keys: list[str]) -> DataFrame:
     def n(reason):
         return F.count_if(F.col("reason") == reason).alias(reason)
 
-    return trimmed.groupBy(*keys).agg(F.count(F.lit(1)).alias("total_input"),
+    return trimmed.groupBy(*keys).agg(F.count("*").alias("total_input"),
                                       F.count_if("adapter_trimmed").alias("adapter_trimmed"), n("n_filtered"),
                                       n("length_filtered"), n("quality_filtered"), n("passed"))
 
 
 def position_quality(reads: DataFrame) -> DataFrame:
     """QC-03: per position mean and quartiles of quality, from counts per (position, score)."""
-    cells = reads.select(F.posexplode(sq.phred_scores(QUAL)).alias("position", "score"))
-    counts = cells.groupBy("position", "score").agg(F.count(F.lit(1)).alias("_n"))
+    cells = reads.select(F.posexplode(sq.phred_scores(F.col("qual"))).alias("position", "score"))
+    counts = cells.groupBy("position", "score").agg(F.count("*").alias("_n"))
     stats = counts.groupBy("position").agg(
         F.sum("_n").alias("n"), ratio(F.sum(F.col("score") * F.col("_n")), F.sum("_n")).alias("mean_quality"),
         F.percentile("score", [0.25, 0.75], F.col("_n")).alias("_p"))
@@ -76,13 +75,14 @@ def position_quality(reads: DataFrame) -> DataFrame:
 
 def histogram(df: DataFrame, value: Column, width: float) -> DataFrame:
     """QC-04: counts per bin of a fixed width."""
-    return (df.select((F.floor(value / F.lit(float(width))) * F.lit(float(width))).alias("bin"))
-            .filter(F.col("bin").isNotNull()).groupBy("bin").agg(F.count(F.lit(1)).alias("n")))
+    bins = df.select((F.floor(value / F.lit(float(width))) * F.lit(float(width))).alias("bin"))
+    # Rows without a value are left out by their count, so the value is computed once per row.
+    return bins.groupBy("bin").agg(F.count("bin").alias("n")).filter(F.col("n") > 0)
 
 
 def q30_rate(reads: DataFrame) -> DataFrame:
     """QC-04: percent of reads with mean quality of 30 or more."""
-    return reads.agg(percent(F.count_if(sq.phred_mean(QUAL) >= 30), F.count(F.lit(1))).alias("q30_rate"))
+    return reads.agg(percent(F.count_if(sq.phred_mean(F.col("qual")) >= 30), F.count("*")).alias("q30_rate"))
 
 
 def before_after(initial: DataFrame, counters: DataFrame, key: str, order: Column) -> DataFrame:
@@ -94,23 +94,36 @@ def before_after(initial: DataFrame, counters: DataFrame, key: str, order: Colum
 
 def filtered(reads: DataFrame, min_length: int = 50, min_quality: float = 20.0, max_n: float = 0.05) -> DataFrame:
     """FLT-12: reads long enough, good enough and with few N."""
-    return reads.filter((F.length(SEQ) >= min_length) & (sq.phred_mean(QUAL) >= min_quality)
-                        & (F.coalesce(sq.n_fraction(SEQ), F.lit(0.0)) <= max_n))
+    return reads.filter((F.length(F.col("seq")) >= min_length) & (sq.phred_mean(F.col("qual")) >= min_quality)
+                        & (F.coalesce(sq.n_fraction(F.col("seq")), F.lit(0.0)) <= max_n))
 
 
 def tail_trimmed(reads: DataFrame, threshold: int = 15) -> DataFrame:
     """SEQ-04: 3' trim; reads left empty are dropped."""
-    kept = reads.withColumn("qual", sq.trimmed_quality(QUAL, threshold))
-    return kept.withColumn("seq", sq.cut_to(SEQ, F.length("qual"))).filter(F.length("qual") > 0)
+    kept = reads.withColumn("qual", sq.trimmed_quality(F.col("qual"), threshold))
+    return kept.withColumn("seq", sq.cut_to(F.col("seq"), F.length("qual"))).filter(F.length("qual") > 0)
+
+
+def _measures(reads: DataFrame) -> DataFrame:
+    """Sums every statistic is made of, computed once per read."""
+    return reads.select(
+        "read_id", F.length("seq").cast("bigint").alias("bases"), F.length("qual").cast("bigint").alias("scores"),
+        sq.count_of(F.col("seq"), "GCgc").cast("bigint").alias("gc"), sq.count_of(F.col("seq"), "Nn").cast("bigint").alias("n"),
+        sq.phred_sum(F.col("qual")).alias("quality"))
+
+
+def _summary(where: Column | None = None) -> list[Column]:
+    def total(c):
+        return F.sum(c if where is None else F.when(where, F.col(c)))
+
+    count = F.count("*") if where is None else F.count_if(where)
+    return [count.alias("total_reads"), ratio(total("bases"), count).alias("avg_length"),
+            ratio(total("gc"), total("bases")).alias("avg_gc"), ratio(total("quality"), total("scores")).alias("avg_quality")]
 
 
 def read_statistics(reads: DataFrame) -> DataFrame:
     """QC-06: reads, mean length, GC share and mean base quality."""
-    bases = F.sum(F.length(SEQ).cast("bigint"))
-    return reads.agg(
-        F.count(F.lit(1)).alias("total_reads"), ratio(bases, F.count(F.lit(1))).alias("avg_length"),
-        ratio(F.sum(sq.count_of(SEQ, "GCgc").cast("bigint")), bases).alias("avg_gc"),
-        ratio(F.sum(sq.phred_sum(QUAL)), F.sum(F.length(QUAL).cast("bigint"))).alias("avg_quality"))
+    return _measures(reads).agg(*_summary())
 
 
 def compare_rules(reads: DataFrame, rules: dict[str, dict], trim_at: int = 15) -> DataFrame:
@@ -128,12 +141,16 @@ def paired_filter(first: DataFrame, second: DataFrame, keep: Column) -> DataFram
 def read_report(first: DataFrame, second: DataFrame, min_length: int = 50, min_quality: float = 20.0,
                 max_n: float = 0.05) -> DataFrame:
     """QC-07: statistics of both files before and after filtering, and pairs kept."""
-    stages = {"raw_1": first, "raw_2": second, "filtered_1": filtered(first, min_length, min_quality, max_n),
-              "filtered_2": filtered(second, min_length, min_quality, max_n)}
-    keep = ((F.length(SEQ) >= min_length) & (sq.phred_mean(QUAL) >= min_quality)
-            & (F.coalesce(sq.n_fraction(SEQ), F.lit(0.0)) <= max_n))
-    pairs = paired_filter(first, second, keep).agg(F.count(F.lit(1)).alias("total_reads"))
-    rows = [read_statistics(df).withColumn("stage", F.lit(name)) for name, df in stages.items()]
+    ok = ((F.col("bases") >= min_length) & (ratio(F.col("quality"), F.col("scores")) >= min_quality)
+          & (F.coalesce(ratio(F.col("n"), F.col("bases")), F.lit(0.0)) <= max_n))
+    rows, passed = [], []
+    for number, df in ((1, first), (2, second)):
+        # Both stages of a file come from one pass; pairs are joined on ids alone, without the texts.
+        marked = _measures(df).withColumn("_ok", F.coalesce(ok, F.lit(False)))
+        stages = marked.agg(F.struct(*_summary()).alias("raw"), F.struct(*_summary(F.col("_ok"))).alias("filtered"))
+        rows += [stages.select(f"{s}.*").withColumn("stage", F.lit(f"{s}_{number}")) for s in ("raw", "filtered")]
+        passed.append(marked.filter("_ok"))
+    pairs = paired_reads(passed[0], passed[1], []).agg(F.count("*").alias("total_reads"))
     rows.append(pairs.withColumn("stage", F.lit("pairs_kept")))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), rows)
 
@@ -147,15 +164,15 @@ def insert_sizes(first: DataFrame, second: DataFrame) -> DataFrame:
 def adapter_rate(reads: DataFrame, adapter: str, first_bases: int = 10, sample: int | None = None) -> DataFrame:
     """QC-09: percent of reads holding the start of the adapter; optionally of the first reads only."""
     looked = reads.limit(sample) if sample else reads
-    return looked.agg(percent(F.count_if(F.contains(SEQ, F.lit(adapter[:first_bases]))), F.count(F.lit(1)))
+    return looked.agg(percent(F.count_if(F.contains(F.col("seq"), F.lit(adapter[:first_bases]))), F.count("*"))
                       .alias("adapter_pct"))
 
 
 def batch_quality(reads: DataFrame, pattern: str = r"batch(\d+)") -> DataFrame:
     """QC-10: reads, mean and population std of read quality per batch named in the header."""
     batch = F.regexp_extract("read_id", pattern, 1)
-    return (reads.select(batch.alias("batch"), sq.phred_mean(QUAL).alias("_q")).filter(F.col("batch") != "")
-            .groupBy("batch").agg(F.count(F.lit(1)).alias("num_reads"), F.avg("_q").alias("mean_quality"),
+    return (reads.select(batch.alias("batch"), sq.phred_mean(F.col("qual")).alias("_q")).filter(F.col("batch") != "")
+            .groupBy("batch").agg(F.count("*").alias("num_reads"), F.avg("_q").alias("mean_quality"),
                                   F.stddev_pop("_q").alias("std_quality")))
 
 
@@ -171,5 +188,5 @@ def find(sequences: DataFrame, text: str, key: str = "id") -> DataFrame:
 
 def score_quantiles(reads: DataFrame, keys: list[str], probs: list[float]) -> DataFrame:
     """Quantiles of base quality per group, from score counts."""
-    cells = reads.select(*keys, F.explode(sq.phred_scores(QUAL)).alias("score"))
+    cells = reads.select(*keys, F.explode(sq.phred_scores(F.col("qual"))).alias("score"))
     return counted_quantiles(cells, keys, "score", probs)

@@ -41,7 +41,7 @@ def stratified_split(df: DataFrame, keys: list[str], strata: list[str], shares:
     the small count table is ordered per stratum, and rows are ordered within a prefix.
     """
     hashed = df.withColumns({"_h": key_hash(keys, seed)}).withColumn("_block", F.substring("_h", 1, 3))
-    counts = hashed.groupBy(*strata, "_block").agg(F.count(F.lit(1)).alias("_c"))
+    counts = hashed.groupBy(*strata, "_block").agg(F.count("*").alias("_c"))
     per = Window.partitionBy(*strata)
     before = counts.select(
         *strata, "_block", F.sum("_c").over(per).alias("_n"),

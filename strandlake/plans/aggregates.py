@@ -13,8 +13,6 @@ from strandlake.plans.registry import exact_sum as SUM
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
-DEPTH, FREQ = F.col("l_quantity"), F.col("l_discount")
 
 
 @query("group_stats_pass_rate", "AGG-03 AGG-09 SRT-01", f"""
@@ -24,11 +22,11 @@ SELECT l_returnflag, l_linestatus, count(*) AS n, {MEAN('l_quantity')} AS mean_d
        (count(*) FILTER (l_quantity >= 30 AND l_discount >= 0.02)) * 100.0::DOUBLE / count(*) AS pass_rate
 FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2""")
 def _(t):
-    passed = F.count_if((DEPTH >= 30) & (FREQ >= 0.02))
+    passed = F.count_if((F.col("l_quantity") >= 30) & (F.col("l_discount") >= 0.02))
     return (t.lineitem.groupBy("l_returnflag", "l_linestatus")
-            .agg(F.count(ONE).alias("n"), exact_mean("l_quantity").alias("mean_depth"),
+            .agg(F.count("*").alias("n"), exact_mean("l_quantity").alias("mean_depth"),
                  exact_sum("l_extendedprice").alias("total_price"), exact_mean("l_discount").alias("mean_frequency"),
-                 passed.alias("n_pass"), percent(passed, F.count(ONE)).alias("pass_rate"))
+                 passed.alias("n_pass"), percent(passed, F.count("*")).alias("pass_rate"))
             .orderBy("l_returnflag", "l_linestatus"))
 
 
@@ -36,7 +34,7 @@ def _(t):
 SELECT count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi, {HU(MEAN('o_totalprice'))} AS mean,
        {SUM('o_totalprice')} AS total FROM orders""")
 def _(t):
-    return t.orders.agg(F.count(ONE).alias("n"), F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"),
+    return t.orders.agg(F.count("*").alias("n"), F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"),
                         half_up(exact_mean("o_totalprice")).alias("mean"), exact_sum("o_totalprice").alias("total"))
 
 
@@ -44,7 +42,7 @@ def _(t):
 SELECT o_custkey, count(*) AS n, {MEAN('o_totalprice')} AS mean FROM orders GROUP BY 1
 HAVING count(*) > 10 AND {MEAN('o_totalprice')} > 200000 ORDER BY n DESC, o_custkey""")
 def _(t):
-    g = t.orders.groupBy("o_custkey").agg(F.count(ONE).alias("n"), exact_mean("o_totalprice").alias("mean"))
+    g = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), exact_mean("o_totalprice").alias("mean"))
     return g.filter((F.col("n") > 10) & (F.col("mean") > 200000)).orderBy(F.desc("n"), "o_custkey")
 
 
@@ -54,7 +52,7 @@ SELECT p_type, count(*) AS n, count(*) FILTER (p_size > 25) AS large, count(*) F
 FROM part GROUP BY 1""")
 def _(t):
     large, small = F.count_if(F.col("p_size") > 25), F.count_if(F.col("p_size") <= 10)
-    return t.part.groupBy("p_type").agg(F.count(ONE).alias("n"), large.alias("large"), small.alias("small"),
+    return t.part.groupBy("p_type").agg(F.count("*").alias("n"), large.alias("large"), small.alias("small"),
                                         ratio(large, F.nullif(small, F.lit(0))).alias("large_to_small"))
 
 
@@ -124,7 +122,7 @@ SELECT p_brand, count(DISTINCT l_orderkey) AS calls, count(*) AS variants, {MEAN
        {MEAN('l_quantity')} AS mean_depth FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def _(t):
     return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand")
-            .agg(F.countDistinct("l_orderkey").alias("calls"), F.count(ONE).alias("variants"),
+            .agg(F.countDistinct("l_orderkey").alias("calls"), F.count("*").alias("variants"),
                  exact_mean("l_discount").alias("mean_frequency"), exact_mean("l_quantity").alias("mean_depth")))
 
 
@@ -132,7 +130,7 @@ def _(t):
 SELECT o_orderstatus, count(*) AS n, {HU('quantile_cont(o_totalprice, 0.25)', 6)} AS q25, {HU('quantile_cont(o_totalprice, 0.5)', 6)} AS q50,
        {HU('quantile_cont(o_totalprice, 0.75)', 6)} AS q75, {HU('quantile_cont(o_totalprice, 0.99)', 6)} AS q99 FROM orders GROUP BY 1""")
 def _(t):
-    counts = t.orders.groupBy("o_orderstatus").agg(F.count(ONE).alias("n"))
+    counts = t.orders.groupBy("o_orderstatus").agg(F.count("*").alias("n"))
     quartiles = quantile_columns(t.orders, ["o_orderstatus"], "o_totalprice",
                                  {"q25": 0.25, "q50": 0.5, "q75": 0.75, "q99": 0.99})
     rounded = [half_up(F.col(c), 6).alias(c) for c in ("q25", "q50", "q75", "q99")]
@@ -179,7 +177,7 @@ SELECT l_returnflag, sum(l_quantity) AS "sum", count(*) AS "count", min(l_quanti
        sum(l_quantity) / count(*) AS mean FROM lineitem GROUP BY 1""")
 def _(t):
     late = F.col("l_shipdate") >= F.lit("1998-01-01").cast("timestamp_ntz")
-    parts = [a.partial_statistics(t.lineitem.filter(c), ["l_returnflag"], DEPTH) for c in (late, ~late)]
+    parts = [a.partial_statistics(t.lineitem.filter(c), ["l_returnflag"], F.col("l_quantity")) for c in (late, ~late)]
     return a.merge_statistics(parts[0].unionByName(parts[1]), ["l_returnflag"])
 
 
@@ -241,8 +239,8 @@ def _(t):
 
 def suspicious_clients(log, least: int, rate: float):
     errors = F.count_if(F.col("status") >= 400)
-    return (log.groupBy("client").agg(F.count(ONE).alias("requests"), errors.alias("errors"),
-                                      ratio(errors, F.count(ONE)).alias("error_rate"))
+    return (log.groupBy("client").agg(F.count("*").alias("requests"), errors.alias("errors"),
+                                      ratio(errors, F.count("*")).alias("error_rate"))
             .filter((F.col("requests") >= least) & (F.col("error_rate") >= rate)))
 
 
@@ -255,13 +253,13 @@ GROUP BY 1, 2 ORDER BY revenue DESC, n_name, c_mktsegment LIMIT 15""")
 def _(t):
     calls = t.orders.filter(F.col("o_orderstatus") == "F").select("o_orderkey", "o_custkey")
     # One row per call first: the big table is reduced on its join key and no distinct count remains.
-    per_call = (t.lineitem.filter(DEPTH >= 10).groupBy(F.col("l_orderkey").alias("o_orderkey"))
-                .agg(F.count(ONE).alias("n"), F.sum("l_quantity").alias("depth"),
+    per_call = (t.lineitem.filter(F.col("l_quantity") >= 10).groupBy(F.col("l_orderkey").alias("o_orderkey"))
+                .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("depth"),
                      F.sum(fixed("l_extendedprice")).alias("price")))
     places = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
               .select(F.col("c_custkey").alias("o_custkey"), "n_name", "c_mktsegment"))
     return (per_call.join(calls, "o_orderkey").join(places, "o_custkey").groupBy("n_name", "c_mktsegment")
-            .agg(F.sum("n").alias("variants"), F.count(ONE).alias("calls"),
+            .agg(F.sum("n").alias("variants"), F.count("*").alias("calls"),
                  half_up(ratio(F.sum("depth"), F.sum("n"))).alias("mean_depth"),
                  F.sum("price").cast("double").alias("revenue"))
             .orderBy(F.desc("revenue"), "n_name", "c_mktsegment").limit(15))
@@ -275,7 +273,7 @@ def _(t):
     passed = t.orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
     rows = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount").join(passed, "l_orderkey")
             .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey"))
-    return a.signal_sum(rows, ["p_brand"], DEPTH, FREQ)
+    return a.signal_sum(rows, ["p_brand"], F.col("l_quantity"), F.col("l_discount"))
 
 
 @query("conditional_distinct", "AGG-35 AGG-36", """
@@ -287,7 +285,7 @@ def _(t):
     per_sample = (t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")).join(lines, "o_orderkey")
                   .groupBy("c_custkey", "l_partkey")
                   .agg(F.max((F.col("l_returnflag") == "R").cast("int")).alias("r"),
-                       F.max((F.col("l_returnflag") == "A").cast("int")).alias("u"), F.count(ONE).alias("n"))
+                       F.max((F.col("l_returnflag") == "A").cast("int")).alias("u"), F.count("*").alias("n"))
                   .groupBy("c_custkey").agg(F.sum("r").alias("r"), F.sum("u").alias("u"), F.sum("n").alias("n")))
     return (t.customer.select("c_custkey", "c_mktsegment").join(per_sample, "c_custkey", "left")
             .select("c_custkey", "c_mktsegment", F.coalesce("r", F.lit(0)).alias("pathogenic_genes"),
@@ -304,7 +302,7 @@ def _(t):
     flag = F.col("l_returnflag")
     return t.lineitem.agg(
         F.count_if(flag == "R").alias("pathogenic"), F.count_if(flag == "A").alias("uncertain"),
-        F.count_if(flag == "N").alias("benign"), ratio(F.count_if(flag != "N"), F.count(ONE)).alias("not_benign"),
+        F.count_if(flag == "N").alias("benign"), ratio(F.count_if(flag != "N"), F.count("*")).alias("not_benign"),
         F.countDistinct(F.when(flag == "N", F.col("l_suppkey"))).alias("samples_with_benign"),
         exact_mean("l_quantity").alias("mean_depth"))
 
@@ -319,7 +317,7 @@ def _(t):
 
 @query("status_counts", "AGG-32 AGG-37", "SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY 2 DESC")
 def _(t):
-    return t.events.groupBy("event_type").agg(F.count(ONE).alias("n")).orderBy(F.desc("n"))
+    return t.events.groupBy("event_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
 
 
 @query("global_quantiles", "AGG-19 FLT-16", f"""

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from strandlake.operators import changes as c
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
 KEY = ["o_orderkey"]
-CUT = F.lit("2000-01-01").cast("timestamp_ntz")
 
 # Version 0: orders before 2000. Source batch: orders from 1999 on, with every third status set to X.
 V0 = "v0 AS (SELECT o_orderkey, o_orderstatus, o_totalprice FROM orders WHERE o_orderdate < TIMESTAMP '2000-01-01')"
@@ -18,7 +16,7 @@ SRC = """src AS (SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 0 THEN 'X' ELSE o
 
 
 def v0(t):
-    return t.orders.filter(F.col("o_orderdate") < CUT).select("o_orderkey", "o_orderstatus", "o_totalprice")
+    return t.orders.filter(F.col("o_orderdate") < F.lit("2000-01-01").cast("timestamp_ntz")).select("o_orderkey", "o_orderstatus", "o_totalprice")
 
 
 def source(t):
@@ -73,7 +71,7 @@ WITH {V0}, {SRC} SELECT origin, count(*) AS n FROM (SELECT o_orderkey, o_orderst
 def _(t):
     grown = c.append_enforced(v0(t), source(t))
     return c.append_merged(grown, source(t).withColumn("origin", F.lit("new"))).groupBy("origin").agg(
-        F.count(ONE).alias("n"))
+        F.count("*").alias("n"))
 
 
 @query("version_counts", "DML-09 DML-13", f"""
@@ -114,7 +112,7 @@ WITH {V0} SELECT count(*) AS n, sum(o_orderkey)::BIGINT AS keys FROM v0""")
 def _(t):
     before = v0(t)
     after = c.delete_keys(before, t.lineitem.select(F.col("l_orderkey").alias("o_orderkey")), KEY)
-    return c.recover_deleted(before, after, KEY).agg(F.count(ONE).alias("n"), F.sum("o_orderkey").alias("keys"))
+    return c.recover_deleted(before, after, KEY).agg(F.count("*").alias("n"), F.sum("o_orderkey").alias("keys"))
 
 
 @query("change_audit", "DML-11", f"""
@@ -130,7 +128,7 @@ def _(t):
 WITH {V0}, {SRC} SELECT batch, count(*) AS n FROM (SELECT 'legacy' AS batch FROM v0 UNION ALL SELECT 'b1' FROM src) GROUP BY 1""")
 def _(t):
     merged = c.append_merged(v0(t), source(t).withColumn("batch", F.lit("b1")))
-    return c.backfill(merged, "batch", F.lit("legacy")).groupBy("batch").agg(F.count(ONE).alias("n"))
+    return c.backfill(merged, "batch", F.lit("legacy")).groupBy("batch").agg(F.count("*").alias("n"))
 
 
 @query("registry_upsert", "DML-14", """

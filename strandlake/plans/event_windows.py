@@ -11,7 +11,6 @@ from strandlake.session import scratch_path
 from strandlake.streaming import jobs
 from strandlake.streaming import windows as w
 
-ONE = F.lit(1)
 
 
 def stamp(name):
@@ -105,4 +104,4 @@ def _(t):
     refused = t.spark.read.text(bad).select(F.regexp_extract("value", '"ts":"([0-9-]+ [0-9]+)', 1).alias("hour_key"), F.lit(1).alias("bad"))
     key = F.concat_ws("", F.concat_ws("-", "year", "month", "day"), F.lit(" "), "hour")
     both = landed.select(key.alias("hour_key"), F.lit(0).alias("bad")).unionByName(refused)
-    return both.groupBy("hour_key").agg(F.count(ONE).alias("n"), F.sum("bad").alias("refused"))
+    return both.groupBy("hour_key").agg(F.count("*").alias("n"), F.sum("bad").alias("refused"))

@@ -12,7 +12,6 @@ from strandlake.plans.registry import exact_mean as MEAN
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
 
 
 @query("impute_scale_onehot", "FEA-01 FEA-02 FEA-03 STR-06", f"""

@@ -10,9 +10,9 @@ from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 from strandlake.plans.scalars import SEQ_SQL, qual_of, seq_of
 from strandlake.sources import genomics as g
+from strandlake.session import spread
 from strandlake.sources import sinks, tabular
 
-ONE = F.lit(1)
 NAMES = [*g.VCF_COLUMNS, "FORMAT", "S1"]
 
 
@@ -23,7 +23,7 @@ def vcf_lines(t):
     info = F.concat(F.lit("DP="), F.col("l_quantity").cast("int").cast("string"), F.lit(";AF="),
                     F.col("l_discount").cast("string"), F.when(F.col("l_tax") > 0.04, ";DB").otherwise(""))
     sample = F.concat(F.lit("0/1:"), F.col("l_linenumber").cast("string"))
-    return t.lineitem.select(F.concat_ws(
+    return spread(t.lineitem).select(F.concat_ws(
         "\t", F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")), F.col("l_partkey").cast("string"), F.lit("."),
         F.lit("A"), alt, qual, F.when(F.col("l_returnflag") == "N", "PASS").otherwise("LowQual"), info, F.lit("GT:DP"),
         sample).alias("value"))
@@ -35,7 +35,7 @@ SELECT 'chr' || l_suppkey AS chrom, count(*) AS n, count(CASE WHEN l_quantity %
 def _(t):
     rows = g.vcf_rows(vcf_lines(t), NAMES)
     return rows.groupBy(F.col("CHROM").alias("chrom")).agg(
-        F.count(ONE).alias("n"), F.count("QUAL").alias("with_quality"),
+        F.count("*").alias("n"), F.count("QUAL").alias("with_quality"),
         F.sum(F.col("INFO")["DP"].cast("bigint")).alias("depth"), F.count_if(F.map_contains_key("INFO", "DB")).alias("flagged"))
 
 
@@ -53,16 +53,16 @@ SELECT key, value, count(*) AS n FROM (SELECT 'GT' AS key, '0/1' AS value FROM l
   SELECT 'DP', l_linenumber::VARCHAR FROM lineitem) GROUP BY 1, 2""")
 def _(t):
     variants = g.Variants(g.vcf_rows(vcf_lines(t), NAMES), t.nation, ["S1"])
-    return g.genotypes(variants).groupBy("key", "value").agg(F.count(ONE).alias("n"))
+    return g.genotypes(variants).groupBy("key", "value").agg(F.count("*").alias("n"))
 
 
 @query("fastq_round_trip", "SRC-11 SNK-06 SEQ-02", f"""
 SELECT 'READ' || doc_id AS read_id, length({SEQ_SQL})::INT AS bases FROM documents""")
 def _(t):
-    rows = t.documents.select(F.concat(F.lit("READ"), F.col("doc_id").cast("string")).alias("read_id"),
+    rows = spread(t.documents.select("doc_id", "text")).select(F.concat(F.lit("READ"), F.col("doc_id").cast("string")).alias("read_id"),
                               seq_of().alias("seq"), qual_of().alias("qual"))
     back = g.fastq_records(sinks.fastq_text(rows), "READ")
-    return back.filter(F.length("seq") == F.length("qual")).select("read_id", F.length("seq").alias("bases"))
+    return back.select("read_id", F.when(F.length("seq") == F.length("qual"), F.length("seq")).alias("bases"))
 
 
 @query("fasta_round_trip", "SRC-12 SNK-06 SEQ-01", f"""
@@ -70,7 +70,7 @@ WITH s AS (SELECT doc_id, {SEQ_SQL} AS s FROM documents)
 SELECT 'seq' || doc_id AS id, length(s)::INT AS length,
   {HU("coalesce(length(regexp_replace(s, '[^GC]', '', 'g'))::DOUBLE / nullif(length(s), 0), 0) * 100", 9)} AS gc_content FROM s""")
 def _(t):
-    rows = t.documents.select(F.concat(F.lit("seq"), F.col("doc_id").cast("string")).alias("id"), seq_of().alias("seq"))
+    rows = spread(t.documents.select("doc_id", "text")).select(F.concat(F.lit("seq"), F.col("doc_id").cast("string")).alias("id"), seq_of().alias("seq"))
     back = g.fasta_records(sinks.fasta_text(rows))
     return back.select("id", "length", half_up(F.col("gc_content"), 9).alias("gc_content"))
 
@@ -78,7 +78,7 @@ def _(t):
 def sam_lines(t):
     flag = F.when(F.col("l_linestatus") == "F", 16).when(F.col("l_linenumber") == 7, 4).otherwise(0)
     cigar = F.concat(F.col("l_quantity").cast("int").cast("string"), F.lit("M2I3D"))
-    return t.lineitem.select(F.concat_ws(
+    return spread(t.lineitem).select(F.concat_ws(
         "\t", F.concat(F.lit("r"), F.col("l_orderkey").cast("string")), flag.cast("string"),
         F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")), F.col("l_partkey").cast("string"),
         (F.col("l_quantity").cast("int") % 61).cast("string"), cigar, F.lit("*"), F.lit("0"), F.lit("0"), F.lit("ACGTGG"), F.lit("IIIIII"),
@@ -114,7 +114,7 @@ SELECT count(*) AS n, count(o_orderkey) AS orders, count(c_custkey) AS customers
   SELECT o_orderkey, NULL::BIGINT AS c_custkey FROM orders UNION ALL SELECT NULL, c_custkey FROM customer)""")
 def _(t):
     both = tabular.read_drifting(t.spark, f"{t.root}/orders.parquet", f"{t.root}/customer.parquet")
-    return both.agg(F.count(ONE).alias("n"), F.count("o_orderkey").alias("orders"), F.count("c_custkey").alias("customers"))
+    return both.agg(F.count("*").alias("n"), F.count("o_orderkey").alias("orders"), F.count("c_custkey").alias("customers"))
 
 
 @query("file_layout", "SNK-08", None)

@@ -10,7 +10,6 @@ from strandlake.operators import joins
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
 
 
 def links(t, least: float = 0.0):

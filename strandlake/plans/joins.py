@@ -11,7 +11,6 @@ from strandlake.plans.registry import exact_sum as SUM
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
 
 
 def urgent(t):
@@ -51,7 +50,7 @@ SELECT l_suppkey, n_r, n_a FROM a FULL JOIN b USING (l_suppkey) ORDER BY n_r NUL
 def _(t):
     def counts(flag, rule, name):
         return (t.lineitem.filter((F.col("l_returnflag") == flag) & rule).groupBy("l_suppkey")
-                .agg(F.count(ONE).alias(name)))
+                .agg(F.count("*").alias(name)))
 
     part = F.col("l_partkey")
     return (counts("R", part < 400, "n_r").join(counts("A", part > 1990, "n_a"), "l_suppkey", "full")
@@ -84,11 +83,11 @@ SELECT n_name, c_mktsegment, count(DISTINCT o_orderkey) AS calls, count(l_orderk
 FROM customer JOIN nation ON n_nationkey = c_nationkey JOIN orders ON o_custkey = c_custkey
 LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 2""")
 def _(t):
-    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count(ONE).alias("n_lines"))
+    lines = t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(F.count("*").alias("n_lines"))
     return (t.orders.select("o_orderkey", F.col("o_custkey").alias("c_custkey")).join(lines, "o_orderkey", "left")
             .join(t.customer, "c_custkey").withColumn("n_nationkey", F.col("c_nationkey"))
             .join(t.nation, "n_nationkey").groupBy("n_name", "c_mktsegment")
-            .agg(F.count(ONE).alias("calls"), F.coalesce(F.sum("n_lines"), F.lit(0)).alias("variants")))
+            .agg(F.count("*").alias("calls"), F.coalesce(F.sum("n_lines"), F.lit(0)).alias("variants")))
 
 
 TIERS = [("small", 0.0, 100000.0), ("medium", 100000.0, 300000.0), ("large", 300000.0, 1e12)]
@@ -101,7 +100,7 @@ ON o_totalprice >= lo AND o_totalprice < hi GROUP BY 1, 2""")
 def _(t):
     rows = t.orders.select("o_orderstatus", "o_totalprice")
     return (joins.tier_lookup(rows, "o_totalprice", joins.tiers(t.spark, TIERS))
-            .groupBy("tier", "o_orderstatus").agg(F.count(ONE).alias("n")))
+            .groupBy("tier", "o_orderstatus").agg(F.count("*").alias("n")))
 
 
 def part_intervals(t):
@@ -121,7 +120,7 @@ SELECT gene, count(*) AS n, min(pos) AS lo, max(pos) AS hi FROM v JOIN g ON g.ch
 GROUP BY 1""")
 def _(t):
     hits = intervals.annotate_points(line_points(t), part_intervals(t), 64, salts=4)
-    return hits.groupBy("gene").agg(F.count(ONE).alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    return hits.groupBy("gene").agg(F.count("*").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
 
 
 @query("interval_annotate_left", "JOIN-10", """
@@ -132,7 +131,7 @@ FROM v LEFT JOIN g ON g.chrom = v.chrom AND pos BETWEEN s AND e GROUP BY 1""")
 def _(t):
     hits = intervals.annotate_points(line_points(t), part_intervals(t), 64, how="left")
     return hits.groupBy("chrom").agg(F.count("gene").alias("annotated"),
-                                     (F.count(ONE) - F.count("gene")).alias("unannotated"))
+                                     (F.count("*") - F.count("gene")).alias("unannotated"))
 
 
 @query("interval_overlaps", "JOIN-18", """
@@ -187,7 +186,7 @@ SELECT case_id, count(*) AS n, min(c_custkey) AS lo FROM customer JOIN p ON c_na
 def _(t):
     cases = t.customer.select(F.substring("c_name", 1, 16).alias("case_id")).distinct()
     return (joins.prefix_join(t.customer, "c_name", cases, "case_id", 16).groupBy("case_id")
-            .agg(F.count(ONE).alias("n"), F.min("c_custkey").alias("lo")))
+            .agg(F.count("*").alias("n"), F.min("c_custkey").alias("lo")))
 
 
 @query("prefix_join_any_length", "JOIN-16", """
@@ -199,7 +198,7 @@ def _(t):
     short = t.part.filter(F.length(brand) == 7).select(brand.alias("stem"))
     longer = t.part.filter(brand.like("Brand#2%") & (F.length(brand) == 8)).select(F.substring(brand, 1, 8).alias("stem"))
     stems = short.union(longer).distinct()
-    return joins.prefix_join_any(t.part, "p_brand", stems, "stem").groupBy("stem").agg(F.count(ONE).alias("n"))
+    return joins.prefix_join_any(t.part, "p_brand", stems, "stem").groupBy("stem").agg(F.count("*").alias("n"))
 
 
 @query("paired_rows", "JOIN-19", """
@@ -241,7 +240,7 @@ def _(t):
     features = t.orders.withColumnRenamed("o_custkey", "c_custkey")
     return joins.join_with_counts(
         t.customer.select("c_custkey", "c_acctbal", F.col("c_mktsegment").alias("label")), features, "c_custkey",
-        "inner", {"n_orders": F.count(ONE), "spend": exact_sum("o_totalprice")})
+        "inner", {"n_orders": F.count("*"), "spend": exact_sum("o_totalprice")})
 
 
 @query("known_lookup", "JOIN-24 JOIN-23", """
@@ -255,4 +254,4 @@ def _(t):
     known = (rows.filter((F.col("l_returnflag") == "R") & (F.col("l_quantity") > 45)).groupBy("chrom", "pos")
              .agg(F.min("l_returnflag").alias("significance")))
     return (joins.known_lookup(rows.select("chrom", "pos"), known, ["chrom", "pos"]).groupBy("chrom")
-            .agg(F.count(ONE).alias("n"), F.count_if("is_known").alias("known")))
+            .agg(F.count("*").alias("n"), F.count_if("is_known").alias("known")))

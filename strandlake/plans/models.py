@@ -8,15 +8,15 @@ from strandlake.operators import models as m
 from strandlake.operators import performance as p
 from strandlake.operators.sampling import split_by_key
 from strandlake.plans.registry import query
+from strandlake.session import spread
 
-ONE = F.lit(1)
 CATEGORICAL, NUMERIC = ["l_linestatus"], ["l_quantity", "l_extendedprice", "l_discount", "l_tax"]
 
 
 def labelled(t):
     """Line items with a label that depends on quantity and discount."""
     label = ((F.col("l_quantity") * F.col("l_discount") > 1.0) | (F.col("l_linenumber") == 7)).cast("double")
-    return t.lineitem.select("l_orderkey", "l_linenumber", *CATEGORICAL, *NUMERIC, label.alias("label"))
+    return spread(t.lineitem).select("l_orderkey", "l_linenumber", *CATEGORICAL, *NUMERIC, label.alias("label"))
 
 
 def parts(t):

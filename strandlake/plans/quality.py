@@ -10,7 +10,6 @@ from strandlake.plans.registry import exact_mean as MEAN
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
 
 PATIENTS = """p AS (SELECT c_custkey AS patient_id, (c_custkey % 90 + 18)::INT AS age,
    ['Male','M','male','Female','F','other'][(c_custkey % 6)::INT + 1] AS sex, (c_custkey % 12)::INT AS comorbidity_count,
@@ -82,7 +81,7 @@ SELECT l_orderkey, count(*) AS n FROM lineitem WHERE l_orderkey NOT IN
 def _(t):
     parents = t.orders.filter(F.col("o_orderstatus") != "P")
     return (q.orphans(t.lineitem.select("l_orderkey"), parents, "l_orderkey", "o_orderkey").groupBy("l_orderkey")
-            .agg(F.count(ONE).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 @query("cohort_warnings", "DQ-06", f"""
@@ -168,8 +167,8 @@ SCORES = [("mean_depth", ">=", 25.0, 20.0), ("low_tax_pct", ">=", 60.0, 50.0), (
 
 def score_metrics(t):
     stats = t.lineitem.agg(exact_mean("l_quantity").alias("d"),
-                           percent(F.count_if(F.col("l_tax") <= 0.04), F.count(ONE)).alias("x"),
-                           percent(F.count_if(F.col("l_returnflag") == "R"), F.count(ONE)).alias("r"),
+                           percent(F.count_if(F.col("l_tax") <= 0.04), F.count("*")).alias("x"),
+                           percent(F.count_if(F.col("l_returnflag") == "R"), F.count("*")).alias("r"),
                            F.max("l_quantity").alias("m"))
     return stats.select(F.inline(F.array(*[F.struct(F.lit(n).alias("metric"), F.col(c).alias("value")) for n, c in
                                            (("mean_depth", "d"), ("low_tax_pct", "x"), ("returned_pct", "r"), ("max_depth", "m"))])))
@@ -203,9 +202,9 @@ SELECT l_suppkey, NOT (pass_rate < 50 OR quality < 25 OR adapter_pct > 20) AS pa
        CASE WHEN adapter_pct > 20 THEN 'High adapter contamination' END) ELSE 'PASS' END AS reasons FROM g""")
 def _(t):
     g = t.lineitem.groupBy("l_suppkey").agg(
-        percent(F.count_if(F.col("l_tax") <= 0.04), F.count(ONE)).alias("pass_rate"),
+        percent(F.count_if(F.col("l_tax") <= 0.04), F.count("*")).alias("pass_rate"),
         exact_mean("l_quantity").alias("quality"),
-        (percent(F.count_if(F.col("l_discount") == 0), F.count(ONE)) * 2).alias("adapter_pct"))
+        (percent(F.count_if(F.col("l_discount") == 0), F.count("*")) * 2).alias("adapter_pct"))
     out = q.group_verdicts(g, "pass_rate", "quality", "adapter_pct")
     return out.select("l_suppkey", "passed", F.regexp_replace("reasons", r" \([^)]*\)", "").alias("reasons"))
 

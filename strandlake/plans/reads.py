@@ -11,8 +11,8 @@ from strandlake.operators import reads as r
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 from strandlake.plans.scalars import LETTERS, QUALS, SEQ_SQL, qual_of, seq_of
+from strandlake.session import spread
 
-ONE = F.lit(1)
 ADAPTER = "ACGACA"
 QUAL_SQL = f"translate(regexp_replace(lower(text), '[^a-z]', '', 'g'), '{LETTERS}', '{QUALS[:26]}')"
 READS = f"""r AS (SELECT doc_id, lang, source, {SEQ_SQL} AS seq, {QUAL_SQL} AS qual FROM documents),
@@ -22,7 +22,8 @@ READS = f"""r AS (SELECT doc_id, lang, source, {SEQ_SQL} AS seq, {QUAL_SQL} AS q
 
 
 def reads(t):
-    return t.documents.select("doc_id", F.concat(F.lit("r"), F.col("doc_id").cast("string"), F.lit(":batch"),
+    rows = spread(t.documents.select("doc_id", "lang", "source", "text"))
+    return rows.select("doc_id", F.concat(F.lit("r"), F.col("doc_id").cast("string"), F.lit(":batch"),
                                                  (F.col("doc_id") % 5).cast("string")).alias("read_id"),
                               "lang", "source", seq_of().alias("seq"), qual_of().alias("qual"))
 
@@ -124,7 +125,7 @@ WITH {READS} SELECT count(*) AS pairs, sum(length(seq))::BIGINT AS bases FROM q
 def _(t):
     first, second = mates(t)
     keep = (sq.phred_mean(F.col("qual")) >= 17) & (F.length("seq") >= 100)
-    return r.paired_filter(first, second, keep).agg(F.count(ONE).alias("pairs"),
+    return r.paired_filter(first, second, keep).agg(F.count("*").alias("pairs"),
                                                     F.sum(F.length("seq1").cast("bigint")).alias("bases"))
 
 
@@ -141,7 +142,7 @@ def _(t):
 @query("mate_mismatches", "JOIN-19", "SELECT count(*) AS n FROM documents WHERE doc_id % 9 = 0")
 def _(t):
     from strandlake.operators.joins import mate_mismatches
-    return mate_mismatches(*mates(t)).agg(F.count(ONE).alias("n"))
+    return mate_mismatches(*mates(t)).agg(F.count("*").alias("n"))
 
 
 @query("adapter_rate", "QC-09", f"""
@@ -222,7 +223,7 @@ def _(t):
 
 
 def contigs(t):
-    return t.documents.select("lang", seq_of().alias("seq")).select(
+    return spread(t.documents.select("lang", "text")).select("lang", seq_of().alias("seq")).select(
         "lang", F.length("seq").alias("length"), (sq.gc_fraction(F.col("seq")) * 100).alias("gc_content"))
 
 
@@ -251,7 +252,7 @@ def _(t):
 @query("longest_sequences", "SRT-04", f"""
 WITH s AS (SELECT doc_id, length({SEQ_SQL})::INT AS length FROM documents) SELECT doc_id, length FROM s ORDER BY length DESC, doc_id""")
 def _(t):
-    return (t.documents.select("doc_id", F.length(seq_of()).alias("length")).orderBy(F.desc("length"), "doc_id"))
+    return (spread(t.documents.select("doc_id", "text")).select("doc_id", F.length(seq_of()).alias("length")).orderBy(F.desc("length"), "doc_id"))
 
 
 @query("insert_size_histogram", "SEQ-15", None)
@@ -259,4 +260,4 @@ def _(t):
     # Mates of questions and answers of at most a read's length; each pair compares all overlaps.
     rows = t.benchmark.select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("read_id"), seq_of().alias("seq"))
     second = rows.select("read_id", sq.reverse_complement(F.expr("substring(seq, 31)")).alias("seq"))
-    return (r.insert_sizes(rows, second).groupBy("insert_size").agg(F.count(ONE).alias("n")))
+    return (r.insert_sizes(rows, second).groupBy("insert_size").agg(F.count("*").alias("n")))

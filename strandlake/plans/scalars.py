@@ -10,8 +10,8 @@ from strandlake.operators import lookups, sequences
 from strandlake.plans.registry import exact_mean as MEAN
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
+from strandlake.session import spread
 
-ONE = F.lit(1)
 
 # Documents as nucleotide sequences: letters only, mapped letter by letter.
 LETTERS = "abcdefghijklmnopqrstuvwxyz"
@@ -21,11 +21,11 @@ SEQS = f"s AS (SELECT doc_id, lang, {SEQ_SQL} AS seq FROM documents)"
 
 
 def seq_of(col="text"):
-    return F.translate(F.regexp_replace(F.lower(col), "[^a-z]", ""), LETTERS, BASES)
+    return F.translate(F.regexp_replace(F.lower(col), "[^a-z]+", ""), LETTERS, BASES)
 
 
 def seqs(t):
-    return t.documents.select("doc_id", "lang", seq_of().alias("seq"))
+    return spread(t.documents.select("doc_id", "lang", "text")).select("doc_id", "lang", seq_of().alias("seq"))
 
 
 @query("regex_and_ids", "STR-01 STR-02 STR-04 STR-05", """
@@ -44,7 +44,7 @@ SELECT o_orderpriority, CASE o_orderpriority WHEN '1-URGENT' THEN 'high' WHEN '2
        count(*) AS n FROM orders GROUP BY 1, 2""")
 def _(t):
     level = text.mapped_label(F.col("o_orderpriority"), {"1-URGENT": "high", "2-HIGH": "high", "5-LOW": "low"})
-    return t.orders.groupBy("o_orderpriority", level.alias("level")).agg(F.count(ONE).alias("n"))
+    return t.orders.groupBy("o_orderpriority", level.alias("level")).agg(F.count("*").alias("n"))
 
 
 @query("info_fields", "STR-08", """
@@ -54,15 +54,12 @@ def _(t):
     info = F.concat(F.lit("DP="), F.col("l_quantity").cast("string"), F.lit(";AF="),
                     F.col("l_discount").cast("string"), F.when(F.col("l_discount") > 0.05, ";DB").otherwise(""),
                     F.lit(";XX=."))
-    rows = t.lineitem.select("l_returnflag", info.alias("info"))
+    rows = spread(t.lineitem).select("l_returnflag", info.alias("info"))
     return (rows.groupBy("l_returnflag", variant.info_field(F.col("info"), "DP").cast("double").alias("dp"))
-            .agg(F.count(ONE).alias("n"), F.count_if(variant.info_flag(F.col("info"), "DB")).alias("flagged"),
+            .agg(F.count("*").alias("n"), F.count_if(variant.info_flag(F.col("info"), "DB")).alias("flagged"),
                  F.count(variant.info_field(F.col("info"), "XX")).alias("missing")))
 
 
-REF, ALT = F.substring("p_name", 1, 3), F.regexp_extract("p_name", r"(\w+)$", 1)
-
-
 @query("variant_types", "STR-09 STR-10", """
 WITH v AS (SELECT CASE WHEN p_size % 7 = 0 THEN NULL ELSE substr('ACGT', 1, (p_size % 3 + 1)::INT) END AS ref,
                   substr('GATTACA', 1, (p_size % 4 + 1)::INT) AS alt, p_size FROM part)
@@ -77,7 +74,7 @@ def _(t):
                          F.substring(F.lit("GATTACA"), F.lit(1), size % 4 + 1).alias("alt"))
     kinds = variant.allele_types(F.coalesce("ref", F.lit("A")), F.concat("alt", F.lit(",.")))
     return (rows.groupBy(variant.variant_type(F.col("ref"), F.col("alt")).alias("kind"), kinds.alias("kinds"))
-            .agg(F.count(ONE).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 @query("gc_like_content", "SEQ-01 SEQ-03", f"""
@@ -97,7 +94,7 @@ SELECT doc_id, avg(ascii(c) - 33) AS mean_q, min(ascii(c) - 33)::INT AS min_q, m
 FROM c WHERE c <> '' GROUP BY 1""")
 def _(t):
     qual = F.col("qual")
-    return (t.documents.select("doc_id", qual_of().alias("qual")).filter(F.length(qual) > 0)
+    return (spread(t.documents.select("doc_id", "text")).select("doc_id", qual_of().alias("qual")).filter(F.length(qual) > 0)
             .select("doc_id", sequence.phred_mean(qual).alias("mean_q"), sequence.phred_min(qual).alias("min_q"),
                     sequence.phred_max(qual).alias("max_q")))
 
@@ -106,7 +103,7 @@ QUALS = "!#%)+-/1357:;<=>?@ABCDEFGHI"
 
 
 def qual_of(col="text"):
-    return F.translate(F.regexp_replace(F.lower(col), "[^a-z]", ""), LETTERS, QUALS[:26])
+    return F.translate(F.regexp_replace(F.lower(col), "[^a-z]+", ""), LETTERS, QUALS[:26])
 
 
 @query("trim_suffix", "SEQ-04 SEQ-05", """
@@ -115,7 +112,7 @@ WITH s AS (SELECT doc_id, translate(regexp_replace(lower(text), '[^a-z]', '', 'g
 SELECT doc_id, length(rtrim(q, '!"#$%&''()*+,-./')) AS kept,
        CASE WHEN strpos(seq, 'ACGA') > 0 THEN strpos(seq, 'ACGA') - 1 ELSE length(seq) END AS before_adapter FROM s""")
 def _(t):
-    rows = t.documents.select("doc_id", qual_of().alias("q"), seq_of().alias("seq"))
+    rows = spread(t.documents.select("doc_id", "text")).select("doc_id", qual_of().alias("q"), seq_of().alias("seq"))
     return rows.select("doc_id", F.length(sequence.trimmed_quality(F.col("q"), 15)).cast("bigint").alias("kept"),
                        F.length(sequence.before_adapter(F.col("seq"), "ACGATT", 4)).cast("bigint")
                        .alias("before_adapter"))
@@ -149,7 +146,7 @@ WITH {SEQS}, p AS (SELECT doc_id, seq, unnest(range(1, length(seq) - 2)) AS i FR
 SELECT doc_id, count(*) AS n, min(i) AS first_pos, max(i) AS last_pos FROM p WHERE substr(seq, i, 4) = 'ACAC' GROUP BY 1""")
 def _(t):
     hits = seqs(t).select("doc_id", F.explode(sequence.motif_positions(F.col("seq"), "ACAC")).alias("i"))
-    return hits.groupBy("doc_id").agg(F.count(ONE).alias("n"), F.min("i").cast("bigint").alias("first_pos"),
+    return hits.groupBy("doc_id").agg(F.count("*").alias("n"), F.min("i").cast("bigint").alias("first_pos"),
                                       F.max("i").cast("bigint").alias("last_pos"))
 
 
@@ -159,7 +156,7 @@ SELECT doc_id, count(*) AS n, sum(i)::BIGINT AS place_sum FROM p
 WHERE regexp_full_match(substr(seq, i, 4), 'N[^A][CT][^A]') GROUP BY 1""")
 def _(t):
     hits = seqs(t).select("doc_id", F.explode(sequence.motif_positions(F.col("seq"), "N[^A][CT][^A]", 4)).alias("i"))
-    return hits.groupBy("doc_id").agg(F.count(ONE).alias("n"), F.sum("i").alias("place_sum"))
+    return hits.groupBy("doc_id").agg(F.count("*").alias("n"), F.sum("i").alias("place_sum"))
 
 
 @query("codon_usage", "SEQ-10", f"""
@@ -223,7 +220,7 @@ FROM o WHERE length >= 30 GROUP BY 1""")
 def _(t):
     orfs = sequences.open_reading_frames(seqs(t), "doc_id", "seq", 30)
     best = F.max_by("start", F.struct(F.col("length").alias("a"), (-F.col("start")).alias("b")))
-    return orfs.groupBy("doc_id").agg(F.count(ONE).alias("orfs"), F.max("length").alias("longest"),
+    return orfs.groupBy("doc_id").agg(F.count("*").alias("orfs"), F.max("length").alias("longest"),
                                       best.alias("longest_start"))
 
 
@@ -275,7 +272,7 @@ SELECT type, count(*) AS n FROM (SELECT p_brand, unnest(types) AS type FROM p) G
 def _(t):
     paths = t.part.groupBy("p_brand").agg(F.collect_set("p_type").alias("types"))
     return (paths.select("p_brand", F.explode("types").alias("type")).groupBy("type")
-            .agg(F.count(ONE).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 @query("json_props", "JSN-01", f"""
@@ -283,7 +280,7 @@ SELECT event_type, count(*) AS n, sum(CAST(props::JSON->>'$.k' AS BIGINT))::BIGI
        count(CAST(props::JSON->>'$.missing' AS BIGINT)) AS missing FROM events GROUP BY 1""")
 def _(t):
     k = text.json_field(F.col("props"), "$.k", "bigint")
-    return t.events.groupBy("event_type").agg(F.count(ONE).alias("n"), F.sum(k).alias("k_sum"), F.count(
+    return t.events.groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("k_sum"), F.count(
         text.json_field(F.col("props"), "$.missing", "bigint")).alias("missing"))
 
 
@@ -293,7 +290,7 @@ def _(t):
     built = t.events.select(text.json_object(id=F.col("event_id"), kind=F.col("event_type")).alias("j"))
     back = built.select(F.from_json("j", "id bigint, kind string").alias("r")).select("r.*")
     return back.groupBy(F.col("kind").alias("event_type")).agg(
-        F.count(ONE).alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
+        F.count("*").alias("n"), F.min("id").alias("lo"), F.max("id").alias("hi"))
 
 
 @query("mapping_rate_lookup", "UDF-01 UDF-03 UDF-04 UDF-12", f"""
@@ -302,7 +299,7 @@ FROM (SELECT s_suppkey, (count(*) FILTER (l_returnflag <> 'R')) * 100.0::DOUBLE
       FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey GROUP BY 1)""")
 def _(t):
     runs = t.lineitem.groupBy(F.col("l_suppkey").alias("run_id")).agg(
-        F.count(ONE).alias("total_reads"), F.count_if(F.col("l_returnflag") != "R").alias("mapped_reads"))
+        F.count("*").alias("total_reads"), F.count_if(F.col("l_returnflag") != "R").alias("mapped_reads"))
     wanted = t.supplier.select(F.col("s_suppkey").alias("run_id"))
     out = lookups.mapping_rates(runs, wanted)
     return out.select(F.col("run_id").alias("s_suppkey"), F.col("mapping_rate").alias("rate"),

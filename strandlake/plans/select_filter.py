@@ -10,7 +10,6 @@ from strandlake.operators import aggregates, filters, sampling, sets
 from strandlake.plans.registry import exact_mean as MEAN
 from strandlake.plans.registry import query
 
-DEPTH, FREQ = F.col("l_quantity"), F.col("l_discount")
 
 
 @query("select_alias_computed", "PRJ-01 PRJ-02 MTH-01", """
@@ -20,8 +19,8 @@ FROM lineitem""")
 def _(t):
     return t.lineitem.select(
         F.col("l_orderkey").alias("call_id"), F.col("l_linenumber").alias("line"),
-        (DEPTH * 2 + 1).alias("span"), F.abs(DEPTH - 25).alias("off_centre"),
-        F.floor(DEPTH / 7).cast("double").alias("sevens"))
+        (F.col("l_quantity") * 2 + 1).alias("span"), F.abs(F.col("l_quantity") - 25).alias("off_centre"),
+        F.floor(F.col("l_quantity") / 7).cast("double").alias("sevens"))
 
 
 @query("case_buckets", "PRJ-03 PRJ-04 AGG-02", """
@@ -30,9 +29,9 @@ SELECT CASE WHEN l_quantity >= 50 THEN 'HIGH' WHEN l_quantity >= 30 THEN 'MEDIUM
             ELSE 'deep' END AS depth_band, count(*) AS n
 FROM lineitem GROUP BY 1, 2""")
 def _(t):
-    band = (F.when(DEPTH.between(1, 10), "shallow").when(DEPTH.between(11, 30), "usual").otherwise("deep"))
-    return (t.lineitem.groupBy(clinical.quality_class(DEPTH).alias("quality"), band.alias("depth_band"))
-            .agg(F.count(F.lit(1)).alias("n")))
+    band = (F.when(F.col("l_quantity").between(1, 10), "shallow").when(F.col("l_quantity").between(11, 30), "usual").otherwise("deep"))
+    return (t.lineitem.groupBy(clinical.quality_class(F.col("l_quantity")).alias("quality"), band.alias("depth_band"))
+            .agg(F.count("*").alias("n")))
 
 
 @query("freq_class_pivot", "PRJ-05 AGG-10 AGG-12", """
@@ -43,7 +42,7 @@ SELECT l_returnflag,
        count(*) FILTER (l_discount >= 0.05 OR l_discount IS NULL) AS "Common"
 FROM lineitem GROUP BY 1""")
 def _(t):
-    classed = t.lineitem.select("l_returnflag", clinical.frequency_class(FREQ).alias("af_class"))
+    classed = t.lineitem.select("l_returnflag", clinical.frequency_class(F.col("l_discount")).alias("af_class"))
     return aggregates.pivot_counts(classed, "l_returnflag", "af_class",
                                    ["Singleton", "Rare", "Low frequency", "Common"])
 
@@ -58,7 +57,7 @@ SELECT l_orderkey, l_linenumber, 'depth' AS metric, l_quantity AS value FROM lin
 SELECT l_orderkey, l_linenumber, 'frequency', l_discount FROM lineitem UNION ALL
 SELECT l_orderkey, l_linenumber, 'tax', l_tax FROM lineitem""")
 def _(t):
-    wide = t.lineitem.select("l_orderkey", "l_linenumber", DEPTH.alias("depth"), FREQ.alias("frequency"),
+    wide = t.lineitem.select("l_orderkey", "l_linenumber", F.col("l_quantity").alias("depth"), F.col("l_discount").alias("frequency"),
                              F.col("l_tax").alias("tax"))
     return wide.unpivot(["l_orderkey", "l_linenumber"], ["depth", "frequency", "tax"], "metric", "value")
 
@@ -97,8 +96,8 @@ FROM (SELECT o_orderkey, o_orderdate, sum(l_quantity) AS total, sum(l_quantity)
 def _(t):
     runs = (t.lineitem.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.sum("l_quantity").alias("total"),
-        F.sum(F.when(F.col("l_returnflag") != "R", DEPTH)).alias("mapped"),
-        F.sum(F.when(F.col("l_returnflag") == "A", DEPTH)).alias("dup")))
+        F.sum(F.when(F.col("l_returnflag") != "R", F.col("l_quantity"))).alias("mapped"),
+        F.sum(F.when(F.col("l_returnflag") == "A", F.col("l_quantity"))).alias("dup")))
     joined = t.orders.select("o_orderkey", "o_orderdate").join(runs, "o_orderkey")
     mapped, total, dup = F.col("mapped"), F.col("total"), F.col("dup")
     return joined.select(
@@ -109,7 +108,8 @@ def _(t):
         clinical.duplicate_rate_of_total(dup, total).alias("dup_of_total"))
 
 
-HARD_RULES = {"qual": DEPTH >= 30, "freq": FREQ >= 0.02, "tax": F.col("l_tax") <= 0.06}
+def hard_rules():
+    return {"qual": F.col("l_quantity") >= 30, "freq": F.col("l_discount") >= 0.02, "tax": F.col("l_tax") <= 0.06}
 
 
 @query("hard_filter_counts", "FLT-01 FLT-02 FLT-03 FLT-12", """
@@ -120,7 +120,7 @@ WITH c AS (SELECT count(*) AS total, count(*) FILTER (l_quantity >= 30) AS q,
            UNION ALL SELECT total, 'tax', x FROM c UNION ALL SELECT total, 'all', a FROM c)
 SELECT rule, total, passed, total - passed AS removed, passed * 100.0::DOUBLE / total AS pass_rate FROM r""")
 def _(t):
-    return aggregates.pass_counts(t.lineitem, HARD_RULES)
+    return aggregates.pass_counts(t.lineitem, hard_rules())
 
 
 @query("nested_and_or", "FLT-04 FLT-05 FLT-06 FLT-07 FLT-08", """
@@ -158,7 +158,7 @@ SELECT l_suppkey AS chrom, l_partkey AS pos, count(*) AS n FROM lineitem
 WHERE (l_suppkey = 3 AND l_partkey BETWEEN 100 AND 900) OR l_suppkey = 7 GROUP BY 1, 2""")
 def _(t):
     rows = t.lineitem.select(F.col("l_suppkey").alias("chrom"), F.col("l_partkey").alias("pos"))
-    return filters.in_regions(rows, ["3:100-900", "7"]).groupBy("chrom", "pos").agg(F.count(F.lit(1)).alias("n"))
+    return filters.in_regions(rows, ["3:100-900", "7"]).groupBy("chrom", "pos").agg(F.count("*").alias("n"))
 
 
 @query("swapped_interval_ends", "FLT-13", """
@@ -179,7 +179,7 @@ SELECT l_orderkey, l_linenumber, flag, l_quantity, l_partkey FROM (
 WHERE rn = 1""")
 def _(t):
     flag = text.title_case(F.concat(F.lit(" "), "l_returnflag", "l_linestatus", F.lit(" ")))
-    rows = (t.lineitem.filter((DEPTH >= 10) & (FREQ > 0) & (F.col("l_returnflag") != F.col("l_linestatus")))
+    rows = (t.lineitem.filter((F.col("l_quantity") >= 10) & (F.col("l_discount") > 0) & (F.col("l_returnflag") != F.col("l_linestatus")))
             .withColumn("flag", flag))
     order = ["l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_shipdate"]
     return (filters.one_per_key(rows.select("l_orderkey", "l_linenumber", "flag", *order),
@@ -197,7 +197,7 @@ SELECT user_id, metric, v FROM k WHERE user_id IN (SELECT user_id FROM r)""")
 def _(t):
     metric = F.concat_ws("_", "event_type", F.floor(F.hour("ts") / 4).cast("string"))
     m = (t.events.groupBy("user_id", metric.alias("metric"))
-         .agg(F.when(F.avg("value") > 18, F.count(F.lit(1))).alias("v")))
+         .agg(F.when(F.avg("value") > 18, F.count("*")).alias("v")))
     return filters.drop_sparse(m, "user_id", "metric", "v")
 
 
@@ -208,7 +208,7 @@ SELECT o_custkey, spend, n FROM m WHERE spend >= (SELECT quantile_cont(spend, 0.
   AND n >= (SELECT quantile_cont(n, 0.75) FROM m)""")
 def _(t):
     from strandlake.functions.numeric import exact_sum
-    m = t.orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("spend"), F.count(F.lit(1)).alias("n"))
+    m = t.orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("spend"), F.count("*").alias("n"))
     return filters.joint_top_quartile(m, "spend", "n")
 
 
@@ -217,7 +217,7 @@ SELECT CASE WHEN l_quantity < 30 THEN 'N' ELSE l_returnflag END AS call, count(*
 def _(t):
     rows = t.lineitem.select(F.col("l_returnflag").alias("call"), "l_quantity")
     return (filters.reset_unsupported(rows, "call", "l_quantity", 30, "N").groupBy("call")
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 @query("failed_rule_names", "FLT-02 DQ-01", """
@@ -225,8 +225,8 @@ SELECT array_to_string(list_filter([CASE WHEN NOT l_quantity >= 30 THEN 'qual' E
          CASE WHEN NOT l_discount >= 0.02 THEN 'freq' END, CASE WHEN NOT l_tax <= 0.06 THEN 'tax' END],
          lambda x: x IS NOT NULL), ',') AS failed, count(*) AS n FROM lineitem GROUP BY 1""")
 def _(t):
-    return (filters.with_pass_flag(t.lineitem, HARD_RULES)
-            .groupBy(F.array_join("failed_rules", ",").alias("failed")).agg(F.count(F.lit(1)).alias("n")))
+    return (filters.with_pass_flag(t.lineitem, hard_rules())
+            .groupBy(F.array_join("failed_rules", ",").alias("failed")).agg(F.count("*").alias("n")))
 
 
 @query("sorted_multi_key", "SRT-01 SRT-02", """
@@ -235,7 +235,7 @@ SELECT l_suppkey, n, mean_depth, 'chr' || l_suppkey AS chrom,
 FROM (SELECT l_suppkey, count(*) AS n, """ + MEAN("l_quantity") + """ AS mean_depth FROM lineitem GROUP BY 1)
 ORDER BY n DESC NULLS LAST, ord""")
 def _(t):
-    g = t.lineitem.groupBy("l_suppkey").agg(F.count(F.lit(1)).alias("n"), exact_mean("l_quantity").alias("mean_depth"))
+    g = t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n"), exact_mean("l_quantity").alias("mean_depth"))
     named = g.withColumn("chrom", F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")))
     return (named.withColumn("ord", text.chromosome_order(F.col("chrom")))
             .orderBy(F.desc_nulls_last("n"), "ord"))
@@ -257,7 +257,7 @@ SELECT CASE WHEN ('0x' || substr(md5('42|' || o_orderkey), 1, 8))::BIGINT < 3435
        count(*) AS n, min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders GROUP BY 1""")
 def _(t):
     split = sampling.split_by_key(t.orders, ["o_orderkey"], {"train": 0.8, "test": 0.2}, seed=42)
-    return split.groupBy("part").agg(F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"),
+    return split.groupBy("part").agg(F.count("*").alias("n"), F.min("o_orderkey").alias("lo"),
                                      F.max("o_orderkey").alias("hi"))
 
 
@@ -273,7 +273,7 @@ def _(t):
     split = sampling.stratified_split(t.orders.select("o_orderkey", "o_orderpriority"), ["o_orderkey"],
                                       ["o_orderpriority"], {"train": 0.6, "valid": 0.2, "test": 0.2}, seed=42)
     return split.groupBy("o_orderpriority", "part").agg(
-        F.count(F.lit(1)).alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
+        F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
 
 
 @query("union_by_name", "SET-01 DML-13", """
@@ -286,7 +286,7 @@ def _(t):
     old = t.orders.filter(cut).select("o_orderkey", "o_orderstatus")
     new = t.orders.filter(~cut).select("o_orderpriority", "o_orderkey", "o_orderstatus")
     return (sets.union_batches([old, new]).groupBy("o_orderstatus", "o_orderpriority")
-            .agg(F.count(F.lit(1)).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 @query("key_set_operations", "SET-02 SET-03 JOIN-23", """

@@ -10,8 +10,6 @@ from strandlake.plans.registry import exact_sum as SUM
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 
-ONE = F.lit(1)
-DAY = F.date_trunc("day", "ts")
 
 
 @query("top3_per_group", "WIN-01", """
@@ -38,8 +36,8 @@ SELECT event_id, count(*) OVER o AS running_n,
 FROM events WINDOW o AS (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def _(t):
     rows = t.events.select("event_type", "ts", "event_id", "value")
-    out = w.running(rows, ["event_type"], ["ts", "event_id"], DAY,
-                    {"running_n": ONE, "_sum": F.col("value").cast("decimal(18,2)")})
+    out = w.running(rows, ["event_type"], ["ts", "event_id"], F.date_trunc("day", "ts"),
+                    {"running_n": F.lit(1), "_sum": F.col("value").cast("decimal(18,2)")})
     return out.select("event_id", F.col("running_n").cast("bigint"),
                       (F.col("_sum").cast("double") / F.col("running_n")).alias("running_mean"))
 
@@ -50,11 +48,11 @@ SELECT user_id, count(*) AS n, count(*) FILTER (gap < 3600) AS clustered, max(ga
          date_trunc('second', lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) AS gap FROM events)
 GROUP BY 1""")
 def _(t):
-    rows = w.with_next(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], DAY,
+    rows = w.with_next(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"),
                        {"next_ts": "ts"})
     gap = F.timestamp_diff("SECOND", F.date_trunc("second", "ts"), F.date_trunc("second", "next_ts"))
     return (rows.withColumn("gap", gap).groupBy("user_id")
-            .agg(F.count(ONE).alias("n"), F.count_if(F.col("gap") < 3600).alias("clustered"),
+            .agg(F.count("*").alias("n"), F.count_if(F.col("gap") < 3600).alias("clustered"),
                  F.max("gap").alias("widest")))
 
 
@@ -64,7 +62,7 @@ QUARTERLY = """q AS (SELECT l_returnflag, year(l_shipdate) AS y, quarter(l_shipd
 
 def quarterly(t):
     return (t.lineitem.groupBy("l_returnflag", F.year("l_shipdate").alias("y"), F.quarter("l_shipdate").alias("q"))
-            .agg(F.count(ONE).alias("n")))
+            .agg(F.count("*").alias("n")))
 
 
 @query("qoq_growth", "WIN-05 AGG-25 DAT-03", "WITH " + QUARTERLY + """
@@ -89,7 +87,7 @@ SELECT month, n, (sum(n) OVER (ORDER BY month))::BIGINT AS cumulative_n,
        avg(n) OVER (ORDER BY month ROWS BETWEEN 2 PRECEDING AND CURRENT ROW) AS rolling_3 FROM m""")
 def _(t):
     m = (t.lineitem.groupBy(F.date_format(F.date_trunc("month", "l_shipdate"), "yyyy-MM").alias("month"))
-         .agg(F.count(ONE).alias("n")))
+         .agg(F.count("*").alias("n")))
     return w.moving_average(w.cumulative(m, [], ["month"], "n", "cumulative_n"), [], ["month"], "n", 2, 0, "rolling_3")
 
 
@@ -97,7 +95,7 @@ BURDEN = "b AS (SELECT o_custkey, count(*) AS n, " + SUM("o_totalprice") + " AS
 
 
 def burden(t):
-    return t.orders.groupBy("o_custkey").agg(F.count(ONE).alias("n"), exact_sum("o_totalprice").alias("spend"))
+    return t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), exact_sum("o_totalprice").alias("spend"))
 
 
 @query("burden_percentile", "WIN-08", "WITH " + BURDEN + """
@@ -116,7 +114,7 @@ FROM s JOIN customer ON o_custkey = c_custkey GROUP BY 1, 2""")
 def _(t):
     tiles = w.with_tiles(burden(t), ["spend", "o_custkey"], 3)
     return (tiles.join(t.customer.select(F.col("c_custkey").alias("o_custkey"), "c_mktsegment"), "o_custkey")
-            .groupBy("tile", "c_mktsegment").agg(F.count(ONE).alias("customers"), F.sum("n").alias("orders")))
+            .groupBy("tile", "c_mktsegment").agg(F.count("*").alias("customers"), F.sum("n").alias("orders")))
 
 
 @query("surrogate_keys", "WIN-10", """
@@ -139,7 +137,7 @@ def _(t):
 SELECT p_type, p_brand, n, rn FROM (SELECT *, row_number() OVER (PARTITION BY p_type ORDER BY n DESC, p_brand) AS rn
   FROM (SELECT p_type, p_brand, count(*) AS n FROM part GROUP BY 1, 2)) WHERE rn <= 3""")
 def _(t):
-    counts = t.part.groupBy("p_type", "p_brand").agg(F.count(ONE).alias("n"))
+    counts = t.part.groupBy("p_type", "p_brand").agg(F.count("*").alias("n"))
     return w.top_n(counts, ["p_type"], [F.desc("n"), "p_brand"], 3)
 
 
@@ -150,7 +148,7 @@ SELECT user_id, event_type, min(event_id) AS "start", max(event_id) AS "end", co
 FROM o GROUP BY user_id, event_type, grp HAVING count(*) >= 2""")
 def _(t):
     rows = t.events.select("user_id", "ts", "event_id", "event_type")
-    return w.segments(rows, ["user_id"], ["ts", "event_id"], DAY, "event_type", "event_id", 2)
+    return w.segments(rows, ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), "event_type", "event_id", 2)
 
 
 @query("sliding_majority", "WIN-14", """

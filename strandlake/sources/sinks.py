@@ -84,7 +84,7 @@ def layout_report(frames: dict[str, DataFrame]) -> DataFrame:
     for name, df in frames.items():
         files = df.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.file_size").alias("s")).groupBy(
             "f").agg(F.first("s").alias("s"))
-        row = files.agg(F.count(F.lit(1)).alias("files"), F.sum("s").alias("total_bytes"), F.min("s").alias("min_bytes"),
+        row = files.agg(F.count("*").alias("files"), F.sum("s").alias("total_bytes"), F.min("s").alias("min_bytes"),
                         F.avg("s").alias("avg_bytes"), F.max("s").alias("max_bytes")).withColumn("layout", F.lit(name))
         out = row if out is None else out.unionByName(row)
     return out

@@ -39,7 +39,7 @@ def with_file_name(df: DataFrame) -> DataFrame:
 
 
 def rows_per_file(df: DataFrame) -> DataFrame:
-    return with_file_name(df).groupBy("file_name").agg(F.count(F.lit(1)).alias("n"))
+    return with_file_name(df).groupBy("file_name").agg(F.count("*").alias("n"))
 
 
 def read_drifting(spark: SparkSession, *paths: str) -> DataFrame:

@@ -20,7 +20,7 @@ def event_time(df: DataFrame, column: str = "ts", delay: str = WATERMARK) -> Dat
 def tumbling(df: DataFrame, keys: list[str], value: Column, column: str = "ts", size: str = WINDOW) -> DataFrame:
     """STM-01: count and mean per window and keys, with both ends of the window."""
     return (df.groupBy(F.window(column, size), *keys)
-            .agg(F.count(F.lit(1)).alias("n"), F.avg(value).alias("mean_value"))
+            .agg(F.count("*").alias("n"), F.avg(value).alias("mean_value"))
             .select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), *keys, "n", "mean_value"))
 
 
@@ -48,7 +48,7 @@ def salted(df: DataFrame, key: str, salts: int) -> DataFrame:
 def two_step_counts(df: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
     """STM-04: counts per key through a salted first step, for batches with a hot key."""
     first = (df.groupBy(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt"))
-             .agg(F.count(F.lit(1)).alias("_n")))
+             .agg(F.count("*").alias("_n")))
     return first.groupBy(*keys).agg(F.sum("_n").alias("n"))
 
 
@@ -59,4 +59,4 @@ def urgent(df: DataFrame, gene: str = "gene", genes: tuple[str, ...] = URGENT_GE
 
 def over_burden(df: DataFrame, key: str, limit: int = BURDEN_LIMIT) -> DataFrame:
     """STM-07: keys whose running event count is above the limit (update mode on a stream)."""
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > limit)
+    return df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > limit)

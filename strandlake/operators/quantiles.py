@@ -12,10 +12,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
 
     A mergeable sketch of fixed size brackets every wanted rank. One more pass counts the rows
     below each bracket and, per distinct value, inside it; only those few values are ordered.
-    The bracket is three times as wide as the sketch's stated rank error, so the ranks lie inside
-    it; should one not, the job fails instead of giving a near value.
+    The bracket is four times as wide as the sketch's stated rank error, and a group of at most
+    ``accuracy`` rows is its own bracket, so the ranks lie inside it; should one not, the job fails
+    instead of giving a near value.
     """
-    eps = 3.0 / accuracy
+    eps = 4.0 / accuracy
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
     lows = [max(0.0, p - eps) for p in probs]
     highs = [min(1.0, p + eps) for p in probs]
@@ -23,10 +24,11 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         F.percentile_approx("_v", lows, accuracy).alias("_lo"),
         F.percentile_approx("_v", highs, accuracy).alias("_hi"),
         F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.count("*").alias("_n"))
+    small = F.col("_n") <= accuracy
     bands = F.array(*[
         F.struct(F.lit(float(p)).alias("prob"),
-                 (F.col("_min") if lo == 0.0 else F.col("_lo")[i]).alias("a"),
-                 (F.col("_max") if hi == 1.0 else F.col("_hi")[i]).alias("b"))
+                 F.when(small | F.lit(lo == 0.0), F.col("_min")).otherwise(F.col("_lo")[i]).alias("a"),
+                 F.when(small | F.lit(hi == 1.0), F.col("_max")).otherwise(F.col("_hi")[i]).alias("b"))
         for i, (p, lo, hi) in enumerate(zip(probs, lows, highs))])
     sizes = sketch.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
     bands = sketch.select(*keys, bands.alias("_bands"))

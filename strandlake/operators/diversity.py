@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import ratio
+from strandlake.operators.joins import unordered_pairs
 from strandlake.operators.sampling import key_hash
 from strandlake.operators.windows import value_ranks
 
@@ -45,13 +46,12 @@ def beta_diversity(table: DataFrame) -> DataFrame:
     counts are aggregated first, and pairs without a shared taxon are added from the sample totals.
     """
     totals = table.filter(F.col("count") > 0).groupBy("sample").agg(F.sum("count").alias("n"), F.count("*").alias("s"))
-    a = totals.select(F.col("sample").alias("a"), F.col("n").alias("na"), F.col("s").alias("sa"))
-    b = totals.select(F.col("sample").alias("b"), F.col("n").alias("nb"), F.col("s").alias("sb"))
-    every = a.join(b, F.col("a") < F.col("b")).join(sample_pairs(table), ["a", "b"], "left")
+    every = unordered_pairs(totals, "sample").withColumnsRenamed({"sample_a": "a", "sample_b": "b"}).join(
+        sample_pairs(table), ["a", "b"], "left")
     low, shared = F.coalesce("low", F.lit(0)), F.coalesce("shared", F.lit(0))
     return every.select(
-        "a", "b", (F.lit(1.0) - ratio(low * 2, F.col("na") + F.col("nb"))).alias("bray_curtis"),
-        (F.lit(1.0) - ratio(shared, F.col("sa") + F.col("sb") - shared)).alias("jaccard"))
+        "a", "b", (F.lit(1.0) - ratio(low * 2, F.col("n_a") + F.col("n_b"))).alias("bray_curtis"),
+        (F.lit(1.0) - ratio(shared, F.col("s_a") + F.col("s_b") - shared)).alias("jaccard"))
 
 
 def _pseudo_f(pairs: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:

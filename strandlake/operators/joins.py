@@ -19,6 +19,19 @@ def join_with_counts(left: DataFrame, right: DataFrame, key: str, how: str, coun
     return left.join(right.groupBy(key).agg(*[c.alias(n) for n, c in counts.items()]), key, how)
 
 
+def unordered_pairs(df: DataFrame, key: str, blocks: int = 16) -> DataFrame:
+    """Every pair of rows with ``a < b`` by key, columns suffixed ``_a`` and ``_b``; for small sets whose pairs are the result.
+
+    The right side is cut into blocks and the left side repeated per block, so the pairs are made by an
+    equi-join spread over tasks instead of a product in one place.
+    """
+    left = df.withColumnsRenamed({c: f"{c}_a" for c in df.columns}).withColumn(
+        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
+    right = df.withColumnsRenamed({c: f"{c}_b" for c in df.columns}).withColumn(
+        "_block", F.pmod(F.xxhash64(f"{key}_b"), F.lit(blocks)))
+    return left.join(right, "_block").filter(F.col(f"{key}_a") < F.col(f"{key}_b")).drop("_block")
+
+
 def report_grid(facts: DataFrame, a: str, b: str, dims_a: DataFrame, dims_b: DataFrame) -> DataFrame:
     """JOIN-05: every combination of two dimension values with its count, 0 where none.
 

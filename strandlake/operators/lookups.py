@@ -70,7 +70,7 @@ def variant_type_pandas_udf():
     """UDF-02: vectorised form; works for any index of the batch."""
     @F.pandas_udf("string")
     def classify(ref: pd.Series, alt: pd.Series) -> pd.Series:
-        a, b = ref.str.len(), alt.str.len()
+        a, b = ref.str.len().astype(float), alt.str.len().astype(float)
         out = pd.Series("MNV", index=ref.index)
         out = out.mask(a < b, "insertion").mask(a > b, "deletion").mask((a == 1) & (b == 1), "SNV")
         return out.mask(ref.isna() | alt.isna(), "unknown")

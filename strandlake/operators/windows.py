@@ -20,13 +20,15 @@ from strandlake.session import checkpointed
 def top_n(df: DataFrame, keys: list[str], order: list, n: int, rank: str = "rn") -> DataFrame:
     """WIN-01, WIN-12: first n rows per key; ``order`` must end in a unique column."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+    return (df.withColumn(rank, F.row_number().over(w)).filter(F.col(rank) <= n)
+            .withColumn(rank, F.col(rank).cast("bigint")))
 
 
 def rank_at_most(df: DataFrame, keys: list[str], order: list, n: int, rank: str = "rnk") -> DataFrame:
     """WIN-02: rows whose rank (ties share it) is at most n."""
     w = Window.partitionBy(*keys).orderBy(*order)
-    return df.withColumn(rank, F.rank().over(w)).filter(F.col(rank) <= n)
+    return (df.withColumn(rank, F.rank().over(w)).filter(F.col(rank) <= n)
+            .withColumn(rank, F.col(rank).cast("bigint")))
 
 
 def running(df: DataFrame, keys: list[str], order: list[str], block: Column,

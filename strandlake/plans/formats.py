@@ -10,7 +10,7 @@ from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 from strandlake.plans.scalars import SEQ_SQL, qual_of, seq_of
 from strandlake.sources import genomics as g
-from strandlake.session import spread
+from strandlake.session import scratch_path, spread
 from strandlake.sources import sinks, tabular
 
 NAMES = [*g.VCF_COLUMNS, "FORMAT", "S1"]
@@ -128,3 +128,47 @@ def _(t):
     tabular.client_table(t.spark, [("F", "final"), ("O", "open")], "client_status", "code string, label string")
     return t.spark.sql("SELECT label, count(*) AS n FROM {orders} JOIN client_status ON o_orderstatus = code GROUP BY 1",
                        orders=t.orders)
+
+
+@query("partitioned_round_trip", "SNK-03 SRC-08", """
+SELECT o_orderpriority, count(*) AS n, min(o_orderkey) AS lo FROM orders WHERE o_orderstatus = 'F' GROUP BY 1""")
+def _(t):
+    path = scratch_path(t.spark, "partitioned")
+    sinks.write_partitioned(t.orders, path, ["o_orderstatus"], files_per_key=4)
+    back = tabular.read_partitioned(t.spark, path)
+    return (back.filter(F.col("o_orderstatus") == "F").groupBy("o_orderpriority")
+            .agg(F.count("*").alias("n"), F.min("o_orderkey").alias("lo")))
+
+
+@query("csv_round_trip", "SRC-01 SRC-07 SNK-02 SNK-07", """
+SELECT c_mktsegment, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance FROM customer
+WHERE c_acctbal > 100 GROUP BY 1""")
+def _(t):
+    path = scratch_path(t.spark, "customers")
+    sinks.write_delimited(t.customer, path)
+    schema = "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    text = """SELECT c_mktsegment, count(*) AS n, CAST(sum(CAST(c_acctbal AS DECIMAL(18,2))) AS DOUBLE) AS balance
+              FROM {file} WHERE c_acctbal > :least GROUP BY c_mktsegment"""
+    return tabular.query_csv(t.spark, path, text, schema, {"least": 100})
+
+
+@query("interval_file_round_trip", "SRC-02 SRC-09 SNK-02", """
+SELECT 'chr' || (p_partkey % 25) AS chrom, count(*) AS n, sum(p_size)::BIGINT AS bases FROM part GROUP BY 1""")
+def _(t):
+    path = scratch_path(t.spark, "genes")
+    key, size = F.col("p_partkey"), F.col("p_size")
+    lines = t.part.select(F.concat_ws("\t", F.concat(F.lit("chr"), (key % 25).cast("string")), (key * 3).cast("string"),
+                                      (key * 3 + size).cast("string"), F.concat(F.lit("g"), key.cast("string")), F.lit("+")).alias("value"))
+    sinks.write_text(lines, path)
+    return (tabular.read_bed(t.spark, path).groupBy("chrom")
+            .agg(F.count("*").alias("n"), F.sum(F.col("end") - F.col("start")).alias("bases")))
+
+
+@query("compacted_table", "SNK-01 SNK-09", """
+SELECT l_returnflag, count(*) AS n, sum(l_quantity) AS depth FROM lineitem GROUP BY 1""")
+def _(t):
+    small, large = scratch_path(t.spark, "many-files"), scratch_path(t.spark, "few-files")
+    sinks.write_parquet(t.lineitem.repartition(16), small, sort_by=["l_suppkey", "l_partkey"])
+    sinks.compact(t.spark, small, large)
+    return (tabular.read_parquet(t.spark, large).groupBy("l_returnflag")
+            .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("depth")))

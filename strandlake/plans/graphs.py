@@ -12,18 +12,17 @@ from strandlake.plans.registry import query
 
 
 
-def links(t, least: float = 0.0):
-    """Part of line n to part of line n+1 of the same order; ``least`` thins the graph by quantity."""
-    lines = t.lineitem.filter(F.col("l_quantity") >= least).select("l_orderkey", "l_linenumber", "l_partkey")
+def links(t):
+    """Part of line n to part of line n+1 of the same order."""
+    lines = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey")
     after = lines.select("l_orderkey", (F.col("l_linenumber") - 1).alias("l_linenumber"), F.col("l_partkey").alias("dst"))
     pairs = lines.withColumnRenamed("l_partkey", "src").join(after, ["l_orderkey", "l_linenumber"])
     return g.build_edges(pairs.filter(F.col("src") != F.col("dst")))
 
 
-def edges_sql(least=0):
-    return f"""e AS (SELECT a.l_partkey AS src, b.l_partkey AS dst, count(*) AS weight FROM lineitem a JOIN lineitem b
-      ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 AND a.l_partkey <> b.l_partkey
-      WHERE a.l_quantity >= {least} AND b.l_quantity >= {least} GROUP BY 1, 2)"""
+def edges_sql():
+    return """e AS (SELECT a.l_partkey AS src, b.l_partkey AS dst, count(*) AS weight FROM lineitem a JOIN lineitem b
+      ON a.l_orderkey = b.l_orderkey AND b.l_linenumber = a.l_linenumber + 1 AND a.l_partkey <> b.l_partkey GROUP BY 1, 2)"""
 
 
 NODES = "n AS (SELECT DISTINCT id FROM (SELECT src AS id FROM e UNION ALL SELECT dst FROM e))"
@@ -46,7 +45,7 @@ def pagerank_sql(rounds):
     steps = [f"""r{i + 1} AS (SELECT n.id, 0.15::DOUBLE / s.n + 0.85::DOUBLE * (coalesce(f.x, 0) + (SELECT coalesce(sum(v), 0) FROM r{i} WHERE id NOT IN (SELECT src FROM e)) / s.n) AS v
       FROM n CROSS JOIN s LEFT JOIN (SELECT p.dst AS id, sum(r.v * p.p) AS x FROM p JOIN r{i} r ON r.id = p.src GROUP BY 1) f ON f.id = n.id)"""
              for i in range(rounds)]
-    return f"""WITH {edges_sql(40)}, {NODES}, s AS (SELECT count(*)::DOUBLE AS n FROM n),
+    return f"""WITH {edges_sql()}, {NODES}, s AS (SELECT count(*)::DOUBLE AS n FROM n),
       p AS (SELECT src, dst, weight::DOUBLE / sum(weight) OVER (PARTITION BY src)::DOUBLE AS p FROM e),
       r0 AS (SELECT id, 1.0::DOUBLE / s.n AS v FROM n, s), {', '.join(steps)}
       SELECT id, {HU('v', 9)} AS rank FROM r{rounds}"""
@@ -54,11 +53,11 @@ def pagerank_sql(rounds):
 
 @query("pagerank", "GRF-03", pagerank_sql(8))
 def _(t):
-    return g.pagerank(links(t, 40), rounds=8).select("id", half_up(F.col("rank"), 9).alias("rank"))
+    return g.pagerank(links(t), rounds=8).select("id", half_up(F.col("rank"), 9).alias("rank"))
 
 
 @query("random_walk", "GRF-04", f"""
-WITH {edges_sql(40)}, p AS (SELECT src, dst, weight::DOUBLE / sum(weight) OVER (PARTITION BY src)::DOUBLE AS p FROM e),
+WITH {edges_sql()}, p AS (SELECT src, dst, weight::DOUBLE / sum(weight) OVER (PARTITION BY src)::DOUBLE AS p FROM e),
  w0 AS (SELECT p_partkey AS start, p_partkey AS id, 1.0::DOUBLE AS v FROM part WHERE p_size = 50 AND p_type = 'PROMO'),
  w1 AS (SELECT start, dst AS id, sum(v * p) AS v FROM w0 JOIN p ON id = src GROUP BY 1, 2),
  w2 AS (SELECT start, dst AS id, sum(v * p) AS v FROM w1 JOIN p ON id = src GROUP BY 1, 2),
@@ -66,7 +65,7 @@ WITH {edges_sql(40)}, p AS (SELECT src, dst, weight::DOUBLE / sum(weight) OVER (
 SELECT start, id, {HU('v', 9)} AS probability FROM w3""")
 def _(t):
     start = t.part.filter((F.col("p_size") == 50) & (F.col("p_type") == "PROMO")).select(F.col("p_partkey").alias("id"))
-    return g.random_walk(links(t, 40), start, 3).withColumn("probability", half_up(F.col("probability"), 9))
+    return g.random_walk(links(t), start, 3).withColumn("probability", half_up(F.col("probability"), 9))
 
 
 @query("ffl_count", "GRF-05", f"""
@@ -77,10 +76,10 @@ def _(t):
 
 
 @query("hub_counts", "GRF-05", f"""
-WITH {edges_sql(40)} SELECT (SELECT count(*) FROM (SELECT src FROM e GROUP BY 1 HAVING count(*) >= 5)) AS divergence,
+WITH {edges_sql()} SELECT (SELECT count(*) FROM (SELECT src FROM e GROUP BY 1 HAVING count(*) >= 5)) AS divergence,
   (SELECT count(*) FROM (SELECT dst FROM e GROUP BY 1 HAVING count(*) >= 5)) AS convergence""")
 def _(t):
-    return g.hub_counts(links(t, 40), 5)
+    return g.hub_counts(links(t), 5)
 
 
 @query("reciprocity", "GRF-05 GRF-06", f"""
@@ -90,23 +89,29 @@ def _(t):
     return g.reciprocity(links(t))
 
 
-COMPONENTS = f"""WITH RECURSIVE {edges_sql(46)}, {NODES}, u AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
-  reach(id, r) AS (SELECT id, id FROM n UNION SELECT reach.id, u.b FROM reach JOIN u ON u.a = reach.r),
-  c AS (SELECT id, min(r) AS component FROM reach GROUP BY 1)"""
+def components_sql(rounds=24):
+    """Smallest label passed on round by round; the graph's diameter is far below the number of rounds."""
+    steps = [f"""c{i + 1} AS (SELECT y.id, least(any_value(y.l), min(x.l)) AS l FROM c{i} y JOIN u ON u.a = y.id
+      JOIN c{i} x ON x.id = u.b GROUP BY y.id)""" for i in range(rounds)]
+    return f"""WITH {edges_sql()}, {NODES}, u AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
+      c0 AS (SELECT id, id AS l FROM n), {', '.join(steps)}, c AS (SELECT id, l AS component FROM c{rounds})"""
+
+
+COMPONENTS = components_sql()
 
 
 @query("components", "GRF-07", COMPONENTS + " SELECT id, component FROM c")
 def _(t):
-    return g.components(links(t, 46))
+    return g.components(links(t))
 
 
 @query("largest_component", "GRF-07", COMPONENTS + " SELECT component, count(*) AS size FROM c GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1")
 def _(t):
-    return g.largest_component(g.components(links(t, 46)))
+    return g.largest_component(g.components(links(t)))
 
 
 @query("clustering", "GRF-08", f"""
-WITH {edges_sql(25)}, {NODES}, u AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
+WITH {edges_sql()}, {NODES}, u AS (SELECT src AS a, dst AS b FROM e UNION SELECT dst, src FROM e),
   k AS (SELECT a AS id, count(*) AS k FROM u GROUP BY 1), s AS (SELECT a, b, (SELECT count(*) FROM e WHERE (src = a AND dst = b) OR (src = b AND dst = a)) AS s FROM u),
   tt AS (SELECT x.a AS id, count(*) AS t2, sum(x.s * y.s * z.s) AS dt2 FROM s x JOIN s y ON y.a = x.b JOIN s z ON z.a = y.b AND z.b = x.a GROUP BY 1),
   d AS (SELECT a AS id, sum(s) AS total, count(*) FILTER (s = 2) AS bi FROM s GROUP BY 1)
@@ -114,17 +119,18 @@ SELECT n.id, {HU('coalesce(t2::DOUBLE / nullif(k * (k - 1), 0), 0)', 9)} AS clus
   {HU('coalesce((dt2 / 2)::DOUBLE / nullif(total * (total - 1) - bi * 2, 0), 0)', 9)} AS directed_clustering
 FROM n LEFT JOIN k USING (id) LEFT JOIN tt USING (id) LEFT JOIN d USING (id)""")
 def _(t):
-    out = g.clustering(links(t, 25))
+    out = g.clustering(links(t))
     return out.withColumns({c: half_up(F.col(c), 9) for c in ("clustering", "directed_clustering")})
 
 
 @query("bfs_layers", "GRF-09", f"""
-WITH RECURSIVE {edges_sql(47)}, {NODES}, s AS (SELECT id FROM n WHERE id NOT IN (SELECT dst FROM e)),
+WITH RECURSIVE {edges_sql()}, {NODES}, z AS (SELECT id FROM n WHERE id NOT IN (SELECT dst FROM e)),
+  s AS (SELECT id FROM z UNION ALL SELECT src FROM (SELECT src, count(*) AS o FROM e GROUP BY 1 ORDER BY o DESC, src LIMIT 1) WHERE (SELECT count(*) FROM z) = 0),
   walk(source, id, depth) AS (SELECT id, id, 0 FROM s UNION SELECT source, e.dst, depth + 1 FROM walk JOIN e ON e.src = walk.id WHERE depth < 25),
   b AS (SELECT source, id, min(depth) AS d FROM walk GROUP BY 1, 2), l AS (SELECT id, max(d) AS layer FROM b GROUP BY 1)
 SELECT n.id, coalesce(layer, 0)::INT AS layer FROM n LEFT JOIN l USING (id)""")
 def _(t):
-    return g.layers(links(t, 47))
+    return g.layers(links(t))
 
 
 def sites(t):

@@ -196,17 +196,12 @@ def _(t):
 @query("hamming_pairs", "SEQ-14 SEQ-17", """
 WITH b AS (SELECT item_id, regexp_replace(lower(text), '[^a-z]', '', 'g') AS s FROM benchmark),
      p AS (SELECT a.item_id AS a, b.item_id AS b, a.s AS x, b.s AS y, least(length(a.s), length(b.s)) AS n
-           FROM b a JOIN b b ON a.item_id < b.item_id AND a.item_id % 20 = b.item_id % 20),
+           FROM b a JOIN b b ON a.item_id < b.item_id),
      m AS (SELECT a, b, n, len(list_filter(range(1, n + 1), lambda i: x[i] <> y[i])) AS d FROM p)
 SELECT a, b, n AS shared, """ + HU("d::DOUBLE / n", 9) + """ AS p_distance FROM m""")
 def _(t):
-    s = t.benchmark.select("item_id", F.regexp_replace(F.lower("text"), "[^a-z]", "").alias("s"))
-    a = s.select(F.col("item_id").alias("a"), F.col("s").alias("x"), (F.col("item_id") % 20).alias("g"))
-    b = s.select(F.col("item_id").alias("b"), F.col("s").alias("y"), (F.col("item_id") % 20).alias("g"))
-    x, y = F.col("x"), F.col("y")
-    return (a.join(b, "g").filter(F.col("a") < F.col("b"))
-            .select("a", "b", F.least(F.length(x), F.length(y)).cast("bigint").alias("shared"),
-                    half_up(sequence.p_distance(x, y), 9).alias("p_distance")))
+    s = spread(t.benchmark).select("item_id", F.regexp_replace(F.lower("text"), "[^a-z]+", "").alias("s"))
+    return sequences.pairwise_p_distance(s, "item_id", "s").withColumn("p_distance", half_up(F.col("p_distance"), 9))
 
 
 @query("open_reading_frames", "SEQ-16", f"""
@@ -328,3 +323,11 @@ def _(t):
 SELECT p_brand, CASE WHEN count(*) = 1 THEN min(p_partkey) END AS only_part FROM part WHERE p_size >= 49 GROUP BY 1""")
 def _(t):
     return lookups.single_or_null(t.part.filter(F.col("p_size") >= 49), ["p_brand"], "p_partkey", "only_part")
+
+
+@query("variant_types_vectorised", "UDF-02", """
+SELECT CASE WHEN length(p_brand) = 7 AND length(p_type) = 5 THEN 'deletion' WHEN length(p_brand) < length(p_type) THEN 'insertion'
+            WHEN length(p_brand) > length(p_type) THEN 'deletion' ELSE 'MNV' END AS kind, count(*) AS n FROM part GROUP BY 1""")
+def _(t):
+    kind = lookups.variant_type_pandas_udf()(F.col("p_brand"), F.col("p_type"))
+    return t.part.select(kind.alias("kind")).groupBy("kind").agg(F.count("*").alias("n"))

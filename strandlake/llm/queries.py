@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from strandlake.llm.base import prepare
 from strandlake.llm.bpe import encode_decode
+from strandlake.llm.compression_rules import quality
 from strandlake.llm.line_dedup import line_decisions
 from strandlake.llm.mixing import mix
+from strandlake.llm.rabitq import nearest_neighbours
 from strandlake.llm.simhash import simhash_components
+from strandlake.llm.suffix_dedup import remove_repeats
+from strandlake.llm.token_cache import count_tokens
+from strandlake.llm.token_files import token_files_round_trip
 from strandlake.llm.toxicity import toxicity_scores
 
 
@@ -31,12 +36,34 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op3_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 nearest of every 20th vector by inner product."""
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+
+
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(_table(spark, sf_dir, "documents"))
+
+
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files_round_trip(_table(spark, sf_dir, "documents"))
+
+
+def op6_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality(_table(spark, sf_dir, "documents"))
+
+
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as often as the mix reads it, with its pass and its block's place in the pass."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
     return mix(docs, copy="copy", place="place").select("doc_id", "source", "copy", "place")
 
 
+def op8_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all documents, from a cache that is new at each call, so every distinct text is a miss."""
+    return count_tokens(_table(spark, sf_dir, "documents"))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -54,7 +81,12 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_line_dedup": op1_line_dedup,
     "op2_simhash": op2_simhash,
+    "op3_rotated_codes": op3_rotated_codes,
+    "op4_suffix_dedup": op4_suffix_dedup,
+    "op5_token_files": op5_token_files,
+    "op6_compression_rules": op6_compression_rules,
     "op7_mixing": op7_mixing,
+    "op8_token_cache": op8_token_cache,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
     "pipeline": pipeline,

@@ -51,7 +51,7 @@ def _bands(lines: list[str]) -> np.ndarray:
     ends = np.cumsum(lengths)
     begin = ends - lengths
     value = np.zeros(len(points), np.uint64)
-    for k in range(WIDTH):  # a window that runs past its line is not looked at below
+    for k in range(min(WIDTH, len(points))):  # a window that runs past its line is not looked at below
         value[: len(points) - k] = (value[: len(points) - k] + points[k:]) * _MIX
         value ^= value >> np.uint64(29)
     for i in np.flatnonzero(lengths < WIDTH).tolist():

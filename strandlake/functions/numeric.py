@@ -6,17 +6,17 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def fixed(col, scale: int = 2, digits: int = 18) -> Column:
-    """Fixed-point form of a double column, so that sums are exact in any order."""
+def fixed(col, scale: int, digits: int = 18) -> Column:
+    """Fixed-point form of a double column that holds ``scale`` decimals, so that sums are exact in any order."""
     return F.col(col).cast(f"decimal({digits},{scale})") if isinstance(col, str) else col.cast(
         f"decimal({digits},{scale})")
 
 
-def exact_sum(col, scale: int = 2) -> Column:
+def exact_sum(col, scale: int) -> Column:
     return F.sum(fixed(col, scale)).cast("double")
 
 
-def exact_mean(col, scale: int = 2) -> Column:
+def exact_mean(col, scale: int) -> Column:
     """Mean over non-null values; NULL for an empty group."""
     value = fixed(col, scale)
     return F.try_divide(F.sum(value).cast("double"), F.count(value))

@@ -11,8 +11,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.functions.numeric import exact_mean, log2_fold, percent, ratio
-from strandlake.session import checkpointed
+from strandlake.functions.numeric import log2_fold, percent, ratio
+from strandlake.session import checkpointed, join_back
 
 
 def pass_counts(df: DataFrame, rules: dict[str, Column]) -> DataFrame:
@@ -54,7 +54,7 @@ def mode_per_group(df: DataFrame, keys: list[str], value: str) -> DataFrame:
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("n"))
     top = counts.groupBy(*keys).agg(F.max("n").alias("n"))
-    return (counts.join(top, [*keys, "n"]).groupBy(*keys)
+    return (join_back(counts, top, [*keys, "n"]).groupBy(*keys)
             .agg(F.min(value).alias("mode"), F.first("n").alias("n")))
 
 
@@ -65,15 +65,18 @@ def share_within(df: DataFrame, keys: list[str], within: list[str]) -> DataFrame
 
 
 def signal_sum(df: DataFrame, keys: list[str], depth: Column, frequency: Column) -> DataFrame:
-    """AGG-34: sum of depth times frequency in exact decimals."""
-    product = depth.cast("decimal(12,2)") * frequency.cast("decimal(8,4)")
+    """AGG-34: sum of depth times frequency, of the values as they are.
+
+    Pass decimal columns where the sum has to be the same in any order.
+    """
+    product = depth * frequency
     return df.groupBy(*keys).agg(F.sum(product).cast("double").alias("signal"))
 
 
 def fold_change(df: DataFrame, key: str, value: str, condition: str, treated, control) -> DataFrame:
-    """AGG-06, AGG-30: means under two conditions, delta, fold change and its log2."""
-    t = exact_mean(F.when(F.col(condition) == treated, F.col(value)))
-    c = exact_mean(F.when(F.col(condition) == control, F.col(value)))
+    """AGG-06, AGG-30: means under two conditions, delta, fold change and its log2; nothing is rounded."""
+    t = F.avg(F.when(F.col(condition) == treated, F.col(value)))
+    c = F.avg(F.when(F.col(condition) == control, F.col(value)))
     return (df.groupBy(key).agg(t.alias("mean_treated"), c.alias("mean_control"))
             .withColumns({"delta": F.col("mean_treated") - F.col("mean_control"),
                           "fold_change": ratio(F.col("mean_treated"), F.col("mean_control")),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -49,26 +51,34 @@ def transitions(edges: DataFrame) -> DataFrame:
     return edges.join(totals, "src").select("src", "dst", ratio(F.col("weight"), F.col("_w")).alias("p"))
 
 
-def pagerank(edges: DataFrame, nodes: DataFrame | None = None, alpha: float = 0.85, rounds: int = 20) -> DataFrame:
+def pagerank(edges: DataFrame, nodes: DataFrame | None = None, alpha: float = 0.85, tolerance: float = 1e-6,
+             max_rounds: int = 100) -> DataFrame:
     """GRF-03: weighted PageRank; the rank of nodes without out-edges is spread over all nodes.
 
+    Rounds go on until the ranks change by less than ``tolerance`` per node in all; an error after ``max_rounds``.
+
     A round is one join, one partial aggregate and one checkpoint of (id, rank). Where ranks are too
     large to broadcast, the shuffled join splits the edges of a hub over tasks at run time.
     """
     steps = checkpointed(transitions(edges))
     ids = checkpointed(nodes if nodes is not None else nodes_of(edges))
     n = ids.count()
+    if not n:
+        return ids.withColumn("rank", F.lit(0.0))
     ranks = ids.withColumn("rank", F.lit(1.0 / n))
-    for _ in range(rounds):
+    for _ in range(max_rounds):
         flow = (ranks.join(steps, ranks["id"] == steps["src"]).groupBy(F.col("dst").alias("id"))
                 .agg(F.sum(F.col("rank") * F.col("p")).alias("_in")))
         # All rank that did not flow along an edge sat on nodes without out-edges.
-        held = ids.join(flow, "id", "left").select("id", F.coalesce("_in", F.lit(0.0)).alias("_in"))
+        held = ranks.join(flow, "id", "left").select("id", F.col("rank").alias("_old"), F.coalesce("_in", F.lit(0.0)).alias("_in"))
         held = checkpointed(held)
         moved = held.agg(F.sum("_in")).first()[0]
-        ranks = held.select("id", (F.lit((1.0 - alpha) / n + alpha * (1.0 - moved) / n)
-                                   + F.lit(alpha) * F.col("_in")).alias("rank"))
-    return ranks
+        new = F.lit((1.0 - alpha) / n + alpha * (1.0 - moved) / n) + F.lit(alpha) * F.col("_in")
+        change = held.agg(F.sum(F.abs(new - F.col("_old")))).first()[0]
+        ranks = held.select("id", new.alias("rank"))
+        if change < n * tolerance:
+            return ranks
+    raise RuntimeError("ranks did not settle; raise max_rounds")
 
 
 def random_walk(edges: DataFrame, start: DataFrame, steps: int = 5) -> DataFrame:
@@ -151,7 +161,7 @@ def clustering(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
         F.coalesce(ratio(F.col("dt"), total * (total - 1) - F.col("both") * 2), zero).alias("directed_clustering"))
 
 
-def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """GRF-07: (id, component), the component named by its smallest node.
 
     Alternating large-star and small-star steps: every node links its neighbours to the least node it
@@ -161,7 +171,7 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
     links = checkpointed(edges.filter(F.col("src") != F.col("dst")).select(
         F.greatest("src", "dst").alias("u"), F.least("src", "dst").alias("v")).distinct())
     before = None
-    for _ in range(max_rounds):
+    while True:  # every round but the last lowers some label, so this ends
         both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
         large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
@@ -174,8 +184,6 @@ def components(edges: DataFrame, nodes: DataFrame | None = None, max_rounds: int
         if state == before:
             break
         before = state
-    else:
-        raise RuntimeError("components did not settle")
     ids = nodes if nodes is not None else nodes_of(edges)
     return ids.join(links.select(F.col("u").alias("id"), "v"), "id", "left").select(
         "id", F.coalesce("v", "id").alias("component"))
@@ -187,7 +195,7 @@ def largest_component(labels: DataFrame) -> DataFrame:
             .orderBy(F.desc("size"), "component").limit(1))
 
 
-def layers(edges: DataFrame, nodes: DataFrame | None = None, max_depth: int = 50) -> DataFrame:
+def layers(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """GRF-09: per node the greatest, over source nodes, of its distance from the source; 0 when unreached.
 
     Sources have no in-edges; without any, the node of most out-edges (smallest id on a tie) is the source.
@@ -201,7 +209,7 @@ def layers(edges: DataFrame, nodes: DataFrame | None = None, max_depth: int = 50
         sources = d.orderBy(F.desc("out_degree"), "id").limit(1).select("id")
     frontier = checkpointed(sources.select(F.col("id").alias("source"), "id", F.lit(0).alias("depth")))
     reached = frontier
-    for depth in range(1, max_depth + 1):
+    for depth in itertools.count(1):  # ends when nothing new is reached
         step = (frontier.join(plain, frontier["id"] == plain["src"])
                 .select("source", F.col("dst").alias("id")).distinct()
                 .join(reached.select("source", "id"), ["source", "id"], "left_anti")
@@ -212,14 +220,12 @@ def layers(edges: DataFrame, nodes: DataFrame | None = None, max_depth: int = 50
         reached = reached.unionByName(frontier)
         if depth % 8 == 0:
             reached = checkpointed(reached)
-    else:
-        raise RuntimeError("greatest depth reached; raise max_depth")
     best = reached.groupBy("id").agg(F.max("depth").alias("layer"))
     return ids.join(best, "id", "left").select("id", F.coalesce("layer", F.lit(0)).alias("layer"))
 
 
 def match_nodes(found: DataFrame, truth: DataFrame, limit: float) -> DataFrame:
-    """GRF-10: each detected node claims its nearest true node; the nearest claimant within the limit gets it.
+    """GRF-10: each detected node claims its nearest true node; the nearest claimant below the limit gets it.
 
     Both tables hold (id, x, y). Candidates come from grid cells as wide as the limit.
     """
@@ -232,7 +238,7 @@ def match_nodes(found: DataFrame, truth: DataFrame, limit: float) -> DataFrame:
               .select("f", "fx", "fy", (F.col("px") + F.col("dx")).alias("cx"), (F.col("py") + F.col("dy")).alias("cy")))
     sites = truth.select(F.col("id").alias("t"), "x", "y", cell("x").alias("cx"), cell("y").alias("cy"))
     distance = F.sqrt(F.pow(F.col("fx") - F.col("x"), 2) + F.pow(F.col("fy") - F.col("y"), 2))
-    nearest = (spread.join(sites, ["cx", "cy"]).select("f", "t", distance.alias("d")).filter(F.col("d") <= limit)
+    nearest = (spread.join(sites, ["cx", "cy"]).select("f", "t", distance.alias("d")).filter(F.col("d") < limit)
                .groupBy("f").agg(F.min(F.struct("d", "t")).alias("b")).select("f", F.col("b.t").alias("t"), F.col("b.d").alias("d")))
     return nearest.groupBy("t").agg(F.min(F.struct("d", "f")).alias("b")).select(
         F.col("b.f").alias("found_id"), F.col("t").alias("true_id"))

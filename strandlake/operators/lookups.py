@@ -7,7 +7,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from strandlake.functions.clinical import mapping_rate
-from strandlake.functions.numeric import exact_mean
 
 
 def mapping_rates(runs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -25,7 +24,7 @@ def entity_report(df: DataFrame, key: str, entity, value: str, low: float, high:
 def entity_summaries(entities: DataFrame, rows: DataFrame, key: str, value: str) -> DataFrame:
     """UDF-07, UDF-08: count, least, mean and greatest per entity, from one grouping."""
     stats = rows.groupBy(key).agg(F.count("*").alias("n"), F.min(value).alias("lowest"),
-                                  exact_mean(value).alias("mean"), F.max(value).alias("highest"))
+                                  F.avg(value).alias("mean"), F.max(value).alias("highest"))
     return entities.join(stats, key, "left")
 
 

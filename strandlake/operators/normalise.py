@@ -12,13 +12,13 @@ from pyspark.sql import functions as F
 from strandlake.functions.numeric import ratio
 from strandlake.operators.quantiles import exact_medians
 from strandlake.operators.windows import running, value_ranks
-from strandlake.session import checkpointed
+from strandlake.session import checkpointed, join_back
 
 
 def batch_centred(df: DataFrame, batch: str, feature: str, value: str) -> DataFrame:
     """FEA-14: value minus its batch mean, per feature."""
     means = df.groupBy(batch, feature).agg(F.avg(value).alias("_m"))
-    return df.join(means, [batch, feature]).withColumn("corrected", F.col(value) - F.col("_m")).drop("_m")
+    return join_back(df, means, [batch, feature]).withColumn("corrected", F.col(value) - F.col("_m")).drop("_m")
 
 
 def batch_factors(df: DataFrame, batch: str, value: Column) -> DataFrame:
@@ -56,14 +56,14 @@ def quantile_normalised(df: DataFrame, sample: str, value: str) -> DataFrame:
                       F.floor(F.col("_rank") / 65536), {"_sum": F.col("_step")})
     means = profile.select("_rank", (F.col("_sum").cast("double") / samples).alias("normalised"))
     own = ranks.select(sample, value, first.alias("_rank")).join(means, "_rank").drop("_rank")
-    return df.join(own, [sample, value])
+    return join_back(df, own, [sample, value])
 
 
 def median_normalised(df: DataFrame, sample: str, value: str) -> DataFrame:
     """FEA-17: value over the sample's exact median; a median of 0 counts as 1."""
     medians = exact_medians(df, [sample], value)
     divisor = F.when(F.col("median") == 0, 1.0).otherwise(F.col("median"))
-    return df.join(medians, sample).withColumn("normalised", F.col(value) / divisor).drop("median")
+    return join_back(df, medians, [sample]).withColumn("normalised", F.col(value) / divisor).drop("median")
 
 
 def gc_corrected(df: DataFrame, sample: str, gc: str, value: str) -> DataFrame:
@@ -71,7 +71,7 @@ def gc_corrected(df: DataFrame, sample: str, gc: str, value: str) -> DataFrame:
     fits = df.groupBy(sample).agg(F.regr_slope(value, gc).alias("_a"), F.regr_intercept(value, gc).alias("_b"),
                                   F.avg(value).alias("_m"))
     trend = F.col("_a") * F.col(gc) + F.col("_b")
-    return (df.join(fits, sample)
+    return (join_back(df, fits, [sample])
             .withColumn("corrected", F.greatest(F.col(value) - trend + F.col("_m"), F.lit(0.0))).drop("_a", "_b", "_m"))
 
 
@@ -109,7 +109,7 @@ def mappability_corrected(df: DataFrame, track: DataFrame, sample: str, bin_col:
 def bin_zscores(df: DataFrame, bin_col: str, value: str) -> DataFrame:
     """FEA-20: z-score across the cohort per bin, population std plus 1e-8."""
     stats = df.groupBy(bin_col).agg(F.avg(value).alias("_m"), F.stddev_pop(value).alias("_s"))
-    return df.join(stats, bin_col).withColumn(
+    return join_back(df, stats, [bin_col]).withColumn(
         "z_score", (F.col(value) - F.col("_m")) / (F.col("_s") + F.lit(1e-8))).drop("_m", "_s")
 
 
@@ -118,6 +118,6 @@ def tpm(counts: DataFrame, lengths: DataFrame, sample: str, gene: str, count: st
     rate = counts.join(lengths.select(gene, length_kb), gene, "left").withColumn(
         "_rate", F.col(count) / F.coalesce(F.col(length_kb), F.lit(1.0)))
     totals = rate.groupBy(sample).agg(F.sum("_rate").alias("_total"))
-    return (rate.join(totals, sample)
+    return (join_back(rate, totals, [sample])
             .withColumn("tpm", F.coalesce(ratio(F.col("_rate"), F.col("_total")) * F.lit(1e6), F.lit(0.0)))
             .drop("_rate", "_total", length_kb))

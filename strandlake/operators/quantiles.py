@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from strandlake.session import join_back
+
 
 def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
                     accuracy: int = 10000) -> DataFrame:
@@ -32,7 +34,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         for i, (p, lo, hi) in enumerate(zip(probs, lows, highs))])
     sizes = sketch.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
     bands = sketch.select(*keys, bands.alias("_bands"))
-    tagged = _attach(rows, bands, keys).select(*keys, "_v", F.explode("_bands").alias("_band"))
+    tagged = join_back(rows, bands, keys).select(*keys, "_v", F.explode("_bands").alias("_band"))
     # A value below the bracket is only counted; a value inside keeps its identity.
     inside = tagged.filter(F.col("_v") <= F.col("_band.b")).select(
         *keys, F.col("_band.prob").alias("prob"),
@@ -40,7 +42,7 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     counts = inside.groupBy(*keys, "prob", "_v").agg(F.count("*").alias("_c"))
     order = Window.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first())
     upto = counts.withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
-    ranked = _attach(upto.filter(F.col("_v").isNotNull()), sizes, [*keys, "prob"])
+    ranked = join_back(upto.filter(F.col("_v").isNotNull()), sizes, [*keys, "prob"])
     position = (F.col("_n") - 1) * F.col("prob")
     lower, upper = F.floor(position) + 1, F.ceil(position) + 1
 
@@ -70,8 +72,3 @@ def counted_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[fl
     """Exact quantiles of a value with few distinct values (scores, flags), from its counts."""
     counts = df.filter(F.col(value).isNotNull()).groupBy(*keys, value).agg(F.count("*").alias("_c"))
     return counts.groupBy(*keys).agg(F.percentile(value, probs, F.col("_c")).alias("quantiles"))
-
-
-def _attach(rows: DataFrame, params: DataFrame, keys: list[str]) -> DataFrame:
-    """Join per-key parameters; without keys the parameters are one row, broadcast by its known size."""
-    return rows.join(params, keys) if keys else rows.join(F.broadcast(params))

@@ -8,11 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.clinical import first_match
+from strandlake.session import join_back
 
 
-def bernoulli(df: DataFrame, fraction: float, seed: int) -> DataFrame:
-    """SMP-01."""
-    return df.sample(False, fraction, seed)
+def bernoulli(df: DataFrame, keys: list[str], fraction: float, seed: int) -> DataFrame:
+    """SMP-01: each key with the given chance, by its seeded hash; any partitioning gives the same rows."""
+    share = F.conv(F.substring(key_hash(keys, seed), 1, 8), 16, 10).cast("bigint")
+    return df.filter(share < int(fraction * 2 ** 32))
 
 
 def key_hash(keys: list[str], seed: int) -> Column:
@@ -47,7 +49,7 @@ def stratified_split(df: DataFrame, keys: list[str], strata: list[str], shares:
         *strata, "_block", F.sum("_c").over(per).alias("_n"),
         (F.sum("_c").over(per.orderBy("_block")) - F.col("_c")).alias("_before"))
     inside = Window.partitionBy(*strata, "_block").orderBy("_h", *keys)
-    placed = (hashed.join(before, [*strata, "_block"])
+    placed = (join_back(hashed, before, [*strata, "_block"])
               .withColumn("_rank", F.row_number().over(inside) + F.col("_before")))
     arms = [(F.col("_rank") <= F.floor(F.col("_n") * F.lit(upto) + 0.5), name)
             for name, upto in _upper_ends(shares)[:-1]]

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import ratio
 from strandlake.operators.quantiles import exact_quantiles
-from strandlake.session import checkpointed
+from strandlake.session import checkpointed, join_back
 
 
 def top_n(df: DataFrame, keys: list[str], order: list, n: int, rank: str = "rn") -> DataFrame:
@@ -44,7 +44,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], block: Column,
         F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums])
     inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumns({f"_s_{n}": F.sum(f"_x_{n}").over(inside) for n in sums})
-    joined = local.join(offsets, [*keys, "_block"])
+    joined = join_back(local, offsets, [*keys, "_block"])
     return joined.select(*df.columns, *[(F.col(f"_s_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums])
 
 
@@ -59,7 +59,7 @@ def _neighbour(df, keys, order, block, columns, forward):
         edge(F.struct(*[F.col(c).alias(n) for n, c in columns.items()]), F.struct(*order)).alias("_edge"))
     across = edges.select(*keys, "_block", step("_edge").over(
         Window.partitionBy(*keys).orderBy("_block")).alias("_far"))
-    joined = local.join(across, [*keys, "_block"])
+    joined = join_back(local, across, [*keys, "_block"])
     return joined.select(*df.columns, *[
         F.when(F.col("_near").isNotNull(), F.col(f"_near.{n}")).otherwise(F.col(f"_far.{n}")).alias(n)
         for n in columns])
@@ -110,7 +110,7 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, descending: bool = F
     """Per distinct value: rows equal, rows ranked before it, rows in all (per key).
 
     Values are first reduced to counts, then cut into blocks of about equal size at sketch
-    quantiles, so neither a hot key nor a hot value ends in one task.
+    quantiles, so neither a hot key nor a hot value ends in one task. NULL values rank before all others.
     """
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("n_equal"))
     signed = F.col(value).cast("double") * (-1 if descending else 1)
@@ -118,7 +118,7 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, descending: bool = F
     cuts = counts.groupBy(*keys).agg(F.percentile_approx(signed, probs, 10000).alias("_cuts"),
                                      F.sum("n_equal").alias("n_total"))
     cuts = cuts.withColumn("_every", F.filter("_cuts", lambda c, i: i % 16 == 15))
-    placed = (counts.join(cuts, keys) if keys else counts.join(F.broadcast(cuts)))
+    placed = join_back(counts, cuts, keys)
     # Two short searches in place of one long one: among every 16th cut, then among 16 neighbours.
     coarse = F.filter("_every", lambda c: c < signed)
     fine = F.filter(F.slice("_cuts", F.col("_far") * 16 + 1, F.lit(16)), lambda c: c < signed)
@@ -127,9 +127,10 @@ def value_ranks(df: DataFrame, keys: list[str], value: str, descending: bool = F
     totals = placed.groupBy(*keys, "_block").agg(F.sum("n_equal").alias("_t"))
     per = Window.partitionBy(*(keys or [F.lit(0)]))
     starts = totals.select(*keys, "_block", (F.sum("_t").over(per.orderBy("_block")) - F.col("_t")).alias("_start"))
-    inside = Window.partitionBy(*keys, "_block").orderBy("_signed")
+    # blocks follow the double form; inside a block the value itself decides, so no digit of it is lost
+    inside = Window.partitionBy(*keys, "_block").orderBy(F.desc_nulls_first(value) if descending else F.asc_nulls_first(value))
     local = placed.withColumn("_upto", F.sum("n_equal").over(inside))
-    return (local.join(starts, [*keys, "_block"])
+    return (join_back(local, starts, [*keys, "_block"])
             .select(*keys, value, "n_equal", (F.col("_start") + F.col("_upto") - F.col("n_equal")).alias("n_before"),
                     "n_total"))
 
@@ -138,7 +139,7 @@ def percent_ranks(df: DataFrame, value: str, keys: list[str] | None = None) -> D
     """WIN-08: each row with PERCENT_RANK x 100 and its burden segment."""
     ranks = value_ranks(df, keys or [], value)
     share = F.when(F.col("n_total") > 1, F.col("n_before") / (F.col("n_total") - 1)).otherwise(0.0)
-    return (df.join(ranks.select(*(keys or []), value, share.alias("_share")), [*(keys or []), value])
+    return (join_back(df, ranks.select(*(keys or []), value, share.alias("_share")), [*(keys or []), value])
             .withColumns({"percentile": F.col("_share") * 100.0,
                           "segment": F.when(F.col("_share") >= 0.75, "High Burden")
                           .when(F.col("_share") >= 0.25, "Medium Burden").otherwise("Low Burden")})
@@ -149,9 +150,9 @@ def top_share_by_rank(df: DataFrame, keys: list[str], value: str, share: float =
     """WIN-11: average rank in the group, highest value first, and whether it is within the share's quantile of ranks."""
     ranks = value_ranks(df, keys, value, descending=True)
     average = F.col("n_before") + (F.col("n_equal") + 1) / 2
-    ranked = df.join(ranks.select(*keys, value, average.alias("avg_rank")), [*keys, value])
+    ranked = join_back(df, ranks.select(*keys, value, average.alias("avg_rank")), [*keys, value])
     limit = exact_quantiles(ranked, keys, "avg_rank", [share]).select(*keys, F.col("value").alias("_limit"))
-    return (ranked.join(limit, keys).withColumn("highly_variable", F.col("avg_rank") <= F.col("_limit"))
+    return (join_back(ranked, limit, keys).withColumn("highly_variable", F.col("avg_rank") <= F.col("_limit"))
             .drop("_limit"))
 
 
@@ -196,7 +197,7 @@ def sliding_majority(df: DataFrame, key: str, index: str, label: str, window: in
     first = F.greatest(F.lit(0), F.ceil((F.col(index) - (window - 1)) / step) * step)
     last = F.floor(F.col(index) / step) * step
     sizes = df.groupBy(key).agg((F.max(index) + 1).alias("_size"))
-    placed = df.join(sizes, key).select(
+    placed = join_back(df, sizes, [key]).select(
         key, label, "_size", F.explode(F.when(last >= first, F.sequence(first, last, F.lit(step)))).alias("window_start"))
     counts = (placed.filter(F.col("window_start") + window <= F.col("_size"))
               .groupBy(key, "window_start", label).agg(F.count("*").alias("_n")))
@@ -223,5 +224,5 @@ def half_seen(df: DataFrame, key: str, position: str, block: Column) -> DataFram
     counts = df.withColumn("_block", block).groupBy(key, "_block", position).agg(F.count("*").alias("_c"))
     upto = running(counts.drop("_block"), [key], [position], block, {"_seen": F.col("_c")})
     totals = df.groupBy(key).agg(F.count("*").alias("_n"))
-    return (upto.join(totals, key).filter(F.col("_seen") * 2 >= F.col("_n"))
+    return (join_back(upto, totals, [key]).filter(F.col("_seen") * 2 >= F.col("_n"))
             .groupBy(key).agg(F.min(position).alias("half_position")))

@@ -16,33 +16,33 @@ from strandlake.plans.registry import query
 
 
 @query("group_stats_pass_rate", "AGG-03 AGG-09 SRT-01", f"""
-SELECT l_returnflag, l_linestatus, count(*) AS n, {MEAN('l_quantity')} AS mean_depth,
-       {SUM('l_extendedprice')} AS total_price, {MEAN('l_discount')} AS mean_frequency,
+SELECT l_returnflag, l_linestatus, count(*) AS n, {MEAN('l_quantity', 2)} AS mean_depth,
+       {SUM('l_extendedprice', 2)} AS total_price, {MEAN('l_discount', 2)} AS mean_frequency,
        count(*) FILTER (l_quantity >= 30 AND l_discount >= 0.02) AS n_pass,
        (count(*) FILTER (l_quantity >= 30 AND l_discount >= 0.02)) * 100.0::DOUBLE / count(*) AS pass_rate
 FROM lineitem GROUP BY 1, 2 ORDER BY 1, 2""")
 def _(t):
     passed = F.count_if((F.col("l_quantity") >= 30) & (F.col("l_discount") >= 0.02))
     return (t.lineitem.groupBy("l_returnflag", "l_linestatus")
-            .agg(F.count("*").alias("n"), exact_mean("l_quantity").alias("mean_depth"),
-                 exact_sum("l_extendedprice").alias("total_price"), exact_mean("l_discount").alias("mean_frequency"),
+            .agg(F.count("*").alias("n"), exact_mean("l_quantity", 2).alias("mean_depth"),
+                 exact_sum("l_extendedprice", 2).alias("total_price"), exact_mean("l_discount", 2).alias("mean_frequency"),
                  passed.alias("n_pass"), percent(passed, F.count("*")).alias("pass_rate"))
             .orderBy("l_returnflag", "l_linestatus"))
 
 
 @query("global_totals", "AGG-01 UDF-07", f"""
-SELECT count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi, {HU(MEAN('o_totalprice'))} AS mean,
-       {SUM('o_totalprice')} AS total FROM orders""")
+SELECT count(*) AS n, min(o_totalprice) AS lo, max(o_totalprice) AS hi, {HU(MEAN('o_totalprice', 2))} AS mean,
+       {SUM('o_totalprice', 2)} AS total FROM orders""")
 def _(t):
     return t.orders.agg(F.count("*").alias("n"), F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"),
-                        half_up(exact_mean("o_totalprice")).alias("mean"), exact_sum("o_totalprice").alias("total"))
+                        half_up(exact_mean("o_totalprice", 2)).alias("mean"), exact_sum("o_totalprice", 2).alias("total"))
 
 
 @query("having_filter", "AGG-04 AGG-02", f"""
-SELECT o_custkey, count(*) AS n, {MEAN('o_totalprice')} AS mean FROM orders GROUP BY 1
-HAVING count(*) > 10 AND {MEAN('o_totalprice')} > 200000 ORDER BY n DESC, o_custkey""")
+SELECT o_custkey, count(*) AS n, {MEAN('o_totalprice', 2)} AS mean FROM orders GROUP BY 1
+HAVING count(*) > 10 AND {MEAN('o_totalprice', 2)} > 200000 ORDER BY n DESC, o_custkey""")
 def _(t):
-    g = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), exact_mean("o_totalprice").alias("mean"))
+    g = t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), exact_mean("o_totalprice", 2).alias("mean"))
     return g.filter((F.col("n") > 10) & (F.col("mean") > 200000)).orderBy(F.desc("n"), "o_custkey")
 
 
@@ -57,15 +57,17 @@ def _(t):
 
 
 @query("fold_change", "AGG-06 AGG-30 MTH-01", f"""
-SELECT l_suppkey, mean_treated, mean_control, mean_treated - mean_control AS delta,
-       mean_treated / nullif(mean_control, 0) AS fold_change, {HU('log2(mean_treated / nullif(mean_control, 0))', 9)} AS log2_fold_change
-FROM (SELECT l_suppkey, {MEAN("CASE WHEN l_returnflag = 'R' THEN l_quantity END")} AS mean_treated,
-             {MEAN("CASE WHEN l_returnflag = 'N' THEN l_quantity END")} AS mean_control FROM lineitem GROUP BY 1)
+SELECT l_suppkey, {HU('mean_treated', 12)} AS mean_treated, {HU('mean_control', 12)} AS mean_control,
+       {HU('mean_treated - mean_control', 12)} AS delta, {HU('mean_treated / nullif(mean_control, 0)', 9)} AS fold_change,
+       {HU('log2(mean_treated / nullif(mean_control, 0))', 9)} AS log2_fold_change
+FROM (SELECT l_suppkey, avg(CASE WHEN l_returnflag = 'R' THEN l_quantity / 1000 END) AS mean_treated,
+             avg(CASE WHEN l_returnflag = 'N' THEN l_quantity / 1000 END) AS mean_control FROM lineitem GROUP BY 1)
 ORDER BY abs(mean_treated - mean_control) DESC""")
 def _(t):
-    out = a.fold_change(t.lineitem, "l_suppkey", "l_quantity", "l_returnflag", "R", "N")
-    return (out.withColumn("log2_fold_change", half_up(F.col("log2_fold_change"), 9))
-            .orderBy(F.desc(F.abs("delta"))))
+    small = t.lineitem.select("l_suppkey", "l_returnflag", (F.col("l_quantity") / 1000).alias("small"))
+    out = a.fold_change(small, "l_suppkey", "small", "l_returnflag", "R", "N")
+    digits = {"mean_treated": 12, "mean_control": 12, "delta": 12, "fold_change": 9, "log2_fold_change": 9}
+    return out.withColumns({c: half_up(F.col(c), n) for c, n in digits.items()}).orderBy(F.desc(F.abs("delta")))
 
 
 @query("distinct_counts", "AGG-07", """
@@ -118,12 +120,12 @@ def _(t):
 
 
 @query("gold_centrals", "AGG-15", f"""
-SELECT p_brand, count(DISTINCT l_orderkey) AS calls, count(*) AS variants, {MEAN('l_discount')} AS mean_frequency,
-       {MEAN('l_quantity')} AS mean_depth FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
+SELECT p_brand, count(DISTINCT l_orderkey) AS calls, count(*) AS variants, {MEAN('l_discount', 2)} AS mean_frequency,
+       {MEAN('l_quantity', 2)} AS mean_depth FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY 1""")
 def _(t):
     return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_brand")
             .agg(F.countDistinct("l_orderkey").alias("calls"), F.count("*").alias("variants"),
-                 exact_mean("l_discount").alias("mean_frequency"), exact_mean("l_quantity").alias("mean_depth")))
+                 exact_mean("l_discount", 2).alias("mean_frequency"), exact_mean("l_quantity", 2).alias("mean_depth")))
 
 
 @query("column_quartiles", "AGG-17 AGG-19 DQ-09", f"""
@@ -160,7 +162,7 @@ def _(t):
 SELECT o_orderkey, o_totalprice FROM orders WHERE o_totalprice > (SELECT avg(o_totalprice) FROM orders)
   AND o_orderstatus = 'P'""")
 def _(t):
-    mean = t.orders.select(exact_mean("o_totalprice")).scalar()
+    mean = t.orders.select(exact_mean("o_totalprice", 2)).scalar()
     return (t.orders.filter((F.col("o_totalprice") > mean) & (F.col("o_orderstatus") == "P"))
             .select("o_orderkey", "o_totalprice"))
 
@@ -246,7 +248,7 @@ def suspicious_clients(log, least: int, rate: float):
 
 @query("star_topn", "AGG-33 JOIN-07", f"""
 SELECT n_name, c_mktsegment, count(*) AS variants, count(DISTINCT o_orderkey) AS calls,
-       {HU(MEAN('l_quantity'))} AS mean_depth, {SUM('l_extendedprice')} AS revenue
+       {HU(MEAN('l_quantity', 2))} AS mean_depth, {SUM('l_extendedprice', 2)} AS revenue
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
 JOIN nation ON c_nationkey = n_nationkey WHERE o_orderstatus = 'F' AND l_quantity >= 10
 GROUP BY 1, 2 ORDER BY revenue DESC, n_name, c_mktsegment LIMIT 15""")
@@ -255,7 +257,7 @@ def _(t):
     # One row per call first: the big table is reduced on its join key and no distinct count remains.
     per_call = (t.lineitem.filter(F.col("l_quantity") >= 10).groupBy(F.col("l_orderkey").alias("o_orderkey"))
                 .agg(F.count("*").alias("n"), F.sum("l_quantity").alias("depth"),
-                     F.sum(fixed("l_extendedprice")).alias("price")))
+                     F.sum(fixed("l_extendedprice", 2)).alias("price")))
     places = (t.customer.join(t.nation, F.col("c_nationkey") == F.col("n_nationkey"))
               .select(F.col("c_custkey").alias("o_custkey"), "n_name", "c_mktsegment"))
     return (per_call.join(calls, "o_orderkey").join(places, "o_custkey").groupBy("n_name", "c_mktsegment")
@@ -266,14 +268,14 @@ def _(t):
 
 
 @query("signal_sum", "AGG-34", """
-SELECT p_brand, CAST(sum(CAST(l_quantity AS DECIMAL(12,2)) * CAST(l_discount AS DECIMAL(8,4))) AS DOUBLE) AS signal
+SELECT p_brand, CAST(sum(CAST(l_quantity AS DECIMAL(12,3)) * CAST(l_discount / 1000 AS DECIMAL(12,6))) AS DOUBLE) AS signal
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey
 WHERE o_orderstatus = 'F' GROUP BY 1""")
 def _(t):
     passed = t.orders.filter(F.col("o_orderstatus") == "F").select(F.col("o_orderkey").alias("l_orderkey"))
     rows = (t.lineitem.select("l_orderkey", "l_partkey", "l_quantity", "l_discount").join(passed, "l_orderkey")
             .join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey"))
-    return a.signal_sum(rows, ["p_brand"], F.col("l_quantity"), F.col("l_discount"))
+    return a.signal_sum(rows, ["p_brand"], fixed("l_quantity", 3), fixed(F.col("l_discount") / 1000, 6))
 
 
 @query("conditional_distinct", "AGG-35 AGG-36", """
@@ -297,22 +299,22 @@ SELECT sum((l_returnflag = 'R')::BIGINT)::BIGINT AS pathogenic, sum((l_returnfla
        sum((l_returnflag = 'N')::BIGINT)::BIGINT AS benign,
        (count(*) FILTER (l_returnflag <> 'N'))::DOUBLE / count(*) AS not_benign,
        count(DISTINCT CASE WHEN l_returnflag = 'N' THEN l_suppkey END) AS samples_with_benign,
-       {MEAN('l_quantity')} AS mean_depth FROM lineitem""")
+       {MEAN('l_quantity', 2)} AS mean_depth FROM lineitem""")
 def _(t):
     flag = F.col("l_returnflag")
     return t.lineitem.agg(
         F.count_if(flag == "R").alias("pathogenic"), F.count_if(flag == "A").alias("uncertain"),
         F.count_if(flag == "N").alias("benign"), ratio(F.count_if(flag != "N"), F.count("*")).alias("not_benign"),
         F.countDistinct(F.when(flag == "N", F.col("l_suppkey"))).alias("samples_with_benign"),
-        exact_mean("l_quantity").alias("mean_depth"))
+        exact_mean("l_quantity", 2).alias("mean_depth"))
 
 
 @query("best_group_by_mean", "AGG-38", f"""
-SELECT p_type, {MEAN('l_quantity')} AS mean_depth FROM lineitem JOIN part ON l_partkey = p_partkey
+SELECT p_type, {MEAN('l_quantity', 2)} AS mean_depth FROM lineitem JOIN part ON l_partkey = p_partkey
 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 1""")
 def _(t):
     return (t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).groupBy("p_type")
-            .agg(exact_mean("l_quantity").alias("mean_depth")).orderBy(F.desc("mean_depth"), "p_type").limit(1))
+            .agg(exact_mean("l_quantity", 2).alias("mean_depth")).orderBy(F.desc("mean_depth"), "p_type").limit(1))
 
 
 @query("status_counts", "AGG-32 AGG-37", "SELECT event_type, count(*) AS n FROM events GROUP BY 1 ORDER BY 2 DESC")

@@ -122,11 +122,11 @@ def _(t):
 
 
 @query("batch_factors", "FEA-14", f"""
-WITH b AS (SELECT l_suppkey, {MEAN('l_quantity')} AS batch_mean FROM lineitem GROUP BY 1),
+WITH b AS (SELECT l_suppkey, {MEAN('l_quantity', 2)} AS batch_mean FROM lineitem GROUP BY 1),
      o AS (SELECT avg(batch_mean) AS m, stddev_samp(batch_mean) AS s FROM b)
 SELECT l_suppkey, batch_mean, {HU('(batch_mean - m) / s', 6)} AS z_score, {HU('m - batch_mean', 6)} AS normalization_factor FROM b, o""")
 def _(t):
-    out = n.batch_factors(t.lineitem, "l_suppkey", exact_mean("l_quantity"))
+    out = n.batch_factors(t.lineitem, "l_suppkey", exact_mean("l_quantity", 2))
     return out.withColumns({c: half_up(F.col(c), 6) for c in ("z_score", "normalization_factor")})
 
 

@@ -57,11 +57,15 @@ def _(t):
 
 
 @query("fastq_round_trip", "SRC-11 SNK-06 SEQ-02", f"""
-SELECT 'READ' || doc_id AS read_id, length({SEQ_SQL})::INT AS bases FROM documents""")
+SELECT CASE WHEN doc_id % 2 = 0 THEN 'READ' ELSE '7.x/' END || doc_id AS read_id, length({SEQ_SQL})::INT AS bases FROM documents""")
 def _(t):
-    rows = spread(t.documents.select("doc_id", "text")).select(F.concat(F.lit("READ"), F.col("doc_id").cast("string")).alias("read_id"),
-                              seq_of().alias("seq"), qual_of().alias("qual"))
-    back = g.fastq_records(sinks.fastq_text(rows), "READ")
+    # two families of ids, and every fourth quality line starts with @
+    family = F.when(F.col("doc_id") % 2 == 0, "READ").otherwise("7.x/")
+    qual = F.when(F.col("doc_id") % 4 == 0, F.regexp_replace(qual_of(), "^.", "@")).otherwise(qual_of())
+    rows = t.documents.select(F.concat(family, F.col("doc_id").cast("string")).alias("read_id"), seq_of().alias("seq"), qual.alias("qual"))
+    path = scratch_path(t.spark, "reads")
+    sinks.write_text(sinks.fastq_text(spread(rows)), path)
+    back = g.read_fastq(t.spark, path)
     return back.select("read_id", F.when(F.length("seq") == F.length("qual"), F.length("seq")).alias("bases"))
 
 
@@ -71,7 +75,9 @@ SELECT 'seq' || doc_id AS id, length(s)::INT AS length,
   {HU("coalesce(length(regexp_replace(s, '[^GC]', '', 'g'))::DOUBLE / nullif(length(s), 0), 0) * 100", 9)} AS gc_content FROM s""")
 def _(t):
     rows = spread(t.documents.select("doc_id", "text")).select(F.concat(F.lit("seq"), F.col("doc_id").cast("string")).alias("id"), seq_of().alias("seq"))
-    back = g.fasta_records(sinks.fasta_text(rows))
+    path = scratch_path(t.spark, "sequences")
+    sinks.write_text(sinks.fasta_text(rows), path)
+    back = g.read_fasta(t.spark, path)
     return back.select("id", "length", half_up(F.col("gc_content"), 9).alias("gc_content"))
 
 

@@ -51,9 +51,9 @@ def pagerank_sql(rounds):
       SELECT id, {HU('v', 9)} AS rank FROM r{rounds}"""
 
 
-@query("pagerank", "GRF-03", pagerank_sql(8))
+@query("pagerank", "GRF-03", pagerank_sql(60))
 def _(t):
-    return g.pagerank(links(t), rounds=8).select("id", half_up(F.col("rank"), 9).alias("rank"))
+    return g.pagerank(links(t), tolerance=1e-14).select("id", half_up(F.col("rank"), 9).alias("rank"))
 
 
 @query("random_walk", "GRF-04", f"""

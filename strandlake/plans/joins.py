@@ -148,11 +148,11 @@ def _(t):
 
 
 @query("row_vs_group_avg", "JOIN-12", f"""
-WITH m AS (SELECT o_custkey, {MEAN('o_totalprice')} AS group_mean FROM orders GROUP BY 1)
+WITH m AS (SELECT o_custkey, {MEAN('o_totalprice', 2)} AS group_mean FROM orders GROUP BY 1)
 SELECT o_orderkey, o_custkey, group_mean, o_totalprice - group_mean AS delta FROM orders JOIN m USING (o_custkey)""")
 def _(t):
     rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
-    return joins.with_group_mean(rows, "o_custkey", F.col("o_totalprice"), exact_mean("o_totalprice")).drop(
+    return joins.with_group_mean(rows, "o_custkey", F.col("o_totalprice"), exact_mean("o_totalprice", 2)).drop(
         "o_totalprice")
 
 
@@ -235,12 +235,12 @@ def _(t):
 
 @query("training_set_join", "JOIN-22 FEA-12", f"""
 SELECT c_custkey, c_acctbal, n_orders, spend, c_mktsegment AS label FROM customer JOIN (
-  SELECT o_custkey, count(*) AS n_orders, {SUM('o_totalprice')} AS spend FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
+  SELECT o_custkey, count(*) AS n_orders, {SUM('o_totalprice', 2)} AS spend FROM orders GROUP BY 1) ON c_custkey = o_custkey""")
 def _(t):
     features = t.orders.withColumnRenamed("o_custkey", "c_custkey")
     return joins.join_with_counts(
         t.customer.select("c_custkey", "c_acctbal", F.col("c_mktsegment").alias("label")), features, "c_custkey",
-        "inner", {"n_orders": F.count("*"), "spend": exact_sum("o_totalprice")})
+        "inner", {"n_orders": F.count("*"), "spend": exact_sum("o_totalprice", 2)})
 
 
 @query("known_lookup", "JOIN-24 JOIN-23", """

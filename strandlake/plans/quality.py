@@ -166,7 +166,7 @@ SCORES = [("mean_depth", ">=", 25.0, 20.0), ("low_tax_pct", ">=", 60.0, 50.0), (
 
 
 def score_metrics(t):
-    stats = t.lineitem.agg(exact_mean("l_quantity").alias("d"),
+    stats = t.lineitem.agg(exact_mean("l_quantity", 2).alias("d"),
                            percent(F.count_if(F.col("l_tax") <= 0.04), F.count("*")).alias("x"),
                            percent(F.count_if(F.col("l_returnflag") == "R"), F.count("*")).alias("r"),
                            F.max("l_quantity").alias("m"))
@@ -174,7 +174,7 @@ def score_metrics(t):
                                            (("mean_depth", "d"), ("low_tax_pct", "x"), ("returned_pct", "r"), ("max_depth", "m"))])))
 
 
-SCORE_SQL = f"""s AS (SELECT {MEAN('l_quantity')} AS d, (count(*) FILTER (l_tax <= 0.04)) * 100.0::DOUBLE / count(*) AS x,
+SCORE_SQL = f"""s AS (SELECT {MEAN('l_quantity', 2)} AS d, (count(*) FILTER (l_tax <= 0.04)) * 100.0::DOUBLE / count(*) AS x,
    (count(*) FILTER (l_returnflag = 'R')) * 100.0::DOUBLE / count(*) AS r, max(l_quantity) AS m FROM lineitem),
    c AS (SELECT 'mean_depth' AS metric, d AS value, 25.0::DOUBLE AS threshold, CASE WHEN d >= 25 THEN 'PASS' WHEN d >= 20 THEN 'WARNING' ELSE 'FAIL' END AS status FROM s UNION ALL
    SELECT 'low_tax_pct', x, 60.0, CASE WHEN x >= 60 THEN 'PASS' WHEN x >= 50 THEN 'WARNING' ELSE 'FAIL' END FROM s UNION ALL
@@ -203,7 +203,7 @@ SELECT l_suppkey, NOT (pass_rate < 50 OR quality < 25 OR adapter_pct > 20) AS pa
 def _(t):
     g = t.lineitem.groupBy("l_suppkey").agg(
         percent(F.count_if(F.col("l_tax") <= 0.04), F.count("*")).alias("pass_rate"),
-        exact_mean("l_quantity").alias("quality"),
+        exact_mean("l_quantity", 2).alias("quality"),
         (percent(F.count_if(F.col("l_discount") == 0), F.count("*")) * 2).alias("adapter_pct"))
     out = q.group_verdicts(g, "pass_rate", "quality", "adapter_pct")
     return out.select("l_suppkey", "passed", F.regexp_replace("reasons", r" \([^)]*\)", "").alias("reasons"))

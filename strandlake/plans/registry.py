@@ -49,9 +49,9 @@ def half_up(expr: str, places: int = 2) -> str:
     return f"(floor(({expr})::DOUBLE * {factor} + 0.5::DOUBLE) / {factor})"
 
 
-def exact_sum(expr: str, scale: int = 2) -> str:
+def exact_sum(expr: str, scale: int) -> str:
     return f"CAST(sum(CAST({expr} AS DECIMAL(18,{scale}))) AS DOUBLE)"
 
 
-def exact_mean(expr: str, scale: int = 2) -> str:
+def exact_mean(expr: str, scale: int) -> str:
     return f"({exact_sum(expr, scale)} / nullif(count({expr}), 0))"

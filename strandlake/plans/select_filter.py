@@ -208,7 +208,7 @@ SELECT o_custkey, spend, n FROM m WHERE spend >= (SELECT quantile_cont(spend, 0.
   AND n >= (SELECT quantile_cont(n, 0.75) FROM m)""")
 def _(t):
     from strandlake.functions.numeric import exact_sum
-    m = t.orders.groupBy("o_custkey").agg(exact_sum("o_totalprice").alias("spend"), F.count("*").alias("n"))
+    m = t.orders.groupBy("o_custkey").agg(exact_sum("o_totalprice", 2).alias("spend"), F.count("*").alias("n"))
     return filters.joint_top_quartile(m, "spend", "n")
 
 
@@ -232,10 +232,10 @@ def _(t):
 @query("sorted_multi_key", "SRT-01 SRT-02", """
 SELECT l_suppkey, n, mean_depth, 'chr' || l_suppkey AS chrom,
        CASE WHEN l_suppkey = 23 THEN 23 ELSE l_suppkey END::INT AS ord
-FROM (SELECT l_suppkey, count(*) AS n, """ + MEAN("l_quantity") + """ AS mean_depth FROM lineitem GROUP BY 1)
+FROM (SELECT l_suppkey, count(*) AS n, """ + MEAN("l_quantity", 2) + """ AS mean_depth FROM lineitem GROUP BY 1)
 ORDER BY n DESC NULLS LAST, ord""")
 def _(t):
-    g = t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n"), exact_mean("l_quantity").alias("mean_depth"))
+    g = t.lineitem.groupBy("l_suppkey").agg(F.count("*").alias("n"), exact_mean("l_quantity", 2).alias("mean_depth"))
     named = g.withColumn("chrom", F.concat(F.lit("chr"), F.col("l_suppkey").cast("string")))
     return (named.withColumn("ord", text.chromosome_order(F.col("chrom")))
             .orderBy(F.desc_nulls_last("n"), "ord"))
@@ -247,9 +247,10 @@ def _(t):
     return t.orders.select("o_orderkey", "o_totalprice").orderBy(F.desc("o_totalprice"), "o_orderkey").limit(25)
 
 
-@query("bernoulli_sample", "SMP-01", None)
+@query("bernoulli_sample", "SMP-01", """
+SELECT o_orderkey, o_totalprice FROM orders WHERE ('0x' || substr(md5('42|' || o_orderkey), 1, 8))::BIGINT < 858993459""")
 def _(t):
-    return sampling.bernoulli(t.orders.select("o_orderkey", "o_totalprice"), 0.2, seed=42)
+    return sampling.bernoulli(t.orders.select("o_orderkey", "o_totalprice"), ["o_orderkey"], 0.2, seed=42)
 
 
 @query("hash_split", "SMP-02", """

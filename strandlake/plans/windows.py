@@ -30,12 +30,18 @@ def _(t):
     return w.rank_at_most(t.part.select("p_brand", "p_partkey", "p_size"), ["p_brand"], [F.desc("p_size")], 2)
 
 
+def sometimes_null(events, key):
+    """Every seventh event without its key: NULL is a group like any other."""
+    return events.withColumn(key, F.when(F.col("event_id") % 7 > 0, F.col(key)))
+
+
 @query("running_stats", "WIN-03", """
 SELECT event_id, count(*) OVER o AS running_n,
        CAST(sum(CAST(value AS DECIMAL(18,2))) OVER o AS DOUBLE) / count(*) OVER o AS running_mean
-FROM events WINDOW o AS (PARTITION BY event_type ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
+FROM (SELECT *, CASE WHEN event_id % 7 > 0 THEN event_type END AS kind FROM events)
+WINDOW o AS (PARTITION BY kind ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def _(t):
-    rows = t.events.select("event_type", "ts", "event_id", "value")
+    rows = sometimes_null(t.events, "event_type").select("event_type", "ts", "event_id", "value")
     out = w.running(rows, ["event_type"], ["ts", "event_id"], F.date_trunc("day", "ts"),
                     {"running_n": F.lit(1), "_sum": F.col("value").cast("decimal(18,2)")})
     return out.select("event_id", F.col("running_n").cast("bigint"),
@@ -45,10 +51,11 @@ def _(t):
 @query("next_gap", "WIN-04 DAT-02", """
 SELECT user_id, count(*) AS n, count(*) FILTER (gap < 3600) AS clustered, max(gap) AS widest FROM (
   SELECT user_id, date_diff('second', date_trunc('second', ts),
-         date_trunc('second', lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) AS gap FROM events)
+         date_trunc('second', lead(ts) OVER (PARTITION BY user_id ORDER BY ts, event_id))) AS gap
+  FROM (SELECT ts, event_id, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id FROM events))
 GROUP BY 1""")
 def _(t):
-    rows = w.with_next(t.events.select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"),
+    rows = w.with_next(sometimes_null(t.events, "user_id").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"),
                        {"next_ts": "ts"})
     gap = F.timestamp_diff("SECOND", F.date_trunc("second", "ts"), F.date_trunc("second", "next_ts"))
     return (rows.withColumn("gap", gap).groupBy("user_id")
@@ -91,11 +98,11 @@ def _(t):
     return w.moving_average(w.cumulative(m, [], ["month"], "n", "cumulative_n"), [], ["month"], "n", 2, 0, "rolling_3")
 
 
-BURDEN = "b AS (SELECT o_custkey, count(*) AS n, " + SUM("o_totalprice") + " AS spend FROM orders GROUP BY 1)"
+BURDEN = "b AS (SELECT o_custkey, count(*) AS n, " + SUM("o_totalprice", 2) + " AS spend FROM orders GROUP BY 1)"
 
 
 def burden(t):
-    return t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), exact_sum("o_totalprice").alias("spend"))
+    return t.orders.groupBy("o_custkey").agg(F.count("*").alias("n"), exact_sum("o_totalprice", 2).alias("spend"))
 
 
 @query("burden_percentile", "WIN-08", "WITH " + BURDEN + """
@@ -126,11 +133,13 @@ def _(t):
 
 @query("highly_variable", "WIN-11", """
 WITH r AS (SELECT p_type, p_partkey, p_size, rank() OVER (PARTITION BY p_type ORDER BY p_size DESC)
-                  + (count(*) OVER (PARTITION BY p_type, p_size) - 1) / 2.0::DOUBLE AS avg_rank FROM part),
+                  + (count(*) OVER (PARTITION BY p_type, p_size) - 1) / 2.0::DOUBLE AS avg_rank
+           FROM (SELECT p_partkey, p_size, nullif(p_type, 'PROMO') AS p_type FROM part)),
      q AS (SELECT p_type, quantile_cont(avg_rank, 0.2) AS lim FROM r GROUP BY 1)
-SELECT p_type, p_partkey, p_size, avg_rank, avg_rank <= lim AS highly_variable FROM r JOIN q USING (p_type)""")
+SELECT r.p_type, p_partkey, p_size, avg_rank, avg_rank <= lim AS highly_variable FROM r JOIN q ON r.p_type IS NOT DISTINCT FROM q.p_type""")
 def _(t):
-    return w.top_share_by_rank(t.part.select("p_type", "p_partkey", "p_size"), ["p_type"], "p_size")
+    rows = t.part.select(F.nullif("p_type", F.lit("PROMO")).alias("p_type"), "p_partkey", "p_size")
+    return w.top_share_by_rank(rows, ["p_type"], "p_size")
 
 
 @query("top_brands_per_type", "WIN-12", """
@@ -143,11 +152,12 @@ def _(t):
 
 @query("segments", "WIN-13", """
 WITH o AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)
-              - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS grp FROM events)
+              - row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts, event_id) AS grp
+           FROM (SELECT ts, event_id, event_type, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id FROM events))
 SELECT user_id, event_type, min(event_id) AS "start", max(event_id) AS "end", count(*) AS length
 FROM o GROUP BY user_id, event_type, grp HAVING count(*) >= 2""")
 def _(t):
-    rows = t.events.select("user_id", "ts", "event_id", "event_type")
+    rows = sometimes_null(t.events, "user_id").select("user_id", "ts", "event_id", "event_type")
     return w.segments(rows, ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), "event_type", "event_id", 2)
 
 
@@ -184,8 +194,10 @@ def _(t):
 
 @query("half_seen_position", "WIN-17", """
 WITH c AS (SELECT l_returnflag, l_partkey, count(*) OVER (PARTITION BY l_returnflag ORDER BY l_partkey) AS seen,
-                  count(*) OVER (PARTITION BY l_returnflag) AS n FROM lineitem)
+                  count(*) OVER (PARTITION BY l_returnflag) AS n
+           FROM (SELECT l_partkey, nullif(l_returnflag, 'A') AS l_returnflag FROM lineitem))
 SELECT l_returnflag, min(l_partkey) AS half_position FROM c WHERE seen * 2 >= n GROUP BY 1""")
 def _(t):
-    return w.half_seen(t.lineitem.select("l_returnflag", "l_partkey"), "l_returnflag", "l_partkey",
+    rows = t.lineitem.select(F.nullif("l_returnflag", F.lit("A")).alias("l_returnflag"), "l_partkey")
+    return w.half_seen(rows, "l_returnflag", "l_partkey",
                        F.floor(F.col("l_partkey") / 64))

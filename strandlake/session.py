@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -76,6 +78,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+    """Per-key values joined to their rows; a NULL key meets the NULL key, as it does in a window.
+
+    Without keys ``per_key`` is one row, broadcast by its known size.
+    """
+    if not keys:
+        return rows.join(F.broadcast(per_key))
+    side = per_key.withColumnsRenamed({k: f"_key_{k}" for k in keys})
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
+    return rows.join(side, same).drop(*[f"_key_{k}" for k in keys])
+
+
 def spread(df: DataFrame) -> DataFrame:
     """Give heavy per-row work one task per core when the input has fewer file splits than that.
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.variant import info_map
@@ -79,36 +79,63 @@ def genotypes(variants: Variants) -> DataFrame:
             .filter(F.col("key").isNotNull()))
 
 
-def fastq_prefix(spark: SparkSession, path: str) -> str:
-    """Letters that every read id of a file starts with, taken from its first line."""
-    row = spark.read.text(path).first()
-    if row is None or not row[0].startswith("@"):
-        raise ValueError("not a read file")
-    head = row[0][1:]
-    length = next((i for i, c in enumerate(head) if not c.isalpha()), len(head))
-    if not length:
-        raise ValueError("read ids have no common letters; pass id_prefix")
-    return head[:length]
+def read_fastq(spark: SparkSession, path: str) -> DataFrame:
+    """SRC-11: read_id, description, seq, qual of one or more files, plain or gzip; every record has four lines or is an error.
 
-
-def read_fastq(spark: SparkSession, path: str, id_prefix: str | None = None) -> DataFrame:
-    """SRC-11: read_id, description, seq, qual.
-
-    Records are split at a newline, ``@`` and the ids' common letters, so a quality line that starts
-    with ``@`` stays whole and files still split over tasks.
+    The text is cut before each line that starts with ``@``, so files split over tasks whatever the ids look like. A
+    piece is a whole record, a record without its quality line, or the quality line that starts with ``@``. The last two
+    kinds alternate in a file; they are numbered inside each file split, offset by the counts of the splits before, and
+    joined two by two. Nothing else is shuffled or ordered.
     """
-    prefix = id_prefix or fastq_prefix(spark, path)
-    records = spark.read.option("lineSep", f"\n@{prefix}").text(path)
-    return fastq_records(records.filter(F.trim("value") != ""), prefix)
-
-
-def fastq_records(records: DataFrame, prefix: str = "") -> DataFrame:
-    """Records of header, sequence, ``+``, quality; the header may have lost ``@`` and its prefix."""
-    bare = F.regexp_replace(F.regexp_replace("value", "\r", ""), f"^@{prefix}", "")
-    lines = F.split(bare, "\n", -1)
-    checked = F.when(F.size(lines) >= 4, lines).otherwise(
-        F.raise_error(F.lit("read record with fewer than 4 lines")).cast("array<string>"))
-    head = F.concat(F.lit(prefix), F.col("_l")[0])
+    cut = spark.read.option("lineSep", "\n@").text(path).select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), _record_lines().alias("lines"))
+    single = F.size("lines") == 1
+    whole = cut.filter(F.size("lines") == 4).select("lines")
+    odd = cut.filter(F.size("lines") != 4)
+    kind = F.when(single, "quality").when((F.size("lines") == 3) & F.col("lines")[2].startswith("+"), "head").otherwise(
+        F.raise_error(F.concat(F.lit("not a read record of four lines: "), F.array_join("lines", "|"))).cast("string"))
+    odd = odd.withColumn("kind", kind)
+    counts = odd.groupBy("file", "block").agg(F.count("*").alias("n"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("file", "block", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    inside = F.row_number().over(Window.partitionBy("file", "block").orderBy("place"))
+    numbered = odd.withColumn("at", inside).join(offsets, ["file", "block"])
+    pair = F.floor((F.col("before") + F.col("at") - 1) / 2)
+    joined = numbered.groupBy("file", pair.alias("pair")).agg(
+        F.max(F.when(F.col("kind") == "head", F.col("lines"))).alias("head"),
+        F.max(F.when(F.col("kind") == "quality", F.col("lines"))).alias("quality"))
+    mended = joined.select(F.when(F.col("head").isNotNull() & F.col("quality").isNotNull(), F.concat(
+        "head", F.array(F.concat(F.lit("@"), F.col("quality")[0])))).otherwise(
+            F.raise_error(F.lit("a read record without a line")).cast("array<string>")).alias("lines"))
+    return _reads(whole.unionByName(mended))
+
+
+def _record_lines() -> Column:
+    """Lines of a piece of a read file without ``@``; blank lines after the last record are left out."""
+    lines = F.split(F.regexp_replace("value", "\r", ""), "\n", -1)
+    rest = F.slice(lines, 5, F.greatest(F.size(lines) - 4, F.lit(0)))
+    blank = F.forall(rest, lambda x: x == "")
+    alone = F.forall(F.slice(lines, 2, F.size(lines)), lambda x: x == "")
+    kept = F.when((F.size(lines) > 4) & blank, F.slice(lines, 1, 4)).otherwise(lines)
+    # a file's first header still has its sign; a quality line alone has lost the one that counts
+    return F.when(alone, F.slice(lines, 1, 1)).otherwise(
+        F.transform(kept, lambda x, i: F.when(i == 0, F.regexp_replace(x, "^@", "")).otherwise(x)))
+
+
+def fastq_records(records: DataFrame) -> DataFrame:
+    """Reads of whole records in ``value``: header, sequence, ``+`` and quality on four lines."""
+    lines = _record_lines()
+    checked = F.when(F.size(lines) == 4, lines).otherwise(
+        F.raise_error(F.lit("a read record is not four lines")).cast("array<string>"))
+    return _reads(records.select(checked.alias("lines")))
+
+
+def _reads(records: DataFrame) -> DataFrame:
+    lines = F.col("lines")
+    good = lines[2].startswith("+") & (F.length(lines[1]) == F.length(lines[3]))
+    checked = F.when(good, lines).otherwise(F.raise_error(F.concat(F.lit("not a read record: "), lines[0])).cast("array<string>"))
+    head = F.col("_l")[0]
     return records.select(checked.alias("_l")).select(
         F.substring_index(head, " ", 1).alias("read_id"),
         F.when(F.contains(head, F.lit(" ")), F.regexp_extract(head, r"^\S+ (.*)$", 1)).alias("description"),

@@ -71,12 +71,36 @@ def test_fastq_with_at_sign_in_quality(spark, tmp_path):
     df = g.read_fastq(spark, put(tmp_path / "r.fastq", body))
     assert rows(df, "read_id") == [("READ_1", "x y", "ACGT", "@III"), ("READ_2", None, "ACGG", "II@@"), ("READ_3", None, "NN", "@R")]
     sinks.write_text(sinks.fastq_text(df), str(tmp_path / "out"))
-    assert rows(g.read_fastq(spark, str(tmp_path / "out"), "READ").select("read_id", "qual"), "read_id") == [
+    assert rows(g.read_fastq(spark, str(tmp_path / "out")).select("read_id", "qual"), "read_id") == [
         ("READ_1", "@III"), ("READ_2", "II@@"), ("READ_3", "@R")]
-    with pytest.raises(PySparkException, match="fewer than 4"):
+    with pytest.raises(PySparkException, match="not four lines"):
         g.fastq_records(spark.createDataFrame([("READ\nAC",)], "value string")).collect()
 
 
+def test_fastq_loses_no_read(spark, tmp_path):
+    """Two families of ids in several files, quality lines that start with @, splits in any place."""
+    want = []
+    for k in range(3):
+        body = []
+        for i in range(400):
+            name = f"SRRA.{k}.{i}" if i % 2 else f"9-ERRB/{k}_{i}"
+            qual = ("@" if i % 3 == 0 else "I") + "@F#I"[: i % 5]
+            want.append((name, "ACGTN"[: len(qual)], qual))
+            body.append(f"@{name}\n{want[-1][1]}\n+\n{qual}\n")
+        put(tmp_path / f"r{k}.fastq", "".join(body))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in (old, "1000", "333"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            got = [(r["read_id"], r["seq"], r["qual"]) for r in g.read_fastq(spark, str(tmp_path)).collect()]
+            assert sorted(got) == sorted(want)
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    put(tmp_path / "r3.fastq", "@x\nAC\n+\n")
+    with pytest.raises(PySparkException):
+        g.read_fastq(spark, str(tmp_path)).collect()
+
+
 def test_fasta(spark, tmp_path):
     body = ">s1 first > one\nACGT\nGG\n>s2\n" + "A" * 165 + "\n>s3\n\n"
     df = g.read_fasta(spark, put(tmp_path / "s.fa", body))

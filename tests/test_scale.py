@@ -193,7 +193,7 @@ def test_pagerank_with_dangling_nodes(spark):
     for _ in range(15):
         flow = sum(rank[i] * p[i] / out[i] for i in range(4) if out[i])
         rank = 0.15 / n + 0.85 * (flow + rank[out == 0].sum() / n)
-    got = dict(rows(graph.pagerank(spark.createDataFrame(edges, "src int, dst int, weight bigint"), rounds=15)))
+    got = dict(rows(graph.pagerank(spark.createDataFrame(edges, "src int, dst int, weight bigint"), tolerance=1e-9)))
     assert [got[i] for i in range(4)] == pytest.approx(list(rank))
 
 
@@ -202,3 +202,8 @@ def test_layers_take_the_greatest_source_distance(spark):
     assert dict(rows(graph.layers(edges))) == {0: 0, 1: 1, 2: 2, 3: 3, 5: 0}
     ring = spark.createDataFrame([(0, 1, 1), (1, 0, 1), (1, 2, 1), (2, 1, 1)], "src int, dst int, weight bigint")
     assert dict(rows(graph.layers(ring))) == {0: 1, 1: 0, 2: 1}
+
+
+def test_a_deep_chain_has_layers(spark):
+    chain = spark.createDataFrame([(i, i + 1) for i in range(70)], "src int, dst int")
+    assert dict(rows(graph.layers(chain))) == {i: i for i in range(71)}

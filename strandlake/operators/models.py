@@ -82,9 +82,10 @@ def principal_components(long: DataFrame, row: str, column: str, value: str, top
     stats = logged.groupBy(column).agg(F.var_samp("_x").alias("_var"), F.avg("_x").alias("_m"), F.stddev_pop("_x").alias("_s"))
     chosen = stats.orderBy(F.desc("_var"), column).limit(top)
     scaled = logged.join(chosen, column).withColumn("_z", F.when(F.col("_s") > 0, (F.col("_x") - F.col("_m")) / F.col("_s")).otherwise(0.0))
-    # One vector of at most ``top`` entries per row.
-    rows = scaled.groupBy(row).agg(F.array_sort(F.collect_list(F.struct(column, "_z"))).alias("_c")).select(
-        row, array_to_vector(F.transform("_c", lambda c: c["_z"])).alias("features"))
+    # One vector of ``top`` places per row, a place for each chosen column: a cell that a row lacks is at its mean.
+    names = sorted(r[0] for r in chosen.select(column).collect())  # at most ``top``
+    cells = [F.coalesce(F.max(F.when(F.col(column) == F.lit(n), F.col("_z"))), F.lit(0.0)) for n in names]
+    rows = scaled.groupBy(row).agg(F.array(*cells).alias("_c")).select(row, array_to_vector("_c").alias("features"))
     model = PCA(k=k, inputCol="features", outputCol="_pca").fit(rows)
     scores = model.transform(rows).select(row, vector_to_array("_pca").alias("components"))
     explained = long.sparkSession.createDataFrame(

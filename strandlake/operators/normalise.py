@@ -41,22 +41,23 @@ def variance_reduction(factors: DataFrame) -> DataFrame:
 def quantile_normalised(df: DataFrame, sample: str, value: str) -> DataFrame:
     """FEA-15: each value becomes the mean, over samples, of the values at its rank; ties take the lowest rank.
 
-    Every sample must have the same number of rows. A sample's sorted values are a step function of
-    the rank, so the sum over samples is a running sum of the steps: a value adds itself at its first
-    rank and takes itself away after its last. A value repeated any number of times is two steps.
+    Samples may differ in size: the mean at a rank is over the samples that reach it. A sample's sorted values
+    are a step function of the rank, so the sum over samples is a running sum of the steps: a value adds
+    itself at its first rank and takes itself away after its last, and so does the number of samples. A value
+    repeated any number of times is two steps. A NULL value stays NULL.
     """
-    ranks = checkpointed(value_ranks(df, [sample], value))  # read three times below
+    ranks = checkpointed(value_ranks(df.filter(F.col(value).isNotNull()), [sample], value))  # read twice below
     exact = F.col(value).cast("decimal(38,18)")
     first = F.col("n_before") + 1
     steps = ranks.select(F.inline(F.array(
-        F.struct(first.alias("_rank"), exact.alias("_step")),
-        F.struct((first + F.col("n_equal")).alias("_rank"), (-exact).alias("_step")))))
-    samples = ranks.select(F.countDistinct(sample)).scalar()
-    profile = running(steps.groupBy("_rank").agg(F.sum("_step").alias("_step")), [], ["_rank"],
-                      F.floor(F.col("_rank") / 65536), {"_sum": F.col("_step")})
-    means = profile.select("_rank", (F.col("_sum").cast("double") / samples).alias("normalised"))
+        F.struct(first.alias("_rank"), exact.alias("_step"), F.lit(1).alias("_one")),
+        F.struct((first + F.col("n_equal")).alias("_rank"), (-exact).alias("_step"), F.lit(-1).alias("_one")))))
+    totals = steps.groupBy("_rank").agg(F.sum("_step").alias("_step"), F.sum("_one").alias("_one"))
+    profile = running(totals, [], ["_rank"], F.floor(F.col("_rank") / 65536), {"_sum": F.col("_step"), "_samples": F.col("_one")})
+    means = profile.filter(F.col("_samples") > 0).select(
+        "_rank", (F.col("_sum").cast("double") / F.col("_samples")).alias("normalised"))
     own = ranks.select(sample, value, first.alias("_rank")).join(means, "_rank").drop("_rank")
-    return join_back(df, own, [sample, value])
+    return join_back(df, own, [sample, value], "left")
 
 
 def median_normalised(df: DataFrame, sample: str, value: str) -> DataFrame:

@@ -39,11 +39,11 @@ def _(t):
 
 
 @query("alerts", "STM-03 STR-05", f"""
-WITH {TUMBLING} SELECT n, 'error' AS event_type, 'event_type: ' || n || ' events in window ending ' || strftime(ws + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS message
+WITH {TUMBLING} SELECT n, 'error' AS event_type, 'error: ' || n || ' events in window ending ' || strftime(ws + INTERVAL 60 SECOND, '%Y-%m-%d %H:%M:%S') AS message
 FROM w WHERE event_type = 'error' AND n > 0""")
 def _(t):
     out = w.alerts(w.tumbling(w.event_time(t.events), ["event_type"], F.col("value")), "event_type", "error")
-    return out.select("n", "event_type", F.regexp_replace("message", "^error", "event_type").alias("message"))
+    return out.select("n", "event_type", "message")
 
 
 @query("hot_key_counts", "STM-04", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")

@@ -145,7 +145,7 @@ def sites(t):
 WITH tr AS (SELECT s_suppkey AS id, s_acctbal AS x, (s_suppkey * 91 % 9000)::DOUBLE AS y FROM supplier),
   fo AS (SELECT s_suppkey + 1000000 AS id, s_acctbal + (s_suppkey % 7) * 30 AS x, (s_suppkey * 91 % 9000 + (s_suppkey % 3) * 20)::DOUBLE AS y FROM supplier WHERE s_suppkey % 5 <> 0),
   d AS (SELECT fo.id AS f, tr.id AS t, sqrt((fo.x - tr.x) * (fo.x - tr.x) + (fo.y - tr.y) * (fo.y - tr.y)) AS d FROM fo, tr),
-  c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY f ORDER BY d, t) AS rn FROM d) WHERE rn = 1 AND d <= 120),
+  c AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY f ORDER BY d, t) AS rn FROM d) WHERE rn = 1 AND d < 120),
   m AS (SELECT f, t FROM (SELECT *, row_number() OVER (PARTITION BY t ORDER BY d, f) AS rk FROM c) WHERE rk = 1),
   te AS (SELECT DISTINCT a.l_suppkey AS src, b.l_suppkey AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 WHERE a.l_quantity > 40),
   fe AS (SELECT DISTINCT a.l_suppkey + 1000000 AS src, b.l_suppkey + 1000000 AS dst FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND a.l_linenumber = 1 AND b.l_linenumber = 2 WHERE a.l_quantity > 35),

@@ -39,7 +39,7 @@ def _(t):
 
 @query("cross_validated_auc", "ML-03")
 def _(t):
-    return m.cross_validated_auc(labelled(t), CATEGORICAL, NUMERIC, "label", ["logistic", "forest"], folds=5)
+    return m.cross_validated_auc(labelled(t), CATEGORICAL, NUMERIC, "label", ["logistic", "forest", "boosted"], folds=5)
 
 
 @query("principal_components", "ML-04")

@@ -310,13 +310,13 @@ def _(t):
 
 
 @query("entity_summary", "UDF-07 UDF-08", f"""
-SELECT c_custkey, n, lowest, {HU('mean', 9)} AS mean, highest FROM customer LEFT JOIN (
+SELECT c_custkey, n, lowest, {HU('mean', 6)} AS mean, highest FROM customer LEFT JOIN (
   SELECT o_custkey AS c_custkey, count(*) AS n, min(o_totalprice) AS lowest, {MEAN('o_totalprice', 2)} AS mean, max(o_totalprice) AS highest
   FROM orders GROUP BY 1) USING (c_custkey)""")
 def _(t):
     out = lookups.entity_summaries(t.customer.select("c_custkey"), t.orders.withColumnRenamed("o_custkey", "c_custkey"),
                                    "c_custkey", "o_totalprice")
-    return out.withColumn("mean", half_up(F.col("mean"), 9))
+    return out.withColumn("mean", half_up(F.col("mean"), 6))
 
 
 @query("safe_single_lookup", "UDF-09 UDF-10", """

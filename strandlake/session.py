@@ -78,7 +78,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame:
+def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """Per-key values joined to their rows; a NULL key meets the NULL key, as it does in a window.
 
     Without keys ``per_key`` is one row, broadcast by its known size.
@@ -87,7 +87,7 @@ def join_back(rows: DataFrame, per_key: DataFrame, keys: list[str]) -> DataFrame
         return rows.join(F.broadcast(per_key))
     side = per_key.withColumnsRenamed({k: f"_key_{k}" for k in keys})
     same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_key_{k}")) for k in keys])
-    return rows.join(side, same).drop(*[f"_key_{k}" for k in keys])
+    return rows.join(side, same, how).drop(*[f"_key_{k}" for k in keys])
 
 
 def spread(df: DataFrame) -> DataFrame:

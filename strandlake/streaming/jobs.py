@@ -31,7 +31,7 @@ def bad_records(records: DataFrame) -> DataFrame:
 
 
 def with_landing_keys(df: DataFrame, column: str) -> DataFrame:
-    at = F.col(column).cast("timestamp")
+    at = F.col(column).try_cast("timestamp")
     return df.withColumns({"year": F.date_format(at, "yyyy"), "month": F.date_format(at, "MM"),
                            "day": F.date_format(at, "dd"), "hour": F.date_format(at, "HH")})
 
@@ -42,15 +42,18 @@ def _triggered(writer, interval: str | None):
 
 def land(records: DataFrame, column: str, path: str, errors: str, checkpoint: str,
          interval: str | None = LANDING_INTERVAL) -> list[StreamingQuery]:
-    """SNK-05, STM-06: GZIP JSON by hour, unparsed records as text under the error path.
+    """SNK-05, STM-06: GZIP JSON by hour; records that do not parse, or whose time does not, as text under the error path.
 
     The file sink commits each batch once, so a restarted query neither loses nor repeats records.
     ``interval=None`` processes what is there and stops.
     """
-    good = with_landing_keys(good_records(records), column)
+    timed = F.col(column).try_cast("timestamp").isNotNull()
+    good = with_landing_keys(good_records(records).filter(timed), column)
+    fields = [c for c in records.columns if c != "_corrupt"]
+    untimed = good_records(records).filter(~timed).select(F.to_json(F.struct(*fields)).alias("value"))
     landed = _triggered(good.writeStream.format("json").partitionBy(*LANDING_PARTITIONS).option("compression", "gzip")
                         .option("checkpointLocation", f"{checkpoint}/landing"), interval).start(path)
-    refused = _triggered(bad_records(records).writeStream.format("text").option("compression", "gzip")
+    refused = _triggered(bad_records(records).unionByName(untimed).writeStream.format("text").option("compression", "gzip")
                          .option("checkpointLocation", f"{checkpoint}/errors"), interval).start(errors)
     return [landed, refused]
 

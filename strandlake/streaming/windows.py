@@ -13,8 +13,11 @@ BURDEN_LIMIT = 10
 
 
 def event_time(df: DataFrame, column: str = "ts", delay: str = WATERMARK) -> DataFrame:
-    """Event time as a timestamp with a watermark; a batch DataFrame ignores the watermark."""
-    return df.withColumn(column, F.col(column).cast("timestamp")).withWatermark(column, delay)
+    """Event time as a timestamp with a watermark; a batch DataFrame ignores the watermark.
+
+    A time that does not parse is NULL, which is in no window; ``jobs.land`` keeps such records on its refused side.
+    """
+    return df.withColumn(column, F.col(column).try_cast("timestamp")).withWatermark(column, delay)
 
 
 def tumbling(df: DataFrame, keys: list[str], value: Column, column: str = "ts", size: str = WINDOW) -> DataFrame:

@@ -151,6 +151,12 @@ def test_quantile_normalisation(spark):
         assert r["normalised"] == pytest.approx(means[int((m[:, r["sample"]] < r["v"]).sum())])
 
 
+def test_quantile_normalisation_of_unequal_samples(spark):
+    df = spark.createDataFrame([("a", 1.0), ("a", 4.0), ("a", 9.0), ("b", 3.0), ("b", None), (None, 8.0)], "s string, v double")
+    got = {(r["s"], r["v"]): r["normalised"] for r in normalise.quantile_normalised(df, "s", "v").collect()}
+    assert got == {("a", 1.0): 4.0, ("a", 4.0): 4.0, ("a", 9.0): 9.0, ("b", 3.0): 4.0, ("b", None): None, (None, 8.0): 4.0}
+
+
 def random_graph(seed, n=40, m=160):
     rng = random.Random(seed)
     edges = {(rng.randrange(n), rng.randrange(n)) for _ in range(m)}

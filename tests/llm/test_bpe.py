@@ -11,6 +11,7 @@ tokenizers = pytest.importorskip("tokenizers")
 from strandlake.llm import vocabulary  # noqa: E402
 from strandlake.llm.bpe import coder, encode_decode  # noqa: E402
 from strandlake.llm.library_tokens import library_encoder  # noqa: E402
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 PATH = vocabulary.default_path()
 LIBRARY = tokenizers.Tokenizer.from_file(PATH)

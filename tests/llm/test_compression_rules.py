@@ -6,6 +6,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strandlake.llm.compression_rules import quality, repeated_words
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 

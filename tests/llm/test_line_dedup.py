@@ -2,6 +2,7 @@ import random
 
 from corpus_pipeline import STAGES
 from strandlake.llm.line_dedup import dedup_lines, line_decisions, normalised, shingles
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 
 def brute(rows, least=0.8):

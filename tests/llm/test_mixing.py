@@ -3,6 +3,7 @@ import math
 import pytest
 
 from strandlake.llm.mixing import BLOCKS, find_exponent, mix
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 
 def rows():

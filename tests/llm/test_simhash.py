@@ -4,6 +4,7 @@ import pytest
 import xxhash
 
 from strandlake.llm.simhash import keep_one_per_group, simhash, simhash_components
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 
 def plain(text, width=4):

@@ -2,6 +2,7 @@ import hashlib
 import random
 
 from strandlake.llm.suffix_dedup import remove_repeats
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 
 def brute(texts, length):

@@ -3,6 +3,7 @@ import pytest
 tokenizers = pytest.importorskip("tokenizers")
 
 from strandlake.llm import token_cache, vocabulary  # noqa: E402
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 
 def test_counts_and_cache(make_docs, spark, tmp_path):

@@ -7,6 +7,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from strandlake.llm import pfor
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 tokenizers = pytest.importorskip("tokenizers")
 

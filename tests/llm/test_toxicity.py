@@ -2,6 +2,7 @@ import random
 from zlib import crc32
 
 from strandlake.llm.toxicity import TRAIN_ROWS, drop_toxic, toxicity_scores
+from llm_fixtures import make_docs  # noqa: F401, E402
 
 DATA = "/root/testdata/sf0.1"
 

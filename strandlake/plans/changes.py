@@ -74,7 +74,7 @@ def _(t):
         F.count("*").alias("n"))
 
 
-@query("version_counts", "DML-09 DML-13", f"""
+@query("version_counts", "DML-09", f"""
 WITH {V0}, {SRC} SELECT 0 AS version, count(*) AS n FROM v0 UNION ALL
 SELECT 1, count(*) FROM (SELECT o_orderkey FROM v0 UNION SELECT o_orderkey FROM src)""")
 def _(t):

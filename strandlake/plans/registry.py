@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from strandlake.session import Tables
 
 MODULES = ("select_filter", "joins", "aggregates", "windows", "scalars", "changes", "quality",
-           "feature_jobs", "reads", "formats", "graphs", "diversity", "event_windows", "models")
+           "feature_jobs", "reads", "formats", "exports", "graphs", "diversity", "event_windows", "models")
 
 
 @dataclass(frozen=True)

@@ -261,7 +261,7 @@ def _(t):
                        F.date_format(F.date_trunc("quarter", "l_shipdate"), "yyyy-MM-dd").alias("quarter_start"))
 
 
-@query("unnested_genes", "ARR-01 SRC-06", """
+@query("unnested_genes", "ARR-01", """
 WITH p AS (SELECT p_brand, list(DISTINCT p_type) AS types FROM part GROUP BY 1)
 SELECT type, count(*) AS n FROM (SELECT p_brand, unnest(types) AS type FROM p) GROUP BY 1""")
 def _(t):
@@ -319,7 +319,7 @@ def _(t):
     return out.withColumn("mean", half_up(F.col("mean"), 6))
 
 
-@query("safe_single_lookup", "UDF-09 UDF-10", """
+@query("safe_single_lookup", "UDF-10", """
 SELECT p_brand, CASE WHEN count(*) = 1 THEN min(p_partkey) END AS only_part FROM part WHERE p_size >= 49 GROUP BY 1""")
 def _(t):
     return lookups.single_or_null(t.part.filter(F.col("p_size") >= 49), ["p_brand"], "p_partkey", "only_part")

@@ -277,7 +277,7 @@ def _(t):
         F.count("*").alias("n"), F.min("o_orderkey").alias("lo"), F.max("o_orderkey").alias("hi"))
 
 
-@query("union_by_name", "SET-01 DML-13", """
+@query("union_by_name", "SET-01", """
 SELECT o_orderstatus, o_orderpriority, count(*) AS n FROM (
   SELECT o_orderkey, o_orderstatus, NULL AS o_orderpriority FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'
   UNION ALL SELECT o_orderkey, o_orderstatus, o_orderpriority FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')

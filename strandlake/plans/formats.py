@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import half_up
+from strandlake.functions.variant import info_field, info_flag
 from strandlake.operators import coverage as cov
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
@@ -33,10 +34,11 @@ def vcf_lines(t):
 SELECT 'chr' || l_suppkey AS chrom, count(*) AS n, count(CASE WHEN l_quantity % 10 <> 0 THEN 1 END) AS with_quality,
   sum(l_quantity)::BIGINT AS depth, count(*) FILTER (l_tax > 0.04) AS flagged FROM lineitem GROUP BY 1""")
 def _(t):
-    rows = g.vcf_rows(vcf_lines(t), NAMES)
+    rows = g.vcf_rows(vcf_lines(t), NAMES, with_map=False)
+    info = F.col("INFO")
     return rows.groupBy(F.col("CHROM").alias("chrom")).agg(
         F.count("*").alias("n"), F.count("QUAL").alias("with_quality"),
-        F.sum(F.col("INFO")["DP"].cast("bigint")).alias("depth"), F.count_if(F.map_contains_key("INFO", "DB")).alias("flagged"))
+        F.sum(info_field(info, "DP").cast("bigint")).alias("depth"), F.count_if(info_flag(info, "DB")).alias("flagged"))
 
 
 @query("vcf_summary", "QC-17 STR-09", """
@@ -48,6 +50,23 @@ def _(t):
     return cov.variant_summary(g.vcf_rows(vcf_lines(t), NAMES))
 
 
+@query("vcf_file", "SRC-10 QC-17", """
+SELECT 'source' AS metric, 'made' AS value, 1 AS n UNION ALL SELECT 'contig', '<ID=chr1>', 1 UNION ALL SELECT 'contig', '<ID=chr2>', 1
+UNION ALL SELECT 'samples', 'S1', 1 UNION ALL SELECT 'rows', '', count(*) FROM lineitem
+UNION ALL SELECT 'genotypes', key, count(*) FROM lineitem, (VALUES ('GT'), ('DP')) AS k(key) GROUP BY 2""")
+def _(t):
+    """A file with metadata, header and sample column, read whole."""
+    head = ["##source=made", "##contig=<ID=chr1>", "##contig=<ID=chr2>", "#" + "\t".join(NAMES)]
+    path = scratch_path(t.spark, "variants")
+    sinks.write_text(t.spark.createDataFrame([(x,) for x in head], "value string").unionByName(vcf_lines(t)), path)
+    file = g.read_vcf(t.spark, path)
+    found = file.metadata.select(F.col("key").alias("metric"), "value", F.lit(1).cast("bigint").alias("n"))
+    samples = t.spark.createDataFrame([("samples", s, 1) for s in file.samples], found.schema)
+    rows = file.rows.agg(F.lit("rows").alias("metric"), F.lit("").alias("value"), F.count("*").alias("n"))
+    calls = g.genotypes(file).groupBy(F.lit("genotypes").alias("metric"), F.col("key").alias("value")).agg(F.count("*").alias("n"))
+    return found.unionByName(samples).unionByName(rows).unionByName(calls)
+
+
 @query("vcf_genotypes", "SRC-10", """
 SELECT key, value, count(*) AS n FROM (SELECT 'GT' AS key, '0/1' AS value FROM lineitem UNION ALL
   SELECT 'DP', l_linenumber::VARCHAR FROM lineitem) GROUP BY 1, 2""")
@@ -97,7 +116,9 @@ SELECT count(*) AS alignments, (count(*) FILTER (NOT (l_linestatus <> 'F' AND l_
   {HU('avg(l_quantity::INT % 61)', 6)} AS mean_mapq, 6.0::DOUBLE AS mean_length, (count(*) FILTER (l_linestatus = 'F')) * 100.0::DOUBLE / count(*) AS reverse_pct,
   {HU('avg(l_linenumber)', 6)} AS mean_edit_distance, {HU('avg(l_quantity::INT)', 6)} AS mean_score, {HU('400.0 / 6', 6)} AS gc_pct FROM lineitem""")
 def _(t):
-    out = cov.alignment_statistics(g.sam_rows(sam_lines(t)))
+    path = scratch_path(t.spark, "alignments")
+    sinks.write_text(sam_lines(t), path)
+    out = cov.alignment_statistics(g.read_sam(t.spark, path))
     return out.withColumns({c: half_up(F.col(c), 6) for c in ("mean_mapq", "mean_edit_distance", "mean_score", "gc_pct")})
 
 

@@ -44,10 +44,11 @@ def vcf_metadata(lines: DataFrame) -> DataFrame:
         .otherwise("").alias("value"))
 
 
-def vcf_rows(lines: DataFrame, names: list[str]) -> DataFrame:
+def vcf_rows(lines: DataFrame, names: list[str], with_map: bool = True) -> DataFrame:
     """SRC-10: typed rows; POS and QUAL that do not parse are NULL, a row of fewer than 8 fields is an error.
 
-    INFO becomes a map, FORMAT and sample columns stay text.
+    INFO becomes a map, or stays text without ``with_map``, from which ``info_field`` takes one or two fields far cheaper.
+    FORMAT and sample columns stay text.
     """
     body = lines.filter(~F.col("value").startswith("#") & (F.trim("value") != ""))
     parts = F.split(F.rtrim("value", F.lit("\r")), "\t", -1)
@@ -55,8 +56,8 @@ def vcf_rows(lines: DataFrame, names: list[str]) -> DataFrame:
         F.raise_error(F.concat(F.lit("row with fewer than 8 fields: "), F.col("value"))).cast("array<string>"))
     split = body.select(checked.alias("_p"))
     rows = split.select(*[F.try_element_at("_p", F.lit(i + 1)).alias(n) for i, n in enumerate(names)])
-    return rows.withColumns({"POS": F.col("POS").try_cast("bigint"), "QUAL": F.col("QUAL").try_cast("double"),
-                             "INFO": info_map(F.col("INFO"))})
+    typed = {"POS": F.col("POS").try_cast("bigint"), "QUAL": F.col("QUAL").try_cast("double")}
+    return rows.withColumns(typed | ({"INFO": info_map(F.col("INFO"))} if with_map else {}))
 
 
 def read_vcf(spark: SparkSession, path: str, partitions: int | None = None) -> Variants:

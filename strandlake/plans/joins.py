@@ -44,16 +44,16 @@ def _(t):
 
 
 @query("full_join", "JOIN-04 SRT-01", """
-WITH a AS (SELECT l_suppkey, count(*) AS n_r FROM lineitem WHERE l_returnflag = 'R' AND l_partkey < 400 GROUP BY 1),
-     b AS (SELECT l_suppkey, count(*) AS n_a FROM lineitem WHERE l_returnflag = 'A' AND l_partkey > 1990 GROUP BY 1)
-SELECT l_suppkey, n_r, n_a FROM a FULL JOIN b USING (l_suppkey) ORDER BY n_r NULLS LAST""")
+WITH a AS (SELECT l_partkey, count(*) AS n_r FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1 HAVING max(l_quantity) = 50),
+     b AS (SELECT l_partkey, count(*) AS n_a FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1 HAVING min(l_quantity) = 1)
+SELECT l_partkey, n_r, n_a FROM a FULL JOIN b USING (l_partkey) ORDER BY n_r NULLS LAST""")
 def _(t):
     def counts(flag, rule, name):
-        return (t.lineitem.filter((F.col("l_returnflag") == flag) & rule).groupBy("l_suppkey")
-                .agg(F.count("*").alias(name)))
+        return (t.lineitem.filter(F.col("l_returnflag") == flag).groupBy("l_partkey")
+                .agg(F.count("*").alias(name), rule.alias("_kept")).filter("_kept").drop("_kept"))
 
-    part = F.col("l_partkey")
-    return (counts("R", part < 400, "n_r").join(counts("A", part > 1990, "n_a"), "l_suppkey", "full")
+    quantity = F.col("l_quantity")
+    return (counts("R", F.max(quantity) == 50, "n_r").join(counts("A", F.min(quantity) == 1, "n_a"), "l_partkey", "full")
             .orderBy(F.asc_nulls_last("n_r")))
 
 

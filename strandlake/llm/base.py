@@ -42,11 +42,44 @@ def prepare(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
+_scopes: list[Intermediate] = []
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it back: each row is made once and the lineage ends here."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    if _scopes:
+        _scopes[-1].paths.append(path)
+        _scopes[-1].of[id(back)] = (back, path)
+    return back
+
+
+class Intermediate:
+    """``with Intermediate(spark) as tables``: tables that are stored inside go at its end, but for those given to
+    ``tables.keep``. What is returned must not read any other, as it is evaluated later."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.paths, self.of = spark, [], {}
+
+    def __enter__(self) -> Intermediate:
+        _scopes.append(self)
+        return self
+
+    def keep(self, df: DataFrame) -> DataFrame:
+        _, path = self.of[id(df)]
+        self.paths.remove(path)
+        if len(_scopes) > 1:  # the scope around this one decides
+            _scopes[-2].paths.append(path)
+            _scopes[-2].of[id(df)] = (df, path)
+        return df
+
+    def __exit__(self, *_) -> None:
+        _scopes.pop()
+        for path in self.paths:
+            p = self.spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(p, True)
 
 
 def texts(docs: DataFrame, *more: str) -> DataFrame:

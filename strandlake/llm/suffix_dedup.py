@@ -8,8 +8,11 @@ which equal strings have at the same offset, and a gap is a run of starts with o
    it starts elsewhere.
 2. Refinement by the bucket of later offsets: a gap's bucket is replaced by that of all bytes from its first start to
    the end of the string at its last. Where two or more share it, each start of the gap begins a repeat.
-3. Refinement at offset one: gaps that are still undecided are split into single starts, with buckets of exactly
-   ``LENGTH`` bytes. Decided gaps of the same initial bucket lend the buckets of their starts.
+3. Refinement at nearer offsets: the starts of an undecided gap are split by their distance from the anchor into steps
+   of ``STEP``. All strings of a step share the bytes around the anchor but for a step's length; a step alone in the
+   bucket of those bytes is done.
+4. Refinement at offset one: what is left is split into single starts, with buckets of exactly ``LENGTH`` bytes. Decided
+   gaps lend the buckets of their steps and starts.
 
 Buckets are named by hashes of their bytes, not by numbers in sorted order, so no task numbers them all. A decided bucket
 is used for every gap that points to it.
@@ -25,11 +28,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.base import prepare, stored, text_key, texts
+from strandlake.llm.base import Intermediate, prepare, stored, text_key, texts
 from strandlake.llm.bitfilter import BitFilter
 
 #: Bytes of a repeat, of an initial bucket, and places in which one anchor is chosen.
 LENGTH, GRAM = 400, 100
+#: Starts of one step of an undecided gap.
+STEP = 64
 _B = 0x9E3779B97F4A7C15
 _MASK = (1 << 64) - 1
 #: Bytes of a text that are hashed at once.
@@ -84,7 +89,9 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
 
 
 def gaps(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
-    """Of a text of at least ``length`` bytes: (first start, last start, gram bucket, two lanes of the gap's bucket).
+    """Of a text of at least ``length`` bytes: (first start, last start, gram bucket, two lanes of the gap's bucket, steps).
+
+    ``steps`` are (gap, first start, last start, bucket) of the steps of all gaps.
 
     The anchor of a start is the rightmost smallest gram hash in its window, so it moves on when a gram that is not larger
     enters at the right or when it leaves at the left.
@@ -108,7 +115,17 @@ def gaps(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
         anchor[some] = first[some] + width - 1 - windows.argmin(axis=1)
     size = (last - first).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)  # strings of other lengths are other buckets
     found = [spans.of(anchor, anchor + gram, 1)] + [spans.of(first, last + length, k) ^ size for k in (0, 1)]
-    return (first, last, *(h.view(np.int64) for h in found))
+    stride = min(STEP, width)
+    low, high = (anchor - last) // stride, (anchor - first) // stride
+    count = high - low + 1
+    gap = np.repeat(np.arange(len(first)), count)
+    step = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - low, count)
+    at = anchor[gap]
+    begin = at - step * stride  # the last start of the step, and so the first byte that its strings share
+    key = spans.of(begin, begin - stride + 1 + length, 0) ^ (spans.of(at, at + gram, 1) * np.uint64(3)) ^ (
+        step.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
+    steps = (gap, np.maximum(first[gap], begin - stride + 1), np.minimum(last[gap], begin), key.view(np.int64))
+    return (first, last, *(h.view(np.int64) for h in found), steps)
 
 
 def pieces(n: int, length: int, piece: int = PIECE) -> Iterator[tuple[int, int]]:
@@ -132,6 +149,9 @@ def _bytes_of(batch: pa.RecordBatch, column: int) -> Iterator[np.ndarray]:
 
 GAP_NAMES = ["t1", "t2", "first", "last", "bucket", "g1", "g2", "weight"]
 _GAP_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+_STEP_KIND = pa.struct([("first", pa.int64()), ("last", pa.int64()), ("bucket", pa.int64())])
+_GAP_SCHEMA = ("t1 long, t2 long, first long, last long, bucket long, g1 long, g2 long, weight int, "
+               "steps array<struct<first: long, last: long, bucket: long>>")
 _START_NAMES = ["t1", "t2", "start", "g1", "g2", "open"]
 _START_KINDS = [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.bool_()]
 
@@ -146,26 +166,39 @@ def _gap_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, piece:
     are decided and have weight 0. So a text of one repeated word gives a few rows."""
     for b in batches:
         out: list = [[] for _ in GAP_NAMES]
+        sizes, inside = [], [[], [], []]
         for data, t1, t2 in zip(_bytes_of(b, 0), b.column(1).to_pylist(), b.column(2).to_pylist()):
             for begin, end in pieces(len(data), length, piece):
-                first, last, bucket, g1, g2 = gaps(data[begin:end], length, gram)
+                first, last, bucket, g1, g2, steps = gaps(data[begin:end], length, gram)
+                count = np.bincount(steps[0], minlength=len(first))
+                starts = np.cumsum(count) - count
                 if keep is not None:
                     use = keep.may_hold(bucket)
-                    first, last, bucket, g1, g2 = (v[use] for v in (first, last, bucket, g1, g2))
+                    first, last, bucket, g1, g2, count, starts = (v[use] for v in (first, last, bucket, g1, g2, count, starts))
                 _, one, which, times = np.unique(g1, return_index=True, return_inverse=True, return_counts=True)
                 more = np.ones(len(g1), bool)
                 more[one] = False
                 parts = [(first[one] + begin, last[one] + begin, bucket[one], g1[one], g2[one], np.minimum(times, 2))]
+                count, starts = count[one], starts[one]
+                where = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count - starts, count)
+                sizes.append(count)
+                for c, v in zip(inside, (steps[1] + begin, steps[2] + begin, steps[3])):
+                    c.append(v[where])
                 if more.any():
                     lo, hi = merged_ranges(first[more] + begin, last[more] + begin)
                     none = np.zeros(len(lo), np.int64)
                     parts.append((lo, hi, none, none, none, none))
+                    sizes.append(none)
                 for part in parts:
                     n = len(part[0])
                     for c, v in zip(out, (np.full(n, t1), np.full(n, t2), *part)):
                         c.append(v)
         if out[0]:
-            yield _table(out, _GAP_KINDS, GAP_NAMES)
+            offsets = np.concatenate([[0], np.cumsum(np.concatenate(sizes))]).astype(np.int32)
+            values = pa.StructArray.from_arrays([pa.array(np.concatenate(c)) for c in inside], fields=list(_STEP_KIND))
+            rows = _table(out, _GAP_KINDS, GAP_NAMES)
+            yield pa.RecordBatch.from_arrays([*rows.columns, pa.ListArray.from_arrays(pa.array(offsets), values)],
+                                             names=[*GAP_NAMES, "steps"])
 
 
 def _start_rows(batches: Iterator[pa.RecordBatch], length: int, piece: int) -> Iterator[pa.RecordBatch]:
@@ -198,26 +231,26 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, pie
     ``docs`` has text, t1 and t2 (the text's key). Rows with equal texts repeat each other wholly.
     """
     source = docs.select("text", "t1", "t2")
-    schema = "t1 long, t2 long, first long, last long, bucket long, g1 long, g2 long, weight int"
     # 1. initial buckets: only their sizes are shuffled
-    every = source.mapInArrow(lambda it: _gap_rows(it, length, gram, piece, None), schema).where("weight > 0")
+    every = source.mapInArrow(lambda it: _gap_rows(it, length, gram, piece, None), _GAP_SCHEMA).where("weight > 0")
     shared = stored(every.groupBy("bucket").agg(F.sum("weight").alias("n")).where("n > 1").select("bucket"), "suffix-buckets")
     keep = BitFilter.of(shared, "bucket")  # lets gaps alone in their bucket through at worst; they stay alone below
-    live = stored(source.mapInArrow(lambda it: _gap_rows(it, length, gram, piece, keep), schema), "suffix-gaps")
+    live = stored(source.mapInArrow(lambda it: _gap_rows(it, length, gram, piece, keep), _GAP_SCHEMA), "suffix-gaps")
     # 2. buckets of whole gaps
     sizes = live.where("weight > 0").groupBy("g1", "g2").agg(
-        F.sum("weight").alias("n"), F.min("bucket").alias("bucket"), F.min(F.struct("t1", "t2", "first", "last")).alias("place"))
+        F.sum("weight").alias("n"), F.min(F.struct("t1", "t2", "steps")).alias("place"))
     sizes = stored(sizes, "suffix-refined")
-    sure, alone = sizes.where("n > 1"), sizes.where("n = 1")
+    sure = sizes.where("n > 1")
     twice = stored(sure.select("g1", "g2"), "suffix-decided")
     ranges = live.where("weight = 0").select("t1", "t2", "first", "last").unionByName(
         live.where("weight > 0").join(twice, ["g1", "g2"], "left_semi").select("t1", "t2", "first", "last")).distinct()
-    # 3. single starts of undecided gaps, and of one gap of each decided bucket that an undecided gap could share
-    undecided = alone.join(stored(shared, "suffix-shared"), "bucket", "left_semi").select("bucket", "place", F.lit(True).alias("open"))
-    near = stored(undecided.select("bucket").distinct(), "suffix-undecided")
-    lent = sure.join(near, "bucket", "left_semi").select("bucket", "place", F.lit(False).alias("open"))
-    asked = stored(undecided.unionByName(lent).select("place.*", "open").groupBy("t1", "t2").agg(
+    # 3. steps of undecided gaps, and of one gap of each decided bucket
+    steps = sizes.select("place.t1", "place.t2", (F.col("n") == 1).alias("open"), F.inline("place.steps"))
+    met = stored(steps.groupBy("bucket").agg(F.count("*").alias("n"), F.max("open").alias("open"))
+                 .where("n > 1 and open").select("bucket"), "suffix-steps")
+    asked = stored(steps.join(met, "bucket", "left_semi").groupBy("t1", "t2").agg(
         F.collect_list(F.struct("first", "last", "open")).alias("asked")), "suffix-asked")
+    # 4. single starts
     wanted = BitFilter.of(asked, "t1")
 
     def some_texts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -260,8 +293,10 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
     """
     prepare(docs.sparkSession)
     source = texts(docs).withColumns(dict(zip(("t1", "t2"), text_key(F.col("text")))))
-    ranges = stored(repeated_starts(source, length, gram, piece).groupBy("t1", "t2").agg(
-        F.collect_list(F.struct("first", "last")).alias("gone")), "suffix-ranges")
+    with Intermediate(docs.sparkSession) as tables:
+        ranges = stored(repeated_starts(source, length, gram, piece).groupBy("t1", "t2").agg(
+            F.collect_list(F.struct("first", "last")).alias("gone")), "suffix-ranges")
+        tables.keep(ranges)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

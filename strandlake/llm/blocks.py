@@ -37,11 +37,12 @@ def in_blocks(members: DataFrame, block: int) -> DataFrame:
         "parts", "part", "other", "size")
 
 
-def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int], np.ndarray]) -> DataFrame:
+def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int, list[int]], np.ndarray]) -> DataFrame:
     """Links (a, b) of nodes in the same (bucket, low, high) group of ``grouped``.
 
-    ``linked(values, i)`` tells for the values after the i-th whether they link to it. A small union-find per group
-    keeps only links that connect something new: the same components, never all pairs.
+    ``linked(values, i, others)`` tells of the values at ``others`` whether they link to the i-th. It is asked only about
+    values that the group has not connected with it yet, so a group of copies costs one pass, and only links that connect
+    something new leave the task: the same components, never all pairs.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -54,12 +55,18 @@ def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int],
                     x = root[x]
                 return x
 
-            for i in range(len(nodes) - 1):
-                for j in np.flatnonzero(linked(values, i)).tolist():
-                    x, y = find(i), find(i + 1 + j)
+            left = list(range(len(nodes)))
+            while len(left) > 1:
+                i, own = left[0], find(left[0])
+                left = left[1:]
+                others = [j for j in left if find(j) != own]
+                if not others:  # all that are left are connected
+                    break
+                for j in np.asarray(others)[linked(values, i, others)].tolist():
+                    x, y = find(i), find(j)
                     if x != y:
                         root[max(x, y)] = min(x, y)
-                        out.append((nodes[i], nodes[i + 1 + j]))
+                        out.append((nodes[i], nodes[j]))
 
         key, nodes, values = None, [], []
         for batch in batches:

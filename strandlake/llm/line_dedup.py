@@ -25,6 +25,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 #: Lines of one part of a hot bucket.
 BLOCK = 256
+#: Characters from which a line's shingles are compared by their 64-bit hashes.
+LONG = 2000
 #: Characters whose shingle hashes are held at once.
 PIECE = 1 << 19
 
@@ -43,6 +45,16 @@ def shingles(line: str, width: int = WIDTH) -> set[str]:
     return {line[i:i + width] for i in range(max(1, len(line) - width + 1))}
 
 
+def _hashes_of(found) -> np.ndarray:
+    return np.array([xxhash.xxh64_intdigest(s.encode()) for s in found], np.uint64) if isinstance(found, set) else found
+
+
+def _shingle_hashes(line: str) -> np.ndarray:
+    """64-bit hashes of a long line's shingles, in a tenth of the memory of the set."""
+    count = len(line) - WIDTH + 1
+    return np.unique(np.fromiter((xxhash.xxh64_intdigest(line[i:i + WIDTH].encode()) for i in range(count)), np.uint64, count))
+
+
 def _bands(lines: list[str]) -> np.ndarray:
     """Band keys (lines x bands) of the lines' signatures."""
     lengths = np.array([len(x) for x in lines], np.int64)
@@ -128,18 +140,23 @@ def line_places(docs: DataFrame) -> DataFrame:
     return _source(docs).mapInArrow(lambda it: _places(it, False), _PLACES)
 
 
-def _similar(values: list, i: int, least: float) -> np.ndarray:
-    """Which of the later lines reach the Jaccard similarity; values turn from lines into shingle sets when first used."""
-    for j in range(i, len(values)):
+def _similar(values: list, i: int, others: list[int], least: float) -> np.ndarray:
+    """Which of the other lines reach the Jaccard similarity; values turn from lines into shingle sets when first used."""
+    for j in (i, *others):
         if isinstance(values[j], str):
-            values[j] = shingles(values[j])
+            values[j] = shingles(values[j]) if len(values[j]) <= LONG else _shingle_hashes(values[j])
     own = values[i]
-    out = np.zeros(len(values) - i - 1, bool)
-    for j in range(i + 1, len(values)):
-        x, y = len(own), len(values[j])
+    x = len(own)
+    out = np.zeros(len(others), bool)
+    for k, j in enumerate(others):
+        other = values[j]
+        y = len(other)
         if min(x, y) >= least * max(x, y):
-            both = len(own & values[j])
-            out[j - i - 1] = both >= least * (x + y - both)
+            if isinstance(own, set) and isinstance(other, set):
+                both = len(own & other)
+            else:
+                both = len(np.intersect1d(*(_hashes_of(v) for v in (own, other)), assume_unique=True))
+            out[k] = both >= least * (x + y - both)
     return out
 
 
@@ -177,7 +194,7 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     known = stored(wanted.join(written.groupBy(*KEYS).agg(F.max("line").alias("value")), KEYS).select("node", "value"),
                    "line-texts")
     grouped = in_blocks(members.join(known, "node"), BLOCK)
-    linked = stored(components(links_within(grouped, "value", lambda v, i: _similar(v, i, least))), "line-components")
+    linked = stored(components(links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least))), "line-components")
     whole = nodes.join(linked, "node", "left").select(*KEYS, "first", F.coalesce("component", "node").alias("component"))
     firsts = stored(nodes.join(linked, "node").groupBy("component").agg(F.min("first").alias("keep")), "line-firsts")
     return stored(whole.join(firsts, "component", "left").select(

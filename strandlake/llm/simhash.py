@@ -49,9 +49,9 @@ def _fingerprints(values: pd.Series) -> pd.Series:
     return pd.Series([simhash(x) for x in values], dtype="int64")
 
 
-def near(values: list, i: int, bits: int) -> np.ndarray:
-    """Which of the later fingerprints share the guaranteed number of positional bytes and differ in few enough bits."""
-    rest = np.array(values[i + 1:], np.int64).view(np.uint64) ^ np.int64(values[i]).view(np.uint64)
+def near(values: list, i: int, others: list[int], bits: int) -> np.ndarray:
+    """Which of the other fingerprints share the guaranteed number of positional bytes and differ in few enough bits."""
+    rest = np.array([values[j] for j in others], np.int64).view(np.uint64) ^ np.int64(values[i]).view(np.uint64)
     tally = (rest.view(np.uint8).reshape(-1, BYTES) == 0).sum(axis=1)
     return (tally >= BYTES - bits) & (np.bitwise_count(rest) <= bits)
 
@@ -74,7 +74,7 @@ def fingerprint_components(prints: DataFrame, bits: int = 4) -> DataFrame:
     postings = prints.select("node", F.explode(keys).alias("bucket"))
     buckets = stored(distinct_buckets(postings), "posting-lists")
     members = postings.join(buckets, "bucket").withColumn("value", F.col("node"))
-    links = links_within(in_blocks(members, BLOCK), "value", lambda v, i: near(v, i, bits))
+    links = links_within(in_blocks(members, BLOCK), "value", lambda v, i, others: near(v, i, others, bits))
     return components(links)
 
 

@@ -32,7 +32,6 @@ PIECE = 1 << 19
 
 _RANDOM = np.random.default_rng(20240607)
 _A = (_RANDOM.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
-_B = _RANDOM.integers(0, 1 << 32, BANDS * ROWS, dtype=np.uint64).astype(np.uint32)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -73,21 +72,21 @@ def _bands(lines: list[str]) -> np.ndarray:
     at = np.arange(int(counts.sum())) - np.repeat(first - begin, counts)
     hashed = (value[at] * _MIX >> np.uint64(32)).astype(np.uint32)
     keys = np.empty((len(lines), BANDS), np.uint64)
+    mixed = np.empty_like(hashed)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
         for r in range(band * ROWS, band * ROWS + ROWS):
-            mixed = hashed * _A[r] + _B[r]
-            mixed ^= mixed >> np.uint32(15)
-            mixed *= np.uint32(0x85EBCA6B)
+            np.multiply(hashed, _A[r], out=mixed)  # an odd factor permutes the well-mixed 32-bit hashes
             key = (key ^ np.minimum.reduceat(mixed, first)) * _MIX
             key ^= key >> np.uint64(32)
         keys[:, band] = key
     return keys.view(np.int64)
 
 
-def _halves(line: str) -> tuple[int, int]:
-    d = xxhash.xxh128_digest(line.encode())
-    return int.from_bytes(d[:8], "big", signed=True), int.from_bytes(d[8:], "big", signed=True)
+def _halves(lines: list[str]) -> np.ndarray:
+    """128 bits that stand for each line, as two columns."""
+    raw = b"".join([xxhash.xxh128_digest(x.encode()) for x in lines])
+    return np.frombuffer(raw, "<i8").reshape(-1, 2)
 
 
 KEYS = ["k1", "k2"]
@@ -122,10 +121,13 @@ def _batches(rows: Iterator[tuple]) -> Iterator[tuple[list, list]]:
 def _places(batches, with_bands: bool):
     for held, lines in _batches(_each_line(batches)):
         columns = [pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int64(), pa.int64(), pa.int32()))]
-        columns += [pa.array(c, pa.int64()) for c in zip(*map(_halves, lines))]
+        halves = _halves(lines)
+        columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in range(2)]
         names = ["doc_id", "t1", "t2", "line_no", "k1", "k2"]
         if with_bands:
-            keys = _bands(lines)
+            number: dict[str, int] = {}
+            which = [number.setdefault(x, len(number)) for x in lines]
+            keys = _bands(list(number))[which]
             columns += [pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS)]
             names += BAND_COLUMNS
         yield pa.RecordBatch.from_arrays(columns, names=names)
@@ -181,7 +183,7 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
 
     def read(batches):
         for held, some in _batches(_each_line(batches)):
-            k1, k2 = (np.array(c, np.int64) for c in zip(*map(_halves, some)))
+            k1, k2 = np.ascontiguousarray(_halves(some).T)
             for_use = np.flatnonzero(keep.may_hold(k1))
             _, first = np.unique(k1[for_use], return_index=True)
             for_use = for_use[np.sort(first)]

@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.llm.base import stored
+from strandlake.llm.base import Intermediate, stored
+
+#: Links that one file of a round holds, so that few links do not become many small files and tasks.
+LINKS_PER_FILE = 100_000
 
 
 def _mark(edges: DataFrame) -> tuple:
@@ -20,20 +23,21 @@ def components(edges: DataFrame) -> DataFrame:
     node ids only; the minima are stored first, so a hub's links are split by adaptive execution and no node's
     neighbours are collected. Self links and repeated links are allowed; no links give an empty table.
     """
-    links = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-                   .where("u <> v").distinct(), "links")
-    before = _mark(links)
-    while before[0]:
-        both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")), "lowest")
-        large = stored(both.join(low, "u").where("v > u and v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-                       .distinct(), "large-star")
-        low = stored(large.groupBy("u").agg(F.min("v").alias("m")), "lowest")
-        small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        links = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct(), "small-star")
-        after = _mark(links)
-        if after == before:
-            break
-        before = after
+    with Intermediate(edges.sparkSession) as tables:
+        links = stored(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).where("u <> v"), "links")
+        before = _mark(links)
+        while before[0]:
+            parts = max(8, before[0] // LINKS_PER_FILE)
+            both = links.unionByName(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+            low = stored(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")).coalesce(parts), "lowest")
+            large = stored(both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")), "large-star")
+            low = stored(large.groupBy("u").agg(F.min("v").alias("m")).coalesce(parts), "lowest")
+            small = large.join(low, "u").where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
+            links = stored(small.unionByName(low.select("u", F.col("m").alias("v"))).distinct().coalesce(parts), "small-star")
+            after = _mark(links)
+            if after == before:
+                break
+            before = after
+        tables.keep(links)
     return links.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         links.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct())

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
-from strandlake.llm.base import fresh, prepare, stored, text_key, texts
+from strandlake.llm.base import Intermediate, fresh, prepare, stored, text_key, texts
 from strandlake.llm.bitfilter import BitFilter
 from strandlake.llm.blocks import distinct_buckets, in_blocks, links_within
 from strandlake.llm.components import components
@@ -163,44 +163,59 @@ def _similar(values: list, i: int, others: list[int], least: float) -> np.ndarra
 
 
 def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Distinct lines as (k1, k2, keep struct, component): ``keep`` is the first place of the line's component.
+    """Distinct lines as (k1, k2, keep struct): ``keep`` is the first place of the line's component.
 
     Equal lines are one node. Nodes that share a band of their signatures are compared exactly; hot bands are compared
-    part against part. Only lines in some shared band have their text moved: a bit filter of fixed size leaves the others
-    out where it can.
+    part against part. Of the bands only their counts are shuffled, and only lines in some shared band have their text
+    moved: bit filters of fixed size leave the others out where they can.
     """
     prepare(docs.sparkSession)
-    bands = ", ".join(f"{c} long" for c in BAND_COLUMNS)
-    found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, {bands}")
-    lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"),
-                                     *[F.min(c).alias(c) for c in BAND_COLUMNS])
-    nodes = stored(lines.withColumn("node", F.monotonically_increasing_id()), "lines")
-    postings = nodes.select("node", F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
-    buckets = stored(distinct_buckets(postings), "line-buckets")
-    members = stored(postings.join(buckets, "bucket"), "line-members")
-    wanted = stored(members.select("node").distinct().join(nodes.select("node", *KEYS), "node"), "line-candidates")
-    keep = BitFilter.of(wanted, "k1")
-
-    def read(batches):
-        for held, some in _batches(_each_line(batches)):
-            k1, k2 = np.ascontiguousarray(_halves(some).T)
-            for_use = np.flatnonzero(keep.may_hold(k1))
-            _, first = np.unique(k1[for_use], return_index=True)
-            for_use = for_use[np.sort(first)]
-            if len(for_use):
-                yield pa.RecordBatch.from_arrays([pa.array(k1[for_use]), pa.array(k2[for_use]),
-                                                  pa.array([some[i] for i in for_use.tolist()], pa.string())],
-                                                 names=["k1", "k2", "line"])
-
-    written = _source(docs).mapInArrow(read, "k1 long, k2 long, line string")
-    known = stored(wanted.join(written.groupBy(*KEYS).agg(F.max("line").alias("value")), KEYS).select("node", "value"),
-                   "line-texts")
-    grouped = in_blocks(members.join(known, "node"), BLOCK)
-    linked = stored(components(links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least))), "line-components")
-    whole = nodes.join(linked, "node", "left").select(*KEYS, "first", F.coalesce("component", "node").alias("component"))
-    firsts = stored(nodes.join(linked, "node").groupBy("component").agg(F.min("first").alias("keep")), "line-firsts")
-    return stored(whole.join(firsts, "component", "left").select(
-        *KEYS, "component", F.coalesce("keep", "first").alias("keep")), "line-classes")
+    with Intermediate(docs.sparkSession) as tables:
+        bands = ", ".join(f"{c} long" for c in BAND_COLUMNS)
+        found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, {bands}")
+        lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"),
+                                         *[F.min(c).alias(c) for c in BAND_COLUMNS])
+        nodes = stored(lines.withColumn("node", F.monotonically_increasing_id()), "lines")
+        postings = nodes.select("node", F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
+        shared = stored(postings.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "line-bands")
+        crowded = BitFilter.of(shared, "bucket")
+
+        def in_shared_bands(batches):
+            for b in batches:
+                node = b.column(0).to_numpy()
+                for i in range(BANDS):
+                    bucket = b.column(i + 1).to_numpy()
+                    use = crowded.may_hold(bucket)
+                    if use.any():
+                        yield pa.RecordBatch.from_arrays([pa.array(node[use]), pa.array(bucket[use])], names=["node", "bucket"])
+
+        few = stored(nodes.select("node", *BAND_COLUMNS).mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
+        buckets = stored(distinct_buckets(few), "line-buckets")
+        members = stored(few.join(buckets, "bucket"), "line-members")
+        wanted = stored(members.select("node").distinct().join(nodes.select("node", *KEYS), "node"), "line-candidates")
+        keep = BitFilter.of(wanted, "k1")
+
+        def read(batches):
+            for held, some in _batches(_each_line(batches)):
+                k1, k2 = np.ascontiguousarray(_halves(some).T)
+                for_use = np.flatnonzero(keep.may_hold(k1))
+                _, first = np.unique(k1[for_use], return_index=True)
+                for_use = for_use[np.sort(first)]
+                if len(for_use):
+                    yield pa.RecordBatch.from_arrays([pa.array(k1[for_use]), pa.array(k2[for_use]),
+                                                      pa.array([some[i] for i in for_use.tolist()], pa.string())],
+                                                     names=["k1", "k2", "line"])
+
+        written = _source(docs).mapInArrow(read, "k1 long, k2 long, line string")
+        known = stored(wanted.join(written.groupBy(*KEYS).agg(F.max("line").alias("value")), KEYS).select("node", "value"),
+                       "line-texts")
+        grouped = in_blocks(members.join(known, "node"), BLOCK)
+        linked = stored(components(links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least))), "line-components")
+        known_nodes = stored(nodes.select("node", *KEYS, "first").join(linked, "node"), "line-linked")
+        firsts = stored(known_nodes.groupBy("component").agg(F.min("first").alias("keep")), "line-firsts")
+        moved = stored(known_nodes.join(firsts, "component").select(*KEYS, "keep"), "line-keepers")
+        return tables.keep(stored(nodes.select(*KEYS, "first").join(moved, KEYS, "left").select(
+            *KEYS, F.coalesce("keep", "first").alias("keep")), "line-classes"))
 
 
 def line_decisions(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
@@ -235,10 +250,11 @@ def dedup_lines(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     empty.
     """
     prepare(docs.sparkSession)
-    gone = line_decisions(docs, least).where("not kept").groupBy("t1", "t2", "doc_id").agg(
-        F.sort_array(F.collect_set("line_no")).alias("gone"))
-    names = {c: fresh(docs, f"line_{c}") for c in ("t1", "t2", "doc_id", "gone")}
-    gone = stored(gone.select(*[F.col(c).alias(n) for c, n in names.items()]), "lines-removed")
+    with Intermediate(docs.sparkSession) as tables:
+        gone = line_decisions(docs, least).where("not kept").groupBy("t1", "t2", "doc_id").agg(
+            F.sort_array(F.collect_set("line_no")).alias("gone"))
+        names = {c: fresh(docs, f"line_{c}") for c in ("t1", "t2", "doc_id", "gone")}
+        gone = tables.keep(stored(gone.select(*[F.col(c).alias(n) for c, n in names.items()]), "lines-removed"))
     k1, k2 = text_key(F.coalesce(docs["text"], F.lit("")))
     joined = docs.join(gone, (F.col(names["t1"]) == k1) & (F.col(names["t2"]) == k2)
                        & F.col(names["doc_id"]).eqNullSafe(docs["doc_id"]), "left")

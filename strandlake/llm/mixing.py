@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from strandlake.llm.base import fresh, prepare, stored
+from strandlake.llm.base import Intermediate, fresh, prepare, stored
 
 #: Blocks of a source: its documents are dealt to so many by a hash, whatever the size of the source.
 BLOCKS = 4096
@@ -89,10 +89,9 @@ def mixing_plan(docs: DataFrame, tokens: Column | None = None, entropy: float |
     order = F.xxhash64(F.lit(seed + 1), "source", "block")
     placed = blocks.join(wanted, F.col("source").eqNullSafe(F.col("s"))).drop("s").withColumn("rank", order)
     # a window holds one source's blocks, never more than BLOCKS rows
-    placed.createOrReplaceTempView("mix_placed")
-    running = placed.sparkSession.sql("""
-        SELECT source, block, whole, rest, n, row_number() OVER w AS place, sum(n) OVER w AS upto FROM mix_placed
-        WINDOW w AS (PARTITION BY source ORDER BY rank, block ROWS UNBOUNDED PRECEDING)""")
+    order = Window.partitionBy("source").orderBy("rank", "block")
+    running = placed.withColumns({"place": F.row_number().over(order),
+                                  "upto": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))})
     return running.select("source", "block", "whole", (F.col("upto") <= F.col("rest")).alias("part"), "place")
 
 
@@ -106,7 +105,8 @@ def mix(docs: DataFrame, entropy: float | None = None, max_repeats: float | None
     read equally often. Without ``budget`` no row is lost. An empty table gives an empty table.
     """
     prepare(docs.sparkSession)
-    plan = stored(mixing_plan(docs, tokens, entropy, max_repeats, budget, seed), "mix-plan")
+    with Intermediate(docs.sparkSession) as tables:
+        plan = tables.keep(stored(mixing_plan(docs, tokens, entropy, max_repeats, budget, seed), "mix-plan"))
     names = {c: fresh(docs, f"mix_{c}") for c in ("source", "block", "whole", "part", "place", "copy")}
     side = plan.select(*[F.col(c).alias(n) for c, n in names.items() if c != "copy"])
     if plan.count() <= BROADCAST_ROWS:

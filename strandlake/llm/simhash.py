@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strandlake.llm.base import ASCII_LOWER, fresh, prepare, stored, texts
+from strandlake.llm.base import ASCII_LOWER, Intermediate, fresh, prepare, stored, texts
 from strandlake.llm.blocks import distinct_buckets, in_blocks, links_within
 from strandlake.llm.components import components
 
@@ -72,10 +72,11 @@ def fingerprint_components(prints: DataFrame, bits: int = 4) -> DataFrame:
     signed = [m - (1 << 64) if m >= 1 << 63 else m for m in masks]
     keys = F.array(*[F.xxhash64(F.lit(k), F.col("node").bitwiseAND(F.lit(m))) for k, m in enumerate(signed)])
     postings = prints.select("node", F.explode(keys).alias("bucket"))
-    buckets = stored(distinct_buckets(postings), "posting-lists")
-    members = postings.join(buckets, "bucket").withColumn("value", F.col("node"))
-    links = links_within(in_blocks(members, BLOCK), "value", lambda v, i, others: near(v, i, others, bits))
-    return components(links)
+    with Intermediate(prints.sparkSession) as tables:
+        buckets = stored(distinct_buckets(postings), "posting-lists")
+        members = postings.join(buckets, "bucket").withColumn("value", F.col("node"))
+        links = links_within(in_blocks(members, BLOCK), "value", lambda v, i, others: near(v, i, others, bits))
+        return tables.keep(stored(components(links), "fingerprint-components"))
 
 
 def simhash_components(docs: DataFrame, bits: int = 4) -> DataFrame:
@@ -86,13 +87,16 @@ def simhash_components(docs: DataFrame, bits: int = 4) -> DataFrame:
     columns are ignored. An empty table gives an empty table.
     """
     prepare(docs.sparkSession)
-    prints = stored(texts(docs).select("doc_id", _fingerprints("text").alias("node")), "fingerprints")
-    nodes = stored(prints.groupBy("node").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-    linked = stored(fingerprint_components(nodes.select("node"), bits), "fingerprint-components")
-    first = nodes.join(linked, "node").groupBy("component").agg(F.min("first").alias("component_id"))
-    of = linked.join(first, "component").select("node", "component_id")
-    known = stored(nodes.join(of, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")),
-                   "fingerprint-classes")
+    with Intermediate(docs.sparkSession) as tables:
+        prints = stored(texts(docs).select("doc_id", _fingerprints("text").alias("node")), "fingerprints")
+        nodes = stored(prints.groupBy("node").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
+        linked = fingerprint_components(nodes.select("node"), bits)
+        first = nodes.join(linked, "node").groupBy("component").agg(F.min("first").alias("component_id"))
+        of = linked.join(first, "component").select("node", "component_id")
+        known = stored(nodes.join(of, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")),
+                       "fingerprint-classes")
+        tables.keep(prints)
+        tables.keep(known)
     return prints.join(known, "node").select("doc_id", F.col("node").alias("print"), "component_id")
 
 
@@ -102,10 +106,12 @@ def keep_one_per_group(docs: DataFrame, bits: int = 4) -> DataFrame:
     Rows that repeat a doc_id are one document: it stays once if any of its rows has the smallest doc_id of its
     component. Rows without doc_id always stay, as nothing names them.
     """
-    parts = simhash_components(docs, bits)
-    name, times = fresh(docs, "kept_doc_id"), fresh(docs, "kept_times")
-    ids = stored(parts.groupBy(F.col("doc_id").alias(name)).agg(
-        F.count("*").alias(times), F.max(F.col("doc_id") == F.col("component_id")).alias("kept")), "kept-documents")
+    with Intermediate(docs.sparkSession) as tables:
+        parts = simhash_components(docs, bits)
+        name, times = fresh(docs, "kept_doc_id"), fresh(docs, "kept_times")
+        ids = stored(parts.groupBy(F.col("doc_id").alias(name)).agg(
+            F.count("*").alias(times), F.max(F.col("doc_id") == F.col("component_id")).alias("kept")), "kept-documents")
+        tables.keep(ids)
     side = ids.where("kept").drop("kept")
     kept = docs.join(side, docs["doc_id"] == F.col(name))
     nameless = docs.where("doc_id is null")

@@ -37,12 +37,14 @@ def in_blocks(members: DataFrame, block: int) -> DataFrame:
         "parts", "part", "other", "size")
 
 
-def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int, list[int]], np.ndarray]) -> DataFrame:
+def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int, list[int]], np.ndarray],
+                 ready: Callable[[list], list] | None = None) -> DataFrame:
     """Links (a, b) of nodes in the same (bucket, low, high) group of ``grouped``.
 
     ``linked(values, i, others)`` tells of the values at ``others`` whether they link to the i-th. It is asked only about
     values that the group has not connected with it yet, so a group of copies costs one pass, and only links that connect
-    something new leave the task: the same components, never all pairs.
+    something new leave the task: the same components, never all pairs. ``ready`` turns the payloads of an Arrow batch
+    into the values that are compared.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,6 +74,8 @@ def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int,
         for batch in batches:
             out: list = []
             columns = [batch.column(i).to_pylist() for i in range(5)]
+            if ready and columns[4]:
+                columns[4] = ready(columns[4])
             for bucket, low, high, node, value in zip(*columns):
                 if (bucket, low, high) != key:
                     flush(nodes, values, out)

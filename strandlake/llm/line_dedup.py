@@ -25,10 +25,8 @@ SIMILARITY = 0.8
 BANDS, ROWS = 8, 4
 #: Lines of one part of a hot bucket.
 BLOCK = 256
-#: Characters from which a line's shingles are compared by their 64-bit hashes.
-LONG = 2000
 #: Characters whose shingle hashes are held at once.
-PIECE = 1 << 19
+PIECE = 1 << 15
 
 _RANDOM = np.random.default_rng(20240607)
 _A = (_RANDOM.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -44,14 +42,60 @@ def shingles(line: str, width: int = WIDTH) -> set[str]:
     return {line[i:i + width] for i in range(max(1, len(line) - width + 1))}
 
 
-def _hashes_of(found) -> np.ndarray:
-    return np.array([xxhash.xxh64_intdigest(s.encode()) for s in found], np.uint64) if isinstance(found, set) else found
+def shingle_values(lines: list[str]) -> list[tuple[bool, np.ndarray]]:
+    """For each line (exact, sorted distinct shingles as numbers).
+
+    Characters under 512 (Latin scripts) are packed into 9 bits each, so a number is its shingle. Lines with others get
+    64-bit hashes of their shingles.
+    """
+    lengths = np.array([len(x) for x in lines], np.int64)
+    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
+    begin = np.cumsum(lengths) - lengths
+    narrow = np.maximum.reduceat(points, begin) < 512
+    padded = np.concatenate([points, np.zeros(WIDTH, np.uint64)])
+    windows = [padded[k:k + len(points)] for k in range(WIDTH)]  # only those inside a line are looked at
+    packed = _packed(windows)
+    hashed = packed if narrow.all() else _hashed(windows)
+    out = []
+    for line, start, size, exact in zip(lines, begin.tolist(), lengths.tolist(), narrow.tolist()):
+        if size < WIDTH:
+            parts = [points[start + k:start + k + 1] for k in range(size)]
+            out.append((exact, _packed(parts) | np.uint64(size << 60) if exact else _hashed(parts)))
+        else:
+            found = np.sort((packed if exact else hashed)[start:start + size - WIDTH + 1])
+            out.append((exact, found[np.concatenate([[True], found[1:] != found[:-1]])]))
+    return out
+
+
+def _packed(windows: list[np.ndarray]) -> np.ndarray:
+    value = windows[0]
+    for p in windows[1:]:
+        value = value << np.uint64(9) | p
+    return value
+
+
+def _hashed(windows: list[np.ndarray]) -> np.ndarray:
+    value = np.full(len(windows[0]), len(windows), np.uint64)
+    for p in windows:
+        value = (value ^ p) * _MIX
+        value ^= value >> np.uint64(29)
+    return value
+
+
+def _in_common(a: tuple[bool, np.ndarray], b: tuple[bool, np.ndarray]) -> int:
+    """Shingles that two lines share; if one is hashed, both are compared by hashes."""
+    if a[0] != b[0]:
+        a, b = _as_hashes(a), _as_hashes(b)
+    return len(np.intersect1d(a[1], b[1], assume_unique=True))
 
 
-def _shingle_hashes(line: str) -> np.ndarray:
-    """64-bit hashes of a long line's shingles, in a tenth of the memory of the set."""
-    count = len(line) - WIDTH + 1
-    return np.unique(np.fromiter((xxhash.xxh64_intdigest(line[i:i + WIDTH].encode()) for i in range(count)), np.uint64, count))
+def _as_hashes(found: tuple[bool, np.ndarray]) -> tuple[bool, np.ndarray]:
+    exact, values = found
+    if not exact:
+        return found
+    w = int(values[0] >> np.uint64(60)) if len(values) == 1 and values[0] >> np.uint64(63) == 0 and values[0] >> np.uint64(60) else 0
+    w = w or WIDTH
+    return False, np.unique(_hashed([values >> np.uint64(9 * (w - 1 - k)) & np.uint64(511) for k in range(w)]))
 
 
 def _bands(lines: list[str]) -> np.ndarray:
@@ -143,21 +187,13 @@ def line_places(docs: DataFrame) -> DataFrame:
 
 
 def _similar(values: list, i: int, others: list[int], least: float) -> np.ndarray:
-    """Which of the other lines reach the Jaccard similarity; values turn from lines into shingle sets when first used."""
-    for j in (i, *others):
-        if isinstance(values[j], str):
-            values[j] = shingles(values[j]) if len(values[j]) <= LONG else _shingle_hashes(values[j])
-    own = values[i]
-    x = len(own)
+    """Which of the other lines (as ``shingle_values`` gives them) reach the Jaccard similarity."""
+    x = len(values[i][1])
     out = np.zeros(len(others), bool)
     for k, j in enumerate(others):
-        other = values[j]
-        y = len(other)
+        y = len(values[j][1])
         if min(x, y) >= least * max(x, y):
-            if isinstance(own, set) and isinstance(other, set):
-                both = len(own & other)
-            else:
-                both = len(np.intersect1d(*(_hashes_of(v) for v in (own, other)), assume_unique=True))
+            both = _in_common(values[i], values[j])
             out[k] = both >= least * (x + y - both)
     return out
 
@@ -210,7 +246,7 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
         known = stored(wanted.join(written.groupBy(*KEYS).agg(F.max("line").alias("value")), KEYS).select("node", "value"),
                        "line-texts")
         grouped = in_blocks(members.join(known, "node"), BLOCK)
-        linked = stored(components(links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least))), "line-components")
+        linked = stored(components(links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least), shingle_values)), "line-components")
         known_nodes = stored(nodes.select("node", *KEYS, "first").join(linked, "node"), "line-linked")
         firsts = stored(known_nodes.groupBy("component").agg(F.min("first").alias("keep")), "line-firsts")
         moved = stored(known_nodes.join(firsts, "component").select(*KEYS, "keep"), "line-keepers")

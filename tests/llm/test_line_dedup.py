@@ -83,3 +83,14 @@ def test_edge_rows(make_docs, spark):
 
 def test_stage_is_listed():
     assert [n for n, _ in STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "source mixing", "bpe encoding"]
+
+
+def test_shingles_as_numbers():
+    from strandlake.llm.line_dedup import _in_common, shingle_values
+
+    r = random.Random(1)
+    lines = ["".join(r.choice("abcdé漢 x\x00"[:r.choice([3, 5, 9])]) for _ in range(r.randint(1, 14))) for _ in range(600)]
+    values = shingle_values(lines)
+    for a, b, x, y in zip(lines, lines[1:], values, values[1:]):
+        assert len(x[1]) == len(shingles(a))
+        assert _in_common(x, y) == len(shingles(a) & shingles(b))

@@ -38,7 +38,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The 20 nearest of every 20th vector by inner product."""
-    return nearest_neighbours(_table(spark, sf_dir, "embeddings"))
+    return nearest_neighbours(_table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vec")))
 
 
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

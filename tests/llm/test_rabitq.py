@@ -45,3 +45,16 @@ def test_ties_and_odd_rows(spark):
         got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
     assert {q: [v for _, v in sorted(x)] for q, x in got.items()} == {0: list(range(1, 21)), 20: list(range(20))}
     assert nearest_neighbours(df.limit(0)).count() == 0
+
+
+def test_given_table(spark):
+    from strandlake.llm.queries import QUERIES
+
+    data = "/root/testdata/sf0.001"
+    rows = [(r.vec_id, list(r.embedding)) for r in spark.read.parquet(f"{data}/embeddings.parquet").collect()]
+    got = {}
+    for r in QUERIES["op3_rotated_codes"](spark, data).collect():
+        got.setdefault(r.query_id, set()).add(r.vec_id)
+    want = brute(rows, 20, 20)
+    assert got.keys() == want.keys()
+    assert sum(len(got[q] & set(want[q])) for q in want) >= 0.99 * sum(map(len, want.values()))

@@ -94,3 +94,24 @@ def test_shingles_as_numbers():
     for a, b, x, y in zip(lines, lines[1:], values, values[1:]):
         assert len(x[1]) == len(shingles(a))
         assert _in_common(x, y) == len(shingles(a) & shingles(b))
+
+
+def pairs_at_the_threshold(n):
+    """Pairs of lines of 80 characters that differ in two neighbouring letters: 66 of 82 shingles in common."""
+    r = random.Random(9)
+    out = []
+    while len(out) < n:
+        a = "".join(r.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(78))
+        a, at = f"q{a}q", r.randrange(10, 68)
+        b = a[:at] + "#%" + a[at + 2:]
+        both = len(shingles(a) & shingles(b))
+        if 0.8 <= both / (len(shingles(a)) + len(shingles(b)) - both) < 0.85:
+            out.append((a, b))
+    return out
+
+
+def test_pairs_at_the_threshold_are_found(make_docs):
+    pairs = pairs_at_the_threshold(3000)
+    docs = make_docs([(2 * i + k, x) for i, pair in enumerate(pairs) for k, x in enumerate(pair)])
+    kept = {r.doc_id for r in line_decisions(docs).where("kept").collect()}
+    assert kept == {2 * i for i in range(len(pairs))}

@@ -7,9 +7,11 @@ next stage's documents. All but the last keep the columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from strandlake.llm.base import prepare, stored
 from strandlake.llm.bpe import encode_decode
+from strandlake.llm.library_tokens import token_count
 from strandlake.llm.line_dedup import dedup_lines
 from strandlake.llm.mixing import mix
 from strandlake.llm.simhash import keep_one_per_group
@@ -33,7 +35,7 @@ def unique_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents as often as their source's weight asks, each at least once."""
-    return mix(docs)
+    return mix(docs, tokens=token_count(F.col("text")))
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

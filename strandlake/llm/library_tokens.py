@@ -5,6 +5,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
+from pyspark.sql import Column
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType
 
 from strandlake.llm import vocabulary
 from strandlake.llm.pretokens import Encoder
@@ -73,3 +77,14 @@ def library_encoder(path: str):
             except ValueError:
                 _made[path] = _WholeTexts(path)
     return _made[path]
+
+
+def token_count(text: Column, path: str | None = None) -> Column:
+    """Tokens of a text; null has none."""
+    path = path or vocabulary.default_path()
+
+    @F.pandas_udf(LongType())
+    def count(values: pd.Series) -> pd.Series:
+        return pd.Series([len(ids) for ids in library_encoder(path).encode(values.tolist())], dtype="int64")
+
+    return count(F.coalesce(text, F.lit("")))

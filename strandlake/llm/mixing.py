@@ -67,7 +67,8 @@ def mixing_plan(docs: DataFrame, tokens: Column | None = None, entropy: float |
                 max_repeats: float | None = MAX_REPEATS, budget: float | None = None, seed: int = SEED) -> DataFrame:
     """(source, block, whole, part, place): how often each block is read whole, and whether in the last pass too.
 
-    Weights are share^a, normalised, with the exponent found by ``find_exponent``. ``budget`` is the tokens to deal out;
+    ``tokens`` counts the tokens of a row; without it blank-separated words stand in for them, which are few in a text
+    without blanks. Weights are share^a, normalised, with the exponent found by ``find_exponent``. ``budget`` is the tokens to deal out;
     without it the smallest amount that reads every source at least once. A source reads ``floor(budget * weight /
     tokens)`` whole permutations of its blocks, and of one more permutation the blocks whose tokens so far fit what is
     left. ``place`` is the block's place in that last permutation. A source without tokens is read once.

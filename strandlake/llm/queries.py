@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandlake.llm.base import prepare
 from strandlake.llm.bpe import encode_decode
 from strandlake.llm.compression_rules import quality
+from strandlake.llm.library_tokens import token_count
 from strandlake.llm.line_dedup import line_decisions
 from strandlake.llm.mixing import mix
 from strandlake.llm.rabitq import nearest_neighbours
@@ -56,7 +57,7 @@ def op6_compression_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as often as the mix reads it, with its pass and its block's place in the pass."""
     docs = _table(spark, sf_dir, "documents").select("doc_id", "source", "text")
-    return mix(docs, copy="copy", place="place").select("doc_id", "source", "copy", "place")
+    return mix(docs, tokens=token_count(F.col("text")), copy="copy", place="place").select("doc_id", "source", "copy", "place")
 
 
 def op8_token_cache(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -69,3 +69,17 @@ def test_edges(make_docs):
     assert out.columns == docs.columns and out.count() >= 5
     assert mix(make_docs([])).count() == 0
     assert mix(docs).exceptAll(out).count() == 0 and BLOCKS >= 1
+
+
+def test_source_without_blanks(spark, tmp_path):
+    """Unspaced text has one word a document but the most tokens, so it is read once."""
+    import corpus_pipeline
+    from strandlake.llm.queries import QUERIES
+
+    data = [(i, "数据" * 100 + str(i), "unspaced") for i in range(60)]
+    data += [(100 + i, "the data of this line " * 8 + str(i), "spaced") for i in range(60)]
+    spark.createDataFrame(data, "doc_id long, text string, source string").write.parquet(f"{tmp_path}/documents.parquet")
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    for out in (QUERIES["op7_mixing"](spark, str(tmp_path)), corpus_pipeline.mixed(spark, docs, str(tmp_path))):
+        times = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
+        assert times["unspaced"] == 60 and times["spaced"] > 60

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import BooleanType, StructField, StructType
 
 from strandlake.llm.base import Intermediate, fresh, prepare, stored
 
@@ -70,8 +73,8 @@ def mixing_plan(docs: DataFrame, tokens: Column | None = None, entropy: float |
     ``tokens`` counts the tokens of a row; without it blank-separated words stand in for them, which are few in a text
     without blanks. Weights are share^a, normalised, with the exponent found by ``find_exponent``. ``budget`` is the tokens to deal out;
     without it the smallest amount that reads every source at least once. A source reads ``floor(budget * weight /
-    tokens)`` whole permutations of its blocks, and of one more permutation the blocks whose tokens so far fit what is
-    left. ``place`` is the block's place in that last permutation. A source without tokens is read once.
+    tokens)`` whole permutations of its blocks, and of one more permutation each block in turn that fits what is then
+    left; a block that does not fit is passed over. ``place`` is the block's place in that last permutation. A source without tokens is read once.
     """
     count = word_count(F.col("text")) if tokens is None else F.coalesce(tokens, F.lit(0))
     blocks = stored(docs.select("source", block_of(seed).alias("block"), count.cast("long").alias("n"))
@@ -93,7 +96,23 @@ def mixing_plan(docs: DataFrame, tokens: Column | None = None, entropy: float |
     order = Window.partitionBy("source").orderBy("rank", "block")
     running = placed.withColumns({"place": F.row_number().over(order),
                                   "upto": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))})
-    return running.select("source", "block", "whole", (F.col("upto") <= F.col("rest")).alias("part"), "place")
+    rows = running.select("source", "block", "whole", "place", "n", "rest", "upto")
+
+    def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        left = 0.0
+        for b in batches:  # the window leaves each source's blocks together and in order
+            part = []
+            for place, n, rest, upto in zip(*(b.column(i).to_pylist() for i in range(3, 7))):
+                left = rest if place == 1 else left
+                # blocks without tokens always fit, so they go by the share of the pass
+                part.append(n <= left if n else upto <= rest)
+                left -= n if part[-1] else 0
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), pa.array(part, pa.bool_()), b.column(3)],
+                                             names=["source", "block", "whole", "part", "place"])
+
+    flag = StructField("part", BooleanType())
+    kinds = rows.schema
+    return rows.mapInArrow(last_pass, StructType([kinds["source"], kinds["block"], kinds["whole"], flag, kinds["place"]]))
 
 
 def mix(docs: DataFrame, entropy: float | None = None, max_repeats: float | None = MAX_REPEATS,

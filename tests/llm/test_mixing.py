@@ -83,3 +83,10 @@ def test_source_without_blanks(spark, tmp_path):
     for out in (QUERIES["op7_mixing"](spark, str(tmp_path)), corpus_pipeline.mixed(spark, docs, str(tmp_path))):
         times = {r.source: r["count"] for r in out.groupBy("source").count().collect()}
         assert times["unspaced"] == 60 and times["spaced"] > 60
+
+
+def test_long_document_does_not_end_the_last_pass(make_docs):
+    docs = make_docs([(0, "w " * 1000, "s")] + [(i, "w", "s") for i in range(1, 2001)])
+    for seed in (1, 2, 3, 4):
+        read = sum(tokens(r.text) for r in mix(docs, budget=900.0, seed=seed).collect())
+        assert 890 <= read <= 900

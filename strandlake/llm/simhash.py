@@ -7,11 +7,11 @@ from itertools import combinations
 import numpy as np
 import pandas as pd
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from strandlake.llm.base import ASCII_LOWER, Intermediate, fresh, prepare, stored, texts
+from strandlake.llm.base import ASCII_LOWER, Intermediate, fresh, prepare, stored, text_key, texts
 from strandlake.llm.blocks import distinct_buckets, in_blocks, links_within
 from strandlake.llm.components import components
 
@@ -79,6 +79,16 @@ def fingerprint_components(prints: DataFrame, bits: int = 4) -> DataFrame:
         return tables.keep(stored(components(links), "fingerprint-components"))
 
 
+def _classes(prints: DataFrame, least: Column, bits: int) -> DataFrame:
+    """(node, component_id) of every fingerprint: the minimum ``least`` over the rows of its component."""
+    nodes = stored(prints.groupBy("node").agg(least.alias("first")), "fingerprint-nodes")
+    linked = fingerprint_components(nodes.select("node"), bits)
+    first = nodes.join(linked, "node").groupBy("component").agg(F.min("first").alias("component_id"))
+    of = linked.join(first, "component").select("node", "component_id")
+    return stored(nodes.join(of, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")),
+                  "fingerprint-classes")
+
+
 def simhash_components(docs: DataFrame, bits: int = 4) -> DataFrame:
     """Every row of ``docs`` as (doc_id, print long, component_id): the smallest doc_id linked with it, itself included.
 
@@ -89,34 +99,34 @@ def simhash_components(docs: DataFrame, bits: int = 4) -> DataFrame:
     prepare(docs.sparkSession)
     with Intermediate(docs.sparkSession) as tables:
         prints = stored(texts(docs).select("doc_id", _fingerprints("text").alias("node")), "fingerprints")
-        nodes = stored(prints.groupBy("node").agg(F.min("doc_id").alias("first")), "fingerprint-nodes")
-        linked = fingerprint_components(nodes.select("node"), bits)
-        first = nodes.join(linked, "node").groupBy("component").agg(F.min("first").alias("component_id"))
-        of = linked.join(first, "component").select("node", "component_id")
-        known = stored(nodes.join(of, "node", "left").select("node", F.coalesce("component_id", "first").alias("component_id")),
-                       "fingerprint-classes")
+        known = _classes(prints, F.min("doc_id"), bits)
         tables.keep(prints)
         tables.keep(known)
     return prints.join(known, "node").select("doc_id", F.col("node").alias("print"), "component_id")
 
 
 def keep_one_per_group(docs: DataFrame, bits: int = 4) -> DataFrame:
-    """``docs`` with one row of each SimHash component: the row of its smallest doc_id; all columns stay.
+    """``docs`` with one row of each SimHash component: the first by doc_id and text key; all columns stay.
 
-    Rows that repeat a doc_id are one document: it stays once if any of its rows has the smallest doc_id of its
-    component. Rows without doc_id always stay, as nothing names them.
+    Rows that repeat doc_id and text are one document and stay once; rows that share only their doc_id are told apart by
+    their texts. Rows without doc_id always stay, as nothing names them.
     """
+    prepare(docs.sparkSession)
+    names = {c: fresh(docs, f"kept_{c}") for c in ("doc_id", "t1", "t2", "times")}
+    keys = ["doc_id", "t1", "t2"]
     with Intermediate(docs.sparkSession) as tables:
-        parts = simhash_components(docs, bits)
-        name, times = fresh(docs, "kept_doc_id"), fresh(docs, "kept_times")
-        ids = stored(parts.groupBy(F.col("doc_id").alias(name)).agg(
-            F.count("*").alias(times), F.max(F.col("doc_id") == F.col("component_id")).alias("kept")), "kept-documents")
-        tables.keep(ids)
-    side = ids.where("kept").drop("kept")
-    kept = docs.join(side, docs["doc_id"] == F.col(name))
+        t1, t2 = text_key(F.col("text"))
+        prints = stored(texts(docs).select("doc_id", t1.alias("t1"), t2.alias("t2"), _fingerprints("text").alias("node")),
+                        "fingerprints")
+        known = _classes(prints, F.min(F.when(F.col("doc_id").isNotNull(), F.struct(*keys))), bits)
+        firsts = known.where("component_id is not null").select("component_id.*").distinct()
+        side = tables.keep(stored(prints.join(firsts, keys).groupBy(*[F.col(c).alias(names[c]) for c in keys]).agg(
+            F.count("*").alias(names["times"])), "kept-documents"))
+    k1, k2 = text_key(F.coalesce(docs["text"], F.lit("")))
+    kept = docs.join(side, (docs["doc_id"] == F.col(names["doc_id"])) & (k1 == F.col(names["t1"])) & (k2 == F.col(names["t2"])))
     nameless = docs.where("doc_id is null")
-    if side.where(F.col(times) > 1).isEmpty():
+    if side.where(F.col(names["times"]) > 1).isEmpty():
         return kept.select(*docs.columns).unionByName(nameless)
-    single = kept.where(F.col(times) == 1).select(*docs.columns)
-    again = kept.where(F.col(times) > 1).select(*docs.columns).dropDuplicates(["doc_id"])
+    single = kept.where(F.col(names["times"]) == 1).select(*docs.columns)
+    again = kept.where(F.col(names["times"]) > 1).dropDuplicates([names[c] for c in keys]).select(*docs.columns)
     return single.unionByName(again).unionByName(nameless)

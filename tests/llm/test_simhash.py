@@ -107,3 +107,9 @@ def test_empty_and_repeated(make_docs):
     same = [(4, "a b"), (4, "a b"), (2, "A B"), (9, "long " * 30_000)]
     assert sorted((r.doc_id, r.component_id) for r in simhash_components(make_docs(same)).collect()) == [
         (2, 2), (4, 2), (4, 2), (9, 9)]
+
+
+def test_texts_that_share_a_doc_id(make_docs):
+    x, a, b = ("one two three four five", "red green blue pink grey", "up down left right front")
+    out = keep_one_per_group(make_docs([(7, a), (7, b), (3, x), (7, x), (7, b)]))
+    assert sorted((r.doc_id, r.text) for r in out.collect()) == sorted([(3, x), (7, a), (7, b)])

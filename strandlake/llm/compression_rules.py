@@ -13,7 +13,8 @@ from pyspark.sql import DataFrame
 from strandlake.llm.base import prepare, texts
 
 LEVEL = 3
-#: Bytes of a chunk; a last chunk of under a quarter of it is not judged.
+#: Bytes of a chunk; a last chunk of under a quarter of it is judged by the band of its own length, one that is too short
+#: for a band together with the chunk before it.
 CHUNK = 4096
 #: Up to so many bytes: the least and most that the raw size may be times the compressed size. Shorter texts hold a
 #: larger share of frame and tables, so both limits rise with the length; under the first length nothing is judged.
@@ -54,20 +55,27 @@ def duplicate_lines(text: str) -> int:
     return len(lines) - len(set(lines))
 
 
+def _band(n: int) -> tuple[float, float]:
+    return next((a, b) for most, a, b in WHOLE_BANDS if n <= most)
+
+
 def verdict(data: bytes, compressor: zstandard.ZstdCompressor) -> tuple[float | None, float | None, bool]:
     """(ratio of the whole, part of chunks out of band, accepted)."""
     n = len(data)
     if n < SHORTEST:
         return None, None, True
     ratio = n / len(compressor.compress(data))
-    low, high = next((a, b) for most, a, b in WHOLE_BANDS if n <= most)
+    low, high = _band(n)
     judged = bad = 0
     if n > CHUNK:
-        for k in range(0, n, CHUNK):
-            chunk = data[k:k + CHUNK]
-            if 4 * len(chunk) >= CHUNK:
-                judged += 1
-                bad += not CHUNK_BAND[0] <= len(chunk) / len(compressor.compress(chunk)) <= CHUNK_BAND[1]
+        starts = list(range(0, n, CHUNK))
+        if n - starts[-1] < SHORTEST:
+            starts.pop()
+        for k, end in zip(starts, [*starts[1:], n]):
+            chunk = data[k:end]
+            least, most = CHUNK_BAND if 4 * len(chunk) >= CHUNK else _band(len(chunk))
+            judged += 1
+            bad += not least <= len(chunk) / len(compressor.compress(chunk)) <= most
     part = bad / judged if judged else None
     return ratio, part, low <= ratio <= high and (part is None or part <= BAD_CHUNKS)
 

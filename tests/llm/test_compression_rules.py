@@ -46,3 +46,15 @@ def test_rows(make_docs):
         assert not (x.base_failed and x.kept)
     assert [out[k].kept for k in (0, None, 1, 2, 3, 4, 5, 7)] == [True, True, False, False, False, False, False, False]
     assert quality(make_docs([])).count() == 0
+
+
+def test_short_tail_is_judged(make_docs):
+    r = random.Random(3)
+    words = ["".join(r.choice("etaoinshrdlu") for _ in range(r.randint(2, 9))) for _ in range(900)]
+    body = " ".join(r.choices(words, k=900))[:4096]
+    prose = " ".join(r.choices(words, k=300))
+    noise = base64.b85encode(r.randbytes(2000)).decode()
+    tails = {1: prose[:1000], 2: "ab" * 500, 3: prose[:200], 4: "c" * 200, 5: prose[:60], 6: noise[:1000]}
+    out = {x.doc_id: x for x in quality(make_docs([(k, body + t) for k, t in tails.items()])).collect()}
+    assert {k: x.bad_chunks for k, x in out.items()} == {1: 0.0, 2: 0.5, 3: 0.0, 4: 0.5, 5: 0.0, 6: 0.0}
+    assert {k for k, x in out.items() if x.kept} == {1, 3, 5, 6}

@@ -107,7 +107,8 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[n
     any labelled document the model is empty and scores 0.5 for every text.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~is_held_out(F.col("doc_id")))
-    picked = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
+    there = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(docs.select("doc_id"), "doc_id", "left_semi")
+    picked = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
     # at most `rows` ids and labels
     few = texts(docs).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
 

@@ -60,3 +60,14 @@ def test_given_tables(spark):
     out = toxicity_scores(docs, labels).join(labels, "doc_id").where("held_out").collect()
     assert TRAIN_ROWS <= 20_000
     assert sum(r.predicted == r.toxic for r in out) >= 0.97 * len(out)
+
+
+def test_limit_counts_labels_of_present_documents(spark, make_docs):
+    """Labels of documents that are not in the table do not use up the rows to fit on."""
+    from strandlake.llm.toxicity import train
+
+    labels = spark.createDataFrame([(i, int(i % 2 == 0)) for i in range(4000)], "doc_id long, toxic int")
+    docs = make_docs([(i, "nasty rude awful" if i % 2 == 0 else "calm kind quiet") for i in range(400)])
+    few = train(docs, labels, 200)
+    same = train(docs, labels.where("doc_id < 400"), 200)
+    assert len(same[0]) and few[0].tolist() == same[0].tolist() and few[1].tolist() == same[1].tolist()

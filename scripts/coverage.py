@@ -11,6 +11,12 @@ sys.path.insert(0, ROOT)
 
 from strandlake.plans import all_queries
 
+#: Ids of which only a part is done.
+PARTIAL = {
+    "AGG-18": "no quartiles; mean, std and unique count are not compared",
+    "SRC-17": "the query streams Parquet; the JSON stream is in a test only",
+    "PRJ-09": "the query has first_like only; organism_group, center_type, assay_category, instrument_tier and is_recent are in no query or test",
+}
 ID = re.compile(r"\b([A-Z]{2,4})-(\d\d)(?:\.\.(\d\d))?\b")
 
 
@@ -47,7 +53,7 @@ def main():
         queries = [n + ("" if sql else "*") for n, sql in shown.get(i, [])]
         if not queries and i not in functions:
             bare.append(i)
-        lines.append(f"| {i} | {', '.join(dict.fromkeys(functions.get(i, []))) or 'plain Spark expression'} | {', '.join(queries) or 'tests only'} |")
+        lines.append(f"| {i} | {', '.join(dict.fromkeys(functions.get(i, []))) or 'plain Spark expression'} | {', '.join(queries) or 'tests only'}{f' (partial: {PARTIAL[i]})' if i in PARTIAL else ''} |")
     open(f"{ROOT}/COVERAGE.md", "w").write("\n".join(lines) + "\n")
     print(len(wanted), "ids; without function or query:", bare)
     print("tests only:", [i for i in wanted if i not in shown])

@@ -15,6 +15,7 @@ from strandlake.llm.line_dedup import line_decisions
 from strandlake.llm.mixing import mix
 from strandlake.llm.rabitq import nearest_neighbours
 from strandlake.llm.simhash import simhash_components
+from strandlake.llm.source_divergence import source_divergence
 from strandlake.llm.suffix_dedup import remove_repeats
 from strandlake.llm.token_cache import count_tokens
 from strandlake.llm.token_files import token_files_round_trip
@@ -73,6 +74,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return source_divergence(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -90,8 +95,40 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_cache": op8_token_cache,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }
 
 #: SQL for the queries that SQL can express at a bearable speed; the others are tested against brute force.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op13_source_divergence": r"""
+        WITH d AS (
+            SELECT row_number() OVER () AS id, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+                regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+            FROM documents),
+        w AS (SELECT id, lang, source, unnest(terms) AS term FROM d),
+        kept AS (SELECT lang, term, count(*) AS n FROM w GROUP BY lang, term HAVING count(DISTINCT id) >= 10),
+        langs AS (SELECT lang, count(*) AS v, sum(n) AS total FROM kept GROUP BY lang),
+        n AS (SELECT lang, source, term, count(*) AS n FROM w SEMI JOIN kept USING (lang, term) GROUP BY ALL),
+        groups AS (
+            SELECT g.lang, g.source, coalesce(sum(n.n), 0) AS total
+            FROM (SELECT DISTINCT lang, source FROM d) g LEFT JOIN n USING (lang, source) GROUP BY ALL),
+        shares AS (
+            SELECT g.lang, g.source, k.term, coalesce(n.n, 0) AS n,
+                1 + (1000000000 * (coalesce(n.n, 0) + 2)::HUGEINT) // (g.total + 2 * l.v) AS p,
+                1 + (1000000000 * (k.n + 2)::HUGEINT) // (l.total + 2 * l.v) AS q
+            FROM groups g JOIN langs l USING (lang) JOIN kept k USING (lang) LEFT JOIN n USING (lang, source, term)),
+        pairs AS (
+            SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // (a.p + b.p)) AS value
+            FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source <> b.source GROUP BY ALL),
+        found AS (
+            SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(p.value, 0) AS value
+            FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+            LEFT JOIN pairs p ON p.lang = a.lang AND p.source = a.source AND p.item = b.source
+            UNION ALL
+            SELECT lang, source, 'term', term, ((p - q) * (p - q)) // (p + q) FROM shares WHERE n > 0 AND p > q)
+        SELECT lang, source, part, item, value::BIGINT AS value,
+            (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+        FROM found QUALIFY part = 'pair' OR rank <= 10""",
+}

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandlake.llm.base import prepare
 from strandlake.llm.bpe import encode_decode
 from strandlake.llm.compression_rules import quality
+from strandlake.llm.html_extraction import main_text
 from strandlake.llm.library_tokens import token_count
 from strandlake.llm.line_dedup import line_decisions
 from strandlake.llm.mixing import mix
@@ -74,6 +75,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_decode(_table(spark, sf_dir, "documents"))
 
 
+def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -95,6 +100,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_cache": op8_token_cache,
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
+    "op11_html_extraction": op11_html_extraction,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from strandlake.llm.base import prepare
 from strandlake.llm.bpe import encode_decode
 from strandlake.llm.compression_rules import quality
+from strandlake.llm.conversation_repair import repair
 from strandlake.llm.html_extraction import main_text
 from strandlake.llm.library_tokens import token_count
 from strandlake.llm.line_dedup import line_decisions
@@ -79,6 +80,11 @@ def op11_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return main_text(_table(spark, sf_dir, "pages"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cost and edits of every conversation, with the digest of its repaired rows."""
+    return repair(_table(spark, sf_dir, "conversations"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return source_divergence(_table(spark, sf_dir, "documents").select("lang", "source", "text"))
 
@@ -101,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_bpe": op10_bpe,
     "op11_html_extraction": op11_html_extraction,
+    "op12_conversation_repair": op12_conversation_repair,
     "op13_source_divergence": op13_source_divergence,
     "pipeline": pipeline,
 }

@@ -15,8 +15,8 @@ from collections.abc import Callable
 import numpy as np
 
 OTHER, LETTER, NUMBER, SPACE, UNSURE = range(5)
-#: Words whose ids a worker remembers.
-REMEMBERED = 1_500_000
+#: Words whose ids a worker remembers, and their bytes.
+REMEMBERED, REMEMBERED_BYTES = 1_500_000, 1 << 26
 #: Characters split at once.
 PIECE = 1 << 17
 _CUT = re.compile(r"(?<=\w) (?=\w)")
@@ -127,7 +127,11 @@ class Splitter:
 
 
 class WordIds:
-    """Ids of words by their hash, as sorted arrays; emptied when it holds too many."""
+    """Ids of words in sorted arrays of their hashes; emptied when it holds too many words or bytes.
+
+    A hash only says where to look: a word has the ids found there if its bytes are those that were put there. Words that
+    differ from the one with their hash are kept by their bytes.
+    """
 
     def __init__(self, encode: Callable[[list[bytes]], list]):
         self.encode = encode
@@ -139,6 +143,22 @@ class WordIds:
         self.count = np.zeros(0, np.int64)
         self.ids = np.zeros(1 << 16, np.int32)
         self.used = 0
+        self.word_at = np.zeros(0, np.int64)
+        self.word_size = np.zeros(0, np.int64)
+        self.words = np.zeros(1 << 16, np.uint8)
+        self.words_used = 0
+        self.odd: dict[bytes, tuple[int, int]] = {}
+
+    def _put_ids(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        found = self.encode(words)
+        counts = np.fromiter(map(len, found), np.int64, len(found))
+        flat = np.fromiter((x for ids in found for x in ids), np.int32, int(counts.sum()))
+        while self.used + len(flat) > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
+        self.ids[self.used: self.used + len(flat)] = flat
+        begin = self.used + np.cumsum(counts) - counts
+        self.used += len(flat)
+        return begin, counts
 
     def look_up(self, data: bytes, at: np.ndarray, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(begin, count) in ``ids`` of each word."""
@@ -147,25 +167,66 @@ class WordIds:
         known = place < len(self.keys)
         known[known] = self.keys[place[known]] == distinct[known]
         new = np.flatnonzero(~known)
+        if len(new) and len(self.keys) and (len(self.keys) + len(new) > REMEMBERED or self.words_used + len(data) > REMEMBERED_BYTES):
+            self.clear()
+            return self.look_up(data, at, hashes)
+        sizes = np.diff(at)
+        symbols = np.frombuffer(data, np.uint8)
         if len(new):
-            if len(self.keys) + len(new) > REMEMBERED and len(self.keys):
-                self.clear()
-                return self.look_up(data, at, hashes)
-            lo, hi = at[first[new]].tolist(), at[first[new] + 1].tolist()
-            found = self.encode([data[i:j] for i, j in zip(lo, hi)])
-            counts = np.fromiter(map(len, found), np.int64, len(found))
-            flat = np.fromiter((x for ids in found for x in ids), np.int32, int(counts.sum()))
-            while self.used + len(flat) > len(self.ids):
-                self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-            self.ids[self.used: self.used + len(flat)] = flat
-            begin = self.used + np.cumsum(counts) - counts
-            self.used += len(flat)
+            words = [data[i:j] for i, j in zip(at[first[new]].tolist(), at[first[new] + 1].tolist())]
+            begin, counts = self._put_ids(words)
+            joined = np.frombuffer(b"".join(words), np.uint8)
+            while self.words_used + len(joined) > len(self.words):
+                self.words = np.concatenate([self.words, np.zeros_like(self.words)])
+            self.words[self.words_used: self.words_used + len(joined)] = joined
+            size = sizes[first[new]]
             spot = place[new]
             self.keys = np.insert(self.keys, spot, distinct[new])
             self.begin = np.insert(self.begin, spot, begin)
             self.count = np.insert(self.count, spot, counts)
+            self.word_at = np.insert(self.word_at, spot, self.words_used + np.cumsum(size) - size)
+            self.word_size = np.insert(self.word_size, spot, size)
+            self.words_used += len(joined)
             place = np.searchsorted(self.keys, distinct)
-        return self.begin[place][inverse], self.count[place][inverse]
+        begin, count = self.begin[place][inverse], self.count[place][inverse]
+        for i in self._others(symbols, at, sizes, first, inverse, place).tolist():
+            word = data[at[i]:at[i + 1]]
+            if word not in self.odd:
+                b, c = self._put_ids([word])
+                self.odd[word] = int(b[0]), int(c[0])
+            begin[i], count[i] = self.odd[word]
+        return begin, count
+
+    def _others(self, symbols, at, sizes, first, inverse, place) -> np.ndarray:
+        """Words whose bytes are not those remembered for their hash: each is compared with the first of its hash here,
+        and those with the remembered ones."""
+        rep = first[inverse]
+        bad = _differ(symbols, at[:-1], sizes, symbols, at[rep], sizes[rep])
+        firsts = _differ(symbols, at[first], sizes[first], self.words, self.word_at[place], self.word_size[place])
+        if not bad.any() and not firsts.any():
+            return np.zeros(0, np.int64)
+        # where a hash has met another word, all of its words are compared with the remembered one
+        mixed = np.zeros(len(first), bool)
+        mixed[inverse[bad]] = True
+        mixed |= firsts
+        some = np.flatnonzero(mixed[inverse])
+        spot = place[inverse[some]]
+        return some[_differ(symbols, at[some], sizes[some], self.words, self.word_at[spot], self.word_size[spot])]
+
+
+def _differ(a: np.ndarray, a_at: np.ndarray, a_size: np.ndarray, b: np.ndarray, b_at: np.ndarray, b_size: np.ndarray) -> np.ndarray:
+    """Which byte strings of ``a`` are not those of ``b``, pair by pair."""
+    out = a_size != b_size
+    use = np.flatnonzero(~out & ((a_at != b_at) | (a is not b)))
+    size = a_size[use]
+    ends = np.cumsum(size)
+    total = int(ends[-1]) if len(ends) else 0
+    if not total:
+        return out
+    inside = np.arange(total) - np.repeat(ends - size, size)
+    wrong = np.flatnonzero(a[np.repeat(a_at[use], size) + inside] != b[np.repeat(b_at[use], size) + inside])
+    out[use[np.searchsorted(ends, wrong, side="right")]] = True
+    return out
 
 
 class Encoder:

@@ -51,3 +51,40 @@ def test_rows(make_docs):
         assert r.ids_sha256 == hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()
         assert r.decoded_sha256 == hashlib.sha256((text or "").encode()).hexdigest()
     assert encode_decode(make_docs([])).count() == 0
+
+
+def opposites(n, a="a", b="b"):
+    """Two words in Thue-Morse order, one with the letters of the other exchanged: polynomial hashes take them as equal."""
+    bits = [bin(i).count("1") & 1 for i in range(n)]
+    return "".join((a, b)[x] for x in bits), "".join((b, a)[x] for x in bits)
+
+
+@pytest.mark.parametrize("size", [1024, 2048, 4096])
+def test_words_with_equal_hashes(size):
+    one, two = opposites(size)
+    three, four = opposites(size, "c", "d")
+    for texts in ([f"{one}\n{two}"], [one, two], [two, three, one, four], [f"{three} {four} {one} {three}\n{four}"]):
+        want = [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+        for encoder in (coder(PATH)[1], library_encoder(PATH)):
+            for split in (texts, texts[:1], texts):  # in one batch, over batches, and from memory
+                assert [x.tolist() for x in encoder.encode(split)] == want[: len(split)]
+
+
+@pytest.mark.parametrize("keep", [1, 5, 10**6])
+def test_any_hash_gives_right_ids(monkeypatch, keep):
+    """Even a hash that nearly always collides, and a memory that is emptied all the time."""
+    monkeypatch.setattr("strandlake.llm.pretokens.REMEMBERED", keep)
+    encoder = coder(PATH)[1]
+    encoder.memory.clear()
+    plain = encoder.splitter.hashes
+    monkeypatch.setattr(encoder.splitter, "hashes", lambda data, at: plain(data, at) % np.uint64(3))
+    r = random.Random(keep)
+    for _ in range(30):
+        texts = ["".join(r.choices(PARTS[:20], k=r.randrange(30))) for _ in range(r.randrange(1, 6))]
+        assert [x.tolist() for x in encoder.encode(texts)] == [LIBRARY.encode(t, add_special_tokens=False).ids for t in texts]
+    encoder.memory.clear()
+
+
+def test_very_long_words():
+    for word in ("ab" * 200_000, "漢" * 50_000, "=" * 300_000):
+        check(word + " " + word)

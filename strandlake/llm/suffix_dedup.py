@@ -14,8 +14,8 @@ which equal strings have at the same offset, and a gap is a run of starts with o
 4. Refinement at offset one: what is left is split into single starts, with buckets of exactly ``LENGTH`` bytes. Decided
    gaps lend the buckets of their steps and starts.
 
-Buckets are named by hashes of their bytes, not by numbers in sorted order, so no task numbers them all. A decided bucket
-is used for every gap that points to it.
+Buckets are named by hashes of their bytes, not by numbers in sorted order, so no task numbers them all. Buckets that
+decide what goes (2 and 4) are named by 128-bit XXH3. A decided bucket is used for every gap that points to it.
 """
 
 from __future__ import annotations
@@ -25,6 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -42,7 +43,11 @@ PIECE = 1 << 20
 
 
 class Spans:
-    """128-bit hashes of the byte strings of one text: differences of running sums of values times powers."""
+    """Cheap hashes of the byte strings of one text: differences of running sums of values times powers.
+
+    They choose anchors and buckets, where an equal hash of different bytes only costs work. What is removed is decided by
+    ``strong`` hashes of the bytes.
+    """
 
     _tables: dict = {}
 
@@ -78,6 +83,14 @@ class Spans:
         return h ^ (h >> np.uint64(32))
 
 
+def strong(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """XXH3 of 128 bits of byte strings, as two columns."""
+    view = memoryview(np.ascontiguousarray(data))
+    digest = xxhash.xxh3_128_digest
+    raw = b"".join([digest(view[i:j]) for i, j in zip(start.tolist(), end.tolist())])
+    return tuple(np.ascontiguousarray(np.frombuffer(raw, "<i8").reshape(-1, 2).T))
+
+
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     """Smallest value in each window of ``width``."""
     best, size = values, 1
@@ -88,8 +101,8 @@ def sliding_min(values: np.ndarray, width: int) -> np.ndarray:
     return best
 
 
-def gaps(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
-    """Of a text of at least ``length`` bytes: (first start, last start, gram bucket, two lanes of the gap's bucket, steps).
+def gaps(data: np.ndarray, length: int = LENGTH, gram: int = GRAM, with_steps: bool = True) -> tuple:
+    """Of a text of at least ``length`` bytes: (first start, last start, gram bucket, steps or None).
 
     ``steps`` are (gap, first start, last start, bucket) of the steps of all gaps.
 
@@ -113,8 +126,9 @@ def gaps(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
         some = inside[k:k + 1024]
         windows = order[first[some][:, None] + np.arange(width)[::-1]]
         anchor[some] = first[some] + width - 1 - windows.argmin(axis=1)
-    size = (last - first).astype(np.uint64) * np.uint64(0x9FB21C651E98DF25)  # strings of other lengths are other buckets
-    found = [spans.of(anchor, anchor + gram, 1)] + [spans.of(first, last + length, k) ^ size for k in (0, 1)]
+    bucket = spans.of(anchor, anchor + gram, 1).view(np.int64)
+    if not with_steps:
+        return first, last, bucket, None
     stride = min(STEP, width)
     low, high = (anchor - last) // stride, (anchor - first) // stride
     count = high - low + 1
@@ -125,7 +139,7 @@ def gaps(data: np.ndarray, length: int = LENGTH, gram: int = GRAM) -> tuple:
     key = spans.of(begin, begin - stride + 1 + length, 0) ^ (spans.of(at, at + gram, 1) * np.uint64(3)) ^ (
         step.astype(np.uint64) * np.uint64(0xA24BAED4963EE407))
     steps = (gap, np.maximum(first[gap], begin - stride + 1), np.minimum(last[gap], begin), key.view(np.int64))
-    return (first, last, *(h.view(np.int64) for h in found), steps)
+    return first, last, bucket, steps
 
 
 def pieces(n: int, length: int, piece: int = PIECE) -> Iterator[tuple[int, int]]:
@@ -160,22 +174,37 @@ def _table(columns: list, kinds: list, names: list) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c), k) for c, k in zip(columns, kinds)], names=names)
 
 
+def _bucket_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, piece: int) -> Iterator[pa.RecordBatch]:
+    """(bucket, weight) of the gaps of each text; weight 2 where a text has a bucket more than once."""
+    for b in batches:
+        out: list = [[], []]
+        for data in _bytes_of(b, 0):
+            for begin, end in pieces(len(data), length, piece):
+                bucket, times = np.unique(gaps(data[begin:end], length, gram, with_steps=False)[2], return_counts=True)
+                out[0].append(bucket)
+                out[1].append(np.minimum(times, 2))
+        if out[0]:
+            yield _table(out, [pa.int64(), pa.int32()], ["bucket", "weight"])
+
+
 def _gap_rows(batches: Iterator[pa.RecordBatch], length: int, gram: int, piece: int,
-              keep: BitFilter | None) -> Iterator[pa.RecordBatch]:
-    """Gaps of the texts. Of equal gaps in one text one stays, with weight 2; the others' ranges, joined where they touch,
+              keep: BitFilter) -> Iterator[pa.RecordBatch]:
+    """Gaps of the texts whose buckets may be shared. Of equal gaps in one text one stays, with weight 2; the others' ranges, joined where they touch,
     are decided and have weight 0. So a text of one repeated word gives a few rows."""
     for b in batches:
         out: list = [[] for _ in GAP_NAMES]
         sizes, inside = [], [[], [], []]
         for data, t1, t2 in zip(_bytes_of(b, 0), b.column(1).to_pylist(), b.column(2).to_pylist()):
             for begin, end in pieces(len(data), length, piece):
-                first, last, bucket, g1, g2, steps = gaps(data[begin:end], length, gram)
+                first, last, bucket, steps = gaps(data[begin:end], length, gram)
                 count = np.bincount(steps[0], minlength=len(first))
                 starts = np.cumsum(count) - count
-                if keep is not None:
-                    use = keep.may_hold(bucket)
-                    first, last, bucket, g1, g2, count, starts = (v[use] for v in (first, last, bucket, g1, g2, count, starts))
+                use = keep.may_hold(bucket)
+                first, last, bucket, count, starts = (v[use] for v in (first, last, bucket, count, starts))
+                g1, g2 = strong(data[begin:end], first, last + length)
                 _, one, which, times = np.unique(g1, return_index=True, return_inverse=True, return_counts=True)
+                if (g2 != g2[one][which]).any():
+                    _, one, times = np.unique(np.stack([g1, g2]), axis=1, return_index=True, return_counts=True)
                 more = np.ones(len(g1), bool)
                 more[one] = False
                 parts = [(first[one] + begin, last[one] + begin, bucket[one], g1[one], g2[one], np.minimum(times, 2))]
@@ -211,11 +240,10 @@ def _start_rows(batches: Iterator[pa.RecordBatch], length: int, piece: int) -> I
             for begin, end in pieces(len(data), length, piece):
                 some = np.flatnonzero((lo >= begin) & (lo < begin + piece))
                 if len(some):
-                    spans = Spans(data[begin:end])
                     at = np.concatenate([np.arange(lo[i], hi[i] + 1) for i in some.tolist()]) - begin
                     marks = np.repeat(is_open[some], hi[some] - lo[some] + 1)
                     values = (np.full(len(at), t1), np.full(len(at), t2), at + begin,
-                              *(spans.of(at, at + length, k).view(np.int64) for k in (0, 1)), marks)
+                              *strong(data[begin:end], at, at + length), marks)
                     for c, v in zip(out, values):
                         c.append(v)
                     if sum(map(len, out[0])) > PIECE:
@@ -232,7 +260,7 @@ def repeated_starts(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, pie
     """
     source = docs.select("text", "t1", "t2")
     # 1. initial buckets: only their sizes are shuffled
-    every = source.mapInArrow(lambda it: _gap_rows(it, length, gram, piece, None), _GAP_SCHEMA).where("weight > 0")
+    every = source.select("text").mapInArrow(lambda it: _bucket_rows(it, length, gram, piece), "bucket long, weight int")
     shared = stored(every.groupBy("bucket").agg(F.sum("weight").alias("n")).where("n > 1").select("bucket"), "suffix-buckets")
     keep = BitFilter.of(shared, "bucket")  # lets gaps alone in their bucket through at worst; they stay alone below
     live = stored(source.mapInArrow(lambda it: _gap_rows(it, length, gram, piece, keep), _GAP_SCHEMA), "suffix-gaps")
@@ -285,7 +313,8 @@ def kept_bytes(data: bytes, ranges: list[tuple[int, int]], length: int = LENGTH)
 
 def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = False,
                    piece: int = PIECE) -> DataFrame:
-    """Every row as (doc_id, n_bytes, n_removed, n_spans, kept_sha256), with ``kept`` (binary) if asked.
+    """Every row as (doc_id, n_bytes, n_removed, n_spans, kept_sha256, n_kept, untouched), with ``kept`` (binary) if asked.
+    ``n_kept`` are the bytes left, ``untouched`` says that nothing was removed.
 
     Each byte of a text that lies in a string of ``length`` bytes which also starts elsewhere, in this row or another, is
     removed. Null texts are empty. Rows are told by their texts, so a repeated row or text is removed wholly if it has
@@ -300,16 +329,17 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            out: list = [[] for _ in range(5)]
+            out: list = [[] for _ in range(7)]
             for text, gone in zip(b.column(1), b.column(2).to_pylist()):
                 data = text.as_py().encode()
                 kept, removed, spans = kept_bytes(data, [(g["first"], g["last"]) for g in gone or ()], length)
-                for c, v in zip(out, (len(data), removed, spans, hashlib.sha256(kept).hexdigest(), kept)):
+                for c, v in zip(out, (len(data), removed, spans, hashlib.sha256(kept).hexdigest(), len(kept), not removed, kept)):
                     c.append(v)
-            kinds = [pa.int64()] * 3 + [pa.string(), pa.binary()]
+            kinds = [pa.int64()] * 3 + [pa.string(), pa.int64(), pa.bool_(), pa.binary()]
             columns = [b.column(0), *map(pa.array, out, kinds)][: len(names)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["kept"] * with_text
-    schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
+    names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_kept", "untouched"] + ["kept"] * with_text
+    schema = ("doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, n_kept long, untouched boolean"
+              + ", kept binary" * with_text)
     return source.join(ranges, ["t1", "t2"], "left").select("doc_id", "text", "gone").mapInArrow(run, schema)

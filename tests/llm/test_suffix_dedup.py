@@ -62,3 +62,18 @@ def test_production_length(make_docs):
         rows.append((i, text))
     compare(make_docs, rows + [(50, rows[4][1]), (51, "Are, " * 500)], 400, 100)
     assert remove_repeats(make_docs([])).count() == 0
+
+
+def test_strings_with_equal_polynomial_hashes(make_docs):
+    """Words in Thue-Morse order and their opposites, which sums of powers take as equal."""
+    bits = [bin(i).count("1") & 1 for i in range(1024)]
+    one, two = ("".join(pair[x] for x in bits) for pair in ("ab", "ba"))
+    r = random.Random(4)
+    noise = ["".join(r.choice("cdefg") for _ in range(300)) for _ in range(4)]
+    compare(make_docs, [(i, noise[i] + w[:n] + noise[i][::-1]) for n in (450, 600, 1024) for i, w in enumerate((one, two))], 400, 100)
+
+
+def test_columns_of_the_decision(make_docs):
+    rows = [(1, "x" * 900), (2, "short"), (3, None)]
+    out = {r.doc_id: (r.n_kept, r.untouched) for r in remove_repeats(make_docs(rows)).collect()}
+    assert out == {1: (0, False), 2: (5, True), 3: (0, True)}

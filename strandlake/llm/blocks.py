@@ -38,18 +38,20 @@ def in_blocks(members: DataFrame, block: int) -> DataFrame:
 
 
 def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int, list[int]], np.ndarray],
-                 ready: Callable[[list], list] | None = None) -> DataFrame:
+                 ready: Callable[[list], list] | None = None, known: str = "node") -> DataFrame:
     """Links (a, b) of nodes in the same (bucket, low, high) group of ``grouped``.
 
     ``linked(values, i, others)`` tells of the values at ``others`` whether they link to the i-th. It is asked only about
     values that the group has not connected with it yet, so a group of copies costs one pass, and only links that connect
     something new leave the task: the same components, never all pairs. ``ready`` turns the payloads of an Arrow batch
-    into the values that are compared.
+    into the values that are compared. With ``known``, nodes that are equal in that column are connected from the start, and
+    links are given in its values.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def flush(nodes: list, values: list, out: list) -> None:
-            root = list(range(len(nodes)))
+            same: dict = {}
+            root = [same.setdefault(n, i) for i, n in enumerate(nodes)]
 
             def find(x: int) -> int:
                 while root[x] != x:
@@ -90,5 +92,5 @@ def links_within(grouped: DataFrame, payload: str, linked: Callable[[list, int,
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], schema=LINKS)
 
     keys = ["bucket", "low", "high"]
-    ordered = grouped.select(*keys, "node", payload).repartition(*keys).sortWithinPartitions(*keys, "node")
+    ordered = grouped.select(*keys, F.col(known).alias("node"), payload).repartition(*keys).sortWithinPartitions(*keys, "node")
     return ordered.mapInArrow(run, "a long, b long")

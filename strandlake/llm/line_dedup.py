@@ -1,4 +1,8 @@
-"""Fuzzy line deduplication: MinHash of character shingles, banding, exact Jaccard, union-find."""
+"""Fuzzy line deduplication: MinHash of character shingles, banding, exact Jaccard, union-find.
+
+Lines that share a band are first compared with the band's first line only, which connects groups of copies; then, in
+bands that still hold lines of several components, all lines of different components are compared.
+"""
 
 from __future__ import annotations
 
@@ -25,8 +29,12 @@ SIMILARITY = 0.8
 BANDS, ROWS = 24, 4
 #: Lines of one part of a hot bucket.
 BLOCK = 256
+#: Lines compared with one first line in one task.
+STAR = 4096
 #: Characters whose shingle hashes are held at once.
 PIECE = 1 << 15
+#: Characters from which a line's shingles are compared share by share, and shingles of one share.
+LONG, SHARE = 1 << 16, 1 << 18
 
 _RANDOM = np.random.default_rng(20240607)
 _A = (_RANDOM.integers(1, 1 << 32, BANDS * ROWS, dtype=np.uint64) | np.uint64(1)).astype(np.uint32)
@@ -42,91 +50,105 @@ def shingles(line: str, width: int = WIDTH) -> set[str]:
     return {line[i:i + width] for i in range(max(1, len(line) - width + 1))}
 
 
-def shingle_values(lines: list[str]) -> list[tuple[bool, np.ndarray]]:
-    """For each line (exact, sorted distinct shingles as numbers).
-
-    Characters under 512 (Latin scripts) are packed into 9 bits each, so a number is its shingle. Lines with others get
-    64-bit hashes of their shingles.
-    """
-    lengths = np.array([len(x) for x in lines], np.int64)
-    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    begin = np.cumsum(lengths) - lengths
-    narrow = np.maximum.reduceat(points, begin) < 512
-    padded = np.concatenate([points, np.zeros(WIDTH, np.uint64)])
-    windows = [padded[k:k + len(points)] for k in range(WIDTH)]  # only those inside a line are looked at
-    packed = _packed(windows)
-    hashed = packed if narrow.all() else _hashed(windows)
-    out = []
-    for line, start, size, exact in zip(lines, begin.tolist(), lengths.tolist(), narrow.tolist()):
-        if size < WIDTH:
-            parts = [points[start + k:start + k + 1] for k in range(size)]
-            out.append((exact, _packed(parts) | np.uint64(size << 60) if exact else _hashed(parts)))
-        else:
-            found = np.sort((packed if exact else hashed)[start:start + size - WIDTH + 1])
-            out.append((exact, found[np.concatenate([[True], found[1:] != found[:-1]])]))
-    return out
-
-
-def _packed(windows: list[np.ndarray]) -> np.ndarray:
-    value = windows[0]
-    for p in windows[1:]:
-        value = value << np.uint64(9) | p
-    return value
-
-
-def _hashed(windows: list[np.ndarray]) -> np.ndarray:
-    value = np.full(len(windows[0]), len(windows), np.uint64)
-    for p in windows:
-        value = (value ^ p) * _MIX
+def _hashes(points: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Hashes of the windows at every character; those that run past a line's end are hashes of nothing."""
+    value = np.zeros(len(points), np.uint64)
+    for k in range(min(WIDTH, len(points))):
+        value[: len(points) - k] = (value[: len(points) - k] + points[k:]) * _MIX
         value ^= value >> np.uint64(29)
+    for i in np.flatnonzero(lengths < WIDTH).tolist():
+        own = points[begin[i]: begin[i] + lengths[i]].astype("<u4").tobytes()
+        value[begin[i]] = xxhash.xxh64_intdigest(own)
     return value
 
 
-def _in_common(a: tuple[bool, np.ndarray], b: tuple[bool, np.ndarray]) -> int:
-    """Shingles that two lines share; if one is hashed, both are compared by hashes."""
-    if a[0] != b[0]:
-        a, b = _as_hashes(a), _as_hashes(b)
-    return len(np.intersect1d(a[1], b[1], assume_unique=True))
-
-
-def _as_hashes(found: tuple[bool, np.ndarray]) -> tuple[bool, np.ndarray]:
-    exact, values = found
-    if not exact:
-        return found
-    w = int(values[0] >> np.uint64(60)) if len(values) == 1 and values[0] >> np.uint64(63) == 0 and values[0] >> np.uint64(60) else 0
-    w = w or WIDTH
-    return False, np.unique(_hashed([values >> np.uint64(9 * (w - 1 - k)) & np.uint64(511) for k in range(w)]))
-
-
-def _bands(lines: list[str]) -> np.ndarray:
-    """Band keys (lines x bands) of the lines' signatures."""
+def _minima(lines: list[str]) -> np.ndarray:
+    """Minima (BANDS * ROWS x lines) of the lines' shingles under as many permutations."""
     lengths = np.array([len(x) for x in lines], np.int64)
     points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    short = np.minimum(lengths, WIDTH)
     ends = np.cumsum(lengths)
     begin = ends - lengths
-    value = np.zeros(len(points), np.uint64)
-    for k in range(min(WIDTH, len(points))):  # a window that runs past its line is not looked at below
-        value[: len(points) - k] = (value[: len(points) - k] + points[k:]) * _MIX
-        value ^= value >> np.uint64(29)
-    for i in np.flatnonzero(lengths < WIDTH).tolist():
-        value[begin[i]] = xxhash.xxh64_intdigest(lines[i].encode())
-    counts = lengths - short + 1
-    first = np.cumsum(counts) - counts
-    at = np.arange(int(counts.sum())) - np.repeat(first - begin, counts)
-    hashed = (value[at] * _MIX >> np.uint64(32)).astype(np.uint32)
+    hashed = (_hashes(points, begin, lengths) * _MIX >> np.uint64(32)).astype(np.uint32)
+    counts = lengths - np.minimum(lengths, WIDTH) + 1
+    # eight shingles of a line one below another, the last ones repeated, so that their minimum is taken by column
+    columns = -(-counts // 8)
+    first = np.cumsum(columns) - columns
+    line = np.repeat(np.arange(len(lines)), columns)
+    at = (np.arange(int(columns.sum())) - first[line]) * 8
+    at = np.minimum(at[None, :] + np.arange(8)[:, None], counts[line] - 1) + begin[line]
+    folded = hashed[at]
+    mixed, low = np.empty_like(folded), np.empty(folded.shape[1], np.uint32)
+    out = np.empty((len(_A), len(lines)), np.uint32)
+    for r, factor in enumerate(_A):
+        np.multiply(folded, factor, out=mixed)  # an odd factor permutes the well-mixed 32-bit hashes
+        np.minimum.reduce(mixed, axis=0, out=low)
+        np.minimum.reduceat(low, first, out=out[r])
+    return out
+
+
+def _bands(lines: list[str]) -> np.ndarray:
+    """Band keys (lines x bands) of the lines' signatures; a long line is signed in pieces."""
+    parts = [x[k:k + PIECE + WIDTH - 1] for x in lines for k in range(0, max(1, len(x) - WIDTH + 1), PIECE)]
+    pieces = np.array([len(range(0, max(1, len(x) - WIDTH + 1), PIECE)) for x in lines])
+    found, at = [], 0
+    while at < len(parts):  # a bounded number of characters at a time
+        size, to = 0, at
+        while to < len(parts) and (to == at or size + len(parts[to]) <= 2 * PIECE):
+            size += len(parts[to])
+            to += 1
+        found.append(_minima(parts[at:to]))
+        at = to
+    minima = np.concatenate(found, axis=1)
+    if len(parts) > len(lines):
+        minima = np.minimum.reduceat(minima, np.cumsum(pieces) - pieces, axis=1)
     keys = np.empty((len(lines), BANDS), np.uint64)
-    mixed = np.empty_like(hashed)
     for band in range(BANDS):
         key = np.full(len(lines), band + 1, np.uint64)
         for r in range(band * ROWS, band * ROWS + ROWS):
-            np.multiply(hashed, _A[r], out=mixed)  # an odd factor permutes the well-mixed 32-bit hashes
-            key = (key ^ np.minimum.reduceat(mixed, first)) * _MIX
+            key = (key ^ minima[r]) * _MIX
             key ^= key >> np.uint64(32)
         keys[:, band] = key
     return keys.view(np.int64)
 
 
+def _shares(line: str, share: int, shares: int) -> set[str]:
+    """Those shingles of a line whose hash falls into a share."""
+    if len(line) < WIDTH:
+        return {line} if share == 0 else set()
+    out: set[str] = set()
+    for k in range(0, len(line) - WIDTH + 1, PIECE):
+        part = line[k:k + PIECE + WIDTH - 1]
+        points = np.frombuffer(part.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        hashed = _hashes(points, np.zeros(1, np.int64), np.array([len(part)]))[: len(part) - WIDTH + 1]
+        mine = np.flatnonzero((hashed * _MIX >> np.uint64(40)) % np.uint64(shares) == share)
+        out.update(part[i:i + WIDTH] for i in mine.tolist())
+    return out
+
+
+class Line:
+    """A line and, where it is short, its shingles."""
+
+    def __init__(self, text: str):
+        self.text = text
+        self.set = shingles(text) if len(text) < LONG else None
+
+    def similar(self, other: Line, least: float) -> bool:
+        """Whether the Jaccard similarity of the shingle sets is at least ``least``; long lines share by share."""
+        if self.set is not None and other.set is not None:
+            x, y = len(self.set), len(other.set)
+            if min(x, y) < least * max(x, y):
+                return False
+            both = len(self.set & other.set)
+            return both >= least * (x + y - both)
+        shares = -(-max(len(self.text), len(other.text)) // SHARE)
+        both = total = 0
+        for k in range(shares):
+            a, b = _shares(self.text, k, shares), _shares(other.text, k, shares)
+            both += len(a & b)
+            total += len(a) + len(b)
+        return both >= least * (total - both)
+
+
 def _halves(lines: list[str]) -> np.ndarray:
     """128 bits that stand for each line, as two columns."""
     raw = b"".join([xxhash.xxh128_digest(x.encode()) for x in lines])
@@ -162,19 +184,27 @@ def _batches(rows: Iterator[tuple]) -> Iterator[tuple[list, list]]:
         yield held, lines
 
 
-def _places(batches, with_bands: bool):
+def _places(batches, with_lines: bool):
+    """Places of all lines; with lines, each different line of a batch once, at its first place."""
+    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
     for held, lines in _batches(_each_line(batches)):
-        columns = [pa.array(c, t) for c, t in zip(zip(*held), (pa.int64(), pa.int64(), pa.int64(), pa.int32()))]
+        if with_lines:
+            first: dict = {}
+            for place, line in zip(held, lines):
+                old = first.get(line)
+                if old is None or _order(place) < _order(old):
+                    first[line] = place
+            lines, held = list(first), list(first.values())
+        columns = [pa.array(c, t) for c, t in zip(zip(*held), kinds)]
         halves = _halves(lines)
         columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in range(2)]
-        names = ["doc_id", "t1", "t2", "line_no", "k1", "k2"]
-        if with_bands:
-            number: dict[str, int] = {}
-            which = [number.setdefault(x, len(number)) for x in lines]
-            keys = _bands(list(number))[which]
-            columns += [pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS)]
-            names += BAND_COLUMNS
-        yield pa.RecordBatch.from_arrays(columns, names=names)
+        if with_lines:
+            columns.append(pa.array(lines, pa.string()))
+        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "line_no", "k1", "k2", "line"][: len(columns)])
+
+
+def _order(place: list) -> tuple:
+    return (place[0] is not None, place[0] or 0, *place[1:])
 
 
 def _source(docs: DataFrame) -> DataFrame:
@@ -186,33 +216,61 @@ def line_places(docs: DataFrame) -> DataFrame:
     return _source(docs).mapInArrow(lambda it: _places(it, False), _PLACES)
 
 
-def _similar(values: list, i: int, others: list[int], least: float) -> np.ndarray:
-    """Which of the other lines (as ``shingle_values`` gives them) reach the Jaccard similarity."""
-    x = len(values[i][1])
-    out = np.zeros(len(others), bool)
-    for k, j in enumerate(others):
-        y = len(values[j][1])
-        if min(x, y) >= least * max(x, y):
-            both = _in_common(values[i], values[j])
-            out[k] = both >= least * (x + y - both)
-    return out
+def _similar(values: list[Line], i: int, others: list[int], least: float) -> np.ndarray:
+    """Which of the other lines reach the Jaccard similarity."""
+    return np.array([values[i].similar(values[j], least) for j in others], bool)
+
+
+def _lines_of(texts: list[str]) -> list[Line]:
+    return [Line(x) for x in texts]
+
+
+def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, band keys) of (node, line)."""
+    for batch in batches:
+        for nodes, lines in _batches(zip(*(c.to_pylist() for c in batch.columns))):
+            keys = _bands(lines)
+            yield pa.RecordBatch.from_arrays([pa.array([n for n, in nodes]), *(pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS))],
+                                             names=["node", *BAND_COLUMNS])
+
+
+def _star_links(rows: DataFrame, least: float) -> DataFrame:
+    """Links (a, b) of lines that are like their first line. ``rows``: (first, part, own, node, value); ``own`` marks the
+    first line itself, which every part has. Only the first line is held."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, head = None, None
+        for batch in batches:
+            out: list = []
+            for first, part, own, node, value in zip(*(c.to_pylist() for c in batch.columns)):
+                if own:
+                    key, head = (first, part), Line(value)
+                elif (first, part) == key and Line(value).similar(head, least):
+                    out.append((first, node))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
+
+    keys = ["first", "part"]
+    return rows.select(*keys, "own", "node", "value").repartition(*keys).sortWithinPartitions(
+        *keys, F.desc("own"), "node").mapInArrow(run, "a long, b long")
 
 
 def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Distinct lines as (k1, k2, keep struct): ``keep`` is the first place of the line's component.
 
-    Equal lines are one node. Nodes that share a band of their signatures are compared exactly; hot bands are compared
-    part against part. Of the bands only their counts are shuffled, and only lines in some shared band have their text
-    moved: bit filters of fixed size leave the others out where they can.
+    Equal lines are one node. Of the bands only counts are shuffled, and only lines in some shared band have their text
+    moved: bit filters of fixed size leave the others out where they can. Every line of a shared band is compared exactly
+    with the band's first line, each such pair once. Bands whose lines are then not all of one component have all lines of
+    different components compared, hot ones part against part.
     """
     prepare(docs.sparkSession)
     with Intermediate(docs.sparkSession) as tables:
-        bands = ", ".join(f"{c} long" for c in BAND_COLUMNS)
-        found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, {bands}")
-        lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"),
-                                         *[F.min(c).alias(c) for c in BAND_COLUMNS])
+        found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, line string")
+        lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"), F.max("line").alias("line"))
         nodes = stored(lines.withColumn("node", F.monotonically_increasing_id()), "lines")
-        postings = nodes.select("node", F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
+        signed = stored(nodes.select("node", "line").mapInArrow(_signed, ", ".join(f"{c} long" for c in ("node", *BAND_COLUMNS))),
+                        "line-signatures")
+        postings = signed.select(F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
         shared = stored(postings.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "line-bands")
         crowded = BitFilter.of(shared, "bucket")
 
@@ -225,28 +283,32 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
                     if use.any():
                         yield pa.RecordBatch.from_arrays([pa.array(node[use]), pa.array(bucket[use])], names=["node", "bucket"])
 
-        few = stored(nodes.select("node", *BAND_COLUMNS).mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
+        few = stored(signed.mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
         buckets = stored(distinct_buckets(few), "line-buckets")
         members = stored(few.join(buckets, "bucket"), "line-members")
-        wanted = stored(members.select("node").distinct().join(nodes.select("node", *KEYS), "node"), "line-candidates")
-        keep = BitFilter.of(wanted, "k1")
-
-        def read(batches):
-            for held, some in _batches(_each_line(batches)):
-                k1, k2 = np.ascontiguousarray(_halves(some).T)
-                for_use = np.flatnonzero(keep.may_hold(k1))
-                _, first = np.unique(k1[for_use], return_index=True)
-                for_use = for_use[np.sort(first)]
-                if len(for_use):
-                    yield pa.RecordBatch.from_arrays([pa.array(k1[for_use]), pa.array(k2[for_use]),
-                                                      pa.array([some[i] for i in for_use.tolist()], pa.string())],
-                                                     names=["k1", "k2", "line"])
-
-        written = _source(docs).mapInArrow(read, "k1 long, k2 long, line string")
-        known = stored(wanted.join(written.groupBy(*KEYS).agg(F.max("line").alias("value")), KEYS).select("node", "value"),
-                       "line-texts")
-        grouped = in_blocks(members.join(known, "node"), BLOCK)
-        linked = stored(components(links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least), shingle_values)), "line-components")
+        wanted = stored(members.select("node").distinct(), "line-candidates")
+        known = stored(nodes.select("node", F.col("line").alias("value")).join(wanted, "node", "left_semi"), "line-texts")
+
+        # 1. lines against the first one of their band
+        heads = members.groupBy("bucket").agg(F.min("node").alias("first"))
+        pairs = stored(members.join(heads, "bucket").where("node <> first").select("first", "node").distinct(), "line-pairs")
+        parts = pairs.groupBy("first").agg(F.ceil(F.count("*") / STAR).cast("int").alias("parts"))
+        rest = pairs.join(parts, "first").withColumn("part", F.pmod(F.xxhash64("node"), F.col("parts")).cast("int")).withColumn("own", F.lit(False))
+        own = parts.select("first", F.col("first").alias("node"), "parts", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"),
+                           F.lit(True).alias("own"))
+        stars = rest.unionByName(own).join(known, "node")
+        starred = stored(components(_star_links(stars, least)), "line-stars")
+
+        # 2. lines of different components in one band
+        grown = members.join(starred, "node", "left").withColumn("component", F.coalesce("component", "node"))
+        mixed = grown.groupBy("bucket").agg(F.min("component").alias("low"), F.max("component").alias("high")).where("low <> high").select("bucket")
+        left = stored(grown.join(mixed, "bucket", "left_semi"), "line-mixed")
+        grouped = in_blocks(left.join(known, "node"), BLOCK)
+        links = links_within(grouped, "value", lambda v, i, others: _similar(v, i, others, least), _lines_of, known="component")
+        merged = stored(components(links), "line-merged").select(F.col("node").alias("component"), F.col("component").alias("joined"))
+        alone = merged.select(F.col("component").alias("node"), "component")
+        linked = starred.unionByName(alone).distinct().join(merged, "component", "left").select(
+            "node", F.coalesce("joined", "component").alias("component"))
         known_nodes = stored(nodes.select("node", *KEYS, "first").join(linked, "node"), "line-linked")
         firsts = stored(known_nodes.groupBy("component").agg(F.min("first").alias("keep")), "line-firsts")
         moved = stored(known_nodes.join(firsts, "component").select(*KEYS, "keep"), "line-keepers")

@@ -85,15 +85,59 @@ def test_stage_is_listed():
     assert [n for n, _ in STAGES] == ["toxicity", "line dedup", "simhash near-dedup", "source mixing", "bpe encoding"]
 
 
-def test_shingles_as_numbers():
-    from strandlake.llm.line_dedup import _in_common, shingle_values
+def test_similarity_of_lines(monkeypatch):
+    from strandlake.llm import line_dedup
 
     r = random.Random(1)
-    lines = ["".join(r.choice("abcdé漢 x\x00"[:r.choice([3, 5, 9])]) for _ in range(r.randint(1, 14))) for _ in range(600)]
-    values = shingle_values(lines)
-    for a, b, x, y in zip(lines, lines[1:], values, values[1:]):
-        assert len(x[1]) == len(shingles(a))
-        assert _in_common(x, y) == len(shingles(a) & shingles(b))
+    lines = ["".join(r.choice("abcdé漢 x\x00"[:r.choice([1, 3, 5, 9])]) for _ in range(r.randint(1, 40))) for _ in range(300)]
+    lines += [x + "ab" for x in lines[::3]]
+    want = {(a, b): len(shingles(a) & shingles(b)) >= 0.8 * len(shingles(a) | shingles(b)) for a in lines for b in lines[::7] + [a]}
+    assert all(line_dedup.Line(a).similar(line_dedup.Line(b), 0.8) == w for (a, b), w in want.items())
+    monkeypatch.setattr(line_dedup, "LONG", 20)  # as long lines are, share by share and piece by piece
+    monkeypatch.setattr(line_dedup, "SHARE", 9)
+    monkeypatch.setattr(line_dedup, "PIECE", 8)
+    some = r.sample(sorted(want), 1500)
+    assert all(line_dedup.Line(a).similar(line_dedup.Line(b), 0.8) == want[a, b] for a, b in some)
+
+
+def test_signatures_are_minima(monkeypatch):
+    """Signatures equal plain minima over each line's shingles, whatever the lines they are made with or pieces."""
+    from strandlake.llm import line_dedup
+
+    r = random.Random(2)
+    lines = ["".join(r.choice("abcé漢 ") for _ in range(r.choice([1, 3, 6, 7, 8, 14, 15, 40, 200]))) for _ in range(80)]
+    whole = line_dedup._bands(lines)
+    assert all((line_dedup._bands([x])[0] == k).all() for x, k in zip(lines, whole))
+    for x, m in zip(lines, line_dedup._minima(lines).T):
+        each = [line_dedup._minima([s]) for s in shingles(x)] if len(x) >= line_dedup.WIDTH else [line_dedup._minima([x])]
+        assert (min(tuple(e[0]) for e in each)[0] == m[0]) and (sum(each) * 0 + m[:, None] <= each[0]).all()
+    monkeypatch.setattr(line_dedup, "PIECE", 16)
+    assert (line_dedup._bands(lines) == whole).all()
+
+
+def test_long_lines(make_docs):
+    r = random.Random(3)
+    long = "".join(r.choice("abcdefgh ") for _ in range(150_000))
+    rows = [(0, long), (1, long[:70_000] + "#" + long[70_000:]), (2, long[:75_000]), (3, long[::-1] + "\n" + long)]
+    kept = {(d.doc_id, d.line_no) for d in line_decisions(make_docs(rows)).where("kept").collect()}
+    assert kept == {(0, 0), (2, 0), (3, 0)}
+
+
+def test_components_of_one_band_join_in_the_second_step(make_docs, monkeypatch):
+    """Chains of lines, each like the next only, so that most links are not with the first line of a band."""
+    monkeypatch.setattr("strandlake.llm.line_dedup.STAR", 3)
+    r = random.Random(6)
+    rows, doc = [], 0
+    for _ in range(12):
+        line = "".join(r.choice("abcdefghijklmnop ") for _ in range(120)) + "q"
+        for _ in range(25):
+            at = r.randrange(5, 110)
+            line = line[:at] + r.choice("XYZ") + line[at + 1:]
+            rows.append((doc, line))
+            doc += 1
+    r.shuffle(rows)
+    got = {(d.doc_id, d.line_no): d.kept for d in line_decisions(make_docs(rows)).collect()}
+    assert got == brute(rows)
 
 
 def pairs_at_the_threshold(n):

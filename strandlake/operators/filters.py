@@ -7,7 +7,7 @@ import re
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from strandlake.operators.quantiles import exact_quantiles
+from strandlake.operators.quantiles import quantiles_of_columns
 
 # Fixed value: the written form of a region.
 REGION_PATTERN = re.compile(r"^([^:]+)(?::(\d+)-(\d+))?$")
@@ -67,9 +67,11 @@ def drop_sparse(df: DataFrame, row: str, column: str, value: str,
 
 
 def joint_top_quartile(df: DataFrame, a: str, b: str, p: float = 0.75) -> DataFrame:
-    """FLT-16: rows where both metrics reach their own exact quantile."""
+    """FLT-16: rows where both metrics reach their own exact quantile; both quantiles come from one pass."""
+    points = quantiles_of_columns(df, [a, b], [p])
+
     def cut(c):
-        return exact_quantiles(df, [], c, [p]).select("value").scalar()
+        return points.filter(F.col("column_name") == c).select("value").scalar()
 
     return df.filter((F.col(a) >= cut(a)) & (F.col(b) >= cut(b)))
 

@@ -2,30 +2,31 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from strandlake.operators.ordered import running_sums
 from strandlake.session import join_back
 
 
-def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
-                    accuracy: int = 10000) -> DataFrame:
-    """Linearly interpolated quantiles: one row per key and probability (keys, prob, value).
+def exact_ranks(df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = 10000) -> DataFrame:
+    """The two values around each wanted rank: (keys, prob, low, high, share), one row per key and probability.
 
-    A mergeable sketch of fixed size brackets every wanted rank. One more pass counts the rows
-    below each bracket and, per distinct value, inside it; only those few values are ordered.
-    The bracket is four times as wide as the sketch's stated rank error, and a group of at most
-    ``accuracy`` rows is its own bracket, so the ranks lie inside it; should one not, the job fails
-    instead of giving a near value.
+    ``low`` and ``high`` have the type of ``value`` and are values of the group, no digit lost; the quantile lies at
+    ``share`` between them. A mergeable sketch of fixed size brackets every wanted rank. One more pass counts the rows
+    below each bracket and, per distinct value, inside it; those values are dealt by range and counted up, so no group
+    and no bracket is ordered in one task. The bracket is four times as wide as the sketch's stated rank error, and a group
+    of at most ``accuracy`` rows is its own bracket, so the ranks lie inside it; should one not, the job fails instead of
+    giving a near value.
     """
     eps = 4.0 / accuracy
-    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).cast("double").alias("_v"))
+    rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), F.col(value).cast("double").alias("_d"))
     lows = [max(0.0, p - eps) for p in probs]
     highs = [min(1.0, p + eps) for p in probs]
     sketch = rows.groupBy(*keys).agg(
-        F.percentile_approx("_v", lows, accuracy).alias("_lo"),
-        F.percentile_approx("_v", highs, accuracy).alias("_hi"),
-        F.min("_v").alias("_min"), F.max("_v").alias("_max"), F.count("*").alias("_n"))
+        F.percentile_approx("_d", lows, accuracy).alias("_lo"),
+        F.percentile_approx("_d", highs, accuracy).alias("_hi"),
+        F.min("_d").alias("_min"), F.max("_d").alias("_max"), F.count("*").alias("_n"))
     small = F.col("_n") <= accuracy
     bands = F.array(*[
         F.struct(F.lit(float(p)).alias("prob"),
@@ -34,14 +35,13 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
         for i, (p, lo, hi) in enumerate(zip(probs, lows, highs))])
     sizes = sketch.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
     bands = sketch.select(*keys, bands.alias("_bands"))
-    tagged = join_back(rows, bands, keys).select(*keys, "_v", F.explode("_bands").alias("_band"))
+    tagged = join_back(rows, bands, keys).select(*keys, "_v", "_d", F.explode("_bands").alias("_band"))
     # A value below the bracket is only counted; a value inside keeps its identity.
-    inside = tagged.filter(F.col("_v") <= F.col("_band.b")).select(
+    inside = tagged.filter(F.col("_d") <= F.col("_band.b")).select(
         *keys, F.col("_band.prob").alias("prob"),
-        F.when(F.col("_v") >= F.col("_band.a"), F.col("_v")).alias("_v"))
+        F.when(F.col("_d") >= F.col("_band.a"), F.col("_v")).alias("_v"))
     counts = inside.groupBy(*keys, "prob", "_v").agg(F.count("*").alias("_c"))
-    order = Window.partitionBy(*keys, "prob").orderBy(F.col("_v").asc_nulls_first())
-    upto = counts.withColumn("_upto", F.sum("_c").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    upto = running_sums(counts, [*keys, "prob"], [F.asc_nulls_first("_v")], {"_upto": F.col("_c")})
     ranked = join_back(upto.filter(F.col("_v").isNotNull()), sizes, [*keys, "prob"])
     position = (F.col("_n") - 1) * F.col("prob")
     lower, upper = F.floor(position) + 1, F.ceil(position) + 1
@@ -49,12 +49,26 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[floa
     def at(rank):
         return F.min(F.when(F.col("_upto") >= rank, F.col("_v")))
 
-    return (ranked.groupBy(*keys, "prob")
-            .agg(at(lower).alias("_x"), at(upper).alias("_y"), F.first(position - F.floor(position)).alias("_f"),
-                 (F.min(F.col("_upto") - F.col("_c")) < F.first(lower)).alias("_held"))
-            .select(*keys, "prob", F.when(F.col("_held") & F.col("_y").isNotNull(),
-                                          F.col("_x") * (1 - F.col("_f")) + F.col("_y") * F.col("_f"))
-                    .otherwise(F.raise_error(F.lit("quantile outside its bracket")).cast("double")).alias("value")))
+    found = ranked.groupBy(*keys, "prob").agg(
+        at(lower).alias("low"), at(upper).alias("high"), F.first(position - F.floor(position)).alias("share"),
+        (F.min(F.col("_upto") - F.col("_c")) < F.first(lower)).alias("_held"))
+    checked = F.when(F.col("_held") & F.col("high").isNotNull(), F.col("share")).otherwise(
+        F.raise_error(F.lit("quantile outside its bracket")).cast("double"))
+    return found.select(*keys, "prob", "low", "high", checked.alias("share"))
+
+
+def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: list[float],
+                    accuracy: int = 10000) -> DataFrame:
+    """Linearly interpolated quantiles: one row per key and probability (keys, prob, value), as doubles."""
+    low, high = F.col("low").cast("double"), F.col("high").cast("double")
+    return exact_ranks(df, keys, value, probs, accuracy).select(
+        *keys, "prob", (low * (1 - F.col("share")) + high * F.col("share")).alias("value"))
+
+
+def quantiles_of_columns(df: DataFrame, columns: list[str], probs: list[float], name: str = "column_name") -> DataFrame:
+    """(name, prob, value) of several numeric columns from one pass over the rows."""
+    long = df.select(F.inline(F.array(*[F.struct(F.lit(c).alias(name), F.col(c).cast("double").alias("_x")) for c in columns])))
+    return exact_quantiles(long, [name], "_x", probs)
 
 
 def exact_medians(df: DataFrame, keys: list[str], value: str) -> DataFrame:

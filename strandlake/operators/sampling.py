@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.clinical import first_match
+from strandlake.operators.ordered import running_sums
 from strandlake.session import join_back
 
 
@@ -39,18 +40,11 @@ def stratified_split(df: DataFrame, keys: list[str], strata: list[str], shares:
                      label: str = "part") -> DataFrame:
     """SMP-03: exact shares inside every stratum, in hash order.
 
-    A stratum may hold most rows, so positions come from counts per hash prefix: only
-    the small count table is ordered per stratum, and rows are ordered within a prefix.
+    A stratum may hold most rows: rows are dealt by range of (stratum, hash), so no stratum is ordered in one task.
     """
-    hashed = df.withColumns({"_h": key_hash(keys, seed)}).withColumn("_block", F.substring("_h", 1, 3))
-    counts = hashed.groupBy(*strata, "_block").agg(F.count("*").alias("_c"))
-    per = Window.partitionBy(*strata)
-    before = counts.select(
-        *strata, "_block", F.sum("_c").over(per).alias("_n"),
-        (F.sum("_c").over(per.orderBy("_block")) - F.col("_c")).alias("_before"))
-    inside = Window.partitionBy(*strata, "_block").orderBy("_h", *keys)
-    placed = (join_back(hashed, before, [*strata, "_block"])
-              .withColumn("_rank", F.row_number().over(inside) + F.col("_before")))
+    counted = df.groupBy(*strata).agg(F.count("*").alias("_n"))
+    ranked = running_sums(df.withColumn("_h", key_hash(keys, seed)), strata, ["_h", *keys], {"_rank": F.lit(1)})
+    placed = join_back(ranked, counted, strata)
     arms = [(F.col("_rank") <= F.floor(F.col("_n") * F.lit(upto) + 0.5), name)
             for name, upto in _upper_ends(shares)[:-1]]
     return placed.withColumn(label, first_match(arms, list(shares)[-1])).select(*df.columns, label)

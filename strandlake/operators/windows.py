@@ -1,10 +1,11 @@
 """Ordered operators that keep working when one key holds a large share of the rows.
 
-A plain window sorts a whole key in one task. Here rows are grouped by (key, block), where
-``block`` is an expression that never decreases along the order (a day, a position bin). Each
-block is ordered alone, the blocks are summarised by a partial aggregate, and only that small
-summary is ordered per key. Rank filters use ``row_number`` directly, because Spark cuts each
-task to the first N rows per key before the shuffle.
+A plain window sorts a whole key in one task. Here rows are dealt by range of (key, order)
+(``operators/ordered.py``), so the number of tasks of a key follows its rows. Where the caller
+knows blocks of bounded size that never decrease along the order (a position bin), it may pass
+them instead and save the ranges: each block is ordered alone and only block summaries are
+ordered per key. Rank filters use ``row_number`` directly, because Spark cuts each task to the
+first N rows per key before the shuffle.
 """
 
 from __future__ import annotations
@@ -13,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import ratio
+from strandlake.operators.ordered import neighbours, running_sums
 from strandlake.operators.quantiles import exact_quantiles
 from strandlake.session import checkpointed, join_back
 
@@ -31,12 +33,15 @@ def rank_at_most(df: DataFrame, keys: list[str], order: list, n: int, rank: str
             .withColumn(rank, F.col(rank).cast("bigint")))
 
 
-def running(df: DataFrame, keys: list[str], order: list[str], block: Column,
+def running(df: DataFrame, keys: list[str], order: list[str], block: Column | None,
             sums: dict[str, Column]) -> DataFrame:
     """WIN-03: running sums per key up to and including each row.
 
-    Pass ``lit(1)`` for a running count, fixed-point values for exact sums.
+    Pass ``lit(1)`` for a running count, fixed-point values for exact sums. ``block`` is for blocks of bounded size;
+    without it rows are dealt by range.
     """
+    if block is None:
+        return running_sums(df, keys, order, sums)
     rows = df.withColumns({"_block": block, **{f"_x_{n}": c for n, c in sums.items()}})
     totals = rows.groupBy(*keys, "_block").agg(*[F.sum(f"_x_{n}").alias(f"_t_{n}") for n in sums])
     earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -49,6 +54,8 @@ def running(df: DataFrame, keys: list[str], order: list[str], block: Column,
 
 
 def _neighbour(df, keys, order, block, columns, forward):
+    if block is None:
+        return neighbours(df, keys, order, columns, forward)
     rows = df.withColumn("_block", block)
     step = F.lead if forward else F.lag
     edge = F.min_by if forward else F.max_by
@@ -65,13 +72,13 @@ def _neighbour(df, keys, order, block, columns, forward):
         for n in columns])
 
 
-def with_next(df: DataFrame, keys: list[str], order: list[str], block: Column,
+def with_next(df: DataFrame, keys: list[str], order: list[str], block: Column | None,
               columns: dict[str, str]) -> DataFrame:
     """WIN-04: columns of the next row of the key, NULL at its end."""
     return _neighbour(df, keys, order, block, columns, True)
 
 
-def with_previous(df: DataFrame, keys: list[str], order: list[str], block: Column,
+def with_previous(df: DataFrame, keys: list[str], order: list[str], block: Column | None,
                   columns: dict[str, str]) -> DataFrame:
     """WIN-05: columns of the previous row of the key, NULL at its start."""
     return _neighbour(df, keys, order, block, columns, False)
@@ -106,33 +113,18 @@ def with_tiles(df: DataFrame, order: list, tiles: int, name: str = "tile") -> Da
 
 
 def value_ranks(df: DataFrame, keys: list[str], value: str, descending: bool = False,
-                blocks: int = 256) -> DataFrame:
+                blocks: int | None = None) -> DataFrame:
     """Per distinct value: rows equal, rows ranked before it, rows in all (per key).
 
-    Values are first reduced to counts, then cut into blocks of about equal size at sketch
-    quantiles, so neither a hot key nor a hot value ends in one task. NULL values rank before all others.
+    Values are first reduced to counts, so a hot value is one row; the counts are dealt by range of (key, value), so a hot
+    key with many values spreads over as many tasks as its values ask for (or ``blocks``). Values of any ordered type are
+    compared as they are. NULL values rank before all others.
     """
     counts = df.groupBy(*keys, value).agg(F.count("*").alias("n_equal"))
-    signed = F.col(value).cast("double") * (-1 if descending else 1)
-    probs = [i / blocks for i in range(1, blocks)]
-    cuts = counts.groupBy(*keys).agg(F.percentile_approx(signed, probs, 10000).alias("_cuts"),
-                                     F.sum("n_equal").alias("n_total"))
-    cuts = cuts.withColumn("_every", F.filter("_cuts", lambda c, i: i % 16 == 15))
-    placed = join_back(counts, cuts, keys)
-    # Two short searches in place of one long one: among every 16th cut, then among 16 neighbours.
-    coarse = F.filter("_every", lambda c: c < signed)
-    fine = F.filter(F.slice("_cuts", F.col("_far") * 16 + 1, F.lit(16)), lambda c: c < signed)
-    placed = (placed.withColumns({"_signed": signed, "_far": F.size(coarse)})
-              .withColumn("_block", F.col("_far") * 16 + F.size(fine)).drop("_cuts", "_every", "_far"))
-    totals = placed.groupBy(*keys, "_block").agg(F.sum("n_equal").alias("_t"))
-    per = Window.partitionBy(*(keys or [F.lit(0)]))
-    starts = totals.select(*keys, "_block", (F.sum("_t").over(per.orderBy("_block")) - F.col("_t")).alias("_start"))
-    # blocks follow the double form; inside a block the value itself decides, so no digit of it is lost
-    inside = Window.partitionBy(*keys, "_block").orderBy(F.desc_nulls_first(value) if descending else F.asc_nulls_first(value))
-    local = placed.withColumn("_upto", F.sum("n_equal").over(inside))
-    return (join_back(local, starts, [*keys, "_block"])
-            .select(*keys, value, "n_equal", (F.col("_start") + F.col("_upto") - F.col("n_equal")).alias("n_before"),
-                    "n_total"))
+    order = [F.desc_nulls_first(value) if descending else F.asc_nulls_first(value)]
+    upto = running_sums(counts, keys, order, {"_upto": F.col("n_equal")}, blocks)
+    totals = upto.groupBy(*keys).agg(F.sum("n_equal").alias("n_total"))
+    return join_back(upto, totals, keys).select(*keys, value, "n_equal", (F.col("_upto") - F.col("n_equal")).alias("n_before"), "n_total")
 
 
 def percent_ranks(df: DataFrame, value: str, keys: list[str] | None = None) -> DataFrame:
@@ -177,7 +169,7 @@ def cumulative(df: DataFrame, keys: list[str], order: list[str], value: str, nam
     return df.withColumn(name, F.sum(value).over(w))
 
 
-def segments(df: DataFrame, keys: list[str], order: list[str], block: Column, label: str,
+def segments(df: DataFrame, keys: list[str], order: list[str], block: Column | None, label: str,
              position: str, min_length: int = 1) -> DataFrame:
     """WIN-13: runs of equal consecutive labels, kept from ``min_length`` rows on."""
     before = with_previous(df, keys, order, block, {"_previous": label})
@@ -219,10 +211,10 @@ def top_dispersion(df: DataFrame, key: str, value: str, n: int) -> DataFrame:
             .orderBy(F.desc_nulls_last("dispersion"), key).limit(n))
 
 
-def half_seen(df: DataFrame, key: str, position: str, block: Column) -> DataFrame:
+def half_seen(df: DataFrame, key: str, position: str, block: Column | None = None) -> DataFrame:
     """WIN-17: per key the first position at which half of its rows have been seen."""
-    counts = df.withColumn("_block", block).groupBy(key, "_block", position).agg(F.count("*").alias("_c"))
-    upto = running(counts.drop("_block"), [key], [position], block, {"_seen": F.col("_c")})
+    counts = df.groupBy(key, position).agg(F.count("*").alias("_c"))
+    upto = running(counts, [key], [position], block, {"_seen": F.col("_c")})
     totals = df.groupBy(key).agg(F.count("*").alias("_n"))
     return (join_back(upto, totals, [key]).filter(F.col("_seen") * 2 >= F.col("_n"))
             .groupBy(key).agg(F.min(position).alias("half_position")))

@@ -140,7 +140,7 @@ SELECT event_id FROM (SELECT event_id, event_type, lead(event_type) OVER (PARTIT
 def _(t):
     from strandlake.operators.windows import with_next
     rows = with_next(t.events.select("user_id", "ts", "event_id", "event_type"), ["user_id"], ["ts", "event_id"],
-                     F.date_trunc("day", "ts"), {"nxt": "event_type"})
+                     None, {"nxt": "event_type"})
     return rows.filter(~F.col("event_type").eqNullSafe(F.col("nxt"))).select("event_id")
 
 

@@ -42,7 +42,7 @@ FROM (SELECT *, CASE WHEN event_id % 7 > 0 THEN event_type END AS kind FROM even
 WINDOW o AS (PARTITION BY kind ORDER BY ts, event_id ROWS UNBOUNDED PRECEDING)""")
 def _(t):
     rows = sometimes_null(t.events, "event_type").select("event_type", "ts", "event_id", "value")
-    out = w.running(rows, ["event_type"], ["ts", "event_id"], F.date_trunc("day", "ts"),
+    out = w.running(rows, ["event_type"], ["ts", "event_id"], None,
                     {"running_n": F.lit(1), "_sum": F.col("value").cast("decimal(18,2)")})
     return out.select("event_id", F.col("running_n").cast("bigint"),
                       (F.col("_sum").cast("double") / F.col("running_n")).alias("running_mean"))
@@ -55,7 +55,7 @@ SELECT user_id, count(*) AS n, count(*) FILTER (gap < 3600) AS clustered, max(ga
   FROM (SELECT ts, event_id, CASE WHEN event_id % 7 > 0 THEN user_id END AS user_id FROM events))
 GROUP BY 1""")
 def _(t):
-    rows = w.with_next(sometimes_null(t.events, "user_id").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"),
+    rows = w.with_next(sometimes_null(t.events, "user_id").select("user_id", "ts", "event_id"), ["user_id"], ["ts", "event_id"], None,
                        {"next_ts": "ts"})
     gap = F.timestamp_diff("SECOND", F.date_trunc("second", "ts"), F.date_trunc("second", "next_ts"))
     return (rows.withColumn("gap", gap).groupBy("user_id")
@@ -158,7 +158,7 @@ SELECT user_id, event_type, min(event_id) AS "start", max(event_id) AS "end", co
 FROM o GROUP BY user_id, event_type, grp HAVING count(*) >= 2""")
 def _(t):
     rows = sometimes_null(t.events, "user_id").select("user_id", "ts", "event_id", "event_type")
-    return w.segments(rows, ["user_id"], ["ts", "event_id"], F.date_trunc("day", "ts"), "event_type", "event_id", 2)
+    return w.segments(rows, ["user_id"], ["ts", "event_id"], None, "event_type", "event_id", 2)
 
 
 @query("sliding_majority", "WIN-14", """

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import percent, ratio
@@ -14,32 +14,62 @@ from strandlake.operators.windows import running
 DEPTH_LIMITS = (20, 100, 500)
 MINOR_LOW, MINOR_HIGH, MINOR_DEPTH = 0.02, 0.40, 100
 SHORT_CONTIG, GC_LOW, GC_HIGH = 500, 20, 80
+#: Positions of one block of a target.
+DEPTH_BLOCK = 1 << 20
 SIZE_CLASSES = ((500, "very_short"), (2000, "short"), (5000, "medium"))
 
 
-def target_depth(targets: DataFrame, alignments: DataFrame, bin_size: int = 1024) -> DataFrame:
-    """Depth of every position of half-open targets, 0 where nothing aligns.
+def depth_runs(targets: DataFrame, alignments: DataFrame, bin_size: int = 1024) -> DataFrame:
+    """(target, pos, length, depth): runs of positions of half-open targets with one depth, 0 where nothing aligns.
 
-    Alignments are clipped to the target they overlap before they become positions, so the rows
-    made are bases on target, and depth is a count per position.
+    Alignments are clipped to the target they overlap; starts add one and ends take one away, and a running sum over the
+    places where something changes gives the depth. Rows made are changes of depth, not bases. The sum is carried over
+    blocks of positions, so a long target is not ordered in one task.
     """
-    clipped = overlaps(targets, alignments, bin_size)
-    covered = (clipped.select("target", F.explode(F.sequence(F.col("overlap_start"), F.col("overlap_end") - 1)).alias("pos"))
-               .groupBy("target", "pos").agg(F.count("*").alias("depth")))
-    grid = targets.select("target", F.explode(F.sequence(F.col("start"), F.col("end") - 1)).alias("pos"))
-    return grid.join(covered, ["target", "pos"], "left").select(
-        "target", "pos", F.coalesce("depth", F.lit(0).cast("bigint")).alias("depth"))
+    clipped = overlaps(targets.select("target", "chrom", "start", "end"), alignments.select("chrom", "start", "end"), bin_size)
+    steps = clipped.select("target", F.inline(F.array(
+        F.struct(F.col("overlap_start").cast("bigint").alias("pos"), F.lit(1).alias("step")),
+        F.struct(F.col("overlap_end").cast("bigint").alias("pos"), F.lit(-1).alias("step")))))
+    bounds = targets.filter(F.col("start") < F.col("end")).select("target", F.inline(F.array(
+        F.struct(F.col("start").cast("bigint").alias("pos"), F.lit(0).alias("step")),
+        F.struct(F.col("end").cast("bigint").alias("pos"), F.lit(0).alias("step")))))
+    changes = steps.unionByName(bounds).groupBy("target", "pos").agg(F.sum("step").alias("step")).withColumn(
+        "_block", F.floor(F.col("pos") / DEPTH_BLOCK))
+    own = Window.partitionBy("target", "_block").orderBy("pos")
+    local = changes.withColumns({"_sum": F.sum("step").over(own.rowsBetween(Window.unboundedPreceding, 0)), "_next": F.lead("pos").over(own)})
+    blocks = changes.groupBy("target", "_block").agg(F.sum("step").alias("_total"), F.min("pos").alias("_first"))
+    along = Window.partitionBy("target").orderBy("_block")
+    edges = blocks.select("target", "_block", (F.sum("_total").over(along) - F.col("_total")).alias("_before"),
+                          F.lead("_first").over(along).alias("_behind"))
+    upto = F.coalesce("_next", "_behind")
+    return local.join(edges, ["target", "_block"]).filter(upto.isNotNull()).select(
+        "target", "pos", (upto - F.col("pos")).alias("length"), (F.col("_sum") + F.col("_before")).alias("depth"))
 
 
-def coverage_statistics(depth: DataFrame, key: str = "target") -> DataFrame:
-    """QC-11: mean, median, least, greatest, CV percent (population) and share of positions at 20, 100, 500x."""
-    n = F.count("*")
-    stats = depth.groupBy(key).agg(
-        n.alias("positions"), ratio(F.sum("depth"), n).alias("mean_coverage"), F.min("depth").alias("min_coverage"),
+def target_depth(targets: DataFrame, alignments: DataFrame, bin_size: int = 1024) -> DataFrame:
+    """Depth of every position of half-open targets, 0 where nothing aligns: ``depth_runs`` spelled out."""
+    runs = depth_runs(targets, alignments, bin_size)
+    return runs.select("target", F.explode(F.sequence(F.col("pos"), F.col("pos") + F.col("length") - 1)).alias("pos"), "depth")
+
+
+def coverage_statistics(runs: DataFrame, key: str = "target") -> DataFrame:
+    """QC-11: mean, median, least, greatest, CV percent (population) and share of positions at 20, 100, 500x.
+
+    Runs are first reduced to positions per depth. Sums of depths and of their squares are exact, so the deviation does not
+    depend on the order of rows; the median is taken from the counts.
+    """
+    counts = runs.groupBy(key, "depth").agg(F.sum("length").alias("_c"))
+    n = F.sum("_c")
+    depths, squares = F.sum(F.col("depth") * F.col("_c")), F.sum(F.col("depth").cast("decimal(19,0)") * F.col("depth") * F.col("_c"))
+    out = counts.groupBy(key).agg(
+        n.alias("positions"), depths.alias("_s"), squares.cast("decimal(25,0)").alias("_q"), F.min("depth").alias("min_coverage"),
         F.max("depth").alias("max_coverage"),
-        F.coalesce(ratio(F.stddev_pop("depth") * 100.0, F.avg("depth")), F.lit(0.0)).alias("cv_pct"),
-        *[percent(F.count_if(F.col("depth") >= d), n).alias(f"pct_{d}x") for d in DEPTH_LIMITS])
-    return stats.join(exact_medians(depth, [key], "depth").withColumnRenamed("median", "median_coverage"), key)
+        *[percent(F.sum(F.when(F.col("depth") >= d, F.col("_c")).otherwise(0)), n).alias(f"pct_{d}x") for d in DEPTH_LIMITS],
+        F.percentile("depth", 0.5, F.col("_c")).alias("median_coverage"))
+    mean = ratio(F.col("_s"), F.col("positions"))
+    whole = F.col("_s").cast("decimal(18,0)")
+    spread = F.sqrt((F.col("positions").cast("decimal(12,0)") * F.col("_q") - whole * whole).cast("double")) / F.col("positions")
+    return out.withColumns({"mean_coverage": mean, "cv_pct": F.coalesce(ratio(spread * 100.0, mean), F.lit(0.0))}).drop("_s", "_q")
 
 
 def duplicate_rate(alignments: DataFrame, keys: list[str]) -> DataFrame:

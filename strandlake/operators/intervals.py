@@ -1,53 +1,166 @@
-"""Interval joins through bins: an equi-join on (chromosome, bin) plus the exact range test."""
+"""Interval joins through levels of bins: an equi-join on (chromosome, level, bin) plus the exact range test.
+
+An interval stands in the bins of its own level only, the first whose bins are at least as long as it is, so it has at
+most two rows however long it is. What is to meet it asks at every level that occurs (bins grow eightfold, so there are
+few). Bins that hold far more rows than the others are split into cells by their counts.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+#: Growth of the bins from one level to the next, and the levels that positions of 64 bits can need.
+GROWTH, LEVELS = 8, 22
+#: Bins are split that hold more than this share of what a shuffle partition gets on average, and more rows than this.
+HOT_SHARE, HOT_ROWS = 0.25, 4096
+
+
+def _size(bin_size: int, level: Column) -> Column:
+    return F.lit(bin_size).cast("bigint") * F.element_at(F.array(*[F.lit(min(GROWTH ** k, 2 ** 62 // bin_size)) for k in range(LEVELS)]), level + 1)
+
+
+def _level(length: Column, bin_size: int) -> Column:
+    out = F.lit(LEVELS - 1)
+    for k in reversed(range(LEVELS - 1)):
+        out = F.when(length <= min(bin_size * GROWTH ** k, 2 ** 62), k).otherwise(out)
+    return out
+
+
+def _levels_of(df: DataFrame) -> list[int]:
+    """The levels that occur: at most ``LEVELS`` numbers."""
+    return sorted(r[0] for r in df.select("_level").distinct().collect())
+
+
+def _in_bins(df: DataFrame, first: Column, last: Column, bin_size: int) -> DataFrame:
+    size = _size(bin_size, F.col("_level"))
+    return df.withColumn("_bin", F.explode(F.sequence(F.floor(first / size), F.floor(last / size))))
+
+
+def _cells(left: DataFrame, right: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, DataFrame]:
+    """Both sides with ``_i`` and ``_j``: rows of a crowded bin are dealt to parts, the other side's rows repeated for each.
+
+    A bin is crowded if it holds more than a share of a shuffle partition's rows, so there are at most a few times as many
+    crowded bins as partitions, whatever the rows. ``least`` parts are made of every bin of the left side.
+    """
+    spark = left.sparkSession
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+    def crowded(df: DataFrame, name: str) -> DataFrame:
+        limit = df.agg(F.greatest(F.count("*") * HOT_SHARE / partitions, F.lit(float(HOT_ROWS))).alias("_l")).scalar()
+        return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(
+            *[F.col(k).alias(f"_{name}{k}") for k in keys], F.ceil(F.col("_n") / limit).cast("int").alias(f"_parts_{name}"))
+
+    hot = {n: crowded(df, n) for n, df in (("a", left), ("b", right))}
+
+    def placed(df: DataFrame, own: str, own_index: str, other: str, other_index: str) -> DataFrame:
+        columns = df.columns
+        for n in (own, other):
+            same = [F.col(k).eqNullSafe(F.col(f"_{n}{k}")) for k in keys]
+            joined = same[0]
+            for s in same[1:]:
+                joined = joined & s
+            df = df.join(hot[n], joined, "left").drop(*[f"_{n}{k}" for k in keys])
+        floor = {"a": F.lit(least), "b": F.lit(1)}
+        parts = {n: F.greatest(F.coalesce(f"_parts_{n}", F.lit(1)), floor[n]) for n in (own, other)}
+        part = F.when(parts[own] > 1, F.pmod(F.xxhash64(*columns), parts[own])).otherwise(0).cast("int")
+        return df.withColumn(own_index, part).withColumn(other_index, F.explode(F.sequence(F.lit(0), parts[other] - 1))).drop(
+            "_parts_a", "_parts_b")
+
+    return placed(left, "a", "_i", "b", "_j"), placed(right, "b", "_j", "a", "_i")
+
+
+def _prefixed(df: DataFrame, prefix: str, names: list[str]) -> DataFrame:
+    return df.withColumnsRenamed({n: f"{prefix}{n}" for n in names})
+
 
 def annotate_points(points: DataFrame, intervals: DataFrame, bin_size: int, how: str = "inner",
                     chrom: str = "chrom", pos: str = "pos", start: str = "start", end: str = "end",
                     salts: int = 1) -> DataFrame:
     """JOIN-10: ``start <= pos <= end`` with both ends included.
 
-    Intervals are repeated once per bin they cover, points fall in one bin, so a hot chromosome
-    spreads over its bins. ``salts`` splits the points of one hot position further: intervals are
-    repeated per salt, points take one by hash. A point meets an interval in exactly one bin, so
-    nothing is found twice.
+    A point asks once per level of the intervals, an interval has at most two rows, and they meet in exactly one bin, so
+    nothing is found twice. Crowded bins, such as one hot position, are split by their counts; ``salts`` is the least
+    number of parts. With ``left``, points that no level answers stay with NULLs.
     """
-    salt = F.pmod(F.xxhash64(*points.columns), F.lit(salts)) if salts > 1 else F.lit(0).cast("bigint")
-    left = points.withColumns({"_bin": F.floor(F.col(pos) / bin_size), "_salt": salt})
-    bins = F.sequence(F.floor(F.col(start) / bin_size), F.floor(F.col(end) / bin_size))
-    right = (intervals.filter(F.col(start) <= F.col(end))
-             .withColumn("_bin", F.explode(bins))
-             .withColumn("_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))))
-    right = right.withColumnsRenamed({chrom: "_chrom", start: "_start", end: "_end"})
-    hit = ((F.col(chrom) == F.col("_chrom")) & (left["_bin"] == right["_bin"]) & (left["_salt"] == right["_salt"])
-           & F.col(pos).between(F.col("_start"), F.col("_end")))
-    joined = left.join(right, hit, how)
+    right = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", _level(F.col(end) - F.col(start) + 1, bin_size))
+    levels = _levels_of(right) or [0]
+    right = _in_bins(right, F.col(start), F.col(end), bin_size).withColumnsRenamed(
+        {chrom: "_chrom", start: "_start", end: "_end"})
     extra = [c for c in intervals.columns if c not in (chrom, start, end)]
-    return joined.select(*points.columns, *extra, F.col("_start").alias(start), F.col("_end").alias(end))
+    covers = F.col(pos).between(F.col("_start"), F.col("_end"))
+    out = [*points.columns, *extra, F.col("_start").alias(start), F.col("_end").alias(end)]
+
+    def asked(df: DataFrame, at: list[int]) -> DataFrame:
+        probes = df.withColumn("_level", F.explode(F.array(*[F.lit(x) for x in at])) if len(at) > 1 else F.lit(at[0]))
+        return probes.withColumn("_bin", F.floor(F.col(pos) / _size(bin_size, F.col("_level")))).withColumn("_chrom", F.col(chrom))
+
+    keys = ["_chrom", "_level", "_bin"]
+
+    same = [*keys, "_i", "_j"]
+    a, b = _cells(asked(points, levels), right, keys, salts)
+    hit = covers
+    for k in same:
+        hit = hit & (F.col(f"_a{k}") == F.col(f"_b{k}"))
+    found = _prefixed(a, "_a", same).join(_prefixed(b, "_b", same), hit).select(*out)
+    if how == "inner":
+        return found
+    if how != "left":
+        raise ValueError(f"how must be inner or left, not {how}")
+    return _left_of(points, found, right, levels, asked, keys, covers, out)
+
+
+def _left_of(points, found, right, levels, asked, keys, covers, out) -> DataFrame:
+    """``found`` and the points that no interval of any level covers."""
+    rest = points
+    for level in levels:
+        probes = asked(rest, [level])
+        side = _prefixed(right.filter(F.col("_level") == level), "_b", keys)
+        hit = covers
+        for k in keys:
+            hit = hit & (F.col(k) == F.col(f"_b{k}"))
+        rest = probes.join(side, hit, "left_anti").select(*points.columns)
+    types = {f.name: f.dataType for f in found.schema}
+    missing = [F.lit(None).cast(types[n]).alias(n) for n in found.columns if n not in points.columns]
+    return found.unionByName(rest.select(*points.columns, *missing))
 
 
 def overlaps(a: DataFrame, b: DataFrame, bin_size: int, chrom: str = "chrom", start: str = "start",
              end: str = "end") -> DataFrame:
     """JOIN-18: overlap of two half-open interval sets, clipped; columns of ``b`` get ``_b``.
 
-    A pair sharing several bins is kept in the bin of its overlap's start only.
+    A pair meets at the higher of its two levels, in the bin of its overlap's start. There the longer interval has its own
+    rows and the shorter one asks; intervals of one level meet with ``a`` asking.
     """
-    def binned(df, suffix):
+    def levelled(df: DataFrame, suffix: str) -> DataFrame:
         named = df.withColumnsRenamed({c: f"{c}{suffix}" for c in df.columns}) if suffix else df
         lo, hi = F.col(start + suffix), F.col(end + suffix)
-        bins = F.sequence(F.floor(lo / bin_size), F.floor((hi - 1) / bin_size))
-        return named.filter(lo < hi).withColumn("_bin" + suffix, F.explode(bins))
+        return named.filter(lo < hi).withColumn("_level", _level(hi - lo, bin_size))
+
+    left, right = levelled(a, ""), levelled(b, "_b")
+    of_left, of_right = _levels_of(left), _levels_of(right)
+
+    def rows(df: DataFrame, suffix: str, asks: bool, levels: list[int], strictly: bool) -> DataFrame:
+        """The asking rows of a side, at the given levels from its own (or the next) on, or its own rows."""
+        if asks:
+            at = F.filter(F.array(*[F.lit(x) for x in levels]), lambda x: x > F.col("_level") if strictly else x >= F.col("_level"))
+            df = df.withColumn("_at", at if levels else F.array().cast("array<int>")).withColumn("_level", F.explode("_at")).drop("_at")
+        return _in_bins(df, F.col(start + suffix), F.col(end + suffix) - 1, bin_size).withColumn("_asks", F.lit(asks == (suffix == "")))
 
-    left, right = binned(a, ""), binned(b, "_b")
+    sides = [(rows(left, "", True, of_right, False), rows(right, "_b", False, [], False))]
+    if of_left and of_right and max(of_left) > min(of_right):  # only then may one of ``b`` ask
+        sides.append((rows(left.filter(F.col("_level") > min(of_right)), "", False, [], False), rows(right, "_b", True, of_left, True)))
+    x, y = sides[0] if len(sides) == 1 else (sides[0][0].unionByName(sides[1][0]), sides[0][1].unionByName(sides[1][1]))
+    keys = ["_chrom", "_asks", "_level", "_bin"]
+    x, y = _cells(x.withColumn("_chrom", F.col(chrom)), y.withColumn("_chrom", F.col(chrom + "_b")), keys, 1)
+    same = [*keys, "_i", "_j"]
+    x, y = _prefixed(x, "_a", same), _prefixed(y, "_z", same)
     low, high = F.greatest(F.col(start), F.col(start + "_b")), F.least(F.col(end), F.col(end + "_b"))
-    hit = ((F.col(chrom) == F.col(chrom + "_b")) & (F.col("_bin") == F.col("_bin_b")) & (low < high)
-           & (F.col("_bin") == F.floor(low / bin_size)))
-    return (left.join(right, hit)
-            .withColumns({"overlap_start": low, "overlap_end": high}).drop("_bin", "_bin_b"))
+    hit = (low < high) & (F.col("_a_bin") == F.floor(low / _size(bin_size, F.col("_a_level"))))
+    for k in same:
+        hit = hit & (F.col(f"_a{k}") == F.col(f"_z{k}"))
+    return x.join(y, hit).withColumns({"overlap_start": low, "overlap_end": high}).drop(
+        *[f"{p}{k}" for k in same for p in ("_a", "_z")])
 
 
 def covered_depth(alignments: DataFrame, block: int, chrom: str = "chrom", start: str = "start",

@@ -190,7 +190,7 @@ WITH {DEPTH} SELECT target, count(*) AS positions, sum(depth)::DOUBLE / count(*)
   (count(*) FILTER (depth >= 100)) * 100.0::DOUBLE / count(*) AS pct_100x, (count(*) FILTER (depth >= 500)) * 100.0::DOUBLE / count(*) AS pct_500x,
   quantile_cont(depth, 0.5)::DOUBLE AS median_coverage FROM d GROUP BY 1""")
 def _(t):
-    out = cov.coverage_statistics(cov.target_depth(targets(t), alignments(t), 128))
+    out = cov.coverage_statistics(cov.depth_runs(targets(t), alignments(t), 128))
     return out.withColumn("cv_pct", half_up(F.col("cv_pct"), 6))
 
 

@@ -8,7 +8,8 @@ from strandlake.functions.numeric import half_up
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
 from strandlake.session import scratch_path
-from strandlake.streaming import jobs
+from strandlake.sources.tabular import json_stream
+from strandlake.streaming import jobs, state
 from strandlake.streaming import windows as w
 
 
@@ -46,9 +47,9 @@ def _(t):
     return out.select("n", "event_type", "message")
 
 
-@query("hot_key_counts", "STM-04", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
+@query("hot_key_counts", "AGG-01", "SELECT event_type, count(*) AS n FROM events GROUP BY 1")
 def _(t):
-    return w.two_step_counts(t.events, ["event_type"])
+    return t.events.groupBy("event_type").agg(F.count("*").alias("n"))
 
 
 @query("routed_events", "STM-07 FLT-06", "SELECT event_id, event_type FROM events WHERE event_type IN ('error', 'signup')")
@@ -80,9 +81,10 @@ def _(t):
 @query("streamed_alerts", "STM-03 STM-07", """
 SELECT user_id, count(*) AS n FROM events WHERE event_type = 'error' GROUP BY 1 HAVING count(*) > 8""")
 def _(t):
-    errors = event_stream(t).filter(F.col("event_type") == "error")
+    errors = w.event_time(event_stream(t)).filter(F.col("event_type") == "error")
     target = scratch_path(t.spark, "alerts")
-    jobs.write_alerts(w.over_burden(errors, "user_id", 8), target, scratch_path(t.spark, "alerts-state")).awaitTermination()
+    found = state.burden_alerts(errors, "user_id", "ts", 8)
+    jobs.write_alerts(found, target, scratch_path(t.spark, "alerts-state")).awaitTermination()
     return (t.spark.read.schema("user_id bigint, n bigint").parquet(f"{target}/batch=*")
             .groupBy("user_id").agg(F.max("n").alias("n")))
 
@@ -105,3 +107,75 @@ def _(t):
     key = F.concat_ws("", F.concat_ws("-", "year", "month", "day"), F.lit(" "), "hour")
     both = landed.select(key.alias("hour_key"), F.lit(0).alias("bad")).unionByName(refused)
     return both.groupBy("hour_key").agg(F.count("*").alias("n"), F.sum("bad").alias("refused"))
+
+
+@query("ordered_stream", "STM-04 STM-05", """
+WITH m AS (SELECT epoch_ms(max(ts)) - 600000 AS mark FROM events)
+SELECT user_id, event_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS place FROM events, m WHERE epoch_ms(ts) < mark""")
+def _(t):
+    rows = w.event_time(event_stream(t)).select("user_id", "ts", "event_id")
+    target = scratch_path(t.spark, "ordered")
+    ordered = state.in_key_order(rows, "user_id", "ts", "event_id")
+    jobs.append_stream(ordered, target, scratch_path(t.spark, "ordered-state")).awaitTermination()
+    return t.spark.read.schema(ordered.schema).parquet(target).select("user_id", "event_id", "place")
+
+
+@query("stream_lag", "STM-08", "SELECT count(*) AS records, strftime(max(ts), '%Y-%m-%d %H:%M:%S') AS newest, true AS late FROM events")
+def _(t):
+    rows = jobs.with_lag(event_stream(t), "ts").select("event_id")
+    running = jobs.append_stream(rows, scratch_path(t.spark, "lagging"), scratch_path(t.spark, "lagging-state"))
+    running.awaitTermination()
+    lag = jobs.lag_rows(t.spark, running)
+    return lag.agg(F.sum("records").alias("records"), F.max("newest").cast("timestamp").alias("newest"), F.bool_and("late").alias("late")).select(
+        "records", stamp("newest"), "late")
+
+
+def event_lines(t):
+    """The events as JSON lines in a new folder, as a producer leaves them, and their schema."""
+    source = scratch_path(t.spark, "event-lines")
+    t.events.select("event_id", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("ts"), "event_type", "value").write.json(source)
+    return source, "event_id bigint, ts string, event_type string, value double"
+
+
+@query("landed_files", "SNK-05 SRC-17", """
+SELECT strftime(ts, '%Y-%m-%d %H') AS hour_key, count(*) AS n, true AS bounded FROM events GROUP BY 1""")
+def _(t):
+    source, schema = event_lines(t)
+    limit = 4096
+    records = json_stream(t.spark, source, schema).withColumn("_corrupt", F.lit(None).cast("string"))
+    longest = jobs.row_bytes(t.spark.read.schema(schema).json(source))
+    good = scratch_path(t.spark, "bounded")
+    for running in jobs.land(records, "ts", good, scratch_path(t.spark, "bounded-refused"), scratch_path(t.spark, "bounded-state"),
+                             interval=None, max_bytes=limit, bytes_of_row=longest):
+        running.awaitTermination()
+    # the lines as they lie in the files: the file sink's log names the files that count
+    lines = t.spark.read.text(good).select("value", "year", "month", "day", "hour", F.input_file_name().alias("file"))
+    key = F.format_string("%d-%02d-%02d %02d", *[F.col(c).cast("int") for c in ("year", "month", "day", "hour")])
+    files = lines.groupBy(key.alias("hour_key"), "file").agg(F.count("*").alias("n"), F.sum(F.octet_length("value") + 1).alias("bytes"))
+    return files.groupBy("hour_key").agg(F.sum("n").alias("n"), F.bool_and(F.col("bytes") <= limit).alias("bounded"))
+
+
+@query("refreshed_layers", "STM-09 SRC-17", """
+SELECT event_type, count(*) AS n, max(strftime(ts, '%Y-%m-%d')) AS newest FROM events WHERE value >= 5 GROUP BY 1""")
+def _(t):
+    source, schema = event_lines(t)
+    silver, gold = scratch_path(t.spark, "silver"), scratch_path(t.spark, "gold")
+    kept = "event_id bigint, event_type string, day string"
+    jobs.refresh(t.spark, source, schema, lambda df: df.filter("value >= 5").select("event_id", "event_type", F.left("ts", F.lit(10)).alias("day")),
+                 silver, scratch_path(t.spark, "silver-state"))
+    # the daily step goes on from what the hourly one has added
+    jobs.refresh(t.spark, silver, kept, lambda df: df.select("event_type", "day"), gold, scratch_path(t.spark, "gold-state"), fmt="parquet")
+    return t.spark.read.schema("event_type string, day string").parquet(gold).groupBy("event_type").agg(
+        F.count("*").alias("n"), F.max("day").alias("newest"))
+
+
+@query("reconciled_windows", "STM-01 STM-09", """
+WITH m AS (SELECT max(ts) - INTERVAL 10 MINUTE AS mark FROM events), w AS (SELECT time_bucket(INTERVAL 1 HOUR, ts) AS ws, event_type, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT strftime(ws, '%Y-%m-%d %H:%M:%S') AS window_start, event_type, n AS landed, 0::BIGINT AS streamed, n AS missing FROM w, m WHERE ws + INTERVAL 1 HOUR > mark""")
+def _(t):
+    counts = w.tumbling(w.event_time(event_stream(t)), ["event_type"], F.col("value"), size="1 hour")
+    target = scratch_path(t.spark, "reconciled")
+    jobs.append_stream(counts, target, scratch_path(t.spark, "reconciled-state")).awaitTermination()
+    batch = w.tumbling(w.event_time(t.events), ["event_type"], F.col("value"), size="1 hour")
+    missing = jobs.reconcile(t.spark.read.schema(counts.schema).parquet(target), batch, ["window_start", "event_type"])
+    return missing.select(stamp("window_start"), "event_type", "landed", F.col("streamed").cast("bigint").alias("streamed"), "missing")

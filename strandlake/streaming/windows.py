@@ -43,23 +43,11 @@ def alerts(windowed: DataFrame, column: str, wanted: str = "Pathogenic") -> Data
     return windowed.filter((F.col(column) == wanted) & (F.col("n") > 0)).withColumn("message", text)
 
 
-def salted(df: DataFrame, key: str, salts: int) -> DataFrame:
-    """STM-04: rows of one key together, a hot key over ``salts`` parts."""
-    return df.repartition(key, F.pmod(F.xxhash64(*df.columns), F.lit(salts)))
-
-
-def two_step_counts(df: DataFrame, keys: list[str], salts: int = 16) -> DataFrame:
-    """STM-04: counts per key through a salted first step, for batches with a hot key."""
-    first = (df.groupBy(*keys, F.pmod(F.xxhash64(*df.columns), F.lit(salts)).alias("_salt"))
-             .agg(F.count("*").alias("_n")))
-    return first.groupBy(*keys).agg(F.sum("_n").alias("n"))
-
-
 def urgent(df: DataFrame, gene: str = "gene", genes: tuple[str, ...] = URGENT_GENES) -> DataFrame:
     """STM-07: events of the urgent genes."""
     return df.filter(F.col(gene).isin(*genes))
 
 
 def over_burden(df: DataFrame, key: str, limit: int = BURDEN_LIMIT) -> DataFrame:
-    """STM-07: keys whose running event count is above the limit (update mode on a stream)."""
+    """STM-07: keys of a batch whose event count is above the limit; on a stream ``state.burden_alerts`` forgets idle keys."""
     return df.groupBy(key).agg(F.count("*").alias("n")).filter(F.col("n") > limit)

@@ -7,6 +7,7 @@ bands that still hold lines of several components, all lines of different compon
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -25,8 +26,10 @@ from strandlake.llm.components import components
 WIDTH = 7
 #: Jaccard similarity of shingle sets from which two lines are copies.
 SIMILARITY = 0.8
-#: 24 bands of 4 minima miss a pair at 0.8 with probability 3e-6, at 0.85 with 9e-9.
-BANDS, ROWS = 24, 4
+#: 16 bands of 4 minima miss a pair at 0.8 with probability 2e-4, at 0.85 with 1e-5.
+BANDS, ROWS = 16, 4
+#: Minima that two lines must have in common to be compared; a pair at 0.8 has fewer with probability 1e-6.
+LEAST_COMMON = 34
 #: Lines of one part of a hot bucket.
 BLOCK = 256
 #: Lines compared with one first line in one task.
@@ -50,25 +53,33 @@ def shingles(line: str, width: int = WIDTH) -> set[str]:
     return {line[i:i + width] for i in range(max(1, len(line) - width + 1))}
 
 
-def _hashes(points: np.ndarray, begin: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Hashes of the windows at every character; those that run past a line's end are hashes of nothing."""
-    value = np.zeros(len(points), np.uint64)
-    for k in range(min(WIDTH, len(points))):
-        value[: len(points) - k] = (value[: len(points) - k] + points[k:]) * _MIX
-        value ^= value >> np.uint64(29)
+def _hashes(lines: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(32-bit hashes of the windows at every character of the lines in a row, begin and length of each line).
+
+    A window is its characters shifted by 8 bits each and added up, which for ASCII is the window itself: those are read as
+    they lie in memory. Windows that run past a line's end mean nothing; a shorter line is one window filled with zeros.
+    """
+    joined = "".join(lines)
+    lengths = np.array([len(x) for x in lines], np.int64)
+    begin = np.cumsum(lengths) - lengths
+    if joined.isascii():
+        data = np.frombuffer(joined.encode() + bytes(8), np.uint8)
+        value = np.ndarray((len(joined),), "<u8", data, strides=(1,)) & np.uint64((1 << 8 * WIDTH) - 1)
+    else:
+        points = np.frombuffer(joined.encode("utf-32-le"), np.uint32).astype(np.uint64)
+        value = points.copy()
+        for k in range(1, min(WIDTH, len(points))):
+            value[: len(points) - k] += points[k:] << np.uint64(8 * k)
     for i in np.flatnonzero(lengths < WIDTH).tolist():
-        own = points[begin[i]: begin[i] + lengths[i]].astype("<u4").tobytes()
-        value[begin[i]] = xxhash.xxh64_intdigest(own)
-    return value
+        value[begin[i]] = sum(ord(c) << 8 * k for k, c in enumerate(lines[i])) & (1 << 64) - 1
+    value = value * _MIX
+    value ^= value >> np.uint64(32)
+    return (value * _MIX >> np.uint64(32)).astype(np.uint32), begin, lengths
 
 
 def _minima(lines: list[str]) -> np.ndarray:
     """Minima (BANDS * ROWS x lines) of the lines' shingles under as many permutations."""
-    lengths = np.array([len(x) for x in lines], np.int64)
-    points = np.frombuffer("".join(lines).encode("utf-32-le"), np.uint32).astype(np.uint64)
-    ends = np.cumsum(lengths)
-    begin = ends - lengths
-    hashed = (_hashes(points, begin, lengths) * _MIX >> np.uint64(32)).astype(np.uint32)
+    hashed, begin, lengths = _hashes(lines)
     counts = lengths - np.minimum(lengths, WIDTH) + 1
     # eight shingles of a line one below another, the last ones repeated, so that their minimum is taken by column
     columns = -(-counts // 8)
@@ -86,8 +97,8 @@ def _minima(lines: list[str]) -> np.ndarray:
     return out
 
 
-def _bands(lines: list[str]) -> np.ndarray:
-    """Band keys (lines x bands) of the lines' signatures; a long line is signed in pieces."""
+def _signatures(lines: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """Band keys (lines x bands) and low bytes of all minima (lines x minima); a long line is signed in pieces."""
     parts = [x[k:k + PIECE + WIDTH - 1] for x in lines for k in range(0, max(1, len(x) - WIDTH + 1), PIECE)]
     pieces = np.array([len(range(0, max(1, len(x) - WIDTH + 1), PIECE)) for x in lines])
     found, at = [], 0
@@ -101,14 +112,12 @@ def _bands(lines: list[str]) -> np.ndarray:
     minima = np.concatenate(found, axis=1)
     if len(parts) > len(lines):
         minima = np.minimum.reduceat(minima, np.cumsum(pieces) - pieces, axis=1)
-    keys = np.empty((len(lines), BANDS), np.uint64)
-    for band in range(BANDS):
-        key = np.full(len(lines), band + 1, np.uint64)
-        for r in range(band * ROWS, band * ROWS + ROWS):
-            key = (key ^ minima[r]) * _MIX
-            key ^= key >> np.uint64(32)
-        keys[:, band] = key
-    return keys.view(np.int64)
+    keys = np.repeat(np.arange(1, BANDS + 1, dtype=np.uint64)[:, None], len(lines), axis=1)
+    by_band = minima.reshape(BANDS, ROWS, len(lines))
+    for r in range(ROWS):
+        keys = (keys ^ by_band[:, r]) * _MIX
+        keys ^= keys >> np.uint64(32)
+    return np.ascontiguousarray(keys.T).view(np.int64), np.ascontiguousarray(minima.T).astype(np.uint8)
 
 
 def _shares(line: str, share: int, shares: int) -> set[str]:
@@ -118,19 +127,20 @@ def _shares(line: str, share: int, shares: int) -> set[str]:
     out: set[str] = set()
     for k in range(0, len(line) - WIDTH + 1, PIECE):
         part = line[k:k + PIECE + WIDTH - 1]
-        points = np.frombuffer(part.encode("utf-32-le"), np.uint32).astype(np.uint64)
-        hashed = _hashes(points, np.zeros(1, np.int64), np.array([len(part)]))[: len(part) - WIDTH + 1]
-        mine = np.flatnonzero((hashed * _MIX >> np.uint64(40)) % np.uint64(shares) == share)
+        mine = np.flatnonzero(_hashes([part])[0][: len(part) - WIDTH + 1] % np.uint32(shares) == share)
         out.update(part[i:i + WIDTH] for i in mine.tolist())
     return out
 
 
 class Line:
-    """A line and, where it is short, its shingles."""
+    """A line, the low bytes of its minima and, where it is short and asked for, its shingles."""
+
+    def __init__(self, text: str, signs: bytes = b""):
+        self.text, self.signs = text, signs
 
-    def __init__(self, text: str):
-        self.text = text
-        self.set = shingles(text) if len(text) < LONG else None
+    @cached_property
+    def set(self) -> set[str] | None:
+        return shingles(self.text) if len(self.text) < LONG else None
 
     def similar(self, other: Line, least: float) -> bool:
         """Whether the Jaccard similarity of the shingle sets is at least ``least``; long lines share by share."""
@@ -217,21 +227,28 @@ def line_places(docs: DataFrame) -> DataFrame:
 
 
 def _similar(values: list[Line], i: int, others: list[int], least: float) -> np.ndarray:
-    """Which of the other lines reach the Jaccard similarity."""
-    return np.array([values[i].similar(values[j], least) for j in others], bool)
+    """Which of the other lines reach the Jaccard similarity; lines with few minima in common are not compared."""
+    signs = np.frombuffer(b"".join([values[j].signs for j in others]), np.uint8).reshape(len(others), -1)
+    out = (signs == np.frombuffer(values[i].signs, np.uint8)).sum(axis=1) >= LEAST_COMMON
+    for k in np.flatnonzero(out).tolist():
+        out[k] = values[i].similar(values[others[k]], least)
+    return out
 
 
-def _lines_of(texts: list[str]) -> list[Line]:
-    return [Line(x) for x in texts]
+def _lines_of(values: list[bytes]) -> list[Line]:
+    """Lines from their signs and text in one."""
+    size = BANDS * ROWS
+    return [Line(x[size:].decode(), x[:size]) for x in values]
 
 
 def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, band keys) of (node, line)."""
+    """(node, signs, band keys) of (node, line)."""
     for batch in batches:
         for nodes, lines in _batches(zip(*(c.to_pylist() for c in batch.columns))):
-            keys = _bands(lines)
-            yield pa.RecordBatch.from_arrays([pa.array([n for n, in nodes]), *(pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS))],
-                                             names=["node", *BAND_COLUMNS])
+            keys, signs = _signatures(lines)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([n for n, in nodes]), *(pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS)), pa.array([x.tobytes() for x in signs])],
+                names=["node", *BAND_COLUMNS, "signs"])
 
 
 def _star_links(rows: DataFrame, least: float) -> DataFrame:
@@ -243,9 +260,10 @@ def _star_links(rows: DataFrame, least: float) -> DataFrame:
         for batch in batches:
             out: list = []
             for first, part, own, node, value in zip(*(c.to_pylist() for c in batch.columns)):
+                line, = _lines_of([value])
                 if own:
-                    key, head = (first, part), Line(value)
-                elif (first, part) == key and Line(value).similar(head, least):
+                    key, head = (first, part), line
+                elif (first, part) == key and _similar([head, line], 0, [1], least)[0]:
                     out.append((first, node))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in zip(*out)], names=["a", "b"])
@@ -259,17 +277,18 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Distinct lines as (k1, k2, keep struct): ``keep`` is the first place of the line's component.
 
     Equal lines are one node. Of the bands only counts are shuffled, and only lines in some shared band have their text
-    moved: bit filters of fixed size leave the others out where they can. Every line of a shared band is compared exactly
-    with the band's first line, each such pair once. Bands whose lines are then not all of one component have all lines of
-    different components compared, hot ones part against part.
+    moved: a bit filter of fixed size leaves the others out where it can. Every line of a shared band is compared with the
+    band's first line, each such pair once. Bands whose lines are then not all of one component have all lines of
+    different components compared, hot ones part against part. Compared means: exactly, unless the signatures have too few
+    minima in common.
     """
     prepare(docs.sparkSession)
     with Intermediate(docs.sparkSession) as tables:
         found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, line string")
         lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"), F.max("line").alias("line"))
         nodes = stored(lines.withColumn("node", F.monotonically_increasing_id()), "lines")
-        signed = stored(nodes.select("node", "line").mapInArrow(_signed, ", ".join(f"{c} long" for c in ("node", *BAND_COLUMNS))),
-                        "line-signatures")
+        signed = stored(nodes.select("node", "line").mapInArrow(
+            _signed, ", ".join(f"{c} long" for c in ("node", *BAND_COLUMNS)) + ", signs binary"), "line-signatures")
         postings = signed.select(F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
         shared = stored(postings.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "line-bands")
         crowded = BitFilter.of(shared, "bucket")
@@ -283,11 +302,12 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
                     if use.any():
                         yield pa.RecordBatch.from_arrays([pa.array(node[use]), pa.array(bucket[use])], names=["node", "bucket"])
 
-        few = stored(signed.mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
+        few = stored(signed.select("node", *BAND_COLUMNS).mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
         buckets = stored(distinct_buckets(few), "line-buckets")
         members = stored(few.join(buckets, "bucket"), "line-members")
         wanted = stored(members.select("node").distinct(), "line-candidates")
-        known = stored(nodes.select("node", F.col("line").alias("value")).join(wanted, "node", "left_semi"), "line-texts")
+        known = stored(nodes.select("node", "line").join(wanted, "node", "left_semi").join(signed.select("node", "signs"), "node").select(
+            "node", F.concat("signs", F.encode("line", "UTF-8")).alias("value")), "line-texts")
 
         # 1. lines against the first one of their band
         heads = members.groupBy("bucket").agg(F.min("node").alias("first"))

@@ -137,33 +137,52 @@ def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     return wide.select(F.inline(F.array(*[F.col(f"s_{c}") for c in columns])))
 
 
+#: Items of one side of a cell of pairs of a large group.
+PAIR_ITEMS = 512
+
+
 def top_pairs(df: DataFrame, group: str, item: str, k: int = 10, small_group: int = 50) -> DataFrame:
     """AGG-27: the k item pairs found together in most groups; ties go to the smaller pair.
 
-    A pair cannot be found in more groups than its rarer item. Pair counts over the
-    small groups alone give a sound lower limit for the k-th best count, and large
-    groups pair only items that reach it: a huge group of one-off items emits no
-    pairs, and the result is exact.
+    Groups of few rows are gathered (they are bounded) and give their pairs directly. A pair cannot be found in more groups
+    than its rarer item, and pair counts over the small groups alone give a sound lower limit for the k-th best count: in
+    large groups only items that reach it are paired, part of the group against part. A huge group of one-off items emits
+    no pairs, and the result is exact.
     """
-    sets = checkpointed(df.select(group, item).distinct())
-    sizes = sets.groupBy(group).agg(F.count("*").alias("_n")).filter(F.col("_n") > 1)
-    small = sizes.filter(F.col("_n") <= small_group).select(group)
-    large = sizes.filter(F.col("_n") > small_group).select(group)
-    from_small = checkpointed(_pairs(sets.join(small, group, "left_semi"), group, item))
+    named = df.select(F.col(group).alias("g"), F.col(item).alias("i"))
+    large = named.groupBy("g").agg(F.count("*").alias("_n")).filter(F.col("_n") > small_group).select("g")
+    best = [F.desc("n_groups"), "item_a", "item_b"]
+    if large.isEmpty():
+        return _pairs_of_small(named).orderBy(*best).limit(k)
+    large = checkpointed(large)
+    from_small = checkpointed(_pairs_of_small(named.join(large, "g", "left_anti")))
     bound = (from_small.orderBy(F.desc("n_groups")).limit(k)
              .agg(F.when(F.count("*") == k, F.min("n_groups")).otherwise(0).alias("b")))
-    frequent = (sets.groupBy(item).agg(F.count("*").alias("_support"))
-                .filter(F.col("_support") >= bound.scalar()).select(item))
-    from_large = _pairs(sets.join(large, group, "left_semi").join(frequent, item, "left_semi"), group, item)
+    sets = checkpointed(named.distinct())
+    frequent = sets.groupBy("i").agg(F.count("*").alias("_support")).filter(F.col("_support") >= bound.scalar()).select("i")
+    from_large = _pairs_of_large(sets.join(large, "g", "left_semi").join(frequent, "i", "left_semi"))
     return (from_small.unionByName(from_large).groupBy("item_a", "item_b").agg(F.sum("n_groups").alias("n_groups"))
-            .orderBy(F.desc("n_groups"), "item_a", "item_b").limit(k))
-
-
-def _pairs(sets: DataFrame, group: str, item: str) -> DataFrame:
-    a = sets.select(group, F.col(item).alias("item_a"))
-    b = sets.select(group, F.col(item).alias("item_b"))
-    return (a.join(b, group).filter(F.col("item_a") < F.col("item_b"))
-            .groupBy("item_a", "item_b").agg(F.count("*").alias("n_groups")))
+            .orderBy(*best).limit(k))
+
+
+def _pairs_of_small(sets: DataFrame) -> DataFrame:
+    """Counts of the item pairs of bounded groups, made from one sorted list a group."""
+    lists = sets.filter(F.col("i").isNotNull() & F.col("g").isNotNull()).groupBy("g").agg(F.array_sort(F.collect_set("i")).alias("l"))
+    made = F.flatten(F.transform("l", lambda a, at: F.transform(
+        F.slice("l", at + 2, F.size("l")), lambda b: F.struct(a.alias("item_a"), b.alias("item_b")))))
+    return lists.filter(F.size("l") > 1).select(F.inline(made)).groupBy("item_a", "item_b").agg(F.count("*").alias("n_groups"))
+
+
+def _pairs_of_large(sets: DataFrame) -> DataFrame:
+    """Counts of the item pairs of large groups: each group's items are dealt to blocks, each pair of blocks is a cell."""
+    sizes = sets.groupBy("g").agg(F.ceil(F.count("*") / PAIR_ITEMS).cast("int").alias("_blocks"))
+    dealt = (sets.join(sizes, "g").withColumn("_own", F.pmod(F.xxhash64("i"), F.col("_blocks")).cast("int"))
+             .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_blocks") - 1)))
+             .withColumns({"_low": F.least("_own", "_other"), "_high": F.greatest("_own", "_other")}))
+    at = ["g", "_low", "_high", "_side"]
+    a = dealt.select("g", "_low", "_high", (F.col("_own") == F.col("_low")).alias("_side"), F.col("i").alias("item_a"))
+    b = dealt.select("g", "_low", "_high", (F.col("_own") == F.col("_high")).alias("_side"), F.col("i").alias("item_b"))
+    return a.join(b, at).filter(F.col("item_a") < F.col("item_b")).groupBy("item_a", "item_b").agg(F.count("*").alias("n_groups"))
 
 
 def ordered_list(df: DataFrame, keys: list[str], value: str, sep: str = ",") -> DataFrame:

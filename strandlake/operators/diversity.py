@@ -4,14 +4,15 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import ratio
 from strandlake.operators.joins import unordered_pairs
+from strandlake.operators.ordered import running_sums
 from strandlake.operators.sampling import key_hash
-from strandlake.operators.windows import value_ranks
-
+from strandlake.operators.windows import numbered, value_ranks
+from strandlake.session import checkpointed
 
 
 def abundance(df: DataFrame, sample: str, taxon: str) -> DataFrame:
@@ -54,42 +55,60 @@ def beta_diversity(table: DataFrame) -> DataFrame:
         (F.lit(1.0) - ratio(shared, F.col("s_a") + F.col("s_b") - shared)).alias("jaccard"))
 
 
-def _pseudo_f(pairs: DataFrame, labels: DataFrame, keys: list[str]) -> DataFrame:
-    """Pseudo-F per labelling; ``labels(keys..., sample, grp)``, ``pairs(a, b, distance)``."""
-    sizes = labels.groupBy(*keys, "grp").agg(F.count("*").alias("_size"))
-    la = labels.select(*keys, F.col("sample").alias("a"), F.col("grp").alias("ga"))
-    lb = labels.select(*keys, F.col("sample").alias("b"), F.col("grp").alias("gb"))
-    joined = pairs.join(la, "a").join(lb, [*keys, "b"]).withColumn("d2", F.col("distance") * F.col("distance"))
-    within = (joined.filter(F.col("ga") == F.col("gb")).groupBy(*keys, F.col("ga").alias("grp")).agg(F.sum("d2").alias("s"))
-              .join(sizes, [*keys, "grp"]).groupBy(*keys).agg(F.sum(F.col("s") / F.col("_size")).alias("ssw")))
-    total = joined.groupBy(*keys).agg(F.sum("d2").alias("sst"))
-    shape = sizes.groupBy(*keys).agg(F.sum("_size").alias("n"), F.count("*").alias("g"))
-    def join(x, y):
-        return x.join(y, keys) if keys else x.join(F.broadcast(y))
-    every = join(join(total, within), shape)
-    n, g = F.col("n"), F.col("g")
-    sst = F.col("sst") / n
-    f = ratio((sst - F.col("ssw")) / (g - 1), F.col("ssw") / (n - g))
-    return every.select(*keys, f.alias("pseudo_f"))
+#: Labellings summed in one pass over the pairs.
+LABELLINGS = 128
 
 
-def permuted_labels(labels: DataFrame, permutations: int, seed: int) -> DataFrame:
-    """Seeded relabellings: the samples of a permutation take the labels in the order of a key hash."""
+def _label_arrays(labels: DataFrame, permutations: int, seed: int) -> DataFrame:
+    """(sample, drawn): the group of each sample in the given grouping and in every seeded relabelling.
+
+    A relabelling orders the samples by a key hash and deals them the labels in sample order. Samples are numbered by range
+    in each ordering, so no ordering of all samples is one task.
+    """
     spark = labels.sparkSession
-    ordered = labels.withColumn("_i", F.row_number().over(Window.orderBy("sample")))
-    draws = labels.select("sample").join(F.broadcast(spark.range(1, permutations + 1).withColumnRenamed("id", "perm")))
-    mixed = draws.withColumn("_i", F.row_number().over(
-        Window.partitionBy("perm").orderBy(key_hash(["perm", "sample"], seed), "sample")))
-    return mixed.join(ordered.select("_i", "grp"), "_i").select("perm", "sample", "grp")
+    ordered = checkpointed(numbered(labels.select("sample", "grp"), ["sample"], "_i"))
+    draws = ordered.select("sample").join(F.broadcast(spark.range(1, permutations + 1).withColumnRenamed("id", "perm")))
+    mixed = running_sums(draws.withColumn("_h", key_hash(["perm", "sample"], seed)), ["perm"], ["_h", "sample"], {"_i": F.lit(1)})
+    dealt = mixed.join(ordered.select(F.col("_i").cast("bigint").alias("_i"), "grp"), "_i").select("perm", "sample", "grp")
+    every = dealt.unionByName(ordered.select(F.lit(0).cast("bigint").alias("perm"), "sample", "grp"))
+    in_order = F.transform(F.array_sort(F.collect_list(F.struct("perm", "grp"))), lambda x: x["grp"])
+    return every.groupBy("sample").agg(in_order.alias("drawn"))  # as many labels as permutations
+
+
+def _pseudo_f(pairs: DataFrame, labels: DataFrame, permutations: int, seed: int) -> DataFrame:
+    """(perm, pseudo_f) of the grouping (perm 0) and of its relabellings, from one pass over ``pairs(a, b, distance)``.
+
+    A relabelling keeps the sizes of the groups, so a pair inside a group adds its squared distance over that size.
+    """
+    drawn = checkpointed(_label_arrays(labels, permutations, seed))
+    sizes = labels.groupBy("grp").agg(F.count("*").alias("n")).agg(
+        F.map_from_entries(F.collect_list(F.struct("grp", "n"))).alias("_sizes"), F.sum("n").alias("n"), F.count("*").alias("g"))
+    joined = (pairs.join(drawn.select(F.col("sample").alias("a"), F.col("drawn").alias("da")), "a")
+              .join(drawn.select(F.col("sample").alias("b"), F.col("drawn").alias("db")), "b")
+              .join(F.broadcast(sizes.select("_sizes")))
+              .withColumn("d2", F.col("distance") * F.col("distance")))
+    total = F.sum("d2").alias("sst")
+    out = None
+    for begin in range(0, permutations + 1, LABELLINGS):
+        some = range(begin, min(begin + LABELLINGS, permutations + 1))
+        within = [F.sum(F.when(F.col("da")[p] == F.col("db")[p], F.col("d2") / F.element_at("_sizes", F.col("da")[p])).otherwise(0.0)).alias(f"w{p}")
+                  for p in some]
+        cells = F.inline(F.array(*[F.struct(F.lit(p).alias("perm"), F.col(f"w{p}").alias("ssw")) for p in some]))
+        part = joined.agg(total, *within).select("sst", cells)
+        out = part if out is None else out.unionByName(part)
+    every = out.join(F.broadcast(sizes.select("n", "g")))
+    n, g = F.col("n"), F.col("g")
+    sst = F.col("sst") / n
+    return every.select("perm", ratio((sst - F.col("ssw")) / (g - 1), F.col("ssw") / (n - g)).alias("pseudo_f"))
 
 
 def permanova(pairs: DataFrame, labels: DataFrame, permutations: int = 99, seed: int = 42) -> DataFrame:
     """DIV-03: pseudo-F of the grouping and its p-value by seeded permutations."""
-    actual = _pseudo_f(pairs, labels, [])
-    drawn = _pseudo_f(pairs, permuted_labels(labels, permutations, seed), ["perm"]).select(F.col("pseudo_f").alias("f"))
-    reached = drawn.join(F.broadcast(actual)).groupBy("pseudo_f").agg(
-        F.count_if(F.col("f") >= F.col("pseudo_f")).alias("_r"))
-    return reached.select("pseudo_f", ((F.col("_r") + 1) / F.lit(permutations + 1)).alias("p_value"))
+    every = _pseudo_f(pairs, labels, permutations, seed).agg(
+        F.max(F.when(F.col("perm") == 0, F.col("pseudo_f"))).alias("pseudo_f"),
+        F.collect_list(F.when(F.col("perm") > 0, F.col("pseudo_f"))).alias("drawn"))  # one number a permutation
+    reached = F.size(F.filter("drawn", lambda f: f >= F.col("pseudo_f")))
+    return every.select("pseudo_f", ((reached + 1) / F.lit(permutations + 1)).alias("p_value"))
 
 
 def anosim(pairs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -8,10 +8,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import ratio
+from strandlake.operators.windows import numbered
 from strandlake.session import checkpointed
 
 
-
 def build_edges(pairs: DataFrame) -> DataFrame:
     """GRF-01: repeated (src, dst) pairs become one edge whose weight counts them."""
     return pairs.groupBy("src", "dst").agg(F.count("*").alias("weight"))
@@ -52,32 +52,34 @@ def transitions(edges: DataFrame) -> DataFrame:
 
 
 def pagerank(edges: DataFrame, nodes: DataFrame | None = None, alpha: float = 0.85, tolerance: float = 1e-6,
-             max_rounds: int = 100) -> DataFrame:
+             max_rounds: int = 100, rounds_a_checkpoint: int = 4) -> DataFrame:
     """GRF-03: weighted PageRank; the rank of nodes without out-edges is spread over all nodes.
 
     Rounds go on until the ranks change by less than ``tolerance`` per node in all; an error after ``max_rounds``.
 
-    A round is one join, one partial aggregate and one checkpoint of (id, rank). Where ranks are too
-    large to broadcast, the shuffled join splits the edges of a hub over tasks at run time.
+    Rank that is spread evenly over all nodes only scales the ranks, so rounds go without it and the ranks are divided by
+    their sum at the end. A round is then one join and one partial aggregate, with no number that the driver has to know
+    first; a few rounds go into one checkpoint, which reports the change of its last round and the sum as it is written.
+    Where ranks are too large to broadcast, the shuffled join splits the edges of a hub over tasks at run time.
     """
     steps = checkpointed(transitions(edges))
-    ids = checkpointed(nodes if nodes is not None else nodes_of(edges))
+    ids = checkpointed((nodes if nodes is not None else nodes_of(edges)).select("id"))
     n = ids.count()
     if not n:
         return ids.withColumn("rank", F.lit(0.0))
+    base = ids.withColumn("_in", F.lit(0.0))  # every node has a rank, also without in-edges
     ranks = ids.withColumn("rank", F.lit(1.0 / n))
-    for _ in range(max_rounds):
-        flow = (ranks.join(steps, ranks["id"] == steps["src"]).groupBy(F.col("dst").alias("id"))
-                .agg(F.sum(F.col("rank") * F.col("p")).alias("_in")))
-        # All rank that did not flow along an edge sat on nodes without out-edges.
-        held = ranks.join(flow, "id", "left").select("id", F.col("rank").alias("_old"), F.coalesce("_in", F.lit(0.0)).alias("_in"))
-        held = checkpointed(held)
-        moved = held.agg(F.sum("_in")).first()[0]
-        new = F.lit((1.0 - alpha) / n + alpha * (1.0 - moved) / n) + F.lit(alpha) * F.col("_in")
-        change = held.agg(F.sum(F.abs(new - F.col("_old")))).first()[0]
-        ranks = held.select("id", new.alias("rank"))
-        if change < n * tolerance:
-            return ranks
+    for done in range(rounds_a_checkpoint, max_rounds + rounds_a_checkpoint, rounds_a_checkpoint):
+        for _ in range(rounds_a_checkpoint):
+            last = ranks
+            flow = last.join(steps, last["id"] == steps["src"]).select(F.col("dst").alias("id"), (F.col("rank") * F.col("p")).alias("_in"))
+            ranks = flow.unionByName(base).groupBy("id").agg((F.lit((1.0 - alpha) / n) + F.lit(alpha) * F.sum("_in")).alias("rank"))
+        # the change of a round shrinks by alpha at least, so the one before the last bounds the last
+        both = checkpointed(ranks.join(last.withColumnRenamed("rank", "_old"), "id"))
+        change, total = both.agg(F.sum(F.abs(F.col("rank") - F.col("_old"))), F.sum("rank")).first()
+        ranks = both.select("id", "rank")
+        if change / total < n * tolerance:
+            return ranks.withColumn("rank", F.col("rank") / F.lit(total))
     raise RuntimeError("ranks did not settle; raise max_rounds")
 
 
@@ -127,13 +129,17 @@ def triangles(edges: DataFrame) -> DataFrame:
     up = F.struct("da", "a") < F.struct("db", "b")
     oriented = checkpointed(ranked.select(
         F.when(up, F.col("a")).otherwise(F.col("b")).alias("u"), F.when(up, F.col("b")).otherwise(F.col("a")).alias("v"),
-        F.when(up, F.col("ab")).otherwise(F.col("ba")).alias("f"), F.when(up, F.col("ba")).otherwise(F.col("ab")).alias("r")))
+        F.when(up, F.col("ab")).otherwise(F.col("ba")).alias("f"), F.when(up, F.col("ba")).otherwise(F.col("ab")).alias("r"),
+        F.greatest("da", "db").alias("dv")))
 
-    def side(x, y, n):
-        return oriented.select(F.col("u").alias(x), F.col("v").alias(y), F.col("f").alias(f"f{n}"), F.col("r").alias(f"r{n}"))
+    # Every triangle has one node u with two sides that go up from it. Pairs of those are made at u, which has few such
+    # sides also as a hub, and closed by the third side, an equi-join on both of its ends.
+    def side(y, n, d):
+        return oriented.select("u", F.col("v").alias(y), F.col("f").alias(f"f{n}"), F.col("r").alias(f"r{n}"), F.col("dv").alias(d))
 
-    # u -> v, v -> w closed by u -> w: every triangle has exactly one such order.
-    return side("u", "v", 1).join(side("v", "w", 2), "v").join(side("u", "w", 3), ["u", "w"])
+    pairs = side("v", 1, "d1").join(side("w", 3, "d3"), "u").filter(F.struct("d1", "v") < F.struct("d3", "w"))
+    third = oriented.select(F.col("u").alias("v"), F.col("v").alias("w"), F.col("f").alias("f2"), F.col("r").alias("r2"))
+    return pairs.join(third, ["v", "w"]).select("u", "v", "w", *[f"{x}{n}" for n in (1, 2, 3) for x in "fr"])
 
 
 def feedforward_loops(edges: DataFrame) -> DataFrame:
@@ -198,8 +204,9 @@ def largest_component(labels: DataFrame) -> DataFrame:
 def layers(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     """GRF-09: per node the greatest, over source nodes, of its distance from the source; 0 when unreached.
 
-    Sources have no in-edges; without any, the node of most out-edges (smallest id on a tie) is the source.
-    The state is one row per (source, reached node).
+    Sources have no in-edges; without any, the node of most out-edges (smallest id on a tie) is the source. All sources
+    are searched at once: they are numbered, and a node's state is one word of bits for each 64 sources that reach it, so
+    a step of up to 64 searches is one row and a bitwise or. A node's layer is the last step that brought it a new source.
     """
     plain = checkpointed(edges.filter(F.col("src") != F.col("dst")).select("src", "dst").distinct())
     ids = nodes if nodes is not None else nodes_of(edges)
@@ -207,20 +214,23 @@ def layers(edges: DataFrame, nodes: DataFrame | None = None) -> DataFrame:
     sources = d.filter(F.col("in_degree") == 0).select("id")
     if sources.isEmpty():
         sources = d.orderBy(F.desc("out_degree"), "id").limit(1).select("id")
-    frontier = checkpointed(sources.select(F.col("id").alias("source"), "id", F.lit(0).alias("depth")))
+    place = F.col("_no") - 1
+    frontier = checkpointed(numbered(sources, ["id"], "_no").select(
+        "id", F.floor(place / 64).alias("word"), F.expr("shiftleft(1L, cast((_no - 1) % 64 as int))").alias("bits")))
     reached = frontier
+    found = frontier.select("id", F.lit(0).alias("depth"))
     for depth in itertools.count(1):  # ends when nothing new is reached
-        step = (frontier.join(plain, frontier["id"] == plain["src"])
-                .select("source", F.col("dst").alias("id")).distinct()
-                .join(reached.select("source", "id"), ["source", "id"], "left_anti")
-                .withColumn("depth", F.lit(depth)))
+        step = (frontier.join(plain, frontier["id"] == plain["src"]).groupBy(F.col("dst").alias("id"), "word")
+                .agg(F.bit_or("bits").alias("bits"))
+                .join(reached.withColumnRenamed("bits", "_seen"), ["id", "word"], "left")
+                .select("id", "word", F.col("bits").bitwiseAND(F.bitwise_not(F.coalesce("_seen", F.lit(0).cast("bigint")))).alias("bits"))
+                .filter("bits <> 0"))
         frontier = checkpointed(step)
         if frontier.isEmpty():
             break
-        reached = reached.unionByName(frontier)
-        if depth % 8 == 0:
-            reached = checkpointed(reached)
-    best = reached.groupBy("id").agg(F.max("depth").alias("layer"))
+        found = found.unionByName(frontier.select("id", F.lit(depth).alias("depth")))
+        reached = checkpointed(reached.unionByName(frontier).groupBy("id", "word").agg(F.bit_or("bits").alias("bits")))
+    best = found.groupBy("id").agg(F.max("depth").alias("layer"))
     return ids.join(best, "id", "left").select("id", F.coalesce("layer", F.lit(0)).alias("layer"))
 
 

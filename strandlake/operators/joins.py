@@ -19,17 +19,25 @@ def join_with_counts(left: DataFrame, right: DataFrame, key: str, how: str, coun
     return left.join(right.groupBy(key).agg(*[c.alias(n) for n, c in counts.items()]), key, how)
 
 
-def unordered_pairs(df: DataFrame, key: str, blocks: int = 16) -> DataFrame:
-    """Every pair of rows with ``a < b`` by key, columns suffixed ``_a`` and ``_b``; for small sets whose pairs are the result.
+#: Rows on one side of a cell of pairs, and cells made at least, so that a small set is spread too.
+PAIR_ROWS, LEAST_BLOCKS = 1024, 6
 
-    The right side is cut into blocks and the left side repeated per block, so the pairs are made by an
-    equi-join spread over tasks instead of a product in one place.
+
+def unordered_pairs(df: DataFrame, key: str, blocks: int | None = None) -> DataFrame:
+    """Every pair of rows with ``a < b`` by key, columns suffixed ``_a`` and ``_b``; for sets whose pairs are the result.
+
+    Rows are dealt to blocks whose number follows their count, and a pair of blocks is one cell: both sides of a cell are
+    bounded, and the cells, not the rows, grow with the square as the result does. Pairs are made by an equi-join on cells.
     """
-    left = df.withColumnsRenamed({c: f"{c}_a" for c in df.columns}).withColumn(
-        "_block", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(blocks - 1).cast("bigint"))))
-    right = df.withColumnsRenamed({c: f"{c}_b" for c in df.columns}).withColumn(
-        "_block", F.pmod(F.xxhash64(f"{key}_b"), F.lit(blocks)))
-    return left.join(right, "_block").filter(F.col(f"{key}_a") < F.col(f"{key}_b")).drop("_block")
+    blocks = blocks or max(LEAST_BLOCKS, -(-df.count() // PAIR_ROWS))
+    own = F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int")
+    cells = df.withColumn("_own", own).withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1)))).withColumns(
+        {"_low": F.least("_own", "_other"), "_high": F.greatest("_own", "_other")})
+    ends = ["_own", "_other"]
+    left = cells.withColumn("_from_low", F.col("_own") == F.col("_low")).drop(*ends).withColumnsRenamed({c: f"{c}_a" for c in df.columns})
+    right = cells.withColumn("_from_low", F.col("_own") == F.col("_high")).drop(*ends).withColumnsRenamed({c: f"{c}_b" for c in df.columns})
+    at = ["_low", "_high", "_from_low"]
+    return left.join(right, at).filter(F.col(f"{key}_a") < F.col(f"{key}_b")).drop(*at)
 
 
 def report_grid(facts: DataFrame, a: str, b: str, dims_a: DataFrame, dims_b: DataFrame) -> DataFrame:
@@ -102,23 +110,19 @@ def check_mates(first: DataFrame, second: DataFrame) -> None:
 def two_nearest(points: DataFrame, sites: DataFrame, max_distance: float) -> DataFrame:
     """JOIN-20: nearest site is the target, second nearest the source, kept if the nearest is near enough.
 
-    ``points(point_id, x, y)``, ``sites(site_id, x, y)``. Candidates come from a grid whose cell is
-    ``max_distance`` wide: the nine cells around a point hold every site within that distance, so
-    the nearest is exact. The second nearest may be farther off; for points with only one candidate
-    the ring of cells is widened until two are found or the whole grid is covered.
+    ``points(point_id, x, y)``, ``sites(site_id, x, y)``. Candidates come from a pyramid of grids: the nine cells around a
+    point hold every site within one cell's width of it. The first grid is ``max_distance`` wide, so the nearest is exact
+    there; a point whose second nearest may be farther off asks the nine cells of the next, four times coarser grid. A
+    distant point so asks nine cells a level, however far it is, and no other point is asked again.
     """
     size = float(max_distance)
-    cells = sites.select("site_id", F.col("x").alias("sx"), F.col("y").alias("sy"),
-                         F.floor(F.col("x") / size).alias("cx"), F.floor(F.col("y") / size).alias("cy"))
     span = sites.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("s")).first()["s"] or 0.0
-    widest = int(span / size) + 2
-    out, todo, reach = None, points, 1
+    out, todo = None, points
     while True:
         # Kept in a checkpoint: the round decides both what is done and what is searched again.
-        near = checkpointed(_nearest_in_ring(todo, cells, size, reach))
-        last = reach >= widest
-        # Sites outside the ring are at least reach * size away.
-        sure = (F.col("d1") >= max_distance) | (F.col("d2") <= reach * size) if not last else F.lit(True)
+        near = checkpointed(_nearest_in_cells(todo, sites, size))
+        last = size > span + max_distance  # the nine cells hold all sites
+        sure = (F.col("d1") >= max_distance) | (F.col("d2") <= size) if not last else F.lit(True)
         done = near.filter(F.coalesce(sure, F.lit(False)))
         out = done if out is None else out.unionByName(done)
         if last:
@@ -126,24 +130,27 @@ def two_nearest(points: DataFrame, sites: DataFrame, max_distance: float) -> Dat
         far = near.filter(~F.coalesce(sure, F.lit(False)) & (F.col("d1") < max_distance)).select("point_id")
         if far.isEmpty():
             break
-        todo, reach = points.join(far, "point_id", "left_semi"), min(reach * 4, widest)
+        todo, size = points.join(far, "point_id", "left_semi"), size * 4
     kept = out.filter((F.col("d1") < max_distance) & F.col("source").isNotNull())
     return kept.select("point_id", "source", "target", F.col("d1").alias("distance"))
 
 
-def _nearest_in_ring(points, cells, size, reach):
-    steps = F.sequence(F.lit(-reach), F.lit(reach))
-    spread = (points.select("point_id", "x", "y", F.floor(F.col("x") / size).alias("px"),
-                            F.floor(F.col("y") / size).alias("py"), F.explode(steps).alias("dx"))
-              .select("*", F.explode(steps).alias("dy"))
-              .select("point_id", "x", "y", (F.col("px") + F.col("dx")).alias("cx"),
-                      (F.col("py") + F.col("dy")).alias("cy")))
+def _nearest_in_cells(points, sites, size):
+    """The two nearest sites of each point among those in the nine cells around it."""
+    def cell(c):
+        return F.floor(F.col(c) / size)
+
+    cells = sites.select("site_id", F.col("x").alias("sx"), F.col("y").alias("sy"), cell("x").alias("cx"), cell("y").alias("cy"))
+    around = F.sequence(F.lit(-1), F.lit(1))
+    spread = (points.select("point_id", "x", "y", cell("x").alias("px"), cell("y").alias("py"), F.explode(around).alias("dx"))
+              .select("*", F.explode(around).alias("dy"))
+              .select("point_id", "x", "y", (F.col("px") + F.col("dx")).alias("cx"), (F.col("py") + F.col("dy")).alias("cy")))
     distance = F.sqrt(F.pow(F.col("x") - F.col("sx"), 2) + F.pow(F.col("y") - F.col("sy"), 2))
-    pairs = spread.join(cells, ["cx", "cy"]).select("point_id", "site_id", distance.alias("d"))
-    # The two smallest by two aggregations: no sorted list of candidates is kept.
-    best = pairs.groupBy("point_id").agg(F.min(F.struct("d", "site_id")).alias("b"))
-    rest = pairs.join(best, "point_id").filter(F.struct("d", "site_id") != F.col("b"))
-    second = rest.groupBy("point_id").agg(F.min(F.struct("d", "site_id")).alias("s"))
+    pairs = spread.join(cells, ["cx", "cy"]).select("point_id", F.struct(distance.alias("d"), "site_id").alias("at"))
+    # The two smallest by two aggregations: no list of candidates is kept.
+    best = pairs.groupBy("point_id").agg(F.min("at").alias("b"))
+    rest = pairs.join(best, "point_id").filter(F.col("at") != F.col("b"))
+    second = rest.groupBy("point_id").agg(F.min("at").alias("s"))
     return best.join(second, "point_id", "left").select(
         "point_id", F.col("b.site_id").alias("target"), F.col("b.d").alias("d1"),
         F.col("s.site_id").alias("source"), F.col("s.d").alias("d2"))

@@ -16,6 +16,8 @@ CENTER_TYPES = {"Academic": ("Broad Institute", "Sanger", "NIH"), "Commercial":
 INSTRUMENT_TIERS = (("%NovaSeq X%", "Current generation"), ("%NovaSeq%", "Previous generation"),
                     ("%HiSeq%", "Legacy"), ("%PacBio%", "Long-read"), ("%Nanopore%", "Long-read"))
 RECENT_YEAR = 2022
+ASSAY_CATEGORIES = ("Single-cell RNA-seq", "Bulk RNA-seq", "DNA-seq", "Epigenomics")
+DNA_STRATEGIES, EPIGENOMIC_STRATEGIES = ("WGS", "WES"), ("ChIP-Seq", "ATAC-seq", "CUT&RUN")
 
 
 def first_match(arms, default) -> Column:
@@ -65,11 +67,10 @@ def center_type(col: Column) -> Column:
 
 
 def assay_category(instrument: Column, strategy: Column, source: Column) -> Column:
-    return (F.when(instrument.like("%10x Genomics%"), "Single-cell RNA-seq")
-            .when((strategy == "RNA-Seq") & source.like("%TRANSCRIPTOMIC%"), "Bulk RNA-seq")
-            .when(strategy.isin("WGS", "WES") & (source == "GENOMIC"), "DNA-seq")
-            .when(strategy.isin("ChIP-Seq", "ATAC-seq", "CUT&RUN"), "Epigenomics")
-            .otherwise("Other"))
+    """PRJ-09: the first kind of assay whose condition holds."""
+    conditions = (instrument.like("%10x Genomics%"), (strategy == "RNA-Seq") & source.like("%TRANSCRIPTOMIC%"),
+                  strategy.isin(*DNA_STRATEGIES) & (source == "GENOMIC"), strategy.isin(*EPIGENOMIC_STRATEGIES))
+    return first_match(zip(conditions, ASSAY_CATEGORIES), "Other")
 
 
 def instrument_tier(col: Column) -> Column:

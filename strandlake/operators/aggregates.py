@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import log2_fold, percent, ratio
+from strandlake.operators.quantiles import quantiles_of_columns
 from strandlake.session import checkpointed, join_back
 
 
@@ -115,10 +116,12 @@ def merge_statistics(parts: DataFrame, keys: list[str]) -> DataFrame:
             .withColumn("mean", ratio(F.col("sum"), F.col("count"))))
 
 
-def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """AGG-18, AGG-20: one row per column from a single aggregation.
+def column_summary(df: DataFrame, columns: list[str], exact_unique: bool = False) -> DataFrame:
+    """AGG-18, AGG-20: one row per column: count, missing percentage, distinct values, mean, sample std, min and max as text,
+    and exact quartiles of numeric columns.
 
-    Count, missing percentage, distinct values (approximate), mean, sample std, min and max as text.
+    The measures come from a single aggregation; the quartiles of all columns from one more pass. Distinct values are
+    estimated unless exact ones are asked for.
     """
     types = dict(df.dtypes)
     numeric = {c for c in columns if types[c] in ("int", "bigint", "double", "float", "smallint", "tinyint")
@@ -130,11 +133,17 @@ def column_summary(df: DataFrame, columns: list[str]) -> DataFrame:
             F.lit(c).alias("column_name"), F.lit(types[c]).alias("dtype"),
             F.count(c).alias("n"), (F.count("*") - F.count(c)).alias("missing"),
             percent(F.count("*") - F.count(c), F.count("*")).alias("missing_pct"),
-            F.approx_count_distinct(c).alias("approx_unique"),
+            (F.count_distinct(c) if exact_unique else F.approx_count_distinct(c)).alias("unique" if exact_unique else "approx_unique"),
             F.avg(number).alias("mean"), F.stddev_samp(number).alias("std"),
             F.min(c).cast("string").alias("min"), F.max(c).cast("string").alias("max")).alias(f"s_{c}"))
     wide = df.agg(*measures)
-    return wide.select(F.inline(F.array(*[F.col(f"s_{c}") for c in columns])))
+    out = wide.select(F.inline(F.array(*[F.col(f"s_{c}") for c in columns])))
+    named = {"q25": 0.25, "median": 0.5, "q75": 0.75}
+    if not numeric:
+        return out.withColumns({n: F.lit(None).cast("double") for n in named})
+    points = quantiles_of_columns(df, [c for c in columns if c in numeric], list(named.values())).groupBy("column_name").agg(*[
+        F.max(F.when(F.col("prob") == p, F.col("value"))).alias(n) for n, p in named.items()])
+    return out.join(points, "column_name", "left")
 
 
 #: Items of one side of a cell of pairs of a large group.

@@ -27,9 +27,14 @@ def _level(length: Column, bin_size: int) -> Column:
     return out
 
 
-def _levels_of(df: DataFrame) -> list[int]:
-    """The levels that occur: at most ``LEVELS`` numbers."""
-    return sorted(r[0] for r in df.select("_level").distinct().collect())
+def _levels_of(*sides: DataFrame) -> list[list[int]]:
+    """The levels that occur in each side, from one job: at most ``LEVELS`` numbers a side."""
+    every = None
+    for i, df in enumerate(sides):
+        own = df.select(F.lit(i).alias("side"), "_level")
+        every = own if every is None else every.unionByName(own)
+    found = [tuple(r) for r in every.distinct().collect()]
+    return [sorted(level for side, level in found if side == i) for i in range(len(sides))]
 
 
 def _in_bins(df: DataFrame, first: Column, last: Column, bin_size: int) -> DataFrame:
@@ -43,15 +48,25 @@ def _cells(left: DataFrame, right: DataFrame, keys: list[str], least: int) -> tu
     A bin is crowded if it holds more than a share of a shuffle partition's rows, so there are at most a few times as many
     crowded bins as partitions, whatever the rows. ``least`` parts are made of every bin of the left side.
     """
-    spark = left.sparkSession
-    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    counts = {n: df.groupBy(*keys).agg(F.count("*").alias("_n")) for n, df in (("a", left), ("b", right))}
+    most = None
+    for n, df in counts.items():
+        one = df.agg(F.lit(n).alias("side"), F.max("_n").alias("most"), F.sum("_n").alias("total"))
+        most = one if most is None else most.unionByName(one)
+    limits, plain = {}, least == 1
+    for side, greatest, total in most.collect():  # one row a side
+        limits[side] = max((total or 0) * HOT_SHARE / partitions, float(HOT_ROWS))
+        plain = plain and (greatest or 0) <= limits[side]
+    if plain:
+        return tuple(df.withColumns({"_i": F.lit(0), "_j": F.lit(0)}) for df in (left, right))
 
     def crowded(df: DataFrame, name: str) -> DataFrame:
-        limit = df.agg(F.greatest(F.count("*") * HOT_SHARE / partitions, F.lit(float(HOT_ROWS))).alias("_l")).scalar()
-        return df.groupBy(*keys).agg(F.count("*").alias("_n")).filter(F.col("_n") > limit).select(
+        limit = limits[name]
+        return df.filter(F.col("_n") > limit).select(
             *[F.col(k).alias(f"_{name}{k}") for k in keys], F.ceil(F.col("_n") / limit).cast("int").alias(f"_parts_{name}"))
 
-    hot = {n: crowded(df, n) for n, df in (("a", left), ("b", right))}
+    hot = {n: crowded(df, n) for n, df in counts.items()}
 
     def placed(df: DataFrame, own: str, own_index: str, other: str, other_index: str) -> DataFrame:
         columns = df.columns
@@ -84,7 +99,7 @@ def annotate_points(points: DataFrame, intervals: DataFrame, bin_size: int, how:
     number of parts. With ``left``, points that no level answers stay with NULLs.
     """
     right = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", _level(F.col(end) - F.col(start) + 1, bin_size))
-    levels = _levels_of(right) or [0]
+    levels = _levels_of(right)[0] or [0]
     right = _in_bins(right, F.col(start), F.col(end), bin_size).withColumnsRenamed(
         {chrom: "_chrom", start: "_start", end: "_end"})
     extra = [c for c in intervals.columns if c not in (chrom, start, end)]
@@ -138,7 +153,7 @@ def overlaps(a: DataFrame, b: DataFrame, bin_size: int, chrom: str = "chrom", st
         return named.filter(lo < hi).withColumn("_level", _level(hi - lo, bin_size))
 
     left, right = levelled(a, ""), levelled(b, "_b")
-    of_left, of_right = _levels_of(left), _levels_of(right)
+    of_left, of_right = _levels_of(left, right)
 
     def rows(df: DataFrame, suffix: str, asks: bool, levels: list[int], strictly: bool) -> DataFrame:
         """The asking rows of a side, at the given levels from its own (or the next) on, or its own rows."""

@@ -6,10 +6,11 @@ very many rows is never sorted in one task.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import ratio
+from strandlake.operators.ordered import nearest_known
 from strandlake.operators.quantiles import exact_medians
 from strandlake.operators.windows import running, value_ranks
 from strandlake.session import checkpointed, join_back
@@ -84,12 +85,8 @@ def mappability_corrected(df: DataFrame, track: DataFrame, sample: str, bin_col:
     of every poor bin are found there, so samples need joins only. Beyond the ends the nearest
     usable value stands.
     """
-    place = Window.orderBy(bin_col)
     good = F.when(F.col("mappability") >= limit, F.col(bin_col))
-    near = track.select(
-        bin_col, "mappability",
-        F.last(good, True).over(place.rowsBetween(Window.unboundedPreceding, 0)).alias("_before"),
-        F.first(good, True).over(place.rowsBetween(0, Window.unboundedFollowing)).alias("_after"))
+    near = nearest_known(track.select(bin_col, "mappability"), bin_col, good, "_before", "_after")
     near = near.withColumns({"_before": F.coalesce("_before", "_after"), "_after": F.coalesce("_after", "_before")})
     rows = df.join(near, bin_col)
     fine = rows.filter(F.col("mappability") >= limit).withColumn("corrected", F.col(value) / F.col("mappability"))

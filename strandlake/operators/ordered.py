@@ -69,3 +69,21 @@ def neighbours(df: DataFrame, keys: list[str], order: list[str], columns: dict[s
     local = rows.withColumn("_near", step(near).over(Window.partitionBy("_part", *keys).orderBy(*order)))
     return _joined_edges(local, across, keys).select(*df.columns, *[
         F.when(F.col("_near").isNotNull(), F.col(f"_near.{n}")).otherwise(F.col(f"_far.{n}")).alias(n) for n in columns])
+
+
+def nearest_known(df: DataFrame, order: str, value: Column, before: str, after: str) -> DataFrame:
+    """``df`` with the last known (not NULL) ``value`` up to each row and the first from it on, along a unique ``order``.
+
+    One row a part is carried over the parts, so no task sees the whole order.
+    """
+    rows = dealt_by_range(df.withColumn("_value", value), [], [order])
+    known = F.when(F.col("_value").isNotNull(), F.col(order))
+    edges = rows.groupBy("_part").agg(F.max_by("_value", known).alias("_last"), F.min_by("_value", known).alias("_first"))
+    along = Window.partitionBy(F.lit(0)).orderBy("_part")
+    across = edges.select("_part", F.last("_last", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
+                          F.first("_first", True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
+    inside = Window.partitionBy("_part").orderBy(order)
+    local = rows.withColumns({"_back": F.last("_value", True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+                              "_ahead": F.first("_value", True).over(inside.rowsBetween(0, Window.unboundedFollowing))})
+    return _joined_edges(local, across, []).select(
+        *df.columns, F.coalesce("_back", "_earlier").alias(before), F.coalesce("_ahead", "_later").alias(after))

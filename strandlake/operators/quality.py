@@ -137,10 +137,20 @@ def missing_report(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 def absent_features(df: DataFrame, wanted: list[str]) -> list[str]:
-    """DQ-14."""
+    """DQ-14: wanted features that the table does not have."""
     return [c for c in wanted if c not in df.columns]
 
 
+def feature_gaps(df: DataFrame, wanted: list[str]) -> DataFrame:
+    """DQ-14: the missing report of all wanted features; one that the table lacks is missing in every row, level ABSENT."""
+    absent = absent_features(df, wanted)
+    full = df.withColumns({c: F.lit(None).cast("string") for c in absent})
+    report = missing_report(full, wanted)
+    is_absent = F.col("column_name").isin(absent) if absent else F.lit(False)
+    return report.withColumns({"level": F.when(is_absent, "ABSENT").otherwise(F.col("level")),
+                               "warns": is_absent | F.coalesce("warns", F.lit(False))})
+
+
 def distribution_metrics(df: DataFrame, columns: list[str]) -> DataFrame:
     """DQ-09: count, mean, median, std, min, max, quartiles, bias-corrected skewness and excess kurtosis."""
     long = df.select(F.inline(F.array(*[

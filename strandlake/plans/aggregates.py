@@ -141,21 +141,23 @@ def _(t):
 
 @query("summarize_columns", "AGG-18 AGG-20 DQ-08", """
 WITH s AS (
-  SELECT 'o_orderkey' AS column_name, count(o_orderkey) AS n, count(*) - count(o_orderkey) AS missing,
-         min(o_orderkey)::VARCHAR AS "min", max(o_orderkey)::VARCHAR AS "max" FROM orders UNION ALL
-  SELECT 'o_totalprice', count(o_totalprice), count(*) - count(o_totalprice), NULL, NULL FROM orders UNION ALL
-  SELECT 'o_orderpriority', count(o_orderpriority), count(*) - count(o_orderpriority), min(o_orderpriority),
-         max(o_orderpriority) FROM orders UNION ALL
-  SELECT 'big_price', count(p), count(*) - count(p), NULL, NULL FROM
-         (SELECT CASE WHEN o_totalprice > 250000 THEN o_totalprice END AS p FROM orders))
-SELECT column_name, n, missing, missing * 100.0::DOUBLE / (n + missing) AS missing_pct, "min", "max" FROM s""")
+  SELECT 'o_orderkey' AS column_name, 'bigint' AS dtype, count(x) AS n, count(*) - count(x) AS missing, count(DISTINCT x) AS "unique", avg(x) AS mean, stddev_samp(x) AS std,
+         min(x)::VARCHAR AS "min", max(x)::VARCHAR AS "max", quantile_cont(x, 0.25) AS q25, quantile_cont(x, 0.5) AS median, quantile_cont(x, 0.75) AS q75 FROM (SELECT o_orderkey AS x FROM orders) UNION ALL
+  SELECT 'o_totalprice', 'double', count(x), count(*) - count(x), count(DISTINCT x), avg(x), stddev_samp(x), NULL, NULL, quantile_cont(x, 0.25), quantile_cont(x, 0.5), quantile_cont(x, 0.75)
+         FROM (SELECT o_totalprice AS x FROM orders) UNION ALL
+  SELECT 'o_orderpriority', 'string', count(x), count(*) - count(x), count(DISTINCT x), NULL, NULL, min(x), max(x), NULL, NULL, NULL FROM (SELECT o_orderpriority AS x FROM orders) UNION ALL
+  SELECT 'big_price', 'double', count(x), count(*) - count(x), count(DISTINCT x), avg(x), stddev_samp(x), NULL, NULL, quantile_cont(x, 0.25), quantile_cont(x, 0.5), quantile_cont(x, 0.75)
+         FROM (SELECT CASE WHEN o_totalprice > 250000 THEN o_totalprice END AS x FROM orders))
+SELECT column_name, dtype, n, missing, missing * 100.0::DOUBLE / (n + missing) AS missing_pct, "unique", """ + ", ".join(
+    HU(c, 4) + f" AS {c}" for c in ("mean", "std", "q25", "median", "q75")) + """, "min", "max" FROM s""")
 def _(t):
     rows = t.orders.select("o_orderkey", "o_totalprice", "o_orderpriority",
                            F.when(F.col("o_totalprice") > 250000, F.col("o_totalprice")).alias("big_price"))
-    out = a.column_summary(rows, ["o_orderkey", "o_totalprice", "o_orderpriority", "big_price"])
-    text_only = F.col("column_name").isin("o_orderkey", "o_orderpriority")
-    return out.select("column_name", "n", "missing", "missing_pct", F.when(text_only, F.col("min")).alias("min"),
-                      F.when(text_only, F.col("max")).alias("max"))
+    out = a.column_summary(rows, ["o_orderkey", "o_totalprice", "o_orderpriority", "big_price"], exact_unique=True)
+    text_only = F.col("column_name").isin("o_orderkey", "o_orderpriority")  # two engines write doubles as text differently
+    return out.select("column_name", "dtype", "n", "missing", "missing_pct", "unique", *[
+        half_up(F.col(c), 4).alias(c) for c in ("mean", "std", "q25", "median", "q75")],
+        F.when(text_only, F.col("min")).alias("min"), F.when(text_only, F.col("max")).alias("max"))
 
 
 @query("above_average", "AGG-21", """

@@ -72,6 +72,19 @@ def _(t):
     return f.features_of(stored, "patient_id", ["mutation_burden", "feature_version"], wanted)
 
 
+@query("validated_features", "FEA-10 FEA-11", f"""
+WITH {PATIENTS} SELECT patient_id, CASE WHEN patient_id % 3 = 0 THEN 3 ELSE tp53_mutation::INT + kras_mutation::INT + egfr_mutation::INT END AS mutation_burden,
+  1 AS feature_version FROM p""")
+def _(t):
+    rows = patients(t)
+    # every third patient comes again, with all mutations; the batch is validated before it replaces what is stored
+    batch = rows.filter(F.col("patient_id") % 3 == 0).withColumns({c: F.lit(True) for c in ("tp53_mutation", "kras_mutation", "egfr_mutation")})
+    rules = {"patient_id": {"type": "int", "nullable": False, "unique": True}, "tmb_score": {"type": "float", "nullable": False, "min_value": 0}}
+    raw = f.ingest_raw(f.ingest_raw(rows.limit(0), rows, "patient_id", rules), batch, "patient_id", rules)
+    stored = f.store_version(None, f.mutation_burden(raw).select("patient_id", "mutation_burden"), "patient_id", 1)
+    return f.features_of(stored, "patient_id", ["mutation_burden", "feature_version"])
+
+
 @query("training_set", "FEA-12 JOIN-22", f"""
 WITH {PATIENTS} SELECT p.patient_id, age / 10.0::DOUBLE + comorbidity_count * 5 AS clinical_risk_score, label FROM p JOIN
   (SELECT o_custkey AS patient_id, max((o_orderstatus = 'F')::INT) AS label FROM orders GROUP BY 1) USING (patient_id)""")

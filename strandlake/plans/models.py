@@ -42,6 +42,20 @@ def _(t):
     return m.cross_validated_auc(labelled(t), CATEGORICAL, NUMERIC, "label", ["logistic", "forest", "boosted"], folds=5)
 
 
+@query("held_out_auc", "ML-01 ML-02")
+def _(t):
+    train, test = parts(t)
+    rows = [(kind, m.area_under_curve(m.fit_pipeline(train, CATEGORICAL, NUMERIC, "label", kind).transform(test), "label")) for kind in ("logistic", "forest")]
+    return t.spark.createDataFrame(rows, "model string, auc double")
+
+
+@query("explained_share", "ML-04")
+def _(t):
+    long = t.embeddings.select("vec_id", F.posexplode("embedding").alias("dim", "v")).withColumn("v", F.col("v").cast("double") + 2)
+    _scores, explained = m.principal_components(long, "vec_id", "dim", "v", 32, 2)
+    return explained
+
+
 @query("principal_components", "ML-04")
 def _(t):
     long = t.embeddings.select("vec_id", F.posexplode("embedding").alias("dim", "v")).withColumn("v", F.col("v").cast("double") + 2)
@@ -55,6 +69,9 @@ def _(t):
     return p.key_skew(t.lineitem, "l_suppkey")
 
 
-@query("partition_totals", "PRF-01 PRF-02", "SELECT count(*)::BIGINT AS total FROM lineitem")
+@query("partition_totals", "PRF-01 PRF-02", """
+SELECT 16::BIGINT AS partitions, count(*)::BIGINT AS total, count(*) / 16.0::DOUBLE AS mean, true AS in_order, true AS even FROM lineitem""")
 def _(t):
-    return p.partition_skew(p.by_range(t.lineitem, 16, "l_suppkey", "l_orderkey")).select("total")
+    out = p.partition_skew(p.by_range(t.lineitem, 16, "l_suppkey", "l_orderkey"))
+    return out.select("partitions", "total", "mean", ((F.col("least") <= F.col("mean")) & (F.col("mean") <= F.col("greatest"))).alias("in_order"),
+                      (F.col("skew") < 3).alias("even"))

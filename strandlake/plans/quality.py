@@ -104,6 +104,15 @@ def _(t):
     return q.missing_report(rows, ["wbc_count", "age", "tmb_high"])
 
 
+@query("feature_gaps", "DQ-14", f"""
+WITH {PATIENTS}, m AS (SELECT 'wbc_count' AS column_name, count(*) - count(wbc_count) AS missing, count(*) AS total, false AS gone FROM p UNION ALL
+  SELECT 'age', count(*) - count(age), count(*), false FROM p UNION ALL SELECT 'ldl', count(*), count(*), true FROM p)
+SELECT column_name, missing, total, missing * 100.0::DOUBLE / total AS missing_pct, CASE WHEN gone THEN 'ABSENT' WHEN missing * 100.0 / total > 20 THEN 'HIGH'
+  WHEN missing * 100.0 / total > 10 THEN 'MODERATE' ELSE 'OK' END AS level, gone OR missing * 100.0 / total > 20 AS warns FROM m""")
+def _(t):
+    return q.feature_gaps(patients(t), ["wbc_count", "age", "ldl"])
+
+
 @query("distribution_metrics", "DQ-09", f"""
 WITH x AS (SELECT 'price' AS column_name, l_extendedprice AS v FROM lineitem UNION ALL SELECT 'depth', l_quantity FROM lineitem)
 SELECT column_name, count(v) AS n, {HU('avg(v)', 4)} AS mean, {HU('stddev_samp(v)', 4)} AS std, min(v) AS "min", max(v) AS "max",
@@ -218,12 +227,15 @@ def _(t):
 
 
 @query("catalog_manifest", "DQ-19", """
-SELECT 'orders' AS table_name, 'bronze' AS zone, count(*) AS row_count FROM orders UNION ALL
-SELECT 'customer', 'silver', count(*) FROM customer""")
+SELECT 'orders' AS table_name, 'bronze' AS zone, 'orders.parquet' AS file,
+  'struct<o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string>' AS table_schema,
+  count(*) AS row_count, true AS updated_now FROM orders UNION ALL
+SELECT 'customer', 'silver', 'customer.parquet', 'struct<c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,c_mktsegment:string>', count(*), true FROM customer""")
 def _(t):
     out = q.manifest({"orders": ("bronze", f"{t.root}/orders.parquet", t.orders),
                       "customer": ("silver", f"{t.root}/customer.parquet", t.customer)})
-    return out.select("table_name", "zone", "row_count")
+    recent = F.col("updated_at") > F.current_timestamp() - F.expr("INTERVAL 1 HOUR")
+    return out.select("table_name", "zone", F.substring_index("path", "/", -1).alias("file"), "table_schema", "row_count", recent.alias("updated_now"))
 
 
 @query("role_view", "GOV-01 GOV-02", """

@@ -61,7 +61,7 @@ WITH {READS}, {TRIM} SELECT source, count(*) AS before, count(*) FILTER (reason
   (count(*) FILTER (reason = 'passed')) * 100.0::DOUBLE / count(*) AS kept_pct FROM z GROUP BY 1""")
 def _(t):
     counters = r.trim_counters(r.trimmed_reads(reads(t), ADAPTER, min_length=20), ["source"])
-    initial = counters.withColumnRenamed("total_input", "total_reads")
+    initial = t.documents.groupBy("source").agg(F.count("*").alias("total_reads"))  # counted before anything is trimmed
     return r.before_after(initial, counters, "source", F.regexp_extract("source", r"(\d+)", 1).cast("int"))
 
 
@@ -130,13 +130,16 @@ def _(t):
 
 
 @query("read_report", "QC-07", f"""
-WITH {READS}, k AS (SELECT doc_id, length(seq) >= 100 AND mq >= 17 AND coalesce((length(seq) - length(replace(seq, 'N', '')))::DOUBLE / nullif(length(seq), 0), 0) <= 0.1 AS ok FROM q)
-SELECT 'raw_1' AS stage, count(*) AS total_reads FROM k UNION ALL SELECT 'raw_2', count(*) FILTER (doc_id % 9 <> 0) FROM k UNION ALL
-SELECT 'filtered_1', count(*) FILTER (ok) FROM k UNION ALL SELECT 'filtered_2', count(*) FILTER (ok AND doc_id % 9 <> 0) FROM k UNION ALL
-SELECT 'pairs_kept', count(*) FILTER (ok AND doc_id % 9 <> 0) FROM k""")
+WITH {READS}, k AS (SELECT doc_id, length(seq) AS len, length(regexp_replace(seq, '[^GC]', '', 'g')) AS gc, qsum, length(seq) >= 100 AND mq >= 17 AND coalesce((length(seq) - length(replace(seq, 'N', '')))::DOUBLE / nullif(length(seq), 0), 0) <= 0.1 AS ok FROM q)
+SELECT stage, count(*) AS total_reads, """ + ", ".join(HU(c, 6) + f" AS {n}" for n, c in (
+    ("avg_length", "sum(len)::DOUBLE / count(*)"), ("avg_gc", "sum(gc)::DOUBLE / sum(len)"), ("avg_quality", "sum(qsum)::DOUBLE / sum(len)"))) + """
+FROM (SELECT 'raw_1' AS stage, * FROM k UNION ALL SELECT 'raw_2', * FROM k WHERE doc_id % 9 <> 0 UNION ALL
+  SELECT 'filtered_1', * FROM k WHERE ok UNION ALL SELECT 'filtered_2', * FROM k WHERE ok AND doc_id % 9 <> 0) GROUP BY 1
+UNION ALL SELECT 'pairs_kept', count(*) FILTER (ok AND doc_id % 9 <> 0), NULL, NULL, NULL FROM k""")
 def _(t):
     first, second = mates(t)
-    return r.read_report(first, second, 100, 17, 0.1).select("stage", "total_reads")
+    return r.read_report(first, second, 100, 17, 0.1).select("stage", "total_reads", *[
+        half_up(F.col(c), 6).alias(c) for c in ("avg_length", "avg_gc", "avg_quality")])
 
 
 @query("mate_mismatches", "JOIN-19", "SELECT count(*) AS n FROM documents WHERE doc_id % 9 = 0")

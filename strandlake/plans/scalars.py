@@ -301,6 +301,37 @@ def _(t):
                       clinical.coverage_class(F.col("mapping_rate")).alias("class"))
 
 
+@query("sql_functions", "UDF-03 UDF-04", """
+SELECT s_suppkey, rate, CASE WHEN rate < 30 THEN 'Low' WHEN rate < 80 THEN 'Medium' WHEN rate < 120 THEN 'High' ELSE 'Very High' END AS class
+FROM (SELECT s_suppkey, mapped * 100.0::DOUBLE / nullif(total, 0) AS rate FROM supplier LEFT JOIN (
+  SELECT l_suppkey, count(*) FILTER (l_linenumber <> 1) AS total, count(*) FILTER (l_linenumber <> 1 AND l_returnflag <> 'R') AS mapped FROM lineitem GROUP BY 1) ON l_suppkey = s_suppkey)""")
+def _(t):
+    lookups.register_sql_functions(t.spark)
+    return t.sql("""SELECT s_suppkey, mapping_rate(mapped, total) AS rate, coverage_class(mapping_rate(mapped, total)) AS class
+        FROM {supplier} LEFT JOIN (SELECT l_suppkey, count_if(l_linenumber <> 1) AS total, count_if(l_linenumber <> 1 AND l_returnflag <> 'R') AS mapped
+                                   FROM {lineitem} GROUP BY 1) ON l_suppkey = s_suppkey""", ("supplier", "lineitem"))
+
+
+@query("genotype_indicators", "SEQ-12", """
+WITH g AS (SELECT l_orderkey, l_linenumber, CASE WHEN l_linestatus = 'O' THEN l_returnflag || 'G' END AS rs1, ['CC', 'CT', 'TT'][(l_quantity::BIGINT % 3 + 1)] AS rs2 FROM lineitem)
+SELECT rs1 IS NULL AS open_call, count(*) AS n, sum(coalesce((rs1 = 'AG')::INT, 0))::BIGINT AS rs1_AG, sum(coalesce((rs1 = 'NG')::INT, 0))::BIGINT AS rs1_NG,
+  sum(coalesce((rs1 = 'RG')::INT, 0))::BIGINT AS rs1_RG, sum((rs2 = 'CC')::INT)::BIGINT AS rs2_CC, sum((rs2 = 'CT')::INT)::BIGINT AS rs2_CT, sum((rs2 = 'TT')::INT)::BIGINT AS rs2_TT
+FROM g GROUP BY 1""")
+def _(t):
+    rows = t.lineitem.select("l_orderkey", "l_linenumber", F.when(F.col("l_linestatus") == "O", F.concat("l_returnflag", F.lit("G"))).alias("rs1"),
+                             F.element_at(F.array(*[F.lit(g) for g in ("CC", "CT", "TT")]), (F.col("l_quantity").cast("bigint") % 3 + 1).cast("int")).alias("rs2"))
+    marked = sequences.genotype_indicators(rows, ["rs1", "rs2"])
+    added = [c for c in marked.columns if c not in rows.columns]
+    return marked.groupBy(F.col("rs1").isNull().alias("open_call")).agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in added])
+
+
+@query("identity_pairs", "SEQ-14", """
+WITH p AS (SELECT a.s_suppkey AS a, b.s_suppkey AS b, a.s_name AS x, b.s_name AS y FROM supplier a JOIN supplier b ON a.s_suppkey < b.s_suppkey)
+SELECT a, b, hamming(x, y)::INT AS distance, (length(x) - hamming(x, y)) * 100.0::DOUBLE / length(x) AS identity_pct FROM p""")
+def _(t):
+    return sequences.pairwise_identity(t.supplier, "s_suppkey", "s_name")
+
+
 @query("entity_report", "UDF-05 UDF-06 UDF-10", """
 SELECT o_orderkey, o_totalprice, o_orderstatus, o_totalprice > 200000 AS flagged FROM orders
 WHERE o_custkey = 899 AND o_totalprice BETWEEN 50000 AND 400000""")

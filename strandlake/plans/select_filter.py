@@ -86,6 +86,36 @@ def _(t):
                     kind.alias("kind")))
 
 
+PLATFORMS = ("Illumina NovaSeq X Plus", "Illumina NovaSeq 6000", "Illumina HiSeq 2500", "PacBio Sequel II", "Oxford Nanopore", "10x Genomics Chromium", "Other maker")
+CENTRES = ("Broad Institute", "Sanger", "NIH", "BGI", "Illumina", "Elsewhere")
+STRATEGIES, SOURCES = ("RNA-Seq", "WGS", "WES", "ATAC-seq", "AMPLICON"), ("TRANSCRIPTOMIC", "GENOMIC", "OTHER")
+
+
+@query("platform_dimensions", "PRJ-09", f"""
+WITH d AS (SELECT p_partkey, {list(PLATFORMS)}[p_partkey % 7 + 1] AS i, {list(CENTRES)}[p_partkey % 6 + 1] AS c, {list(STRATEGIES)}[p_size % 5 + 1] AS s,
+    {list(SOURCES)}[p_partkey % 3 + 1] AS src, ['Homo sapiens', 'Mus musculus', 'Danio rerio'][p_size % 3 + 1] AS o, CASE WHEN p_size % 10 > 0 THEN 2010 + p_size % 15 END AS y FROM part)
+SELECT p_partkey, CASE o WHEN 'Homo sapiens' THEN 'Human' WHEN 'Mus musculus' THEN 'Mouse' ELSE 'Other' END AS organism_group,
+  coalesce(y >= 2022, false) AS is_recent, CASE WHEN c IN ('Broad Institute', 'Sanger', 'NIH') THEN 'Academic' WHEN c IN ('BGI', 'Illumina') THEN 'Commercial' ELSE 'Other' END AS center_type,
+  CASE WHEN contains(i, '10x Genomics') THEN 'Single-cell RNA-seq' WHEN s = 'RNA-Seq' AND contains(src, 'TRANSCRIPTOMIC') THEN 'Bulk RNA-seq'
+    WHEN s IN ('WGS', 'WES') AND src = 'GENOMIC' THEN 'DNA-seq' WHEN s IN ('ChIP-Seq', 'ATAC-seq', 'CUT&RUN') THEN 'Epigenomics' ELSE 'Other' END AS assay_category,
+  CASE WHEN contains(i, 'NovaSeq X') THEN 'Current generation' WHEN contains(i, 'NovaSeq') THEN 'Previous generation' WHEN contains(i, 'HiSeq') THEN 'Legacy'
+    WHEN contains(i, 'PacBio') OR contains(i, 'Nanopore') THEN 'Long-read' ELSE 'Other' END AS instrument_tier FROM d""")
+def _(t):
+    def one_of(names, place):
+        return F.element_at(F.array(*[F.lit(n) for n in names]), (place % len(names) + 1).cast("int"))
+
+    key, size = F.col("p_partkey"), F.col("p_size")
+    rows = t.part.select(
+        key, one_of(PLATFORMS, key).alias("instrument"), one_of(CENTRES, key).alias("centre"), one_of(STRATEGIES, size).alias("strategy"),
+        one_of(SOURCES, key).alias("library"), one_of(("Homo sapiens", "Mus musculus", "Danio rerio"), size).alias("organism"),
+        F.when(size % 10 > 0, size % 15 + 2010).alias("release_year"))
+    return rows.select(
+        "p_partkey", clinical.organism_group(F.col("organism")).alias("organism_group"), clinical.is_recent(F.col("release_year")).alias("is_recent"),
+        clinical.center_type(F.col("centre")).alias("center_type"),
+        clinical.assay_category(F.col("instrument"), F.col("strategy"), F.col("library")).alias("assay_category"),
+        clinical.instrument_tier(F.col("instrument")).alias("instrument_tier"))
+
+
 @query("rates_and_units", "PRJ-10 UDF-12 MTH-01", """
 SELECT o_orderkey, date_diff('day', o_orderdate, TIMESTAMP '2002-01-01') / 365.25::DOUBLE AS years_ago,
        mapped * 100.0::DOUBLE / nullif(total, 0) AS mapping_rate,

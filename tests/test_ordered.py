@@ -91,3 +91,13 @@ def test_split_shares_hold_in_a_hot_stratum(hot, parts):
     counts = {(r.k, r.part): r["count"] for r in out.groupBy("k", "part").count().collect()}
     assert (counts["hot", "a"], counts["hot", "b"], counts["hot", "c"]) == (2400, 800, 800)
     assert sum(counts.values()) == hot.count()
+
+
+def test_nearest_known(spark, parts):
+    r = random.Random(8)
+    data = [(i, None if r.random() < 0.7 or 40 < i < 90 else i * 10) for i in range(200)]
+    df = spark.createDataFrame(data, "i int, v int").repartition(5)
+    got = {x.i: (x.b, x.a) for x in ordered.nearest_known(df, "i", F.col("v"), "b", "a").collect()}
+    for i, _ in data:
+        assert got[i] == (max((v for j, v in data if j <= i and v is not None), default=None),
+                          min((v for j, v in data if j >= i and v is not None), default=None))

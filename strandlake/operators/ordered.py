@@ -2,8 +2,8 @@
 
 Rows are range-partitioned by (key, order), so a large key spreads over many tasks and their number follows the rows.
 Every part is ordered alone. A key that lies in one part needs nothing from elsewhere; of a key in several parts one
-summary row per part is carried to the parts behind it. Parts cut the keys at most once each, so no more than two
-summary rows a part are ever carried, however many keys there are.
+summary row per part is carried to the parts behind it, where it stands as one more row before (or behind) the key's own.
+Parts cut the keys at most once each, so no more than two summary rows a part are ever carried, however many keys there are.
 """
 
 from __future__ import annotations
@@ -29,13 +29,11 @@ def dealt_by_range(df: DataFrame, keys: list[str], order: list, parts: int | Non
     return checkpointed(dealt.withColumn("_part", F.spark_partition_id()))
 
 
-def _joined_edges(rows: DataFrame, edges: DataFrame, keys: list[str]) -> DataFrame:
-    """Edges (at most two a part) joined to the rows of their part and key."""
-    side = F.broadcast(edges.withColumnsRenamed({k: f"_edge_{k}" for k in keys}).withColumnRenamed("_part", "_edge_part"))
-    same = F.col("_part") == F.col("_edge_part")
-    for k in keys:
-        same = same & F.col(k).eqNullSafe(F.col(f"_edge_{k}"))
-    return rows.join(side, same, "left").drop("_edge_part", *[f"_edge_{k}" for k in keys])
+def _with_edges(rows: DataFrame, edges: DataFrame, place: int) -> DataFrame:
+    """Rows with ``_place`` 0, and what is carried as one row more per part and key, before (-1) or behind (1) them."""
+    if "_place" not in rows.columns:
+        rows = rows.withColumn("_place", F.lit(0))
+    return rows.unionByName(edges.withColumn("_place", F.lit(place)), allowMissingColumns=True)
 
 
 def _of_split_keys(per_part: DataFrame, keys: list[str]) -> DataFrame:
@@ -51,24 +49,23 @@ def running_sums(df: DataFrame, keys: list[str], order: list, sums: dict[str, Co
     rows = dealt_by_range(df.withColumns({f"_x_{n}": c for n, c in sums.items()}), keys, order, parts)
     totals = rows.groupBy("_part", *keys).agg(*[F.sum(f"_x_{n}").alias(f"_t_{n}") for n in sums])
     before = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    carried = _of_split_keys(totals, keys).select("_part", *keys, *[F.sum(f"_t_{n}").over(before).alias(f"_o_{n}") for n in sums])
-    inside = Window.partitionBy("_part", *keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-    local = rows.withColumns({f"_s_{n}": F.sum(f"_x_{n}").over(inside) for n in sums})
-    return _joined_edges(local, carried, keys).select(
-        *df.columns, *[(F.col(f"_s_{n}") + F.coalesce(f"_o_{n}", F.lit(0))).alias(n) for n in sums])
+    carried = _of_split_keys(totals, keys).select("_part", *keys, *[F.sum(f"_t_{n}").over(before).alias(f"_x_{n}") for n in sums])
+    inside = Window.partitionBy("_part", *keys).orderBy("_place", *order).rowsBetween(Window.unboundedPreceding, 0)
+    summed = _with_edges(rows, carried, -1).withColumns({f"_s_{n}": F.sum(f"_x_{n}").over(inside) for n in sums})
+    return summed.filter("_place = 0").select(*df.columns, *[F.col(f"_s_{n}").alias(n) for n in sums])
 
 
 def neighbours(df: DataFrame, keys: list[str], order: list[str], columns: dict[str, str], forward: bool) -> DataFrame:
     """``df`` with columns of the next (or previous) row of the key, NULL at its end; ``order`` must be unique in a key."""
     step, edge = (F.lead, F.min_by) if forward else (F.lag, F.max_by)
     near = F.struct(*[F.col(c).alias(n) for n, c in columns.items()])
-    rows = dealt_by_range(df, keys, order)
-    edges = rows.groupBy("_part", *keys).agg(edge(near, F.struct(*order)).alias("_edge"))
+    rows = dealt_by_range(df, keys, order).withColumn("_near", near)
+    edges = rows.groupBy("_part", *keys).agg(edge("_near", F.struct(*order)).alias("_edge"))
     along = Window.partitionBy(*(keys or [F.lit(0)])).orderBy("_part")
-    across = _of_split_keys(edges, keys).select("_part", *keys, step("_edge").over(along).alias("_far"))
-    local = rows.withColumn("_near", step(near).over(Window.partitionBy("_part", *keys).orderBy(*order)))
-    return _joined_edges(local, across, keys).select(*df.columns, *[
-        F.when(F.col("_near").isNotNull(), F.col(f"_near.{n}")).otherwise(F.col(f"_far.{n}")).alias(n) for n in columns])
+    across = _of_split_keys(edges, keys).select("_part", *keys, step("_edge").over(along).alias("_near"))
+    both = _with_edges(rows, across, 1 if forward else -1)
+    stepped = both.withColumn("_to", step("_near").over(Window.partitionBy("_part", *keys).orderBy("_place", *order)))
+    return stepped.filter("_place = 0").select(*df.columns, *[F.col(f"_to.{n}").alias(n) for n in columns])
 
 
 def nearest_known(df: DataFrame, order: str, value: Column, before: str, after: str) -> DataFrame:
@@ -82,8 +79,9 @@ def nearest_known(df: DataFrame, order: str, value: Column, before: str, after:
     along = Window.partitionBy(F.lit(0)).orderBy("_part")
     across = edges.select("_part", F.last("_last", True).over(along.rowsBetween(Window.unboundedPreceding, -1)).alias("_earlier"),
                           F.first("_first", True).over(along.rowsBetween(1, Window.unboundedFollowing)).alias("_later"))
-    inside = Window.partitionBy("_part").orderBy(order)
-    local = rows.withColumns({"_back": F.last("_value", True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
-                              "_ahead": F.first("_value", True).over(inside.rowsBetween(0, Window.unboundedFollowing))})
-    return _joined_edges(local, across, []).select(
-        *df.columns, F.coalesce("_back", "_earlier").alias(before), F.coalesce("_ahead", "_later").alias(after))
+    both = _with_edges(_with_edges(rows, across.select("_part", F.col("_earlier").alias("_value")), -1),
+                       across.select("_part", F.col("_later").alias("_value")), 1)
+    inside = Window.partitionBy("_part").orderBy("_place", order)
+    found = both.withColumns({before: F.last("_value", True).over(inside.rowsBetween(Window.unboundedPreceding, 0)),
+                              after: F.first("_value", True).over(inside.rowsBetween(0, Window.unboundedFollowing))})
+    return found.filter("_place = 0").select(*df.columns, before, after)

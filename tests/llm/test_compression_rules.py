@@ -56,5 +56,37 @@ def test_short_tail_is_judged(make_docs):
     noise = base64.b85encode(r.randbytes(2000)).decode()
     tails = {1: prose[:1000], 2: "ab" * 500, 3: prose[:200], 4: "c" * 200, 5: prose[:60], 6: noise[:1000]}
     out = {x.doc_id: x for x in quality(make_docs([(k, body + t) for k, t in tails.items()])).collect()}
-    assert {k: x.bad_chunks for k, x in out.items()} == {1: 0.0, 2: 0.5, 3: 0.0, 4: 0.5, 5: 0.0, 6: 0.0}
-    assert {k for k, x in out.items() if x.kept} == {1, 3, 5, 6}
+    assert {k: x.bad_chunks for k, x in out.items()} == {1: 0.0, 2: 0.5, 3: 0.0, 4: 0.5, 5: 0.0, 6: 0.5}
+    assert {k for k, x in out.items() if x.kept} == {1, 3, 5}
+
+
+LENGTHS = (150, 200, 300, 600, 1000, 2000, 3000, 4000, 6000, 20_000)
+
+
+def test_noise_is_rejected_at_every_length(make_docs):
+    """Random bytes in bases 64 and 85, cut into words so that the base rule does not decide."""
+    r = random.Random(11)
+    rows = []
+    for n in LENGTHS:
+        for write in (base64.b64encode, base64.b85encode):
+            for _ in range(6):
+                text = write(r.randbytes(n)).decode()[:n]
+                rows.append((len(rows), " ".join(text[i:i + 12] for i in range(0, n, 13))[:n]))
+    out = quality(make_docs(rows)).collect()
+    assert [x.doc_id for x in out if x.base_failed] == [] and [x.doc_id for x in out if x.kept] == []
+
+
+def test_good_texts_of_the_same_lengths_are_kept(spark, make_docs):
+    """Cuts of the given texts that are labelled good: at most 1 in 100 is out of its band."""
+    data = "/root/testdata/sf0.01"
+    good = spark.read.parquet(f"{data}/documents.parquet").join(
+        spark.read.parquet(f"{data}/labels.parquet").where("quality = 1"), "doc_id").select("text").collect()
+    r = random.Random(5)
+    rows = []
+    for n in LENGTHS:
+        for (text,) in good:
+            if len(text) >= n:
+                at = r.randrange(len(text) - n + 1)
+                rows.append((len(rows), text[at:at + n]))
+    out = [x for x in quality(make_docs(rows)).collect() if not x.base_failed]
+    assert len(out) > 300 and sum(not x.kept for x in out) <= 0.01 * len(out)

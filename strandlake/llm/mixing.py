@@ -18,7 +18,7 @@ BLOCKS = 4096
 MAX_REPEATS = 2.0
 #: Levels of the bisection that one pass over the sources decides, and passes.
 LEVELS, PASSES = 5, 6
-#: Rows of the block plan up to which it is broadcast (about 4 MB); a larger one is joined by a shuffle.
+#: Rows of the block plan up to which it is broadcast (about 36 MB as measured); a larger one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 SEED = 17
 

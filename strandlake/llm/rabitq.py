@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -21,7 +22,7 @@ QUERY_BITS = 8
 #: Standard deviations of the estimate's error that the bounds allow for.
 EPSILON = 3.0
 #: Rows of a block of queries and of a block of candidates; a pair of blocks is one group of a task.
-QUERY_BLOCK, CANDIDATE_BLOCK = 1024, 8192
+QUERY_BLOCK, CANDIDATE_BLOCK = 8192, 8192
 SEED = 11
 
 
@@ -31,6 +32,7 @@ def usable(vec: Column) -> Column:
     return vec.isNotNull() & finite & F.exists(vec, lambda x: x != 0)
 
 
+@cache
 def rotation(d: int, seed: int = SEED) -> np.ndarray:
     """A random rotation: the orthogonal part of a matrix of normal numbers, the same in every task."""
     q, r = np.linalg.qr(np.random.default_rng(seed).standard_normal((d, d)))

@@ -8,16 +8,19 @@ from zlib import crc32
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from strandlake.llm.base import ASCII_LOWER, prepare, texts
+from strandlake.llm.base import ASCII_LOWER, prepare, text_key, texts
 
 #: Hashed features: the weights are at most this many numbers, which bounds what is broadcast (8 MB as pairs).
 FEATURES = 1 << 20
 #: Labelled rows that the model is fitted on at most (those with the smallest hash of doc_id): they meet in one task.
 TRAIN_ROWS = 16_000
+#: Bytes of feature lists that the model is fitted on at most; the first ones in the order of that hash. An ordinary text
+#: has about two kilobytes of them, so only very long texts meet this bound.
+TRAIN_BYTES = 1 << 28
 EPOCHS = 6
 ALPHA, BETA, L1, L2 = 1.0, 1.0, 10.0, 0.1
 FOLDS = 5
@@ -104,13 +107,14 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[n
     """Weights fitted on at most ``rows`` labelled documents outside the held-out fold.
 
     Rows without doc_id or label are left out; a doc_id labelled twice counts as toxic if any row says so. Without
-    any labelled document the model is empty and scores 0.5 for every text.
+    any labelled document the model is empty and scores 0.5 for every text. Feature lists beyond ``TRAIN_BYTES`` are left out.
     """
     known = labels.where("doc_id is not null and toxic is not null").where(~is_held_out(F.col("doc_id")))
     there = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).join(docs.select("doc_id"), "doc_id", "left_semi")
     picked = there.orderBy(F.xxhash64("doc_id"), "doc_id").limit(rows)
-    # at most `rows` ids and labels
-    few = texts(docs).join(F.broadcast(picked), "doc_id").dropDuplicates(["doc_id"])
+    # at most `rows` ids and labels; of texts that share a doc_id the one with the smallest key counts
+    few = texts(docs).join(F.broadcast(picked), "doc_id").groupBy("doc_id", "toxic").agg(
+        F.min_by("text", F.struct(*text_key(F.col("text")))).alias("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -125,7 +129,9 @@ def train(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> tuple[n
         return pd.DataFrame({"at": np.append(at, -1), "weight": np.append(w, b)})
 
     extracted = few.select("doc_id", "text", "toxic").mapInArrow(extract, "doc_id long, found binary, toxic int")
-    model = (extracted.select("found", "toxic", F.xxhash64(F.lit(7), "doc_id").alias("order"))
+    upto = F.sum(F.octet_length("found")).over(Window.orderBy("order").rowsBetween(Window.unboundedPreceding, 0))
+    model = (extracted.select("found", "toxic", F.xxhash64(F.lit(7), "doc_id").alias("order")).withColumn("upto", upto)
+             .where(F.col("upto") <= TRAIN_BYTES).select("found", "toxic", "order")
              .groupBy(F.lit(0).alias("all")).applyInPandas(fit, "at long, weight double").toPandas())
     at, w = model["at"].to_numpy(np.int64), model["weight"].to_numpy(float)
     return at[at >= 0], w[at >= 0], float(w[at < 0][0]) if (at < 0).any() else 0.0

@@ -90,3 +90,49 @@ def test_long_document_does_not_end_the_last_pass(make_docs):
     for seed in (1, 2, 3, 4):
         read = sum(tokens(r.text) for r in mix(docs, budget=900.0, seed=seed).collect())
         assert 890 <= read <= 900
+
+
+@pytest.mark.parametrize("budget", [None, 700.0, 20_000.0])
+def test_plan_is_the_recomputed_one(make_docs, budget):
+    """Blocks, exponent, whole passes and the last pass, worked out again from the rows."""
+    from pyspark.sql import functions as F
+
+    from strandlake.llm import mixing
+
+    data = rows() + [(5000, "long " * 300, "tiny"), (5001, None, "mid"), (5002, "", "empty")]
+    docs = make_docs(data)
+    plan = {(r.source, r.block): r for r in mixing.mixing_plan(docs, budget=budget).collect()}
+    placed = docs.select("source", "text", mixing.block_of().alias("block")).withColumn(
+        "rank", F.xxhash64(F.lit(mixing.SEED + 1), "source", "block")).collect()
+    blocks = {}
+    for r in placed:
+        n, _ = blocks.get((r.source, r.block), (0, 0))
+        blocks[r.source, r.block] = (n + tokens(r.text), r.rank)
+    total = {}
+    for (s, _), (n, _) in blocks.items():
+        total[s] = total.get(s, 0) + n
+    every = sum(total.values())
+    share = {s: v / every for s, v in total.items() if v}
+    a = 1 - math.log(2) / math.log(max(share.values()) / min(share.values()))
+    z = sum(x ** a for x in share.values())
+    deal = budget if budget is not None else every * z * max(x ** (1 - a) for x in share.values())
+    assert plan.keys() == blocks.keys()
+    for s in total:
+        asked = deal * (total[s] / every) ** a / z if total[s] else 0.0
+        own = sorted((rank, b, n) for (x, b), (n, rank) in blocks.items() if x == s)
+        got = [plan[s, b] for _, b, _ in own]
+        whole = math.floor(asked / total[s] + 1e-9) if total[s] else 1
+        read = {r.whole for r in got}
+        # at the limit itself rounding of the exponent may give the last whole pass as a part
+        edge = total[s] and abs(asked / total[s] - round(asked / total[s])) < 1e-6
+        assert read == {whole} or edge and read == {whole - 1}, s
+        assert [r.place for r in got] == list(range(1, len(own) + 1))
+        if edge:
+            continue
+        left = max(0.0, asked - whole * total[s])
+        upto = 0
+        for (_, _, n), r in zip(own, got):
+            upto += n
+            takes = n <= left if n else upto <= max(0.0, asked - whole * total[s])
+            assert r.part == takes, (s, r)
+            left -= n if takes else 0

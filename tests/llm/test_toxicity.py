@@ -1,7 +1,11 @@
+import math
 import random
 from zlib import crc32
 
-from strandlake.llm.toxicity import TRAIN_ROWS, drop_toxic, toxicity_scores
+import numpy as np
+import pytest
+
+from strandlake.llm.toxicity import TRAIN_ROWS, drop_toxic, ftrl, toxicity_scores
 from llm_fixtures import make_docs  # noqa: F401, E402
 
 DATA = "/root/testdata/sf0.1"
@@ -71,3 +75,52 @@ def test_limit_counts_labels_of_present_documents(spark, make_docs):
     few = train(docs, labels, 200)
     same = train(docs, labels.where("doc_id < 400"), 200)
     assert len(same[0]) and few[0].tolist() == same[0].tolist() and few[1].tolist() == same[1].tolist()
+
+
+def plain_ftrl(rows, labels, epochs, alpha, beta, l1, l2):
+    """FTRL-proximal coordinate by coordinate, as its authors state it."""
+    z, n, bias = {}, {}, [0.0, 0.0]
+
+    def weight(zi, ni, l1):
+        return 0.0 if abs(zi) <= l1 else -(zi - math.copysign(l1, zi)) / ((beta + math.sqrt(ni)) / alpha + l2)
+
+    def step(zi, ni, w, g):
+        sigma = (math.sqrt(ni + g * g) - math.sqrt(ni)) / alpha
+        return zi + g - sigma * w, ni + g * g
+
+    for _ in range(epochs):
+        for x, y in zip(rows, labels):
+            w = {i: weight(z.get(i, 0.0), n.get(i, 0.0), l1) for i in x}
+            b = weight(*bias, 0.0)
+            g = 1 / (1 + math.exp(-(sum(w.values()) + b))) - y
+            for i in x:
+                z[i], n[i] = step(z.get(i, 0.0), n.get(i, 0.0), w[i], g)
+            bias = list(step(*bias, b, g))
+    return {i: v for i in z if (v := weight(z[i], n[i], l1))}, weight(*bias, 0.0)
+
+
+def test_weights_equal_plain_ftrl():
+    r = np.random.default_rng(3)
+    for l1 in (0.0, 0.5, 2.0):
+        rows = [np.unique(r.integers(0, 60, r.integers(0, 20))).astype(np.uint32) for _ in range(250)]
+        labels = np.array([float(5 in x or r.random() < 0.1) for x in rows])
+        want, bias = plain_ftrl([x.tolist() for x in rows], labels, 3, 0.5, 1.0, l1, 0.1)
+        at, weight, b = ftrl(rows, labels, 3, 0.5, 1.0, l1, 0.1)
+        assert at.tolist() == sorted(want) and b == pytest.approx(bias, abs=1e-9)
+        assert weight.tolist() == pytest.approx([want[i] for i in at.tolist()], abs=1e-9)
+
+
+def test_texts_that_share_an_id_give_one_model(spark, make_docs):
+    rows, labels = corpus()
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    more = [(i, f"nasty word{i} again") for i in range(0, 1500, 3)]
+    scores = [sorted((x.doc_id, x.score) for x in toxicity_scores(make_docs(some).repartition(n), marks).collect())
+              for n, some in ((3, rows + more), (7, more + rows))]
+    assert scores[0] == scores[1]
+
+
+def test_bytes_of_features_are_bounded(spark, make_docs, monkeypatch):
+    rows, labels = corpus()
+    marks = spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    monkeypatch.setattr("strandlake.llm.toxicity.TRAIN_BYTES", 0)
+    assert {x.score for x in toxicity_scores(make_docs(rows), marks).collect()} == {0.5}

@@ -162,19 +162,48 @@ def p_distance(a: Column, b: Column) -> Column:
     return F.when(shared > 0, F.lit(1.0) - matches_over(letters(a), letters(b), shared) / shared)
 
 
+#: Letters of one packed word: seven bytes, so that sums of bytes never reach the sign.
+PACKED = 7
+_LOW_BITS, _HIGH_BITS = int("7f" * PACKED, 16), int("80" * PACKED, 16)
+
+
+def packed_words(text: Column) -> Column:
+    """For each letter of an ASCII text a number that holds it and the next six; places past the end are 0."""
+    codes = F.transform(letters(text), lambda c: F.ascii(c).cast("bigint"))
+
+    def word(i):
+        out = F.lit(0).cast("bigint")
+        for k in range(PACKED):
+            out = out.bitwiseOR(F.shiftleft(F.coalesce(F.get(codes, i + k), F.lit(0).cast("bigint")), 8 * k))
+        return out
+
+    return F.when(F.length(text) > 0, F.transform(F.sequence(F.lit(0), F.length(text) - 1), word)).otherwise(F.array().cast("array<bigint>"))
+
+
 def insert_size(read1: Column, read2: Column, min_overlap: int = 10, min_rate: float = 0.85,
                 default: int = 300) -> Column:
     """SEQ-15: 2L minus the longest overlap of read 1's end with read 2's reverse complement.
 
-    Overlaps run from ``min_overlap`` to L-1 and need a match rate above ``min_rate``.
+    Overlaps run from ``min_overlap`` to L-1 (and to the mate's length) and need a match rate above ``min_rate``. Both reads
+    are packed once, in memory that is linear in their length, and an overlap is compared seven letters at a time.
     """
-    length = F.length(read1)
-    a, b = letters(read1), letters(reverse_complement(read2))
-
-    def good(n):
-        end = F.slice(a, length - n + 1, n)
-        return matches_over(end, b, n) / n > F.lit(min_rate)
-
-    candidates = F.when(length > min_overlap, F.sequence(F.lit(min_overlap), length - 1))
-    best = F.array_max(F.filter(candidates, good))
-    return F.coalesce(2 * length - best, F.lit(default))
+    bound = F.struct(packed_words(read1).alias("a"), packed_words(reverse_complement(read2)).alias("b"),
+                     F.length(read1).alias("n"), F.length(read2).alias("m"))
+
+    def size(s):
+        def good(n):
+            def differing(total, t):
+                x = F.get(s["a"], s["n"] - n + t * PACKED).bitwiseXOR(F.get(s["b"], t * PACKED))
+                return total + F.bit_count((x + F.lit(_LOW_BITS)).bitwiseAND(F.lit(_HIGH_BITS)))
+
+            words = F.ceil(n / PACKED).cast("int")
+            wrong = F.aggregate(F.sequence(F.lit(0), words - 1), F.lit(0), differing)
+            # past the overlap's end read 1 has nothing, so every letter of the mate there counts as a difference
+            beyond = F.least(words * PACKED, s["m"]) - n
+            return (n - wrong + beyond) / n > F.lit(min_rate)
+
+        last = F.least(s["n"] - 1, s["m"])
+        candidates = F.when(last >= min_overlap, F.sequence(F.lit(min_overlap), last))
+        return F.coalesce(2 * s["n"] - F.array_max(F.filter(candidates, good)), F.lit(default))
+
+    return F.transform(F.array(bound), size)[0]

@@ -46,7 +46,8 @@ def beta_diversity(table: DataFrame) -> DataFrame:
     All sample pairs are the result. Work per taxon is bounded by the number of samples, not of rows:
     counts are aggregated first, and pairs without a shared taxon are added from the sample totals.
     """
-    totals = table.filter(F.col("count") > 0).groupBy("sample").agg(F.sum("count").alias("n"), F.count("*").alias("s"))
+    table = checkpointed(table.filter(F.col("count") > 0))  # counted, paired and summed below
+    totals = table.groupBy("sample").agg(F.sum("count").alias("n"), F.count("*").alias("s"))
     every = unordered_pairs(totals, "sample").withColumnsRenamed({"sample_a": "a", "sample_b": "b"}).join(
         sample_pairs(table), ["a", "b"], "left")
     low, shared = F.coalesce("low", F.lit(0)), F.coalesce("shared", F.lit(0))

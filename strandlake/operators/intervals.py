@@ -7,34 +7,64 @@ few). Bins that hold far more rows than the others are split into cells by their
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Growth of the bins from one level to the next, and the levels that positions of 64 bits can need.
-GROWTH, LEVELS = 8, 22
+from strandlake.session import checkpointed
+
+#: Bins double so often from one level to the next; levels that positions of 64 bits can need.
+DOUBLINGS, LEVELS = 3, 22
 #: Bins are split that hold more than this share of what a shuffle partition gets on average, and more rows than this.
-HOT_SHARE, HOT_ROWS = 0.25, 4096
+HOT_SHARE, HOT_ROWS = 0.25, 1 << 20
+#: One in so many rows is counted to find such bins.
+ONE_IN = 64
 
 
 def _size(bin_size: int, level: Column) -> Column:
-    return F.lit(bin_size).cast("bigint") * F.element_at(F.array(*[F.lit(min(GROWTH ** k, 2 ** 62 // bin_size)) for k in range(LEVELS)]), level + 1)
+    return F.call_function("shiftleft", F.lit(bin_size).cast("bigint"), (level * DOUBLINGS).cast("int"))
 
 
 def _level(length: Column, bin_size: int) -> Column:
-    out = F.lit(LEVELS - 1)
-    for k in reversed(range(LEVELS - 1)):
-        out = F.when(length <= min(bin_size * GROWTH ** k, 2 ** 62), k).otherwise(out)
-    return out
+    """The first level whose bins are as long as ``length`` at least; the bit length says which."""
+    units = F.greatest(F.ceil(length / bin_size).cast("bigint"), F.lit(1).cast("bigint"))
+    highest = (62 - bin_size.bit_length()) // DOUBLINGS
+    return F.when(units == 1, 0).otherwise(F.least(F.ceil(F.length(F.bin(units - 1)) / DOUBLINGS), F.lit(highest))).cast("int")
+
+
+def _first_bins(sides: list[tuple[DataFrame, str, str]], bin_size: int) -> list[DataFrame]:
+    """For each (rows, chrom, first) a table (_chrom, _level, _bin, _n): about how many rows begin in a bin at their level.
+
+    One in ``ONE_IN`` rows is counted. The numbers only decide which bins are split into cells, never what is joined.
+    """
+    every = None
+    for i, (df, chrom, first) in enumerate(sides):
+        some = df.sample(1.0 / ONE_IN, seed=7) if ONE_IN > 1 else df
+        own = some.groupBy(F.col(chrom).alias("_chrom"), "_level", F.floor(F.col(first) / _size(bin_size, F.col("_level"))).alias("_bin")).agg(
+            (F.count("*") * ONE_IN).alias("_n")).withColumn("_side", F.lit(i))
+        every = own if every is None else every.unionByName(own)
+    counted = checkpointed(every)
+    return [counted.filter(F.col("_side") == i).drop("_side") for i in range(len(sides))]
 
 
-def _levels_of(*sides: DataFrame) -> list[list[int]]:
-    """The levels that occur in each side, from one job: at most ``LEVELS`` numbers a side."""
+def _levels_of(*sides: DataFrame) -> tuple[list[list[int]], int]:
+    """(the levels that occur in each side, rows of the larger side): two numbers a side, from one job without a shuffle."""
     every = None
     for i, df in enumerate(sides):
-        own = df.select(F.lit(i).alias("side"), "_level")
+        own = df.agg(F.lit(i).alias("side"), F.bit_or(F.expr("shiftleft(1L, _level)")).alias("bits"), F.count("*").alias("n"))
         every = own if every is None else every.unionByName(own)
-    found = [tuple(r) for r in every.distinct().collect()]
-    return [sorted(level for side, level in found if side == i) for i in range(len(sides))]
+    found = every.collect()
+    bits = {r["side"]: r["bits"] or 0 for r in found}
+    return [[k for k in range(LEVELS) if bits[i] >> k & 1] for i in range(len(sides))], max(r["n"] for r in found)
+
+
+def _rolled_up(bins: DataFrame, levels: list[int], strictly: bool) -> DataFrame:
+    """Counts of the bins that rows ask at the given levels, from their own level (or the next) on."""
+    at = F.filter(F.array(*[F.lit(x) for x in levels]).cast("array<int>"), lambda x: x > F.col("_level") if strictly else x >= F.col("_level"))
+    asked = bins.withColumn("_at", F.explode(at))
+    wider = F.call_function("shiftright", F.col("_bin"), (F.col("_at") - F.col("_level")) * DOUBLINGS)
+    return asked.groupBy("_chrom", F.col("_at").alias("_level"), wider.alias("_bin")).agg(F.sum("_n").alias("_n"))
 
 
 def _in_bins(df: DataFrame, first: Column, last: Column, bin_size: int) -> DataFrame:
@@ -42,23 +72,24 @@ def _in_bins(df: DataFrame, first: Column, last: Column, bin_size: int) -> DataF
     return df.withColumn("_bin", F.explode(F.sequence(F.floor(first / size), F.floor(last / size))))
 
 
-def _cells(left: DataFrame, right: DataFrame, keys: list[str], least: int) -> tuple[DataFrame, DataFrame]:
+def _cells(left: DataFrame, right: DataFrame, keys: list[str], counts: Callable[[], dict[str, DataFrame]] | None,
+           least: int) -> tuple[DataFrame, DataFrame]:
     """Both sides with ``_i`` and ``_j``: rows of a crowded bin are dealt to parts, the other side's rows repeated for each.
 
-    A bin is crowded if it holds more than a share of a shuffle partition's rows, so there are at most a few times as many
-    crowded bins as partitions, whatever the rows. ``least`` parts are made of every bin of the left side.
+    ``counts`` gives the rows of each bin of the left (a) and right (b) side; None says that no bin can be crowded. A bin is crowded if it holds more than a share of
+    a shuffle partition's rows, so there are at most a few times as many crowded bins as partitions, whatever the rows.
+    ``least`` parts are made of every bin of the left side.
     """
     partitions = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    counts = {n: df.groupBy(*keys).agg(F.count("*").alias("_n")) for n, df in (("a", left), ("b", right))}
-    most = None
+    counts, most = counts() if counts else {}, None
     for n, df in counts.items():
         one = df.agg(F.lit(n).alias("side"), F.max("_n").alias("most"), F.sum("_n").alias("total"))
         most = one if most is None else most.unionByName(one)
-    limits, plain = {}, least == 1
-    for side, greatest, total in most.collect():  # one row a side
+    limits, hot = {}, {}
+    for side, greatest, total in most.collect() if counts else ():  # one row a side
         limits[side] = max((total or 0) * HOT_SHARE / partitions, float(HOT_ROWS))
-        plain = plain and (greatest or 0) <= limits[side]
-    if plain:
+        hot[side] = (greatest or 0) > limits[side]
+    if not any(hot.values()) and least == 1:
         return tuple(df.withColumns({"_i": F.lit(0), "_j": F.lit(0)}) for df in (left, right))
 
     def crowded(df: DataFrame, name: str) -> DataFrame:
@@ -66,18 +97,18 @@ def _cells(left: DataFrame, right: DataFrame, keys: list[str], least: int) -> tu
         return df.filter(F.col("_n") > limit).select(
             *[F.col(k).alias(f"_{name}{k}") for k in keys], F.ceil(F.col("_n") / limit).cast("int").alias(f"_parts_{name}"))
 
-    hot = {n: crowded(df, n) for n, df in counts.items()}
+    hot = {n: crowded(counts[n], n) for n, is_hot in hot.items() if is_hot}
 
     def placed(df: DataFrame, own: str, own_index: str, other: str, other_index: str) -> DataFrame:
         columns = df.columns
-        for n in (own, other):
+        for n in hot:
             same = [F.col(k).eqNullSafe(F.col(f"_{n}{k}")) for k in keys]
             joined = same[0]
             for s in same[1:]:
                 joined = joined & s
             df = df.join(hot[n], joined, "left").drop(*[f"_{n}{k}" for k in keys])
         floor = {"a": F.lit(least), "b": F.lit(1)}
-        parts = {n: F.greatest(F.coalesce(f"_parts_{n}", F.lit(1)), floor[n]) for n in (own, other)}
+        parts = {n: F.greatest(F.coalesce(f"_parts_{n}", F.lit(1)), floor[n]) if n in hot else floor[n] for n in (own, other)}
         part = F.when(parts[own] > 1, F.pmod(F.xxhash64(*columns), parts[own])).otherwise(0).cast("int")
         return df.withColumn(own_index, part).withColumn(other_index, F.explode(F.sequence(F.lit(0), parts[other] - 1))).drop(
             "_parts_a", "_parts_b")
@@ -99,7 +130,9 @@ def annotate_points(points: DataFrame, intervals: DataFrame, bin_size: int, how:
     number of parts. With ``left``, points that no level answers stay with NULLs.
     """
     right = intervals.filter(F.col(start) <= F.col(end)).withColumn("_level", _level(F.col(end) - F.col(start) + 1, bin_size))
-    levels = _levels_of(right)[0] or [0]
+    begun = points.withColumn("_level", F.lit(0))
+    (_, levels), rows = _levels_of(begun, right)
+    levels, begins = levels or [0], [(begun, chrom, pos), (right, chrom, start)]
     right = _in_bins(right, F.col(start), F.col(end), bin_size).withColumnsRenamed(
         {chrom: "_chrom", start: "_start", end: "_end"})
     extra = [c for c in intervals.columns if c not in (chrom, start, end)]
@@ -113,7 +146,11 @@ def annotate_points(points: DataFrame, intervals: DataFrame, bin_size: int, how:
     keys = ["_chrom", "_level", "_bin"]
 
     same = [*keys, "_i", "_j"]
-    a, b = _cells(asked(points, levels), right, keys, salts)
+    def counts() -> dict[str, DataFrame]:
+        of_left, of_right = _first_bins(begins, bin_size)
+        return {"a": _rolled_up(of_left, levels, False), "b": of_right}
+
+    a, b = _cells(asked(points, levels), right, keys, counts if rows > HOT_ROWS else None, salts)
     hit = covers
     for k in same:
         hit = hit & (F.col(f"_a{k}") == F.col(f"_b{k}"))
@@ -153,7 +190,8 @@ def overlaps(a: DataFrame, b: DataFrame, bin_size: int, chrom: str = "chrom", st
         return named.filter(lo < hi).withColumn("_level", _level(hi - lo, bin_size))
 
     left, right = levelled(a, ""), levelled(b, "_b")
-    of_left, of_right = _levels_of(left, right)
+    (of_left, of_right), most = _levels_of(left, right)
+    begins = [(left, chrom, start), (right, chrom + "_b", start + "_b")]
 
     def rows(df: DataFrame, suffix: str, asks: bool, levels: list[int], strictly: bool) -> DataFrame:
         """The asking rows of a side, at the given levels from its own (or the next) on, or its own rows."""
@@ -167,7 +205,18 @@ def overlaps(a: DataFrame, b: DataFrame, bin_size: int, chrom: str = "chrom", st
         sides.append((rows(left.filter(F.col("_level") > min(of_right)), "", False, [], False), rows(right, "_b", True, of_left, True)))
     x, y = sides[0] if len(sides) == 1 else (sides[0][0].unionByName(sides[1][0]), sides[0][1].unionByName(sides[1][1]))
     keys = ["_chrom", "_asks", "_level", "_bin"]
-    x, y = _cells(x.withColumn("_chrom", F.col(chrom)), y.withColumn("_chrom", F.col(chrom + "_b")), keys, 1)
+
+    def counts() -> dict[str, DataFrame]:
+        bins_left, bins_right = _first_bins(begins, bin_size)
+        both = {True: {"a": _rolled_up(bins_left, of_right, False), "b": bins_right},
+                False: {"a": bins_left, "b": _rolled_up(bins_right, of_left, True)}}
+        found = {n: both[True][n].withColumn("_asks", F.lit(True)) for n in "ab"}
+        if len(sides) > 1:
+            found = {n: df.unionByName(both[False][n].withColumn("_asks", F.lit(False))) for n, df in found.items()}
+        return found
+
+    x, y = _cells(x.withColumn("_chrom", F.col(chrom)), y.withColumn("_chrom", F.col(chrom + "_b")), keys,
+                  counts if most > HOT_ROWS else None, 1)
     same = [*keys, "_i", "_j"]
     x, y = _prefixed(x, "_a", same), _prefixed(y, "_z", same)
     low, high = F.greatest(F.col(start), F.col(start + "_b")), F.least(F.col(end), F.col(end + "_b"))

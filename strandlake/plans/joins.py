@@ -119,7 +119,7 @@ WITH g AS (SELECT p_partkey % 25 AS chrom, p_partkey * 3 AS s, p_partkey * 3 + p
 SELECT gene, count(*) AS n, min(pos) AS lo, max(pos) AS hi FROM v JOIN g ON g.chrom = v.chrom AND pos BETWEEN s AND e
 GROUP BY 1""")
 def _(t):
-    hits = intervals.annotate_points(line_points(t), part_intervals(t), 64, salts=4)
+    hits = intervals.annotate_points(line_points(t), part_intervals(t), 64)
     return hits.groupBy("gene").agg(F.count("*").alias("n"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
 
 

@@ -258,7 +258,11 @@ def _(t):
     return (spread(t.documents.select("doc_id", "text")).select("doc_id", F.length(seq_of()).alias("length")).orderBy(F.desc("length"), "doc_id"))
 
 
-@query("insert_size_histogram", "SEQ-15", None)
+@query("insert_size_histogram", "SEQ-15", f"""
+WITH s AS (SELECT item_id, {SEQ_SQL} AS a FROM benchmark), p AS (SELECT item_id, a, substr(a, 31) AS b, length(a) AS l FROM s),
+  o AS (SELECT *, unnest(range(10, least(l, length(b) + 1))) AS n FROM p),
+  m AS (SELECT item_id, n FROM o WHERE len(list_filter(range(1, n + 1), lambda i: a[l - n + i] = b[i])) / n::DOUBLE > 0.85)
+SELECT coalesce(2 * l - (SELECT max(n) FROM m WHERE m.item_id = p.item_id), 300)::INT AS insert_size, count(*) AS n FROM p GROUP BY 1""")
 def _(t):
     # Mates of questions and answers of at most a read's length; each pair compares all overlaps.
     rows = t.benchmark.select(F.concat(F.lit("b"), F.col("item_id").cast("string")).alias("read_id"), seq_of().alias("seq"))

@@ -157,6 +157,23 @@ def test_insert_size(spark):
     assert one(spark, sq.insert_size(F.col("a"), F.col("b")), a="A" * 20, b="A" * 20) == 300
 
 
+def test_insert_sizes_equal_plain_comparison(spark):
+    import random
+    r = random.Random(4)
+    pairs = []
+    for _ in range(150):
+        n, m = r.randrange(0, 60), r.randrange(0, 60)
+        fragment = "".join(r.choice("ACGTN") for _ in range(90))
+        start = r.randrange(0, 31)
+        mate = "".join(c if r.random() > 0.08 else r.choice("ACGT") for c in fragment[start:start + m])
+        pairs.append((fragment[:n], mate))
+    df = spark.createDataFrame(pairs, "a string, b string").withColumn("second", sq.reverse_complement(F.col("b")))
+    got = df.select("a", "b", sq.insert_size(F.col("a"), F.col("second")).alias("size")).collect()
+    for a, b, size in got:
+        fits = [n for n in range(10, min(len(a) - 1, len(b)) + 1) if sum(x == y for x, y in zip(a[len(a) - n:], b)) / n > 0.85]
+        assert size == (2 * len(a) - max(fits) if fits else 300), (a, b)
+
+
 def test_open_reading_frames(spark):
     stop = "GCC" * 9
     df = spark.createDataFrame([(1, "C" + "ATG" + stop + "ATG" + "GCC" * 8 + "TAA"), (2, "ATGTAA")], "id int, s string")

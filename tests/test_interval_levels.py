@@ -25,6 +25,7 @@ def crowded(monkeypatch, spark):
     """Bins count as crowded from a few rows on."""
     monkeypatch.setattr(intervals, "HOT_SHARE", 0.0)
     monkeypatch.setattr(intervals, "HOT_ROWS", 10)
+    monkeypatch.setattr(intervals, "ONE_IN", 1)
 
 
 def frame(spark, data):

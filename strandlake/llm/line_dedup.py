@@ -194,11 +194,11 @@ def _batches(rows: Iterator[tuple]) -> Iterator[tuple[list, list]]:
         yield held, lines
 
 
-def _places(batches, with_lines: bool):
-    """Places of all lines; with lines, each different line of a batch once, at its first place."""
+def _places(batches, with_bands: bool):
+    """Places of all lines; with bands, each different line of a batch once, at its first place, with its band keys."""
     kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32()]
     for held, lines in _batches(_each_line(batches)):
-        if with_lines:
+        if with_bands:
             first: dict = {}
             for place, line in zip(held, lines):
                 old = first.get(line)
@@ -208,9 +208,12 @@ def _places(batches, with_lines: bool):
         columns = [pa.array(c, t) for c, t in zip(zip(*held), kinds)]
         halves = _halves(lines)
         columns += [pa.array(np.ascontiguousarray(halves[:, i])) for i in range(2)]
-        if with_lines:
-            columns.append(pa.array(lines, pa.string()))
-        yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "t1", "t2", "line_no", "k1", "k2", "line"][: len(columns)])
+        names = ["doc_id", "t1", "t2", "line_no", "k1", "k2"]
+        if with_bands:
+            keys, _ = _signatures(lines)
+            columns += [pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS)]
+            names += BAND_COLUMNS
+        yield pa.RecordBatch.from_arrays(columns, names=names)
 
 
 def _order(place: list) -> tuple:
@@ -241,14 +244,17 @@ def _lines_of(values: list[bytes]) -> list[Line]:
     return [Line(x[size:].decode(), x[:size]) for x in values]
 
 
-def _signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(node, signs, band keys) of (node, line)."""
-    for batch in batches:
-        for nodes, lines in _batches(zip(*(c.to_pylist() for c in batch.columns))):
-            keys, signs = _signatures(lines)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([n for n, in nodes]), *(pa.array(np.ascontiguousarray(keys[:, i])) for i in range(BANDS)), pa.array([x.tobytes() for x in signs])],
-                names=["node", *BAND_COLUMNS, "signs"])
+def _values(batches: Iterator[pa.RecordBatch], keep: BitFilter) -> Iterator[pa.RecordBatch]:
+    """(k1, k2, signs and text in one) of the lines whose key the filter may hold, each different line of a batch once."""
+    for _, lines in _batches(_each_line(batches)):
+        lines = list(dict.fromkeys(lines))
+        k1, k2 = np.ascontiguousarray(_halves(lines).T)
+        use = np.flatnonzero(keep.may_hold(k1))
+        if len(use):
+            some = [lines[i] for i in use.tolist()]
+            _, signs = _signatures(some)
+            yield pa.RecordBatch.from_arrays([pa.array(k1[use]), pa.array(k2[use]), pa.array([g.tobytes() + x.encode() for g, x in zip(signs, some)])],
+                                             names=["k1", "k2", "value"])
 
 
 def _star_links(rows: DataFrame, least: float) -> DataFrame:
@@ -277,19 +283,19 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
     """Distinct lines as (k1, k2, keep struct): ``keep`` is the first place of the line's component.
 
     Equal lines are one node. Of the bands only counts are shuffled, and only lines in some shared band have their text
-    moved: a bit filter of fixed size leaves the others out where it can. Every line of a shared band is compared with the
+    moved: bit filters of fixed size leave the others out where they can. Every line of a shared band is compared with the
     band's first line, each such pair once. Bands whose lines are then not all of one component have all lines of
     different components compared, hot ones part against part. Compared means: exactly, unless the signatures have too few
     minima in common.
     """
     prepare(docs.sparkSession)
     with Intermediate(docs.sparkSession) as tables:
-        found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, line string")
-        lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"), F.max("line").alias("line"))
+        bands = ", ".join(f"{c} long" for c in BAND_COLUMNS)
+        found = _source(docs).mapInArrow(lambda it: _places(it, True), f"{_PLACES}, {bands}")
+        lines = found.groupBy(*KEYS).agg(F.min(F.struct("doc_id", "t1", "t2", "line_no")).alias("first"),
+                                         *[F.min(c).alias(c) for c in BAND_COLUMNS])
         nodes = stored(lines.withColumn("node", F.monotonically_increasing_id()), "lines")
-        signed = stored(nodes.select("node", "line").mapInArrow(
-            _signed, ", ".join(f"{c} long" for c in ("node", *BAND_COLUMNS)) + ", signs binary"), "line-signatures")
-        postings = signed.select(F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
+        postings = nodes.select(F.explode(F.array(*BAND_COLUMNS)).alias("bucket"))
         shared = stored(postings.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1").select("bucket"), "line-bands")
         crowded = BitFilter.of(shared, "bucket")
 
@@ -302,12 +308,13 @@ def line_components(docs: DataFrame, least: float = SIMILARITY) -> DataFrame:
                     if use.any():
                         yield pa.RecordBatch.from_arrays([pa.array(node[use]), pa.array(bucket[use])], names=["node", "bucket"])
 
-        few = stored(signed.select("node", *BAND_COLUMNS).mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
+        few = stored(nodes.select("node", *BAND_COLUMNS).mapInArrow(in_shared_bands, "node long, bucket long"), "line-postings")
         buckets = stored(distinct_buckets(few), "line-buckets")
         members = stored(few.join(buckets, "bucket"), "line-members")
-        wanted = stored(members.select("node").distinct(), "line-candidates")
-        known = stored(nodes.select("node", "line").join(wanted, "node", "left_semi").join(signed.select("node", "signs"), "node").select(
-            "node", F.concat("signs", F.encode("line", "UTF-8")).alias("value")), "line-texts")
+        wanted = stored(members.select("node").distinct().join(nodes.select("node", *KEYS), "node"), "line-candidates")
+        keep = BitFilter.of(wanted, "k1")
+        written = _source(docs).mapInArrow(lambda it: _values(it, keep), "k1 long, k2 long, value binary")
+        known = stored(wanted.join(written.groupBy(*KEYS).agg(F.max("value").alias("value")), KEYS).select("node", "value"), "line-texts")
 
         # 1. lines against the first one of their band
         heads = members.groupBy("bucket").agg(F.min("node").alias("first"))

@@ -66,5 +66,5 @@ def test_stages(spark, tmp_path):
 
 
 def test_every_operator_has_a_query():
-    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in QUERIES if n.startswith("op")] == list(range(1, 14))
     assert "pipeline" in QUERIES and corpus_pipeline.ORACLE_SQL is None

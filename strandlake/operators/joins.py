@@ -7,7 +7,7 @@ tier table): Spark broadcasts any other side only when its measured size is unde
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from strandlake.functions.numeric import decay
@@ -107,53 +107,81 @@ def check_mates(first: DataFrame, second: DataFrame) -> None:
         raise ValueError(f"read without mate: {bad[0]['pair_id']}")
 
 
+#: Candidate sites of a point in one cell that a first grid may have on average, and halvings of a grid looked at for it.
+CROWD, HALVINGS = 4, 20
+
+
 def two_nearest(points: DataFrame, sites: DataFrame, max_distance: float) -> DataFrame:
     """JOIN-20: nearest site is the target, second nearest the source, kept if the nearest is near enough.
 
     ``points(point_id, x, y)``, ``sites(site_id, x, y)``. Candidates come from a pyramid of grids: the nine cells around a
-    point hold every site within one cell's width of it. The first grid is ``max_distance`` wide, so the nearest is exact
-    there; a point whose second nearest may be farther off asks the nine cells of the next, four times coarser grid. A
-    distant point so asks nine cells a level, however far it is, and no other point is asked again.
+    point hold every site within one cell's width of it. The first grid is so fine that its cells hold few sites where
+    sites are; a point is done where its second nearest is within a cell's width, or where the cells are ``max_distance``
+    wide and hold no nearest. Any other asks the nine cells of the next, twice coarser grid, so a distant point asks nine
+    cells a level, however far it is.
     """
-    size = float(max_distance)
     span = sites.agg(F.greatest(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("s")).first()["s"] or 0.0
-    out, todo = None, points
+    size = float(max_distance) / 2 ** _first_grid(sites, float(max_distance))
+    # Of the sites of one place only the first two can be a result; a point without id has none.
+    order = Window.partitionBy("x", "y").orderBy(F.asc_nulls_first("site_id"))
+    sites = checkpointed(sites.select("site_id", "x", "y").distinct().withColumn("_rn", F.row_number().over(order)).filter("_rn <= 2").drop("_rn"))
+    out, todo = None, points.filter(F.col("point_id").isNotNull())
     while True:
         # Kept in a checkpoint: the round decides both what is done and what is searched again.
         near = checkpointed(_nearest_in_cells(todo, sites, size))
         last = size > span + max_distance  # the nine cells hold all sites
-        sure = (F.col("d1") >= max_distance) | (F.col("d2") <= size) if not last else F.lit(True)
-        done = near.filter(F.coalesce(sure, F.lit(False)))
+        beyond = (F.col("d1") >= max_distance) if size >= max_distance else F.lit(False)
+        sure = F.coalesce(beyond | (F.col("d2") <= size), F.lit(False)) if not last else F.lit(True)
+        done = near.filter(sure)
         out = done if out is None else out.unionByName(done)
         if last:
             break
-        far = near.filter(~F.coalesce(sure, F.lit(False)) & (F.col("d1") < max_distance)).select("point_id")
-        if far.isEmpty():
+        if size >= max_distance:  # a point whose nine cells are empty has no site near enough
+            todo = todo.join(near.filter(~sure).select("point_id"), "point_id", "left_semi")
+        else:
+            todo = todo.join(done.select("point_id"), "point_id", "left_anti")
+        todo, size = checkpointed(todo), size * 2
+        if todo.isEmpty():
             break
-        todo, size = points.join(far, "point_id", "left_semi"), size * 4
     kept = out.filter((F.col("d1") < max_distance) & F.col("source").isNotNull())
     return kept.select("point_id", "source", "target", F.col("d1").alias("distance"))
 
 
+def _cell(column, size):
+    return F.floor(F.col(column) / size)
+
+
+def _first_grid(sites, size):
+    """How often ``size`` is halved until the cell of a site holds few sites on average; a place counts once."""
+    at = F.struct(*[F.floor(F.col(c) / (F.lit(size) / F.pow(F.lit(2.0), F.col("half")))).alias(c) for c in ("x", "y")])
+    places = sites.filter("x is not null and y is not null").select("x", "y").distinct()
+    counts = (places.withColumn("half", F.explode(F.sequence(F.lit(0), F.lit(HALVINGS)))).groupBy("half", at.alias("cell"))
+              .agg(F.count("*").cast("double").alias("n")))
+    crowds = {r["half"]: r["c"] for r in counts.groupBy("half").agg((F.sum(F.col("n") * F.col("n")) / F.sum("n")).alias("c")).collect()}
+    return next((h for h in sorted(crowds) if crowds[h] <= CROWD), HALVINGS if crowds else 0)
+
+
 def _nearest_in_cells(points, sites, size):
-    """The two nearest sites of each point among those in the nine cells around it."""
-    def cell(c):
-        return F.floor(F.col(c) / size)
+    """The two nearest sites of each point among those in the nine cells around it.
 
-    cells = sites.select("site_id", F.col("x").alias("sx"), F.col("y").alias("sy"), cell("x").alias("cx"), cell("y").alias("cy"))
+    Sites, not points, are repeated for the cells around them, so a point meets all its candidates in one place: they are
+    reduced to the two smallest there, by one pass for each, and no list or table of candidates is kept or moved.
+    """
     around = F.sequence(F.lit(-1), F.lit(1))
-    spread = (points.select("point_id", "x", "y", cell("x").alias("px"), cell("y").alias("py"), F.explode(around).alias("dx"))
-              .select("*", F.explode(around).alias("dy"))
-              .select("point_id", "x", "y", (F.col("px") + F.col("dx")).alias("cx"), (F.col("py") + F.col("dy")).alias("cy")))
+    cells = (sites.select("site_id", F.col("x").alias("sx"), F.col("y").alias("sy"), F.explode(around).alias("dx"))
+             .select("*", F.explode(around).alias("dy"))
+             .select("site_id", "sx", "sy", (_cell("sx", size) + F.col("dx")).alias("cx"), (_cell("sy", size) + F.col("dy")).alias("cy")))
     distance = F.sqrt(F.pow(F.col("x") - F.col("sx"), 2) + F.pow(F.col("y") - F.col("sy"), 2))
-    pairs = spread.join(cells, ["cx", "cy"]).select("point_id", F.struct(distance.alias("d"), "site_id").alias("at"))
-    # The two smallest by two aggregations: no list of candidates is kept.
-    best = pairs.groupBy("point_id").agg(F.min("at").alias("b"))
-    rest = pairs.join(best, "point_id").filter(F.col("at") != F.col("b"))
-    second = rest.groupBy("point_id").agg(F.min("at").alias("s"))
-    return best.join(second, "point_id", "left").select(
-        "point_id", F.col("b.site_id").alias("target"), F.col("b.d").alias("d1"),
-        F.col("s.site_id").alias("source"), F.col("s.d").alias("d2"))
+    at = F.struct(distance.alias("d"), "site_id")
+    place = ["cx", "cy", "point_id", "x", "y"]
+    asked = points.select("point_id", "x", "y", _cell("x", size).alias("cx"), _cell("y", size).alias("cy"))
+    best = asked.join(cells, ["cx", "cy"]).groupBy(*place).agg(F.min(at).alias("b"))
+    both = best.join(cells, ["cx", "cy"]).groupBy(*place, "b").agg(F.min(F.when(at != F.col("b"), at)).alias("s"))
+    # A point_id may stand at several places: its second is the least that is not its first.
+    first = both.withColumn("f", F.min("b").over(Window.partitionBy("point_id")))
+    return (first.groupBy("point_id", "f").agg(F.min(F.when(F.col("b") != F.col("f"), F.col("b")).otherwise(F.col("s"))).alias("s"))
+            .select("point_id", F.col("f.site_id").alias("target"), F.col("f.d").alias("d1"),
+                    F.col("s.site_id").alias("source"), F.col("s.d").alias("d2")))
 
 
 def weighted_edges(assigned: DataFrame, order: str) -> DataFrame:

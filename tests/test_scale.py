@@ -141,6 +141,22 @@ def test_two_nearest_far_second(spark):
     assert rows(got.select("point_id", "source", "target"), "point_id") == sorted(want)
 
 
+def test_two_nearest_crowded_sites(spark):
+    """Cells are as fine as the sites are dense, so few candidates are looked at; copies and shared ids keep their results."""
+    rng = random.Random(12)
+    sites = [(j, rng.random() * 100, rng.random() * 100) for j in range(400)] + [(1000 + j, 50.0, 50.0) for j in range(300)] + [(900, 800.0, 800.0)]
+    points = [(i % 150, rng.random() * 120 - 10, rng.random() * 120 - 10) for i in range(200)] + [(None, 5.0, 5.0), (500, 790.0, 790.0), (501, 400.0, 400.0)]
+    want = []
+    for i in sorted({p[0] for p in points} - {None}):
+        near = sorted({(((x - a) ** 2 + (y - b) ** 2) ** 0.5, j) for k, x, y in points if k == i for j, a, b in sites})
+        if near[0][0] < 90:
+            want.append((i, near[1][1], near[0][1]))
+    frames = (spark.createDataFrame(points, "point_id int, x double, y double"),
+              spark.createDataFrame(sites + sites[:30], "site_id int, x double, y double"))
+    assert rows(joins.two_nearest(*frames, 90.0).select("point_id", "source", "target"), "point_id") == want
+    assert joins._first_grid(frames[1], 90.0) >= 3
+
+
 def test_quantile_normalisation(spark):
     rng = np.random.default_rng(2)
     m = rng.integers(0, 6, (40, 5)).astype(float)

@@ -9,7 +9,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from strandlake.operators import aggregates, diversity, graph, joins
+from strandlake.operators import aggregates, diversity, graph, joins, sequences
+from strandlake.operators.performance import plan_text
 
 
 def edges_of(seed, n, m):
@@ -132,3 +133,20 @@ def test_permutations_in_one_pass(spark, monkeypatch):
     f = [pseudo_f(g) for g in labellings]
     got = diversity.permanova(pairs, labels, 40, 9).first()
     assert got["pseudo_f"] == pytest.approx(f[0]) and got["p_value"] == pytest.approx((sum(v >= f[0] for v in f[1:]) + 1) / 41)
+
+
+@pytest.mark.parametrize("letters, length", [("ACGT", 18), ("AC\u00e9\U0001f600", 9), ("ab~", 500), ("A", 0)])
+def test_identity_of_pairs_packed_and_by_letters(spark, letters, length):
+    r = random.Random(length)
+    texts = {i: "".join(r.choice(letters) for _ in range(length)) for i in range(12)}
+    df = spark.createDataFrame(list(texts.items()), "k int, s string")
+    want = [(i, j, sum(x != y for x, y in zip(texts[i], texts[j]))) for i in texts for j in texts if i < j]
+    got = sequences.pairwise_identity(df, "k", "s")
+    assert rows(got.select("a", "b", "distance"), "a", "b") == want
+    if length == 18:  # cells, not input files, decide how many tasks make the pairs
+        assert got.rdd.getNumPartitions() > 4 and "BroadcastHashJoin" not in plan_text(got) and "zip_with" not in plan_text(got)
+
+
+def test_identity_refuses_other_lengths(spark):
+    with pytest.raises(Exception, match="differ in length"):
+        sequences.pairwise_identity(spark.createDataFrame([(1, "ACG"), (2, "AC")], "k int, s string"), "k", "s").collect()

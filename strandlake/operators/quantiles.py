@@ -6,7 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from strandlake.operators.ordered import running_sums
-from strandlake.session import join_back
+from strandlake.session import checkpointed, join_back
+
+#: Groups whose brackets are broadcast, a few hundred bytes each.
+FEW_GROUPS = 10000
 
 
 def exact_ranks(df: DataFrame, keys: list[str], value: str, probs: list[float], accuracy: int = 10000) -> DataFrame:
@@ -14,7 +17,8 @@ def exact_ranks(df: DataFrame, keys: list[str], value: str, probs: list[float],
 
     ``low`` and ``high`` have the type of ``value`` and are values of the group, no digit lost; the quantile lies at
     ``share`` between them. A mergeable sketch of fixed size brackets every wanted rank. One more pass counts the rows
-    below each bracket and, per distinct value, inside it; those values are dealt by range and counted up, so no group
+    below each bracket and, per distinct value, inside it; brackets of up to ``FEW_GROUPS`` groups go to the rows, so no group
+    is brought together, and of more groups each is met by key. Those values are dealt by range and counted up, so no group
     and no bracket is ordered in one task. The bracket is four times as wide as the sketch's stated rank error, and a group
     of at most ``accuracy`` rows is its own bracket, so the ranks lie inside it; should one not, the job fails instead of
     giving a near value.
@@ -23,10 +27,12 @@ def exact_ranks(df: DataFrame, keys: list[str], value: str, probs: list[float],
     rows = df.filter(F.col(value).isNotNull()).select(*keys, F.col(value).alias("_v"), F.col(value).cast("double").alias("_d"))
     lows = [max(0.0, p - eps) for p in probs]
     highs = [min(1.0, p + eps) for p in probs]
-    sketch = rows.groupBy(*keys).agg(
+    # Kept in a checkpoint: it is asked twice, and its number of groups decides how rows meet their brackets.
+    sketch = checkpointed(rows.groupBy(*keys).agg(
         F.percentile_approx("_d", lows, accuracy).alias("_lo"),
         F.percentile_approx("_d", highs, accuracy).alias("_hi"),
-        F.min("_d").alias("_min"), F.max("_d").alias("_max"), F.count("*").alias("_n"))
+        F.min("_d").alias("_min"), F.max("_d").alias("_max"), F.count("*").alias("_n")))
+    few = sketch.count() <= FEW_GROUPS
     small = F.col("_n") <= accuracy
     bands = F.array(*[
         F.struct(F.lit(float(p)).alias("prob"),
@@ -35,6 +41,8 @@ def exact_ranks(df: DataFrame, keys: list[str], value: str, probs: list[float],
         for i, (p, lo, hi) in enumerate(zip(probs, lows, highs))])
     sizes = sketch.select(*keys, "_n", F.explode(F.array(*[F.lit(float(p)) for p in probs])).alias("prob"))
     bands = sketch.select(*keys, bands.alias("_bands"))
+    if few:  # a group may hold most rows, and a shuffled join would order them in one task
+        bands, sizes = F.broadcast(bands), F.broadcast(sizes)
     tagged = join_back(rows, bands, keys).select(*keys, "_v", "_d", F.explode("_bands").alias("_band"))
     # A value below the bracket is only counted; a value inside keeps its identity.
     inside = tagged.filter(F.col("_d") <= F.col("_band.b")).select(

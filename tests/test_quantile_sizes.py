@@ -4,6 +4,8 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from strandlake.operators import quantiles
+from strandlake.operators.performance import plan_text
 from strandlake.operators.quantiles import exact_quantiles, quantile_columns
 
 
@@ -24,3 +26,20 @@ def test_large_skewed_group(spark):
     got = quantile_columns(df, [], "v", {"a": 0.01, "b": 0.5, "c": 0.999}).first()
     for name, p in (("a", 0.01), ("b", 0.5), ("c", 0.999)):
         assert got[name] == pytest.approx(np.quantile(values, p), rel=1e-12)
+
+
+def test_rows_of_a_hot_group_are_not_brought_together(spark, monkeypatch):
+    """Brackets go to the rows: even when Spark may broadcast nothing by itself, no shuffled join gathers a group."""
+    seen = []
+    plain = quantiles.running_sums
+    monkeypatch.setattr(quantiles, "running_sums", lambda df, *a, **k: seen.append(plan_text(df)) or plain(df, *a, **k))
+    df = spark.range(3000).selectExpr("if(id < 2900, 'hot', string(id % 7)) as k", "cast(id * 37 % 1000 as double) as v")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        few = sorted(map(tuple, exact_quantiles(df, ["k"], "v", [0.25, 0.5], 50).collect()))
+        monkeypatch.setattr(quantiles, "FEW_GROUPS", 3)
+        many = sorted(map(tuple, exact_quantiles(df, ["k"], "v", [0.25, 0.5], 50).collect()))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert few == many and len(few) == 16
+    assert "SortMergeJoin" not in seen[0] and "SortMergeJoin" in seen[1]

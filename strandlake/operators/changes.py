@@ -10,9 +10,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
+#: Rows of both sides together that one task of a large anti join gets.
+JOIN_ROWS = 500_000
+
+
+def _without(df: DataFrame, keys: DataFrame, on: list[str], rows: int) -> DataFrame:
+    """Rows of ``df`` whose key is not among ``keys``; ``rows`` is a bound of the rows that meet, 0 if ``keys`` are few.
+
+    Spark merges shuffled parts up to a size in compressed bytes, and ordered keys compress so well that a merged part holds
+    many millions of rows to sort. So many rows are dealt to a number of tasks that follows them, which is not merged.
+    """
+    tasks = -(-rows // JOIN_ROWS)
+    if tasks > df.sparkSession.sparkContext.defaultParallelism:
+        df, keys = df.repartition(tasks, *on), keys.repartition(tasks, *on)
+    return df.join(keys, on, "left_anti")
+
+
+def _meeting(df: DataFrame, keys: DataFrame) -> int:
+    many = keys.count()
+    return many + df.count() if many > JOIN_ROWS else 0
+
+
 def merge_upsert(target: DataFrame, source: DataFrame, keys: list[str]) -> DataFrame:
     """DML-01: rows of the source replace or join those of the target."""
-    return target.join(source.select(*keys), keys, "left_anti").unionByName(source)
+    return _without(target, source.select(*keys), keys, _meeting(target, source)).unionByName(source)
 
 
 def merge_update_only(target: DataFrame, source: DataFrame, keys: list[str], column: str) -> DataFrame:
@@ -52,7 +73,7 @@ def update_keys(df: DataFrame, keys: DataFrame, on: list[str], changes: dict[str
 
 def delete_keys(df: DataFrame, keys: DataFrame, on: list[str]) -> DataFrame:
     """DML-05."""
-    return df.join(keys.select(*on), on, "left_anti")
+    return _without(df, keys.select(*on), on, _meeting(df, keys))
 
 
 def replace_keys(df: DataFrame, rows: DataFrame, on: list[str]) -> DataFrame:
@@ -135,7 +156,8 @@ def as_of(history: DataFrame, keys: list[str], moment: Column, valid_from: str =
 
 def recover_deleted(before: DataFrame, after: DataFrame, keys: list[str]) -> DataFrame:
     """DML-10: the later version with rows deleted since the earlier one put back."""
-    return after.unionByName(before.join(after.select(*keys), keys, "left_anti"))
+    # The later version is not counted, as that would make it once more; it is taken to be no larger than the earlier one.
+    return after.unionByName(_without(before, after.select(*keys), keys, 2 * before.count()))
 
 
 def change_audit(old: DataFrame, new: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:

@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
-from strandlake.operators import aggregates, graph, intervals, joins, normalise, sampling, windows
+from strandlake.operators import aggregates, changes, graph, intervals, joins, normalise, sampling, windows
 from strandlake.operators.quantiles import exact_quantiles
 
 
@@ -157,6 +157,18 @@ def test_two_nearest_crowded_sites(spark):
     assert joins._first_grid(frames[1], 90.0) >= 3
 
 
+def test_deleted_rows_by_tasks_that_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(changes, "JOIN_ROWS", 50)
+    before = spark.createDataFrame([(i if i % 90 else None, f"v{i}") for i in range(1, 900)], "k int, v string")
+    gone = spark.createDataFrame([(i % 300,) for i in range(900)] + [(None,)], "k int")
+    after = changes.delete_keys(before, gone, ["k"])
+    kept = sorted(v for k, v in rows(before) if k is None or k >= 300)
+    assert sorted(v for _, v in rows(after)) == kept
+    assert after.rdd.getNumPartitions() == 36  # ceil((899 + 901) / 50), not merged by bytes
+    back = changes.recover_deleted(before, after, ["k"])
+    assert sorted(v for _, v in rows(back)) == sorted([v for _, v in rows(before)] + [v for k, v in rows(before) if k is None])
+
+
 def test_quantile_normalisation(spark):
     rng = np.random.default_rng(2)
     m = rng.integers(0, 6, (40, 5)).astype(float)

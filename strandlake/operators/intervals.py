@@ -227,15 +227,25 @@ def overlaps(a: DataFrame, b: DataFrame, bin_size: int, chrom: str = "chrom", st
         *[f"{p}{k}" for k in same for p in ("_a", "_z")])
 
 
+#: Starts and ends that one task of ``covered_depth`` gets.
+STEP_ROWS = 500_000
+
+
 def covered_depth(alignments: DataFrame, block: int, chrom: str = "chrom", start: str = "start",
                   end: str = "end") -> DataFrame:
     """Depth steps of half-open alignments: (chrom, pos, depth) where the depth changes.
 
-    Starts add one and ends subtract one; the running sum is made per block of positions.
+    Starts add one and ends subtract one; the running sum is made per block of positions. Rows are dealt once, by block, to
+    tasks of about ``STEP_ROWS`` rows, so a task's memory does not follow the number of alignments.
     """
-    from strandlake.operators.windows import running
+    from strandlake.operators.windows import running_in_blocks
+    spark = alignments.sparkSession
+    tasks = max(spark.sparkContext.defaultParallelism, -(-2 * alignments.count() // STEP_ROWS))
     deltas = alignments.select(chrom, F.inline(F.array(
         F.struct(F.col(start).alias("pos"), F.lit(1).alias("delta")),
         F.struct(F.col(end).alias("pos"), F.lit(-1).alias("delta")))))
-    steps = deltas.groupBy(chrom, "pos").agg(F.sum("delta").alias("delta"))
-    return running(steps, [chrom], ["pos"], F.floor(F.col("pos") / block), {"depth": F.col("delta")}).drop("delta")
+    key = F.struct(chrom, F.floor(F.col("pos") / block).alias("_block"))
+    steps = (deltas.select(key.alias("_key"), "pos", "delta").repartition(tasks, "_key")
+             .groupBy("_key", "pos").agg(F.sum("delta").alias("delta")))
+    out = running_in_blocks(steps, [chrom], ["pos"], {"depth": F.col("delta")})
+    return out.select(F.col(f"_key.{chrom}").alias(chrom), "pos", "depth")

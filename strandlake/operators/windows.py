@@ -42,15 +42,25 @@ def running(df: DataFrame, keys: list[str], order: list[str], block: Column | No
     """
     if block is None:
         return running_sums(df, keys, order, sums)
-    rows = df.withColumns({"_block": block, **{f"_x_{n}": c for n, c in sums.items()}})
-    totals = rows.groupBy(*keys, "_block").agg(*[F.sum(f"_x_{n}").alias(f"_t_{n}") for n in sums])
-    earlier = Window.partitionBy(*keys).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select(*keys, "_block", *[
-        F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums])
-    inside = Window.partitionBy(*keys, "_block").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    rows = df.withColumn("_key", F.struct(*keys, block.alias("_block")))
+    return running_in_blocks(rows, keys, order, sums).select(*df.columns, *sums)
+
+
+def running_in_blocks(rows: DataFrame, keys: list[str], order: list[str], sums: dict[str, Column]) -> DataFrame:
+    """``running`` over rows with ``_key``, the struct of their keys and ``_block``, in place of both.
+
+    A struct is never NULL, so blocks with NULL keys meet by plain equality, and rows that are dealt by ``_key`` already are
+    not moved again.
+    """
+    rows = rows.withColumns({f"_x_{n}": c for n, c in sums.items()})
+    totals = rows.groupBy("_key").agg(*[F.sum(f"_x_{n}").alias(f"_t_{n}") for n in sums])
+    own = [F.col(f"_key.{k}") for k in keys]
+    earlier = Window.partitionBy(*own).orderBy("_key._block").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("_key", *[F.coalesce(F.sum(f"_t_{n}").over(earlier), F.lit(0)).alias(f"_o_{n}") for n in sums])
+    inside = Window.partitionBy("_key").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumns({f"_s_{n}": F.sum(f"_x_{n}").over(inside) for n in sums})
-    joined = join_back(local, offsets, [*keys, "_block"])
-    return joined.select(*df.columns, *[(F.col(f"_s_{n}") + F.col(f"_o_{n}")).alias(n) for n in sums])
+    joined = local.join(offsets, "_key")
+    return joined.withColumns({n: F.col(f"_s_{n}") + F.col(f"_o_{n}") for n in sums}).drop(*[f"_{p}_{n}" for n in sums for p in "xso"])
 
 
 def _neighbour(df, keys, order, block, columns, forward):

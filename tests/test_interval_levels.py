@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from conftest import rows
 from strandlake.operators import coverage, intervals
+from strandlake.operators.performance import plan_text
 
 
 def spans(seed, n, longest):
@@ -102,3 +103,13 @@ def test_coverage_from_runs(spark, monkeypatch):
     wide = spark.createDataFrame([("w", "1", 0, 10 ** 9)], "target string, chrom string, start int, end int")
     assert coverage.depth_runs(wide, a, 16).count() < 2 * len(align) + 2
     assert rows(coverage.depth_runs(wide, a, 16).agg(F.sum("length"))) == [(10 ** 9,)]
+
+
+def test_depth_steps_by_tasks_that_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(intervals, "STEP_ROWS", 40)
+    r = random.Random(4)
+    spans_ = [(c, s, s + r.randrange(1, 60)) for c, s in ((r.choice(["1", "1", None]), r.randrange(0, 400)) for _ in range(700))]
+    got = intervals.covered_depth(spark.createDataFrame(spans_, "chrom string, start int, end int"), 16)
+    assert "REPARTITION_BY_NUM" in plan_text(got) and " 35)" in plan_text(got)  # ceil(1400 / 40) tasks, not merged by bytes
+    want = {(c, p) for c, s, e in spans_ for p in (s, e)}
+    assert {(c, p): d for c, p, d in rows(got)} == {(c, p): sum(c == x and s <= p < e for x, s, e in spans_) for c, p in want}

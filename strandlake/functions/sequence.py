@@ -120,7 +120,12 @@ def amino_acid(codon: Column) -> Column:
 def protein(seq: Column, to_stop: bool = False) -> Column:
     """SEQ-08: translation; codons outside the table give X; optionally cut at the first stop."""
     text = F.array_join(F.transform(codons(F.upper(back_transcribe(seq))), amino_acid), "")
-    return F.substring_index(text, "*", 1) if to_stop else text
+    return to_first_stop(text) if to_stop else text
+
+
+def to_first_stop(protein_text: Column) -> Column:
+    """SEQ-08: a protein up to its first stop."""
+    return F.substring_index(protein_text, "*", 1)
 
 
 def kmers(seq: Column, k: int) -> Column:

@@ -10,7 +10,7 @@ from strandlake.operators import lookups, sequences
 from strandlake.plans.registry import exact_mean as MEAN
 from strandlake.plans.registry import half_up as HU
 from strandlake.plans.registry import query
-from strandlake.session import spread
+from strandlake.session import computed_once, spread
 
 
 # Documents as nucleotide sequences: letters only, mapped letter by letter.
@@ -135,10 +135,11 @@ WITH {SEQS}, k(codon, aa) AS (VALUES {CODON_VALUES}),
      a AS (SELECT doc_id, i, coalesce(aa, 'X') AS aa FROM (SELECT doc_id, i, substr(seq, (i * 3 + 1)::BIGINT, 3) AS codon FROM c) LEFT JOIN k USING (codon))
 SELECT doc_id, md5(string_agg(aa, '' ORDER BY i)) AS protein, coalesce(min(i) FILTER (aa = '*'), count(*)) AS to_stop FROM a GROUP BY 1""")
 def _(t):
-    s = F.col("seq")
-    return (seqs(t).filter(F.length(s) >= 3)
-            .select("doc_id", F.md5(sequence.protein(s).cast("binary")).alias("protein"),
-                    F.length(sequence.protein(s, to_stop=True)).cast("bigint").alias("to_stop")))
+    # Translated once: the condition and both columns use its result, which no condition is pushed below.
+    protein = F.col("protein")
+    return (computed_once(seqs(t), ["doc_id"], {"protein": sequence.protein(F.col("seq"))}).filter(F.length(protein) > 0)
+            .select("doc_id", F.md5(protein.cast("binary")).alias("protein"),
+                    F.length(sequence.to_first_stop(protein)).cast("bigint").alias("to_stop")))
 
 
 @query("motif_positions", "SEQ-09", f"""

@@ -11,6 +11,7 @@ from strandlake.functions import sequence as sq
 from strandlake.functions.numeric import percent, ratio
 from strandlake.operators.joins import paired_reads
 from strandlake.operators.quantiles import counted_quantiles
+from strandlake.session import checkpointed, computed_once
 
 # Limits of the trimming job, in its order of steps.
 MIN_LENGTH, MIN_QUALITY, TAIL_QUALITY = 50, 20, 20
@@ -106,10 +107,16 @@ def tail_trimmed(reads: DataFrame, threshold: int = 15) -> DataFrame:
 
 def _measures(reads: DataFrame) -> DataFrame:
     """Sums every statistic is made of, computed once per read."""
-    return reads.select(
-        "read_id", F.length("seq").cast("bigint").alias("bases"), F.length("qual").cast("bigint").alias("scores"),
-        sq.count_of(F.col("seq"), "GCgc").cast("bigint").alias("gc"), sq.count_of(F.col("seq"), "Nn").cast("bigint").alias("n"),
-        sq.phred_sum(F.col("qual")).alias("quality"))
+    return computed_once(reads, ["read_id"], {
+        "bases": F.length("seq").cast("bigint"), "scores": F.length("qual").cast("bigint"),
+        "gc": sq.count_of(F.col("seq"), "GCgc").cast("bigint"), "n": sq.count_of(F.col("seq"), "Nn").cast("bigint"),
+        "quality": sq.phred_sum(F.col("qual"))})
+
+
+def _rule(bases: str, scores: str, n: str, quality: str, min_length: int, min_quality: float, max_n: float) -> Column:
+    """FLT-12 as a condition on measures; false where one is missing."""
+    share = F.coalesce(ratio(F.col(n), F.col(bases)), F.lit(0.0))
+    return F.coalesce((F.col(bases) >= min_length) & (ratio(F.col(quality), F.col(scores)) >= min_quality) & (share <= max_n), F.lit(False))
 
 
 def _summary(where: Column | None = None) -> list[Column]:
@@ -127,10 +134,26 @@ def read_statistics(reads: DataFrame) -> DataFrame:
 
 
 def compare_rules(reads: DataFrame, rules: dict[str, dict], trim_at: int = 15) -> DataFrame:
-    """QC-06, STM-10: pipeline statistics per named rule set (strict, lenient)."""
-    parts = [read_statistics(tail_trimmed(filtered(reads, **limits), trim_at)).withColumn("rules", F.lit(name))
-             for name, limits in rules.items()]
-    return reduce(DataFrame.unionByName, parts)
+    """QC-06, STM-10: pipeline statistics per named rule set (strict, lenient): filtered, tail trimmed, left empty dropped.
+
+    All rule sets come from one pass: a read is measured and trimmed once, each set is a condition on its measures.
+    """
+    kept = sq.trimmed_quality(F.col("qual"), trim_at)
+    cut = computed_once(reads, ["seq", "qual"], {"_kept": F.length(kept)})
+    tail = F.expr("substring(qual, _kept + 1)")
+    whole = sq.phred_sum(F.col("qual"))
+    # The quality of what is kept is that of the read without its tail, which is short.
+    measured = computed_once(cut, ["_kept"], {
+        "_bases": F.length("seq").cast("bigint"), "_scores": F.length("qual").cast("bigint"),
+        "_n": sq.count_of(F.col("seq"), "Nn").cast("bigint"), "_quality": whole,
+        "bases": F.length(sq.cut_to(F.col("seq"), F.col("_kept"))).cast("bigint"), "scores": F.col("_kept").cast("bigint"),
+        "gc": sq.count_of(sq.cut_to(F.col("seq"), F.col("_kept")), "GCgc").cast("bigint"),
+        "_tail": F.when(F.length(tail) > 0, sq.phred_sum(tail)).otherwise(F.lit(0).cast("bigint"))}).withColumn(
+        "quality", F.col("_quality") - F.col("_tail"))
+    limits = {name: {"min_length": 50, "min_quality": 20.0, "max_n": 0.05, **given} for name, given in rules.items()}
+    passed = {name: _rule("_bases", "_scores", "_n", "_quality", **given) & (F.col("_kept") > 0) for name, given in limits.items()}
+    sums = measured.agg(*[F.struct(*_summary(where)).alias(f"_r{i}") for i, where in enumerate(passed.values())])
+    return sums.select(F.inline(F.array(*[F.struct(F.col(f"_r{i}.*"), F.lit(name).alias("rules")) for i, name in enumerate(passed)])))
 
 
 def paired_filter(first: DataFrame, second: DataFrame, keep: Column) -> DataFrame:
@@ -141,12 +164,11 @@ def paired_filter(first: DataFrame, second: DataFrame, keep: Column) -> DataFram
 def read_report(first: DataFrame, second: DataFrame, min_length: int = 50, min_quality: float = 20.0,
                 max_n: float = 0.05) -> DataFrame:
     """QC-07: statistics of both files before and after filtering, and pairs kept."""
-    ok = ((F.col("bases") >= min_length) & (ratio(F.col("quality"), F.col("scores")) >= min_quality)
-          & (F.coalesce(ratio(F.col("n"), F.col("bases")), F.lit(0.0)) <= max_n))
+    ok = _rule("bases", "scores", "n", "quality", min_length, min_quality, max_n)
     rows, passed = [], []
     for number, df in ((1, first), (2, second)):
-        # Both stages of a file come from one pass; pairs are joined on ids alone, without the texts.
-        marked = _measures(df).withColumn("_ok", F.coalesce(ok, F.lit(False)))
+        # Texts are read once: both stages and the pairs, which are joined on ids alone, use the checkpointed measures.
+        marked = checkpointed(_measures(df).withColumn("_ok", ok))
         stages = marked.agg(F.struct(*_summary()).alias("raw"), F.struct(*_summary(F.col("_ok"))).alias("filtered"))
         rows += [stages.select(f"{s}.*").withColumn("stage", F.lit(f"{s}_{number}")) for s in ("raw", "filtered")]
         passed.append(marked.filter("_ok"))

@@ -10,6 +10,8 @@ from conftest import rows
 from strandlake.functions import sequence as sq
 from strandlake.functions import text, variant
 from strandlake.operators import coverage, lookups, reads, sequences
+from strandlake.operators.performance import plan_text
+from strandlake.session import computed_once
 from strandlake.sources import genomics as g
 from strandlake.sources import sinks, tabular
 
@@ -223,3 +225,31 @@ def test_pairwise_identity(spark):
     df = spark.createDataFrame([("a", "ACGT"), ("b", "ACGA"), ("c", "TTTT")], "id string, s string")
     got = {(r["a"], r["b"]): (r["distance"], r["identity_pct"]) for r in sequences.pairwise_identity(df, "id", "s").collect()}
     assert got == {("a", "b"): (1, 75.0), ("a", "c"): (3, 25.0), ("b", "c"): (4, 0.0)}
+
+
+READS = [("a/1", "ACGTACGTNN", "IIIIIIII!!"), ("b/1", "ACGTA", "!!!!!"), ("c/1", "", ""), ("d/1", None, None), ("e/1", "GGCCGGCCGG", "5555555555"),
+         ("f/1", "AAAA", "III!")]
+
+
+def test_rules_and_report_read_texts_once(spark):
+    """Conditions use measures made once per read: plans hold one aggregation of scores, not one per use."""
+    df = spark.createDataFrame(READS, "read_id string, seq string, qual string")
+    rules = {"strict": {"min_length": 5, "min_quality": 19, "max_n": 0.3}, "lenient": {"min_length": 1, "min_quality": 0, "max_n": 1.0}}
+    got = reads.compare_rules(df, rules)
+    assert plan_text(got).count("Scan") == plan_text(df).count("Scan")
+    want = {n: reads.read_statistics(reads.tail_trimmed(reads.filtered(df, **limits))).first() for n, limits in rules.items()}
+    for r in got.collect():
+        assert [r[c] for c in ("total_reads", "avg_length", "avg_gc", "avg_quality")] == list(want[r["rules"]])
+    empty = reads.compare_rules(df, {"none": {"min_length": 99}}).first()
+    assert tuple(empty) == (0, None, None, None, "none")
+    second = df.select(F.replace("read_id", F.lit("/1"), F.lit("/2")).alias("read_id"), "seq", "qual").filter("read_id <> 'a/2'")
+    report = reads.read_report(df, second, 4, 19, 0.3)
+    assert plan_text(report).count("aggregate(") == 0  # texts are behind a checkpoint
+    assert {r["stage"]: r["total_reads"] for r in report.collect()} == {"raw_1": 6, "filtered_1": 3, "raw_2": 5, "filtered_2": 2, "pairs_kept": 2}
+
+
+def test_protein_is_made_once(spark):
+    df = computed_once(spark.createDataFrame([(1, "ATGTAAC"), (2, "AT"), (3, None)], "k int, s string"), ["k"], {"p": sq.protein(F.col("s"))})
+    got = df.filter(F.length("p") > 0).select("k", "p", sq.to_first_stop(F.col("p")).alias("q"))
+    assert rows(got) == [(1, "M*", "M")]
+    assert plan_text(got).count("regexp_extract_all(") == plan_text(df).count("regexp_extract_all(")

@@ -28,24 +28,41 @@ def pack(ids: np.ndarray, block: int = BLOCK, percentile: int = PERCENTILE) -> b
     if not 0 < block <= 1 << 16:
         raise ValueError("a block has 1 to 65,536 ids")
     ids = np.asarray(ids, np.int64)
-    parts = []
-    for k in range(0, len(ids), block):
-        values = ids[k:k + block]
-        low = int(values.min())
-        values = values - low
-        rank = min(len(values) - 1, len(values) * percentile // 100)
-        width = int(_bit_lengths(np.partition(values, rank)[rank:rank + 1])[0])
-        out = np.flatnonzero(values >> width)
-        inside = values.copy()
-        inside[out] = 0
-        bits = (inside[:, None] >> np.arange(width)).astype(np.uint8) & 1 if width else np.zeros((0, 0), np.uint8)
-        parts.append(_BLOCK_HEAD.pack(low, len(out), width) + np.packbits(bits, bitorder="little").tobytes()
-                     + out.astype("<u2").tobytes() + values[out].astype("<u4").tobytes())
+    whole = len(ids) // block * block
+    parts = _packed(ids[:whole].reshape(-1, block), percentile)
+    if whole < len(ids):
+        parts += _packed(ids[None, whole:], percentile)
     start = _HEAD.size + 8 * len(parts)
     offsets = start + np.cumsum([0, *map(len, parts)])[:-1] if parts else np.zeros(0)
     return b"".join([_HEAD.pack(MAGIC, len(ids), block, len(parts)), np.asarray(offsets).astype("<u8").tobytes(), *parts])
 
 
+def _packed(rows: np.ndarray, percentile: int) -> list[bytes]:
+    """The bytes of blocks of equal length; those of one width are packed together."""
+    if not len(rows):
+        return []
+    count = rows.shape[1]
+    low = rows.min(axis=1)
+    values = (rows - low[:, None]).astype(np.uint32)
+    rank = min(count - 1, count * percentile // 100)
+    widths = _bit_lengths(np.partition(values, rank, axis=1)[:, rank])
+    which, where = np.nonzero(values >> widths.astype(np.uint64)[:, None])
+    beyond = values[which, where].astype("<u4")
+    values[which, where] = 0
+    upto = np.searchsorted(which, np.arange(len(rows) + 1)).tolist()
+    where = where.astype("<u2")
+    parts = [b""] * len(rows)
+    for width in np.unique(widths).tolist():
+        some = np.flatnonzero(widths == width)
+        kind = "<u2" if width <= 16 else "<u4"
+        bits = np.unpackbits(values[some].astype(kind).view(np.uint8).reshape(-1, 2 if width <= 16 else 4), axis=1, bitorder="little")
+        packed = np.packbits(bits[:, :width].reshape(len(some), count * width), axis=1, bitorder="little")
+        for k, one in zip(some.tolist(), packed):
+            i, j = upto[k], upto[k + 1]
+            parts[k] = b"".join([_BLOCK_HEAD.pack(int(low[k]), j - i, width), one.tobytes(), where[i:j].tobytes(), beyond[i:j].tobytes()])
+    return parts
+
+
 def block_count(payload: bytes) -> int:
     return _HEAD.unpack_from(payload)[3]
 
@@ -74,5 +91,28 @@ def unpack_block(payload: bytes, k: int) -> np.ndarray:
 
 def unpack(payload: bytes) -> np.ndarray:
     """All ids of a payload."""
-    blocks = [unpack_block(payload, k) for k in range(block_count(payload))]
-    return np.concatenate(blocks).astype(np.uint32) if blocks else np.zeros(0, np.uint32)
+    magic, n, block, blocks = _HEAD.unpack_from(payload)
+    if magic != MAGIC:
+        raise ValueError("not a payload")
+    out = np.zeros(n, np.uint32)
+    whole = n // block
+    grid = out[:whole * block].reshape(whole, block)
+    by_width: dict[int, list] = {}
+    for k, at in enumerate(np.frombuffer(payload, "<u8", blocks, _HEAD.size).tolist()[:whole]):
+        low, exceptions, width = _BLOCK_HEAD.unpack_from(payload, at)
+        by_width.setdefault(width, []).append((k, low, exceptions, at + _BLOCK_HEAD.size))
+    for width, found in by_width.items():
+        size = (block * width + 7) // 8
+        some, low, exceptions, at = zip(*found)
+        raw = b"".join([payload[i:i + size] for i in at]) + bytes(8)
+        begin = np.arange(block) * width
+        words = np.ndarray((len(some), max(size, 1)), "<u8", raw, strides=(size, 1))  # the eight bytes from every byte on
+        values = (words[:, begin >> 3] >> (begin & 7).astype(np.uint64) & np.uint64((1 << width) - 1)).astype(np.uint32)
+        row = np.repeat(np.arange(len(some)), exceptions)
+        places = b"".join([payload[i + size:i + size + 2 * e] for i, e in zip(at, exceptions)])
+        beyond = b"".join([payload[i + size + 2 * e:i + size + 6 * e] for i, e in zip(at, exceptions)])
+        values[row, np.frombuffer(places, "<u2")] = np.frombuffer(beyond, "<u4")
+        grid[list(some)] = values + np.array(low, np.uint32)[:, None]
+    if whole < blocks:
+        out[whole * block:] = unpack_block(payload, whole)
+    return out

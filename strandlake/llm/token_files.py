@@ -43,9 +43,10 @@ def write_token_files(docs: DataFrame, folder: str, path: str | None = None, end
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, part = library_encoder(path), TaskContext.get().partitionId()
         ids, of, size, number = [], [], 0, 0
+        end = np.array([end_id])
         for b in batches:
             for doc_id, found in zip(b.column(0).to_pylist(), encoder.encode(b.column(1).to_pylist())):
-                ids.append(np.append(found, end_id))
+                ids += (found, end)
                 of.append((doc_id, len(found) + 1))
                 size += len(found) + 1
                 if size >= chunk_ids:

@@ -44,3 +44,17 @@ def test_files(make_docs):
     key = lambda x: x[1]
     assert sorted([tuple(x) for x in got], key=key) == want
     assert token_files.token_files_round_trip(make_docs([])).count() == 0
+
+
+def test_blocks_of_one_width_are_packed_together(monkeypatch):
+    ids = np.random.default_rng(3).integers(0, 50_000, 64 * 1024 + 77)
+    ids[::50] = (1 << 32) - 1 - ids[::50]  # exceptions
+    calls, pack_bits = [], np.packbits
+    monkeypatch.setattr(np, "packbits", lambda *a, **k: calls.append(1) or pack_bits(*a, **k))
+    payload = pfor.pack(ids)
+    assert len(calls) <= 4  # not one call a block
+    assert (pfor.unpack(payload) == ids).all() and pfor.unpack_block(payload, 64).tolist() == ids[64 * 1024:].tolist()
+    calls.clear()
+    bounds, unpack_bits = [], np.unpackbits
+    monkeypatch.setattr(np, "unpackbits", lambda *a, **k: bounds.append(1) or unpack_bits(*a, **k))
+    assert (pfor.unpack(payload) == ids).all() and len(bounds) + len(calls) <= 4

@@ -12,15 +12,19 @@ from pyspark.sql import functions as F
 LINKS = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
-def distinct_buckets(postings: DataFrame) -> DataFrame:
-    """Of ``postings`` (bucket, node): each bucket of two or more nodes as ``(bucket, size)``.
+def distinct_buckets(postings: DataFrame, with_first: bool = False) -> DataFrame:
+    """Of ``postings`` (bucket, node): each bucket of two or more nodes as ``(bucket, size)``, with its smallest node as
+    ``first`` if asked.
 
-    Buckets with the same members (equal size and equal XOR of two 64-bit hashes of the nodes) say the same, so one
-    of them stays. Counting is pre-aggregated before the shuffle.
+    Buckets with the same members (equal size and equal XOR of two 64-bit hashes of the nodes) say the same, so the
+    smallest of them stays. Counting is pre-aggregated before the shuffle.
     """
+    first = [F.min("node").alias("first")] if with_first else []
     sizes = postings.groupBy("bucket").agg(
-        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"))
-    return sizes.where("size > 1").groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket")).select("bucket", "size")
+        F.count("*").alias("size"), F.bit_xor(F.xxhash64("node")).alias("x"), F.bit_xor(F.xxhash64(F.lit(1), "node")).alias("y"), *first)
+    again = [F.min("first").alias("first")] if with_first else []
+    return sizes.where("size > 1").groupBy("size", "x", "y").agg(F.min("bucket").alias("bucket"), *again).select(
+        "bucket", "size", *(["first"] if with_first else []))
 
 
 def in_blocks(members: DataFrame, block: int) -> DataFrame:

@@ -161,3 +161,68 @@ def test_pairs_at_the_threshold_are_found(make_docs):
     docs = make_docs([(2 * i + k, x) for i, pair in enumerate(pairs) for k, x in enumerate(pair)])
     kept = {r.doc_id for r in line_decisions(docs).where("kept").collect()}
     assert kept == {2 * i for i in range(len(pairs))}
+
+
+def test_a_pair_is_compared_in_its_first_band_only(monkeypatch):
+    """Over all bands that two lines share, they are compared exactly once, and found as before."""
+    from strandlake.llm import line_dedup
+    from strandlake.llm.line_dedup import BANDS, Line, _similar_in_band
+
+    r = random.Random(12)
+    base = " ".join("".join(r.choice("abcdefgh") for _ in range(r.randint(3, 9))) for _ in range(40))
+    lines = [base]
+    for _ in range(40):
+        parts = base.split(" ")
+        for _ in range(r.randint(1, 5)):
+            parts[r.randrange(len(parts))] = r.choice(["xx", "Straße", "漢字"])
+        lines.append(" ".join(parts))
+    lines = sorted(set(lines))
+    keys, low = line_dedup._signatures(lines)
+    assert ((keys.view("u8") >> 60) ^ 8 == list(range(BANDS))).all() and (keys[:, 1:] > keys[:, :-1]).all()
+    asked = []
+    similar = Line.similar
+    monkeypatch.setattr(Line, "similar", lambda x, y, least: asked.append((x.text, y.text)) or similar(x, y, least))
+    found, meet = set(), 0
+    for band in range(BANDS):
+        values = [Line(x, k.tobytes() + s.tobytes(), band) for x, k, s in zip(lines, keys, low)]
+        for i in range(len(lines)):
+            others = [j for j in range(i + 1, len(lines)) if keys[i, band] == keys[j, band]]
+            meet += len(others)
+            if others:
+                found |= {(i, j) for j, like in zip(others, _similar_in_band(values, i, others, 0.8)) if like}
+    assert len(asked) == len(set(asked)) and meet > 2 * len(asked)
+    sets = [shingles(x) for x in lines]
+    want = {(i, j) for i in range(len(lines)) for j in range(i + 1, len(lines))
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and (keys[i] == keys[j]).any()}
+    assert found == want and want
+
+
+def test_shared_band_keys_equal_brute_force(spark, monkeypatch):
+    from collections import Counter
+
+    from strandlake.llm import line_dedup
+    from strandlake.llm.base import prepare
+
+    prepare(spark)
+    monkeypatch.setattr(line_dedup, "KEYS_AT_ONCE", 64)  # several rounds in a task
+    r = random.Random(13)
+    rows = [[r.choice([r.randrange(-1 << 63, 1 << 63), 5, -5, r.randrange(300)]) for _ in range(16)] for _ in range(400)]
+    packed = [(b"".join(k.to_bytes(8, "little", signed=True) for k in row),) for row in rows]
+    nodes = spark.createDataFrame(packed, "bands binary").repartition(3)
+    got = [x.bucket for x in line_dedup.shared_keys(nodes).collect()]
+    assert sorted(got) == sorted(k for k, n in Counter(k for row in rows for k in row).items() if n > 1)
+    assert line_dedup.shared_keys(nodes.limit(0)).count() == 0
+
+
+def test_lines_of_other_scripts_equal_brute_force(make_docs):
+    """Lines within and beyond Latin-1, and lines shorter than a shingle with zeros in them."""
+    r = random.Random(14)
+    rows = []
+    for i in range(40):
+        chars = ["abcdefgh ", "éüßñçabc ", "漢字仮名交文書 ", "aé漢я "][i % 4]
+        line = "q" + "".join(r.choice(chars) for _ in range(90)) + "q"
+        at = r.randrange(20, 70)
+        rows += [(3 * i, line), (3 * i + 1, line[:at] + r.choice(["x", "é", "漢"]) + line[at + 1:]), (3 * i + 2, line[:at - 10])]
+    rows += [(200, "ab\nab\x00\nab\x00\x00\x00\x00\x00"), (201, "ab\x00\x00\x00\x00\x00\x00\nab"), (202, "é\né\x00\nя")]
+    got = {(d.doc_id, d.line_no): d.kept for d in line_decisions(make_docs(rows)).collect()}
+    assert got == brute(rows)

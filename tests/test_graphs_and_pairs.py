@@ -9,6 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
+from strandlake.functions import sequence as seq_functions
 from strandlake.operators import aggregates, diversity, graph, joins, sequences
 from strandlake.operators.performance import plan_text
 
@@ -150,3 +151,16 @@ def test_identity_of_pairs_packed_and_by_letters(spark, letters, length):
 def test_identity_refuses_other_lengths(spark):
     with pytest.raises(Exception, match="differ in length"):
         sequences.pairwise_identity(spark.createDataFrame([(1, "ACG"), (2, "AC")], "k int, s string"), "k", "s").collect()
+
+
+def test_rows_of_pairs_are_repeated_for_few_blocks():
+    assert [joins.pair_blocks(n) for n in (0, 5000, 20_000, 60_000)] == [6, 6, 20, 32]
+    # Six times the rows: the blocks stay, so repeated rows grow as the rows do; blocks beyond that stay bounded.
+    assert joins.pair_blocks(360_000) == 32 and joins.pair_blocks(10_000_000) * joins.MOST_PAIR_ROWS >= 10_000_000
+
+
+def test_packed_word_of_seven_letters(spark):
+    df = spark.createDataFrame([("ab~ xyzGA",), ("",), (None,)], "s string")
+    got = df.select(*[seq_functions.packed_word(F.col("s"), i).alias(f"w{i}") for i in range(3)]).collect()
+    assert tuple(got[0]) == (int.from_bytes(b"ab~ xyz"), int.from_bytes(b"GA"), None)
+    assert tuple(got[1]) == tuple(got[2]) == (None, None, None)
